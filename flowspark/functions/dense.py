@@ -89,26 +89,29 @@ def _scale(variance):
 
 
 def solve_elastic_net(gram, rhs, l1, l2, start, tol, max_iter):
-    """Coordinate descent on the moments: minimise half the residual sum of squares
-    plus ``l1`` * |b| plus half ``l2`` * b^2. ``l1`` is per coefficient, ``l2`` per column."""
-    beta = start.copy()
-    curvature = np.diag(gram) + l2
-    gap = rhs - gram @ beta
+    """Minimise half the residual sum of squares plus ``l1`` * |b| plus half ``l2`` * b^2.
+
+    Accelerated proximal gradient on the moments, momentum dropped whenever it
+    points uphill; stops when no coefficient moves by more than ``tol``. ``l1`` is
+    per coefficient, ``l2`` per column. A column without variance stays at 0.
+    """
+    largest = np.linalg.eigvalsh(gram)[-1]
+    if largest <= 0:
+        return np.zeros_like(rhs)
+    step, shrink = 1.0 / largest, 1.0 / (1.0 + l2[:, None] / largest)
+    beta = point = start
+    weight = 1.0
     for _ in range(max_iter):
-        largest = 0.0
-        for c in range(len(gram)):
-            if curvature[c] <= 0:
-                continue
-            pull = gap[c] + gram[c, c] * beta[c]
-            new = np.sign(pull) * np.maximum(np.abs(pull) - l1[c], 0.0) / curvature[c]
-            step = new - beta[c]
-            move = np.abs(step).max()
-            if move > 0:
-                gap -= np.outer(gram[c], step)
-                beta[c] = new
-                largest = max(largest, move)
-        if largest <= tol:
-            break
+        moved = point + step * (rhs - gram @ point)
+        new = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0.0) * shrink
+        change = new - beta
+        if np.abs(change).max() <= tol:
+            return new
+        if np.vdot(point - new, change) > 0:
+            weight = 1.0
+        following = (1.0 + np.sqrt(1.0 + 4.0 * weight * weight)) / 2.0
+        point = new + (weight - 1.0) / following * change
+        beta, weight = new, following
     return beta
 
 

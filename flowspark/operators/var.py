@@ -34,8 +34,6 @@ MAX_ITERATIONS = 300_000
 
 _MEMBER, _CROSS, _EDGE = 0, 1, 2
 
-_INPUT = "kind int, i int, j int, lag int, s bigint, member string, nobs int"
-
 _MODEL = (
     "status string, nobs int, lag int, n int, dof int, members array<string>, "
     "intercept array<double>, coef array<double>, raw_intercept array<double>, raw_coef array<double>, "
@@ -93,32 +91,33 @@ def _solver_input(
 class _Group:
     """One group's sums, with members ordered by mean (largest first, then name)."""
 
-    def __init__(self, rows: pd.DataFrame, maxlag: int):
-        kind = rows["kind"].to_numpy()
-        members = rows[kind == _MEMBER].sort_values(["s", "member"], ascending=[False, True])
-        self.members = members["member"].tolist()
-        self.nobs = int(members["nobs"].iloc[0])
-        self.total = members["s"].to_numpy(float)
-        self.k = len(self.members)
+    def __init__(self, row, maxlag: int):
+        kind, i, j, lag = (np.asarray(column, dtype=np.int64) for column in (row.kind, row.i, row.j, row.lag))
+        s = np.asarray(row.s, dtype=float)
+        listed = kind == _MEMBER
+        names, numbers, totals = list(row.member), i[listed], s[listed]
+        order = sorted(range(len(names)), key=lambda at: (-totals[at], names[at]))
+        self.members = [names[at] for at in order]
+        self.nobs = int(row.nobs)
+        self.total = totals[order]
+        self.k = len(order)
         self.maxlag = min(maxlag, self.nobs - 1)
-        place = {i: rank for rank, i in enumerate(members["i"].tolist())}
+        rank = np.zeros(numbers.max() + 1, dtype=np.int64)
+        rank[numbers[order]] = np.arange(self.k)
 
-        cross = rows[kind == _CROSS]
+        at = kind == _CROSS
         self.cross = np.zeros((self.maxlag + 1, self.k, self.k))
-        i, j = cross["i"].map(place).to_numpy(int), cross["j"].map(place).to_numpy(int)
-        lag, s = cross["lag"].to_numpy(int), cross["s"].to_numpy(float)
-        self.cross[lag, i, j] = s
-        mirror = lag == 0
-        self.cross[0, j[mirror], i[mirror]] = s[mirror]
+        a, b = rank[i[at]], rank[j[at]]
+        self.cross[lag[at], a, b] = s[at]
+        mirror = lag[at] == 0
+        self.cross[0, b[mirror], a[mirror]] = s[at][mirror]
 
         # the first and last rows; a short series is held whole
         self.tail = max(self.maxlag, self.nobs - self.maxlag)
         self.rows = np.zeros((self.maxlag + self.nobs - self.tail, self.k))
-        edge = rows[kind == _EDGE]
-        if len(edge):
-            at = edge["lag"].to_numpy(int)
-            at = np.where(at < self.maxlag, at, at - self.tail + self.maxlag)
-            self.rows[at, edge["i"].map(place).to_numpy(int)] = edge["s"].to_numpy(float)
+        at = kind == _EDGE
+        t = lag[at]
+        self.rows[np.where(t < self.maxlag, t, t - self.tail + self.maxlag), rank[i[at]]] = s[at]
 
     def edge(self, t: int) -> np.ndarray:
         return self.rows[t if t < self.maxlag else t - self.tail + self.maxlag]
@@ -186,14 +185,38 @@ class _SparseModel:
         }
 
 
-def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Groups over all shuffle partitions.
+def _solve_groups(source: DataFrame, keys: Sequence[str], maxlag: int, solve, schema: T.StructType) -> DataFrame:
+    """``solve(group) -> rows`` for every group; a row is a dict without the keys.
 
-    A solve is heavy on time and light on bytes; given the number, Spark does
-    not merge these partitions for being small.
+    Each group travels as one row of arrays, whose length is set by its number
+    of members and lags. A solve is heavy on time and light on bytes, so the
+    groups keep all shuffle partitions: given the number, Spark does not merge
+    these partitions for being small.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, *keys)
+    partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = (
+        source.repartition(partitions, *keys)
+        .groupBy(*keys)
+        .agg(
+            *(F.collect_list(name).alias(name) for name in ("kind", "i", "j", "lag", "s", "member")),
+            F.max("nobs").alias("nobs"),
+        )
+    )
+    names = schema.names
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for packed_row in batch.itertuples(index=False):
+                key = {name: getattr(packed_row, name) for name in keys}
+                out.extend(key | row for row in solve(_Group(packed_row, maxlag)))
+                if len(out) > 10_000:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    return packed.mapInPandas(run, schema)
 
 
 def _model(sparse: bool, alpha: float, l1_ratio: float, tol: float, max_iter: int):
@@ -254,36 +277,26 @@ def var_fit(
     depth = lags or maxlag
     model = _model(sparse, alpha, l1_ratio, tol, max_iter)
 
-    def solve(key, rows: pd.DataFrame) -> pd.DataFrame:
-        group = _Group(rows, depth)
-        row = dict.fromkeys(columns) | dict(zip(keys, key), nobs=group.nobs, members=group.members)
+    def solve(group: _Group) -> list[dict]:
+        row = dict.fromkeys(fields) | {"nobs": group.nobs, "members": group.members, "status": "too few rows"}
         lag, loglik, sample = lags, [], 0
         if group.maxlag < 1 or (lag or 1) > group.maxlag:
-            row["status"] = "too few rows"
-        else:
-            if lag is None:
-                lag, loglik, sample = _select_lag(group, model, criterion)
-            if not model.eligible(group.nobs, group.k, lag):
-                row["status"] = "too few rows"
-            else:
-                fitted, n = _refit(group, model, lag)
-                row.update(
-                    status="fitted" if fitted["dof"] > 0 else "too few rows",
-                    lag=lag,
-                    n=n,
-                    dof=fitted["dof"],
-                    sample=sample,
-                    loglik=loglik,
-                    scale=fitted["scale"],
-                    sigma=(fitted["residual"] / max(fitted["dof"], 1)).ravel(),
-                )
-                row.update((name, fitted[name].ravel()) for name in ("coef", "intercept", "raw_coef", "raw_intercept"))
-        return pd.DataFrame([row], columns=columns)
+            return [row]
+        if lag is None:
+            lag, loglik, sample = _select_lag(group, model, criterion)
+        if not model.eligible(group.nobs, group.k, lag):
+            return [row]
+        fitted, n = _refit(group, model, lag)
+        if fitted["dof"] > 0:
+            row |= {"status": "fitted", "lag": lag, "n": n, "dof": fitted["dof"], "sample": sample, "loglik": loglik}
+            row |= {name: fitted[name].ravel() for name in ("coef", "intercept", "raw_coef", "raw_intercept", "scale")}
+            row["sigma"] = (fitted["residual"] / fitted["dof"]).ravel()
+        return [row]
 
     source = _solver_input(panel, spine, keys, depth, lags, sparse, block)
     schema = T.StructType.fromDDL(f"{_key_schema(spine, keys)}, {_MODEL}")
-    columns = schema.names
-    return _spread(source, keys).groupBy(*keys).applyInPandas(solve, schema)
+    fields = schema.names[len(keys) :]
+    return _solve_groups(source, keys, depth, solve, schema)
 
 
 def sparse_var_fit(panel: DataFrame, spine: DataFrame, keys: Sequence[str], **settings) -> DataFrame:
@@ -512,8 +525,7 @@ def granger_pairs(
         f"{_key_schema(spine, keys)}, causing string, caused string, lag int, chi2 double, p_value double"
     )
 
-    def solve(key, rows: pd.DataFrame) -> pd.DataFrame:
-        group = _Group(rows, depth)
+    def solve(group: _Group) -> list[dict]:
         out = []
         lag = lags
         if lag is None and group.maxlag >= 1:
@@ -530,8 +542,10 @@ def granger_pairs(
                     known = rss > 0 and spare > 0
                     chi2 = (reduced[at] - rss) * spare / rss if known else None
                     tail = dense.chi2_upper_tail(chi2, degrees) if known else None
-                    out.append((*key, group.members[causing], group.members[caused], lag, chi2, tail))
-        return pd.DataFrame(out, columns=schema.names)
+                    values = (group.members[causing], group.members[caused], lag, chi2, tail)
+                    out.append(dict(zip(fields, values)))
+        return out
 
     source = _solver_input(panel, spine, keys, depth, lags, sparse, block)
-    return _spread(source, keys).groupBy(*keys).applyInPandas(solve, schema)
+    fields = schema.names[len(keys) :]
+    return _solve_groups(source, keys, depth, solve, schema)

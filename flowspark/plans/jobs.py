@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,15 +51,37 @@ def footfall_job(
         write_counts(footfall_table(counts, grain), f"{path}/{FOOTFALL_FOLDERS.get(grain, 'by' + grain)}", order)
 
 
-@dataclass
 class Analysis:
-    """Results of one analysis. ``keys`` name the groups of the influence tables."""
+    """Results of one analysis, each computed when first asked for and then kept.
 
-    keys: list[str]
-    models: DataFrame
-    edges: DataFrame
-    popularity: DataFrame
-    migrations: dict[str, DataFrame] = field(default_factory=dict)
+    ``keys`` name the groups of the influence tables. Models, and edges that
+    feed path joins, are written to the checkpoint folder once.
+    """
+
+    def __init__(self, fit: Callable[[bool], DataFrame], hourly: bool, areas: tuple[str, str], depth: int):
+        self._fit, self._hourly, self._depth = fit, hourly, depth
+        self._popularity_by_floor, self._influence_by_floor = (area == "floor" for area in areas)
+        self.keys = group_keys(self._influence_by_floor, hourly)
+
+    @cached_property
+    def models(self) -> DataFrame:
+        return materialize(self._fit(self._influence_by_floor))
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        edges = influence_edges(self.models, self.keys)
+        return materialize(edges) if self._depth > 2 else edges
+
+    @cached_property
+    def popularity(self) -> DataFrame:
+        if self._popularity_by_floor == self._influence_by_floor:
+            return popularity(self.edges, self.keys)
+        keys = group_keys(self._popularity_by_floor, self._hourly)
+        return popularity(influence_edges(self._fit(self._popularity_by_floor), keys), keys)
+
+    @cached_property
+    def migrations(self) -> dict[str, DataFrame]:
+        return circulation(self.edges, self.keys, self._depth)
 
 
 def analyze(
@@ -80,30 +102,21 @@ def analyze(
     ``member="network_id"`` analyses sensor groups. An hourly grid gives one
     model per clock hour. Further settings go to ``var_fit``.
     """
-    if (popularity_area, influence_area) not in (("all", "all"), ("all", "floor"), ("floor", "floor")):
+    areas = (popularity_area, influence_area)
+    if areas not in (("all", "all"), ("all", "floor"), ("floor", "floor")):
         raise ValueError(f"unsupported areas: popularity {popularity_area!r} with influence {influence_area!r}")
     if depth not in (2, 3, 4):
         raise ValueError(f"circulation depth must be 2, 3 or 4, got {depth}")
     if member not in ("unit_id", "network_id"):
         raise ValueError(f"member must be unit_id or network_id, got {member!r}")
 
-    def fit(by_floor: bool):
-        keys = group_keys(by_floor, grid.hourly)
+    def fit(by_floor: bool) -> DataFrame:
         sensors = sensor_members(network, member, by_floor)
         panel = build_panel(by1min, runs, sensors, grid)
         spine = group_spine(runs, sensors, grid)
-        models = materialize(var_fit(panel, spine, keys, block=max(grid.max_rows, 240), **model))
-        return keys, models, influence_edges(models, keys)
-
-    keys, models, edges = fit(influence_area == "floor")
-    if depth > 2:
-        edges = materialize(edges)  # each path join reads them twice or more
-    if popularity_area == influence_area:
-        popular = popularity(edges, keys)
-    else:
-        all_keys, _, all_edges = fit(False)
-        popular = popularity(all_edges, all_keys)
-    return Analysis(keys, models, edges, popular, circulation(edges, keys, depth))
+        return var_fit(panel, spine, group_keys(by_floor, grid.hourly), **model)
+
+    return Analysis(fit, grid.hourly, areas, depth)
 
 
 def labelled_edges(edges: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ def _degree_popularity(spark, sf_dir):
 def _publish_popularity(spark, sf_dir):
     """Publish all days, then publish the first day again: the other days stay as they are."""
     path = _scratch(spark, "popular_area")
-    popular = _degree_popularity(spark, sf_dir)
+    popular = materialize(_degree_popularity(spark, sf_dir))
     jobs.publish_popularity(popular, demo.network(spark), path)
     jobs.publish_popularity(popular.where(F.col("date") == demo.FIRST_DAY), demo.network(spark), path)
     back = readers.read_published(spark, path, schemas.popularity_schema("day", "unit_id"))
