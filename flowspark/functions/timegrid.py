@@ -48,6 +48,7 @@ class TimeGrid:
     hourly: bool = False
 
     def __post_init__(self):
+        interval_minutes(self.interval)
         if self.first_minute > self.last_minute:
             raise ValueError("start must lie before end by at least one minute")
 

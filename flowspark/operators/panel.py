@@ -55,10 +55,11 @@ def minute_counts(by1min: DataFrame, runs: DataFrame | None = None) -> DataFrame
     """``date, unit_id, minute, y`` from a ``by1min`` table, one row per sensor and minute.
 
     A sensor listed under several dimension rows repeats its count there; it is
-    taken once.
+    taken once. The days of ``runs`` are broadcast, which prunes day partitions;
+    their number is bounded by the calendar.
     """
     if runs is not None:
-        by1min = by1min.join(runs.select("date").distinct(), "date", "left_semi")
+        by1min = by1min.join(F.broadcast(runs.select("date").distinct()), "date", "left_semi")
     ts = as_timestamp("minute")
     rows = by1min.select("date", "unit_id", minute_of_day(ts).alias("minute"), F.col("1min_count").alias("y"))
     return rows.repartition("date", "unit_id").groupBy("date", "unit_id", "minute").agg(F.max("y").alias("y"))

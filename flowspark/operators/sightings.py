@@ -7,6 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# the largest sensor hierarchy sent to every executor, some tens of megabytes
+BROADCAST_ROWS = 200_000
+
 SIGHTING_COLUMNS = [
     "date",
     "datetime",
@@ -27,19 +30,30 @@ def filter_log(log: DataFrame, dates: Iterable[str] | None = None) -> DataFrame:
     return log.where(F.col("randomized") == "1").select("date", "datetime", "unit_id", "aibeaconid", "rssi")
 
 
-def join_network(log: DataFrame, network: DataFrame) -> DataFrame:
+def join_network(log: DataFrame, network: DataFrame, broadcast_rows: int = BROADCAST_ROWS, salts: int = 32) -> DataFrame:
     """Log rows of listed sensors at or below the sensor's signal threshold.
 
-    No join hint: Spark broadcasts the hierarchy when its measured size allows
-    and otherwise shuffles, splitting a hot sensor.
+    The hierarchy's size is checked first: up to ``broadcast_rows`` sensors are
+    broadcast. A larger hierarchy is joined by shuffle on sensor and salt, so
+    that the rows of one hot sensor go to up to ``salts`` tasks.
     """
     within = F.col("rssi").try_cast("double") <= F.col("rssi_fx").try_cast("double")
-    return log.join(network, "unit_id", "inner").where(within)
-
-
-def build_sightings(log: DataFrame, network: DataFrame, dates: Iterable[str] | None = None) -> DataFrame:
+    if network.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return log.join(F.broadcast(network), "unit_id", "inner").where(within)
+    salt = F.pmod(F.xxhash64("aibeaconid", "datetime"), F.lit(salts)).cast("int").alias("salt")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    joined = log.select("*", salt).join(network.select("*", copies), ["unit_id", "salt"], "inner")
+    return joined.where(within).drop("salt")
+
+
+def build_sightings(
+    log: DataFrame,
+    network: DataFrame,
+    dates: Iterable[str] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Sightings with their dimensions, every column a string."""
-    joined = join_network(filter_log(log, dates), network)
+    joined = join_network(filter_log(log, dates), network, broadcast_rows)
     return joined.select(*(F.col(name).cast("string").alias(name) for name in SIGHTING_COLUMNS))
 
 
