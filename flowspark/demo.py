@@ -17,7 +17,8 @@ FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     text = F.substring(F.col("ts").cast("string"), 1, 19)
-    sensor = F.get_json_object("props", "$.k").cast("int") % SENSORS
+    # never null, so that no null check parses the properties a second time
+    sensor = F.coalesce(F.get_json_object("props", "$.k").cast("int") % SENSORS, F.lit(-1))
     return events.select(
         F.substring(text, 1, 10).alias("date"),
         text.alias("datetime"),

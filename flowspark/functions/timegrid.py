@@ -94,6 +94,13 @@ class TimeGrid:
         """Position of the bucket in its series, from 0."""
         return (bucket - self.series_start(bucket)).cast("int")
 
+    def series_rows(self, bucket: Column) -> Column:
+        """Number of rows of the series that holds ``bucket``."""
+        if not self.hourly:
+            return F.lit(self.max_rows)
+        rows = [part for hour, _, n in self.series() for part in (F.lit(hour), F.lit(n))]
+        return F.element_at(F.create_map(*rows), self.hour(bucket))
+
     def series(self) -> list[tuple[int | None, int, int]]:
         """``(hour, first bucket, rows)`` of every series of a day; hour is None for a daily grid."""
         if not self.hourly:

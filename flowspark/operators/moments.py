@@ -32,8 +32,10 @@ def lag_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int =
     owner = F.floor(F.col("t") / block)
     blocks = F.sequence(owner, F.floor((F.col("t") + maxlag) / block))
     placed = panel.select(*keys, "t", "i", "y", span.alias("span"), F.explode(blocks).alias("b"))
+    # products outnumber cells by far, so small partitions must not be merged: the number is given
+    partitions = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        placed.repartition(*split)
+        placed.repartition(partitions, *split)
         .groupBy(*split, "t")
         .agg(F.collect_list(F.struct("i", "y")).alias("cells"), F.max("span").alias("span"))
     )

@@ -26,14 +26,14 @@ def group_keys(by_floor: bool, hourly: bool) -> list[str]:
 
 
 def sensor_members(network: DataFrame, member: str, by_floor: bool) -> DataFrame:
-    """``place_id[, floor_name], unit_id, member, i``: which member each sensor feeds.
+    """``place_id[, floor_name], unit_id, member, i, k``: which member each sensor feeds.
 
-    ``i`` numbers the members of a place (or floor) by name, from 0.
+    ``i`` numbers the ``k`` members of a place (or floor) by name, from 0.
     """
     keys = place_keys(by_floor)
     sensors = network.select(*keys, "unit_id", F.col(member).alias("member")).distinct()
-    order = Window.partitionBy(*keys).orderBy("member")
-    return sensors.withColumn("i", (F.dense_rank().over(order) - 1).cast("int"))
+    numbered = sensors.withColumn("i", (F.dense_rank().over(Window.partitionBy(*keys).orderBy("member")) - 1).cast("int"))
+    return numbered.withColumn("k", F.max("i").over(Window.partitionBy(*keys)) + 1)
 
 
 def group_spine(runs: DataFrame, sensors: DataFrame, grid: TimeGrid) -> DataFrame:
@@ -77,20 +77,24 @@ def resample_sum(minutes: DataFrame, grid: TimeGrid) -> DataFrame:
 
 
 def rollup_units(resampled: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Sensor buckets summed into members: ``date, place_id[, floor_name], member, i, bucket, y``."""
+    """Sensor buckets summed into members: ``date, place_id[, floor_name], member, i, k, bucket, y``."""
     keys = [name for name in sensors.columns if name in ("place_id", "floor_name")]
     joined = resampled.join(sensors, "unit_id")
-    return joined.groupBy("date", *keys, "member", "i", "bucket").agg(F.sum("y").alias("y"))
+    return joined.groupBy("date", *keys, "member", "i", "k", "bucket").agg(F.sum("y").alias("y"))
 
 
 def build_panel(by1min: DataFrame, runs: DataFrame, sensors: DataFrame, grid: TimeGrid) -> DataFrame:
-    """Sparse panel ``<group keys>, member, i, t, y`` of the requested runs."""
+    """Sparse panel ``<group keys>, member, i, t, y, nobs, k`` of the requested runs.
+
+    ``nobs`` and ``k`` are the rows and members of the group's complete series.
+    """
     minutes = clip_time_of_day(minute_counts(by1min, runs), grid)
     rolled = rollup_units(resample_sum(minutes, grid), sensors)
     wanted = rolled.where("y <> 0").join(runs.select("date", "place_id").distinct(), ["date", "place_id"], "left_semi")
     bucket = F.col("bucket")
-    return wanted.withColumns({"hour": grid.hour(bucket), "t": grid.index(bucket)}).select(
-        *group_keys("floor_name" in sensors.columns, grid.hourly), "member", "i", "t", "y"
+    placed = {"hour": grid.hour(bucket), "t": grid.index(bucket), "nobs": grid.series_rows(bucket)}
+    return wanted.withColumns(placed).select(
+        *group_keys("floor_name" in sensors.columns, grid.hourly), "member", "i", "t", "y", "nobs", "k"
     )
 
 

@@ -32,7 +32,7 @@ ALPHA = 0.1
 L1_RATIO = 0.1
 MAX_ITERATIONS = 300_000
 
-_MEMBER, _CROSS, _EDGE = 0, 1, 2
+_MEMBER, _TOTAL, _CROSS, _EDGE = range(4)
 
 _MODEL = (
     "status string, nobs int, lag int, n int, dof int, members array<string>, "
@@ -48,44 +48,31 @@ def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
 def _solver_input(
     panel: DataFrame, spine: DataFrame, keys: Sequence[str], maxlag: int, lags: int | None, sparse: bool, block: int
 ) -> DataFrame:
-    """Members, cross-moments and edge rows of every group as one long table."""
-    groups = spine.groupBy(*keys).agg(F.max("nobs").alias("nobs"), F.count(F.lit(1)).alias("k"))
+    """Members, totals, cross-moments and edge rows of every group as one long table."""
     # widest lag the solve can use: a plain model needs more rows than coefficients
-    reach = F.least(F.lit(maxlag), F.col("nobs") - 1)
+    nobs, k = F.col("nobs"), F.col("k")
+    reach = F.least(F.lit(maxlag), nobs - 1)
     if sparse:
-        span = reach
+        usable, span = panel, reach
     else:
-        eligible = F.floor((F.col("nobs") - reach - 2) / F.col("k"))
+        usable = panel.where(nobs - 2 - k > 0)
+        eligible = F.floor((nobs - reach - 2) / k)
         span = F.least(reach, F.greatest(eligible, F.lit(lags or 1)))
-        groups = groups.where(F.col("nobs") - 2 - F.col("k") > 0)
-    sized = panel.join(groups.select(*keys, "nobs", span.cast("int").alias("span")), list(keys))
+    usable = usable.withColumn("span", span.cast("int"))
+
+    def part(df: DataFrame, kind: int, i="i", j=F.lit(0), lag=F.lit(0), s="s", member=F.lit(None), nobs=F.lit(0)):
+        columns = {"kind": F.lit(kind), "i": i, "j": j, "lag": lag, "s": s, "member": member, "nobs": nobs}
+        types = {"s": "bigint", "member": "string"}
+        named = [(F.col(c) if isinstance(c, str) else c).cast(types.get(name, "int")).alias(name) for name, c in columns.items()]
+        return df.select(*keys, *named)
 
     totals = panel.groupBy(*keys, "i").agg(F.sum("y").alias("s"))
-    members = spine.join(totals, [*keys, "i"], "left").select(
-        *keys,
-        F.lit(_MEMBER).alias("kind"),
-        "i",
-        F.lit(0).alias("j"),
-        F.lit(0).alias("lag"),
-        F.coalesce("s", F.lit(0).cast("long")).alias("s"),
-        "member",
-        "nobs",
-    )
-    no_member = F.lit(None).cast("string").alias("member")
-    cross = lag_moments(sized, keys, maxlag, block).select(
-        *keys, F.lit(_CROSS).alias("kind"), "i", "j", "lag", "s", no_member, F.lit(0).alias("nobs")
-    )
-    edges = edge_rows(sized, maxlag).select(
-        *keys,
-        F.lit(_EDGE).alias("kind"),
-        "i",
-        F.lit(0).alias("j"),
-        F.col("t").cast("int").alias("lag"),
-        F.col("y").alias("s"),
-        no_member,
-        F.lit(0).alias("nobs"),
+    return (
+        part(spine, _MEMBER, s=F.lit(0), member="member", nobs="nobs")
+        .union(part(totals, _TOTAL))
+        .union(part(lag_moments(usable, keys, maxlag, block), _CROSS, j="j", lag="lag"))
+        .union(part(edge_rows(usable, maxlag), _EDGE, lag="t", s="y"))
     )
-    return members.unionByName(cross).unionByName(edges)
 
 
 class _Group:
@@ -95,7 +82,10 @@ class _Group:
         kind, i, j, lag = (np.asarray(column, dtype=np.int64) for column in (row.kind, row.i, row.j, row.lag))
         s = np.asarray(row.s, dtype=float)
         listed = kind == _MEMBER
-        names, numbers, totals = list(row.member), i[listed], s[listed]
+        names, numbers = list(row.member), i[listed]
+        sums = np.zeros(numbers.max() + 1)
+        sums[i[kind == _TOTAL]] = s[kind == _TOTAL]
+        totals = sums[numbers]
         order = sorted(range(len(names)), key=lambda at: (-totals[at], names[at]))
         self.members = [names[at] for at in order]
         self.nobs = int(row.nobs)
@@ -269,7 +259,8 @@ def var_fit(
     """One model row per group: the lag is chosen by ``criterion`` unless ``lags`` fixes it.
 
     A group that cannot be fitted keeps its row with a ``status`` other than
-    ``fitted``, so one bad group never fails the batch.
+    ``fitted``, so one bad group never fails the batch. The panel is read three
+    times; pass a stored one when it is costly to derive.
     """
     if criterion not in ("aic", "bic", "hqic"):
         raise ValueError(f"criterion must be aic, bic or hqic, got {criterion!r}")

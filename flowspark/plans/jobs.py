@@ -112,7 +112,7 @@ def analyze(
 
     def fit(by_floor: bool) -> DataFrame:
         sensors = sensor_members(network, member, by_floor)
-        panel = build_panel(by1min, runs, sensors, grid)
+        panel = materialize(build_panel(by1min, runs, sensors, grid))
         spine = group_spine(runs, sensors, grid)
         return var_fit(panel, spine, group_keys(by_floor, grid.hourly), **model)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from flowspark.operators import footfall as ff
 from flowspark.operators import moments, network, panel, var
 from flowspark.operators.sightings import check_network
 from flowspark.plans import jobs
-from flowspark.session import ensure_checkpoint_dir, materialize
+from flowspark.session import materialize, shared_path
 from flowspark.sources import readers, schemas, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,12 +22,6 @@ DAY = TimeGrid("10min")
 HOUR = TimeGrid("1min", hourly=True)
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared checkpoint location."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
     """Rounded columns; adding 0.0 turns a negative zero into zero."""
     return df.withColumns({name: F.bround(name, places) + F.lit(0.0) for name in names})
@@ -55,7 +48,7 @@ def _footfall_gps(grain: str) -> Query:
 
 
 def _footfall_job(spark, sf_dir):
-    path = _scratch(spark, "footfall")
+    path = shared_path(spark, "footfall")
     jobs.footfall_job(demo.raw_log(spark, sf_dir), demo.network(spark), path)
     return readers.read_counts(spark, f"{path}/hourly").withColumn("hour", F.col("hour").cast("string"))
 
@@ -79,7 +72,7 @@ def _dense(grid, member="unit_id", by_floor=False) -> Query:
 
 
 def _sparse_rows(grid) -> Query:
-    return lambda spark, sf_dir: _panel_parts(spark, sf_dir, grid)[0].drop("i")
+    return lambda spark, sf_dir: _panel_parts(spark, sf_dir, grid)[0].drop("i", "nobs", "k")
 
 
 def _panel_dense(spark, sf_dir):
@@ -126,7 +119,7 @@ def _degree_popularity(spark, sf_dir):
 
 def _publish_popularity(spark, sf_dir):
     """Publish all days, then publish the first day again: the other days stay as they are."""
-    path = _scratch(spark, "popular_area")
+    path = shared_path(spark, "popular_area")
     popular = materialize(_degree_popularity(spark, sf_dir))
     jobs.publish_popularity(popular, demo.network(spark), path)
     jobs.publish_popularity(popular.where(F.col("date") == demo.FIRST_DAY), demo.network(spark), path)
@@ -135,7 +128,7 @@ def _publish_popularity(spark, sf_dir):
 
 
 def _result_csv(spark, sf_dir):
-    path = _scratch(spark, "centrality")
+    path = shared_path(spark, "centrality")
     writers.write_result_by_day(_degree_popularity(spark, sf_dir), path, ["date", "place_id", "unique_id"])
     schema = schemas.strings("year", "month", "date", "place_id", "unique_id", "popular_area")
     back = readers.read_dimension_csv(spark, path, schema)
@@ -156,7 +149,7 @@ def _site_parts(spark, sf_dir, member):
     runs = jobs.plan_runs(site, demo.FIRST_DAY, demo.LAST_DAY)
     sensors = panel.sensor_members(site, "network_id", False)
     built = panel.build_panel(demo.by1min(spark, sf_dir), runs, sensors, DAY).drop("place_id")
-    return built, panel.group_spine(runs, sensors, DAY).drop("place_id"), ["date"]
+    return materialize(built), panel.group_spine(runs, sensors, DAY).drop("place_id"), ["date"]
 
 
 def _pair(derive: Callable, places: int, *names: str, **settings) -> Query:
@@ -197,18 +190,23 @@ def _sparse_predict_site(spark, sf_dir):
 # ----------------------------------------------------------------- models at large
 
 
+def _stored_parts(spark, sf_dir):
+    built, spine, keys = _panel_parts(spark, sf_dir, DAY)
+    return materialize(built), spine, keys
+
+
 def _models(derive: Callable, **settings) -> Query:
     """``derive(models, keys)`` on every date and place, lag chosen per group."""
 
     def query(spark, sf_dir):
-        built, spine, keys = _panel_parts(spark, sf_dir, DAY)
+        built, spine, keys = _stored_parts(spark, sf_dir)
         return derive(var.var_fit(built, spine, keys, **settings), keys)
 
     return query
 
 
 def _granger_pairs(spark, sf_dir):
-    return var.granger_pairs(*_panel_parts(spark, sf_dir, DAY))
+    return var.granger_pairs(*_stored_parts(spark, sf_dir))
 
 
 def _analysis(pick: Callable, grid: TimeGrid, popularity_area: str, influence_area: str, **settings) -> Query:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +25,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from there.
+    """Write ``df`` once as a table in the shared checkpoint folder and continue from there.
 
-    Used where several outputs read one expensive result. The files outlive a
-    lost executor, so nothing upstream is computed again.
+    Used where several outputs read one expensive result. The table outlives a
+    lost executor, so nothing upstream is computed again, and its known size
+    lets later joins choose a broadcast.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = shared_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

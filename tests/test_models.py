@@ -20,9 +20,9 @@ def make(spark, series):
     for (date, place), y in series.items():
         for k in range(y.shape[1]):
             spine.append((date, place, f"M{k:02d}", k, y.shape[0]))
-            cells += [(date, place, f"M{k:02d}", k, t, int(v)) for t, v in enumerate(y[:, k]) if v]
+            cells += [(date, place, f"M{k:02d}", k, t, int(v), *y.shape) for t, v in enumerate(y[:, k]) if v]
     return (
-        spark.createDataFrame(cells, "date string, place_id string, member string, i int, t int, y bigint"),
+        spark.createDataFrame(cells, "date string, place_id string, member string, i int, t int, y bigint, nobs int, k int"),
         spark.createDataFrame(spine, "date string, place_id string, member string, i int, nobs int"),
     )
 
