@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.operators.footfall import footfall
-from flowspark.operators.sightings import build_sightings
+from flowspark.operators.sightings import match_sightings
 from flowspark.plans.jobs import plan_runs
 
 # Fixed values of the demo mapping: twelve sensors, thirty days.
@@ -16,12 +16,11 @@ FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    text = F.substring(F.col("ts").cast("string"), 1, 19)
     # never null, so that no null check parses the properties a second time
     sensor = F.coalesce(F.get_json_object("props", "$.k").cast("int") % SENSORS, F.lit(-1))
     return events.select(
-        F.substring(text, 1, 10).alias("date"),
-        text.alias("datetime"),
+        F.col("ts").cast("date").cast("string").alias("date"),
+        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("datetime"),
         F.concat(F.lit("U"), F.lpad(sensor.cast("string"), 2, "0")).alias("unit_id"),
         F.col("user_id").cast("string").alias("aibeaconid"),
         F.col("value").alias("rssi"),
@@ -48,7 +47,7 @@ def runs(spark: SparkSession) -> DataFrame:
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_sightings(raw_log(spark, sf_dir), network(spark))
+    return match_sightings(raw_log(spark, sf_dir), network(spark))
 
 
 def by1min(spark: SparkSession, sf_dir: str) -> DataFrame:

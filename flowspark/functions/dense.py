@@ -19,20 +19,17 @@ def lagged_products(cross, edges, start, width, nobs):
     ``S[a, b] = sum_t y(t-a) y(t-b)'`` for 0 <= a, b <= width and the sums of y(t-a).
     """
     k = cross.shape[1]
-    products = np.zeros((width + 1, width + 1, k, k))
     head = np.array([edges(t) for t in range(start)]).reshape(start, k)
     tail = np.array([edges(nobs - 1 - a) for a in range(width)]).reshape(width, k)
+    products = np.empty((width + 1, width + 1, k, k))
     for b in range(width + 1):
         products[0, b] = cross[b] - head[b:].T @ head[: start - b]
+        products[b, 0] = products[0, b].T
+    # moving both rows back by one gains a row before the sample and loses the last one
+    before = head[::-1][:width]
+    moved = np.einsum("ak,bl->abkl", before, before) - np.einsum("ak,bl->abkl", tail, tail)
     for a in range(width):
-        for b in range(a, width):
-            # moving both rows back by one gains a row at the start and loses one at the end
-            gained = np.outer(head[start - 1 - a], head[start - 1 - b])
-            lost = np.outer(tail[a], tail[b])
-            products[a + 1, b + 1] = products[a, b] + gained - lost
-    for a in range(width + 1):
-        for b in range(a):
-            products[a, b] = products[b, a].T
+        products[a + 1, 1:] = products[a, :width] + moved[a]
     return products
 
 

@@ -46,15 +46,25 @@ def join_network(log: DataFrame, network: DataFrame, broadcast_rows: int = BROAD
     return joined.where(within).drop("salt")
 
 
+def match_sightings(
+    log: DataFrame,
+    network: DataFrame,
+    dates: Iterable[str] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Sightings with their dimensions; ``datetime`` keeps the log's type, so that it is not parsed again."""
+    return join_network(filter_log(log, dates), network, broadcast_rows).select(*SIGHTING_COLUMNS)
+
+
 def build_sightings(
     log: DataFrame,
     network: DataFrame,
     dates: Iterable[str] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Sightings with their dimensions, every column a string."""
-    joined = join_network(filter_log(log, dates), network, broadcast_rows)
-    return joined.select(*(F.col(name).cast("string").alias(name) for name in SIGHTING_COLUMNS))
+    """Sightings as a table to keep: every column a string."""
+    matched = match_sightings(log, network, dates, broadcast_rows)
+    return matched.select(*(F.col(name).cast("string").alias(name) for name in SIGHTING_COLUMNS))
 
 
 def check_network(network: DataFrame) -> DataFrame:

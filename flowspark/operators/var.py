@@ -421,14 +421,13 @@ def _responses(models: DataFrame, keys: Sequence[str], horizon: int, kind: str)
         f"{_key_schema(models, keys)}, horizon int, src string, dst string, value double, pivot double"
     )
 
-    def rows(model) -> pd.DataFrame:
-        members = list(model.members)
+    def respond(model) -> dict:
+        members = np.asarray(model.members, dtype=object)
         k = len(members)
         coef = np.asarray(model.coef).reshape(model.lag, k, k)
-        sigma = np.asarray(model.sigma).reshape(k, k)
-        pivots = np.ones(k)
-        first = np.eye(k)
+        pivots, first = np.ones(k), np.eye(k)
         if kind != "plain":
+            sigma = np.asarray(model.sigma).reshape(k, k)
             first, pivots = dense.unit_lower_factor(sigma * (model.dof / model.n if kind == "ml" else 1.0))
         if kind == "sd":
             first = first * np.sqrt(np.maximum(pivots, 0.0))
@@ -436,23 +435,29 @@ def _responses(models: DataFrame, keys: Sequence[str], horizon: int, kind: str)
         if kind == "sd":
             values = values * np.asarray(model.scale)
         h, dst, src = (axis.ravel() for axis in np.indices(values.shape))
-        names = np.asarray(members, dtype=object)
-        out = pd.DataFrame({"horizon": h, "src": names[src], "dst": names[dst], "value": values.ravel(), "pivot": pivots[src]})
-        for name in keys:
-            out[name] = getattr(model, name)
-        return out[schema.names]
+        columns = {name: np.full(len(h), getattr(model, name), dtype=object) for name in keys}
+        return columns | {
+            "horizon": h,
+            "src": members[src],
+            "dst": members[dst],
+            "value": values.ravel(),
+            "pivot": pivots[src],
+        }
+
+    def together(parts: list[dict]) -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate([part[name] for part in parts]) for name in schema.names})
 
     def expand(batches):
         for batch in batches:
             ready, size = [], 0
             for model in batch.itertuples(index=False):
-                ready.append(rows(model))
-                size += len(ready[-1])
+                ready.append(respond(model))
+                size += len(ready[-1]["value"])
                 if size > 50_000:
-                    yield pd.concat(ready)
+                    yield together(ready)
                     ready, size = [], 0
             if ready:
-                yield pd.concat(ready)
+                yield together(ready)
 
     needed = _fitted(models).select(*keys, "members", "coef", "lag", "sigma", "dof", "n", "scale")
     return needed.mapInPandas(expand, schema)

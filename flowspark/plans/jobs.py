@@ -13,7 +13,7 @@ from flowspark.functions.timegrid import TimeGrid
 from flowspark.operators.footfall import footfall_counts, footfall_table
 from flowspark.operators.network import circulation, influence_edges, popularity
 from flowspark.operators.panel import build_panel, group_keys, group_spine, sensor_members
-from flowspark.operators.sightings import attach_floor, build_sightings, require_one_client
+from flowspark.operators.sightings import attach_floor, match_sightings, require_one_client
 from flowspark.operators.var import var_fit
 from flowspark.session import materialize
 from flowspark.sources.schemas import DIMENSION_COLUMNS, popularity_schema
@@ -44,7 +44,7 @@ def footfall_job(
     grains: Sequence[str] = tuple(FOOTFALL_FOLDERS),
 ) -> None:
     """Count every grain in one pass over the log, then write one table per grain."""
-    counts = materialize(footfall_counts(build_sightings(log, network, dates), grains))
+    counts = materialize(footfall_counts(match_sightings(log, network, dates), grains))
     for grain in grains:
         bucket = {"day": [], "hour": ["hour"]}.get(grain, ["minute"])
         order = ["date", *bucket, *DIMENSION_COLUMNS, "unit_id"]

@@ -11,7 +11,7 @@ from flowspark import demo
 from flowspark.functions.timegrid import TimeGrid
 from flowspark.operators import footfall as ff
 from flowspark.operators import moments, network, panel, var
-from flowspark.operators.sightings import check_network
+from flowspark.operators.sightings import build_sightings, check_network
 from flowspark.plans import jobs
 from flowspark.session import materialize, shared_path
 from flowspark.sources import readers, schemas, writers
@@ -30,6 +30,10 @@ def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
 # ------------------------------------------------------------- sightings, footfall
 
 
+def _sightings(spark, sf_dir):
+    return build_sightings(demo.raw_log(spark, sf_dir), demo.network(spark))
+
+
 def _network_check(spark, sf_dir):
     # the sensor groups span both places, hence both clients: read as places, they are reported
     seen = demo.sightings(spark, sf_dir).select(F.col("network_id").alias("place_id"), "user_id")
@@ -231,7 +235,7 @@ def _four_stops(result, _):
 
 def registered() -> dict[str, Query]:
     out: dict[str, Query] = {
-        "sightings": demo.sightings,
+        "sightings": _sightings,
         "network_check": _network_check,
         **{f"footfall_{grain}": _footfall(grain) for grain in ("day", "hour", "30min", "10min", "1min")},
         "footfall_job": _footfall_job,
