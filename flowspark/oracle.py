@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from flowspark import oracle_models
+
 # ------------------------------------------------------------------ shared parts
 
 _NET = """
@@ -366,4 +368,13 @@ WITH {_SINGLE} SELECT date, 'F1' AS target, 'F1' AS source, CAST(1 AS INTEGER) A
 WITH {_SINGLE}
 SELECT p.date, round_even(sum((p.y - (ay + (p.x - ax) * b * sy / sx)) ** 2), 4) AS rss FROM pairs p JOIN fit USING (date) GROUP BY p.date
 """
+
+    # ------------------------------------------------- whole models, solved in SQL
+    sql |= oracle_models.model_tables(_grid, "unit_id", by_place)
+    sql |= oracle_models.statements(_grid, "unit_id", by_place, "all")
+    sql |= oracle_models.statements(_grid, "unit_id", "place_id, floor_name", "floor")
+    sql |= oracle_models.statements(_grid, "network_id", by_place, "network")
+    sql["influence_day_all_floor"] = sql["influence_day_floor"]
+    sql["circulation_day_all_floor"] = sql["circulation_day_floor"]
+    sql["popularity_day_all_floor"] = sql["popularity_day_all"]
     return sql

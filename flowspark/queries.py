@@ -230,7 +230,7 @@ def _popular(result, listed):
 
 
 def _four_stops(result, _):
-    return jobs.labelled_edges(result.migrations["migration_4"])
+    return _rounded(jobs.labelled_edges(result.migrations["migration_4"]), 8, "MOVEMENT_INFLUENCE_AMOUNT_VIA_2")
 
 
 def registered() -> dict[str, Query]:
@@ -272,11 +272,11 @@ def registered() -> dict[str, Query]:
         "granger_pair": _granger_pair,
         "sparse_var_site": _sparse_var_site,
         "sparse_predict_site": _sparse_predict_site,
-        "var_coefficients": _models(var.var_coefficients),
-        "var_sigma": _models(var.var_sigma),
-        "var_loglik": _models(var.var_loglik),
-        "var_ic": _models(var.var_ic),
-        "var_select_order": _models(var.var_select_order),
+        "var_coefficients": _models(lambda m, k: _rounded(var.var_coefficients(m, k), 7, "coef")),
+        "var_sigma": _models(lambda m, k: _rounded(var.var_sigma(m, k), 7, "sigma")),
+        "var_loglik": _models(lambda m, k: _rounded(var.var_loglik(m, k), 5, "loglik")),
+        "var_ic": _models(lambda m, k: _rounded(_rounded(var.var_ic(m, k), 7, "aic", "bic", "hqic"), 5, "loglik")),
+        "var_select_order": _models(lambda m, k: _rounded(var.var_select_order(m, k), 7, "hqic")),
         "sparse_var_fit": _models(var.var_coefficients, sparse=True),
         "impulse_response": _models(lambda m, k: var.impulse_response(m, k, 10)),
         "ma_coefficients": _models(var.ma_coefficients),
