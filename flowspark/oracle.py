@@ -371,6 +371,7 @@ SELECT p.date, round_even(sum((p.y - (ay + (p.x - ax) * b * sy / sx)) ** 2), 4)
 
     # ------------------------------------------------- whole models, solved in SQL
     sql |= oracle_models.model_tables(_grid, "unit_id", by_place)
+    sql |= oracle_models.lag_one_tables(_grid, "unit_id", by_place)
     sql |= oracle_models.statements(_grid, "unit_id", by_place, "all")
     sql |= oracle_models.statements(_grid, "unit_id", "place_id, floor_name", "floor")
     sql |= oracle_models.statements(_grid, "network_id", by_place, "network")

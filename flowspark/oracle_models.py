@@ -24,8 +24,13 @@ def _matrix(name: str, source: str, group: str, size: str) -> str:
 """
 
 
-def model(grid: str, keys: str) -> str:
-    """Common table expressions from a ten-minute ``grid`` down to ``coef``, ``sigma`` and ``edges``."""
+_CHOSEN = """chosen AS (
+  SELECT g, k, lag AS p, hqic FROM ic QUALIFY row_number() OVER (PARTITION BY g ORDER BY hqic, lag) = 1)"""
+_LAG_ONE = "chosen AS (SELECT g, k, 1 AS p FROM grp)"
+
+
+def model(grid: str, keys: str, chosen: str = _CHOSEN) -> str:
+    """Common table expressions from a ten-minute ``grid`` down to ``coef``, ``covariance`` and ``edges``."""
     listed = ", ".join(key.strip() for key in keys.split(","))
     cleared = "CASE WHEN p.v[s.step + 1] > 1e-9 THEN [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] ELSE s.v END"
     return f"""
@@ -75,7 +80,7 @@ likelihood AS (
 ic AS (
   SELECT *, (-2 * loglik + 2 * k * (k * lag + 1)) / n AS aic, (-2 * loglik + ln(n) * k * (k * lag + 1)) / n AS bic,
          (-2 * loglik + 2 * ln(ln(n)) * k * (k * lag + 1)) / n AS hqic FROM likelihood),
-chosen AS (SELECT g, k, lag AS p, hqic FROM ic QUALIFY row_number() OVER (PARTITION BY g ORDER BY hqic, lag) = 1),
+{chosen},
 
 -- refit of the chosen lag on its full sample
 vars2 AS (
@@ -182,3 +187,64 @@ FROM ic JOIN grp USING (g)
 {with_model} SELECT date, {keys}, p AS lag, round_even(hqic, 7) AS hqic FROM chosen JOIN grp USING (g)
 """,
     }
+
+
+def lag_one_tables(grid, member: str, keys: str) -> dict[str, str]:
+    """Responses, variance shares and causality tests of the lag-1 model of every group."""
+    with_model = f"WITH RECURSIVE {model(grid(member, keys, 10), keys, _LAG_ONE)}"
+    cleared = "CASE WHEN s.step = s.out OR p.v[s.step + 1] <= 1e-9 THEN s.v ELSE [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] END"
+
+    def responses(first: str) -> str:
+        return f"""
+{with_model},
+square AS (SELECT a.g, a.r AS dst, b.r AS src, grp.k FROM named a JOIN named b USING (g) JOIN grp USING (g)),
+scales AS (SELECT g, r + 1 AS src, v[r + 1] AS d FROM lower_steps WHERE step = r),
+resp AS (
+  SELECT 0 AS h, q.g, q.dst, q.src, CAST({first} AS DOUBLE) AS w
+  FROM square q LEFT JOIN lower l ON l.g = q.g AND l.r = q.dst AND l.c = q.src JOIN scales ON scales.g = q.g AND scales.src = q.src
+  UNION ALL
+  SELECT h + 1, resp.g, a.dst, resp.src, sum(a.coef * resp.w)
+  FROM resp JOIN coef a ON a.g = resp.g AND a.var = resp.dst WHERE h < 10 GROUP BY h, resp.g, a.dst, resp.src)
+"""
+
+    named = f"s.date, s.{keys}, h AS horizon, s.member AS src, d.member AS dst"
+    joined = "JOIN named s ON s.g = {0}.g AND s.r = {0}.src JOIN named d ON d.g = {0}.g AND d.r = {0}.dst"
+    return {
+        "ma_coefficients": f"""
+{responses("CASE WHEN q.src = q.dst THEN 1 ELSE 0 END")}
+SELECT {named}, round_even(w, 7) + 0.0 AS value FROM resp {joined.format("resp")}
+""",
+        "impulse_response": f"""
+{responses("coalesce(l.w, 0) * sqrt(greatest(d, 0))")}
+SELECT {named}, round_even(w, 7) + 0.0 AS value FROM resp {joined.format("resp")}
+""",
+        "fevd": f"""
+{responses("coalesce(l.w, 0)")},
+grown AS (
+  SELECT resp.*, sum(w * w) OVER (PARTITION BY resp.g, dst, resp.src ORDER BY h) * d AS e
+  FROM resp JOIN scales ON scales.g = resp.g AND scales.src = resp.src),
+shares AS (SELECT g, h, dst, src, e, sum(e) OVER (PARTITION BY g, h, dst) AS whole FROM grown)
+SELECT {named}, CASE WHEN whole > 0 THEN round_even(e / whole, 7) + 0.0 END AS share FROM shares {joined.format("shares")}
+""",
+        # one member's column left out at a time; the tail has a closed form for even degrees of freedom
+        "granger_pairs": f"""
+{with_model},
+dropped AS (
+  SELECT 0 AS step, f.g, n.r AS out, f.r, f.v FROM full_sample f JOIN named n ON n.g = f.g
+  UNION ALL
+  SELECT s.step + 1, s.g, s.out, s.r, {cleared}
+  FROM dropped s JOIN dropped p ON p.g = s.g AND p.out = s.out AND p.r = s.step JOIN grp ON grp.g = s.g
+  WHERE s.r > s.step AND s.step <= grp.k),
+less AS (SELECT g, out, r - k AS dst, v[r + 1] AS rss FROM dropped JOIN grp USING (g) WHERE step = k + 1 AND r > k),
+tests AS (
+  SELECT less.g, grp.k, less.out, less.dst,
+         CASE WHEN l.v[l.r + 1] > 1e-9 THEN (less.rss - l.v[l.r + 1]) * ({_ROWS} - 1 - grp.k - 1) / l.v[l.r + 1] END AS chi2
+  FROM less JOIN grp USING (g) JOIN last l ON l.g = less.g AND l.r = less.dst + grp.k WHERE less.out <> less.dst),
+tails AS (
+  SELECT tests.g, tests.out, dst, chi2, exp(-chi2 / 2) * sum(pow(chi2 / 2, i) / gamma(i + 1.0)) AS p_value
+  FROM tests CROSS JOIN range(20) AS n(i) WHERE i < tests.k // 2 GROUP BY tests.g, tests.out, dst, chi2)
+SELECT c.date, c.{keys}, c.member AS causing, d.member AS caused, CAST(1 AS INTEGER) AS lag,
+       round_even(chi2, 5) + 0.0 AS chi2, round_even(p_value, 7) + 0.0 AS p_value
+FROM tails JOIN named c ON c.g = tails.g AND c.r = tails.out JOIN named d ON d.g = tails.g AND d.r = tails.dst
+""",
+    }

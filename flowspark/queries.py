@@ -210,7 +210,8 @@ def _models(derive: Callable, **settings) -> Query:
 
 
 def _granger_pairs(spark, sf_dir):
-    return var.granger_pairs(*_stored_parts(spark, sf_dir))
+    out = var.granger_pairs(*_stored_parts(spark, sf_dir), lags=1)
+    return _rounded(_rounded(out, 5, "chi2"), 7, "p_value")
 
 
 def _analysis(pick: Callable, grid: TimeGrid, popularity_area: str, influence_area: str, **settings) -> Query:
@@ -278,9 +279,9 @@ def registered() -> dict[str, Query]:
         "var_ic": _models(lambda m, k: _rounded(_rounded(var.var_ic(m, k), 7, "aic", "bic", "hqic"), 5, "loglik")),
         "var_select_order": _models(lambda m, k: _rounded(var.var_select_order(m, k), 7, "hqic")),
         "sparse_var_fit": _models(var.var_coefficients, sparse=True),
-        "impulse_response": _models(lambda m, k: var.impulse_response(m, k, 10)),
-        "ma_coefficients": _models(var.ma_coefficients),
-        "fevd": _models(lambda m, k: var.fevd(m, k, 10)),
+        "impulse_response": _models(lambda m, k: _rounded(var.impulse_response(m, k, 10, orth=True), 7, "value"), lags=1),
+        "ma_coefficients": _models(lambda m, k: _rounded(var.ma_coefficients(m, k), 7, "value"), lags=1),
+        "fevd": _models(lambda m, k: _rounded(var.fevd(m, k, 10), 7, "share"), lags=1),
         "granger_pairs": _granger_pairs,
     }
     areas = {"all": ("all", "all"), "all_floor": ("all", "floor"), "floor": ("floor", "floor")}
