@@ -150,7 +150,7 @@ FROM degree JOIN net ON net.unit_id = degree.member
         out[f"circulation_day_{suffix}"] = f"""
 {with_model}
 SELECT {of_a}, a.ORIGIN, b.ORIGIN AS "VIA_1", c.ORIGIN AS "VIA_2", c.DESTINATION,
-       round_even(a.w * b.w * c.w, 8) AS "MOVEMENT_INFLUENCE_AMOUNT_VIA_2"
+       round_even(a.w * b.w * c.w, 12) AS "MOVEMENT_INFLUENCE_AMOUNT_VIA_2"
 FROM edges a JOIN edges b ON {ab} AND a.DESTINATION = b.ORIGIN JOIN edges c ON {bc} AND b.DESTINATION = c.ORIGIN
 WHERE a.w <> 0 AND b.w <> 0 AND c.w <> 0
 """
@@ -225,6 +225,31 @@ grown AS (
   FROM resp JOIN scales ON scales.g = resp.g AND scales.src = resp.src),
 shares AS (SELECT g, h, dst, src, e, sum(e) OVER (PARTITION BY g, h, dst) AS whole FROM grown)
 SELECT {named}, CASE WHEN whole > 0 THEN round_even(e / whole, 7) + 0.0 END AS share FROM shares {joined.format("shares")}
+""",
+        # standardised moments, then plain proximal steps: their error shrinks by the ridge share each time
+        "sparse_var_fit": f"""
+{with_model},
+moments AS (SELECT f.g, f.r, f.v, z.v AS z, grp.k, {_ROWS} - 1.0 AS n FROM full_sample f JOIN full_sample z ON z.g = f.g AND z.r = 0 JOIN grp ON grp.g = f.g),
+centred AS (SELECT g, k, n, r, [x - v[1] * z[i] / n for x, i in v] AS v FROM moments WHERE r > 0),
+scales_of AS (
+  SELECT g, r, CASE WHEN v[r + 1] / n > 1e-64 THEN sqrt(v[r + 1] / n) ELSE 1 END AS sd FROM centred),
+sds AS (SELECT g, list(sd ORDER BY r) AS sd FROM scales_of GROUP BY g),
+scaled AS (
+  SELECT c.g, c.k, c.n, c.r, s.sd, s.sd[c.r] AS own, [x / (s.sd[c.r] * s.sd[i]) for x, i in c.v[2:]] AS v FROM centred c JOIN sds s USING (g)),
+design AS (
+  SELECT g, k, any_value(n) AS n, any_value(sd) AS sd, list(v[1:k] ORDER BY r) AS xx, max(list_sum([abs(x) for x in v[1:k]])) AS bound
+  FROM scaled WHERE r <= k GROUP BY g, k),
+targets AS (SELECT g, r - k AS dst, own AS sy, v[1:k] AS xy FROM scaled WHERE r > k),
+steps AS (
+  SELECT 0 AS step, t.g, dst, [CAST(0 AS DOUBLE) for x in xy] AS b FROM targets t
+  UNION ALL
+  SELECT step + 1, s.g, s.dst,
+         [sign(u) * greatest(abs(u) - 0.01 * n / (sd[i] * sy) / bound, 0) / (1 + 0.09 * n / (sd[i] * sd[i]) / bound)
+          for u, i in [s.b[i] + (xy[i] - list_dot_product(row, s.b)) / bound for row, i in xx]]
+  FROM steps s JOIN design USING (g) JOIN targets t ON t.g = s.g AND t.dst = s.dst WHERE step < 400 AND bound > 0),
+done AS (SELECT g, dst, arg_max(b, step) AS b FROM steps GROUP BY g, dst)
+SELECT d.date, d.{keys}, d.member AS target, s.member AS source, CAST(1 AS INTEGER) AS lag, round_even(b[s.r], 6) + 0.0 AS coef
+FROM done JOIN named d ON d.g = done.g AND d.r = done.dst JOIN named s ON s.g = done.g
 """,
         # one member's column left out at a time; the tail has a closed form for even degrees of freedom
         "granger_pairs": f"""

@@ -231,7 +231,7 @@ def _popular(result, listed):
 
 
 def _four_stops(result, _):
-    return _rounded(jobs.labelled_edges(result.migrations["migration_4"]), 8, "MOVEMENT_INFLUENCE_AMOUNT_VIA_2")
+    return _rounded(jobs.labelled_edges(result.migrations["migration_4"]), 12, "MOVEMENT_INFLUENCE_AMOUNT_VIA_2")
 
 
 def registered() -> dict[str, Query]:
@@ -278,7 +278,9 @@ def registered() -> dict[str, Query]:
         "var_loglik": _models(lambda m, k: _rounded(var.var_loglik(m, k), 5, "loglik")),
         "var_ic": _models(lambda m, k: _rounded(_rounded(var.var_ic(m, k), 7, "aic", "bic", "hqic"), 5, "loglik")),
         "var_select_order": _models(lambda m, k: _rounded(var.var_select_order(m, k), 7, "hqic")),
-        "sparse_var_fit": _models(var.var_coefficients, sparse=True),
+        "sparse_var_fit": _models(
+            lambda m, k: _rounded(var.var_coefficients(m, k).where("lag > 0"), 6, "coef"), sparse=True, lags=1
+        ),
         "impulse_response": _models(lambda m, k: _rounded(var.impulse_response(m, k, 10, orth=True), 7, "value"), lags=1),
         "ma_coefficients": _models(lambda m, k: _rounded(var.ma_coefficients(m, k), 7, "value"), lags=1),
         "fevd": _models(lambda m, k: _rounded(var.fevd(m, k, 10), 7, "share"), lags=1),
