@@ -1,4 +1,4 @@
-"""Lagged cross-moments of every group, summed by Spark.
+"""Lagged cross-moments of every group.
 
 With C_d[i, j] = sum over t of y_i(t) * y_j(t-d) for d = 0..maxlag, plus the
 first and last ``maxlag`` rows, the normal equations of *every* lag order of a
@@ -7,19 +7,27 @@ group follow by a short recursion. That is K*K*(maxlag+1) sums instead of
 
 A group's time axis is cut into blocks, each carrying ``maxlag`` rows of its
 predecessor, so a wide or long group is summed by several tasks and only
-partial sums are combined.
+partial sums meet. A block is a small dense matrix (its rows times the group's
+members), and its sums are matrix products inside the task.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# executors receive this helper with the job
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def lag_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = 240) -> DataFrame:
-    """``<keys>, i, j, lag, s`` with ``s = sum_t y_i(t) y_j(t-lag)``; zero sums are left out.
+
+def block_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = 240) -> DataFrame:
+    """Partial sums ``<keys>, i, j, lag, s`` of each time block; a group's sums are their totals.
 
     At lag 0 only ``i <= j`` is kept (the rest is its mirror image). If the panel
     has a ``span`` column, lags above it are not summed for that row's group.
@@ -29,31 +37,49 @@ def lag_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int =
     span = F.col("span") if "span" in panel.columns else F.lit(maxlag)
 
     # each row goes to its own block and, near the end of it, also to the next one
-    owner = F.floor(F.col("t") / block)
-    blocks = F.sequence(owner, F.floor((F.col("t") + maxlag) / block))
+    blocks = F.sequence(F.floor(F.col("t") / block), F.floor((F.col("t") + maxlag) / block))
     placed = panel.select(*keys, "t", "i", "y", span.alias("span"), F.explode(blocks).alias("b"))
-    # products outnumber cells by far, so small partitions must not be merged: the number is given
+    # light on bytes, heavier on time: given the number, small partitions are not merged
     partitions = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (
+    packed = (
         placed.repartition(partitions, *split)
-        .groupBy(*split, "t")
-        .agg(F.collect_list(F.struct("i", "y")).alias("cells"), F.max("span").alias("span"))
+        .groupBy(*split)
+        .agg(*(F.collect_list(name).alias(name) for name in ("t", "i", "y")), F.max("span").alias("span"))
     )
 
-    recent = Window.partitionBy(*split).orderBy("t").rangeBetween(-maxlag, 0)
-    pairs = (
-        rows.withColumn("past", F.collect_list(F.struct("t", "cells")).over(recent))
-        .where(F.col("b") == owner)
-        .select(*split, "t", "span", "cells", F.explode("past").alias("p"))
-        .withColumn("lag", (F.col("t") - F.col("p.t")).cast("int"))
-        .where(F.col("lag") <= F.col("span"))
-        .select(*split, "lag", F.explode("cells").alias("a"), F.col("p.cells").alias("other"))
-        .select(*split, "lag", "a", F.explode("other").alias("o"))
-        .where((F.col("lag") > 0) | (F.col("a.i") <= F.col("o.i")))
-        .select(*split, "lag", F.col("a.i").alias("i"), F.col("o.i").alias("j"), (F.col("a.y") * F.col("o.y")).alias("s"))
-    )
-    # the first sum stays inside the block's task, the second combines blocks
-    partial = pairs.groupBy(*split, "i", "j", "lag").agg(F.sum("s").alias("s"))
+    def sums(row) -> dict:
+        members, column = np.unique(np.asarray(row.i), return_inverse=True)
+        y = np.zeros((maxlag + block, len(members)))
+        y[np.asarray(row.t) - (row.b * block - maxlag), column] = row.y
+        products = np.array([y[maxlag:].T @ y[maxlag - lag : maxlag - lag + block] for lag in range(row.span + 1)])
+        products[0] = np.triu(products[0])
+        lag, a, b = np.nonzero(products)
+        found = {name: np.full(len(lag), getattr(row, name), dtype=object) for name in keys}
+        return found | {"i": members[a], "j": members[b], "lag": lag, "s": products[lag, a, b].astype(np.int64)}
+
+    def together(parts: list[dict]) -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate([part[name] for part in parts]) for name in names})
+
+    def run(batches):
+        for batch in batches:
+            ready, size = [], 0
+            for row in batch.itertuples(index=False):
+                ready.append(sums(row))
+                size += len(ready[-1]["s"])
+                if size > 200_000:
+                    yield together(ready)
+                    ready, size = [], 0
+            if ready:
+                yield together(ready)
+
+    names = [*keys, "i", "j", "lag", "s"]
+    key_types = ", ".join(f"`{name}` {panel.schema[name].dataType.simpleString()}" for name in keys)
+    return packed.mapInPandas(run, f"{key_types}, i int, j int, lag int, s bigint")
+
+
+def lag_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = 240) -> DataFrame:
+    """``<keys>, i, j, lag, s`` with ``s = sum_t y_i(t) y_j(t-lag)``; zero sums are left out."""
+    partial = block_moments(panel, keys, maxlag, block)
     return partial.groupBy(*keys, "i", "j", "lag").agg(F.sum("s").alias("s"))
 
 

@@ -1,6 +1,6 @@
 """Vector autoregressions of all groups in one job.
 
-Spark sums the moments (``lag_moments``); the grouped solve then sees, per
+Spark sums the moments (``moments``); the grouped solve then sees, per
 group, only those sums, the edge rows and the member list. ``var_fit`` returns
 one compact row per group, from which every other operator here starts.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowspark.functions import dense
-from flowspark.operators.moments import edge_rows, lag_moments
+from flowspark.operators.moments import block_moments, edge_rows
 from flowspark.operators.panel import densify
 
 # executors receive the helper with the job; they need not have this package installed
@@ -70,7 +70,7 @@ def _solver_input(
     return (
         part(spine, _MEMBER, s=F.lit(0), member="member", nobs="nobs")
         .union(part(totals, _TOTAL))
-        .union(part(lag_moments(usable, keys, maxlag, block), _CROSS, j="j", lag="lag"))
+        .union(part(block_moments(usable, keys, maxlag, block), _CROSS, j="j", lag="lag"))
         .union(part(edge_rows(usable, maxlag), _EDGE, lag="t", s="y"))
     )
 
@@ -98,9 +98,9 @@ class _Group:
         at = kind == _CROSS
         self.cross = np.zeros((self.maxlag + 1, self.k, self.k))
         a, b = rank[i[at]], rank[j[at]]
-        self.cross[lag[at], a, b] = s[at]
-        mirror = lag[at] == 0
-        self.cross[0, b[mirror], a[mirror]] = s[at][mirror]
+        np.add.at(self.cross, (lag[at], a, b), s[at])  # the blocks' partial sums
+        half = self.cross[0]
+        self.cross[0] = half + half.T - np.diag(np.diag(half))
 
         # the first and last rows; a short series is held whole
         self.tail = max(self.maxlag, self.nobs - self.maxlag)

@@ -14,10 +14,10 @@ from flowspark.operators.footfall import footfall_counts, footfall_table
 from flowspark.operators.network import circulation, influence_edges, popularity
 from flowspark.operators.panel import build_panel, group_keys, group_spine, sensor_members
 from flowspark.operators.sightings import attach_floor, match_sightings, require_one_client
-from flowspark.operators.var import var_fit
+from flowspark.operators.var import var_coefficients, var_fit
 from flowspark.session import materialize
 from flowspark.sources.schemas import DIMENSION_COLUMNS, popularity_schema
-from flowspark.sources.writers import replace_partitions, write_counts
+from flowspark.sources.writers import replace_partitions, write_counts, write_result
 
 # The grains a footfall job publishes and the folder of each.
 FOOTFALL_FOLDERS = {"day": "daily", "hour": "hourly", "1min": "by1min"}
@@ -126,6 +126,24 @@ def labelled_edges(edges: DataFrame) -> DataFrame:
     return edges.withColumn("date", hour_label(F.col("date"), F.col("hour"))).drop("hour")
 
 
+def write_analysis(result: Analysis, path: str) -> None:
+    """CSV of every table of an analysis: coefficients, causality, centrality and the migrations.
+
+    Each goes to ``path/<table>`` under ``place_id=[/floor_name=]/day=``; the
+    folders of the places and days in the result are replaced.
+    """
+    tables = {
+        "var_model_coefficient": var_coefficients(result.models, result.keys),
+        "causality": result.edges,
+        "centrality": result.popularity,
+        **result.migrations,
+    }
+    for name, table in tables.items():
+        floor = ["floor_name"] if "floor_name" in table.columns else []
+        out = table.withColumn("day", F.col("date"))
+        write_result(out if name == "centrality" else labelled_edges(out), f"{path}/{name}", ["place_id", *floor, "day"])
+
+
 def popularity_table(popular: DataFrame, network: DataFrame, member: str = "unit_id") -> DataFrame:
     """Popularity with client, place and floor: the published columns, still unwritten."""
     named = popular.withColumnRenamed("unique_id", member)

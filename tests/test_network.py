@@ -112,6 +112,18 @@ def test_analysis_is_complete(site, areas, hourly, keys, groups):
         assert jobs.labelled_edges(result.edges).where("date = '2024-01-01 07:00:00'").count() == 8
 
 
+def test_analysis_tables_are_written(site, spark, tmp_path):
+    by1min, network, runs = site
+    result = jobs.analyze(by1min, network, runs, TimeGrid("1min", "08:00:00", "10:00:00", hourly=True), influence_area="floor", depth=3)
+    jobs.write_analysis(result, str(tmp_path))
+    assert {entry.name for entry in tmp_path.iterdir()} == {"var_model_coefficient", "causality", "centrality", "migration_2", "migration_3"}
+    edges = spark.read.option("header", True).csv(str(tmp_path / "causality"))
+    assert {r["date"] for r in edges.where("day = '2024-01-01'").collect()} == {f"{DAY} 08:00:00", f"{DAY} 09:00:00"}
+    assert edges.count() == 2 * 2 * 2 * 4
+    centrality = spark.read.option("header", True).csv(str(tmp_path / "centrality"))
+    assert set(centrality.columns) == {"date", "hour", "unique_id", "popular_area", "place_id", "day"}
+
+
 def test_analysis_of_sensor_groups(site):
     by1min, network, runs = site
     result = jobs.analyze(by1min, network, runs, TimeGrid("10min"), member="network_id")
