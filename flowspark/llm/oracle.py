@@ -24,8 +24,8 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 QUALITY = r"""
 WITH words AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
-    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w) AS n FROM (
@@ -78,7 +78,7 @@ FROM flagged JOIN verdicts USING (doc_id)
 
 MIXING = r"""
 WITH base AS (
-  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> ''))::BIGINT AS size,
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT AS size,
     md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS key
   FROM documents
 ), ranked AS (

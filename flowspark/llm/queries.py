@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowspark.llm import mixing, quality, sharding, simhash, url_filter
+from flowspark.llm import bpe, mixing, quality, sharding, simhash, suffix, token_file, url_filter
 from flowspark.llm.common import table
 
 URL_RULES = [
@@ -18,6 +19,10 @@ URL_RULES = [
 ]
 
 
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.token_file(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), url_filter.rule_table(spark, URL_RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -27,6 +32,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_filter(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
