@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowspark.llm import bpe, mixing, quality, sharding, simhash, suffix, token_file, url_filter
+from flowspark.llm import bpe, mixing, quality, sharding, simhash, suffix, token_file, toxicity, url_filter
 from flowspark.llm.common import table
 
 URL_RULES = [
@@ -19,6 +20,13 @@ URL_RULES = [
 ]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(F.col("doc_id")))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "examples", "cosines")
+
+
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_file(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
