@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.llm import bpe, mixing, quality, sharding, simhash, suffix, token_file, toxicity, url_filter
+from flowspark.llm import bpe, hnsw, mixing, quality, sharding, simhash, suffix, token_file, toxicity, url_filter
 from flowspark.llm.common import table
 
 URL_RULES = [
@@ -40,6 +40,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeats(table(spark, sf_dir, "documents"))
 
