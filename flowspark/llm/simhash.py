@@ -90,8 +90,116 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# --- similarity beyond a few bits: wide fingerprints, ball hashing by band ---
+
+
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Hashes of the distinct shingles of one text; fewer words than a shingle has are one shingle."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    if len(parts) > words:
+        spans = zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist())
+    else:
+        spans = [(0, len(joined))]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64))
+
+
+def wide_fingerprint(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """SimHash of ``lanes`` times 64 bits of a set of shingle hashes, as 32-bit bands."""
+    out = []
+    for lane in range(lanes):
+        mixed = hashes + np.uint64((lane + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            mixed = (mixed ^ mixed >> np.uint64(shift)) * np.uint64(factor)
+        mixed ^= mixed >> np.uint64(31)
+        counts = np.zeros(BITS, np.int64)
+        for i in range(0, len(mixed), BLOCK):
+            block = mixed[i : i + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8)
+            counts += np.unpackbits(block, axis=1).sum(axis=0, dtype=np.int64)
+        out.append(np.packbits(counts * 2 > len(hashes)).view(">u4").astype(np.int64))
+    return np.concatenate(out)
+
+
+def similar_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 4
+) -> DataFrame:
+    """``doc_id`` and ``component_id`` of every row: documents linked by equal texts or shingle sets with a Jaccard of ``similarity`` or more.
+
+    Two texts so alike differ in a tenth of a fingerprint's bits, too far for a ball around
+    all of it. A wide fingerprint is cut into bands of 32 bits; a text emits the ball of one bit around each band
+    and texts meet where a band differs by two bits or fewer. Where they meet, each is compared with the text of the smallest id and
+    with the one before it, never all with all, and a pair counts when its shingle sets are that similar. Equal texts are one node
+    from the start. Texts without words are linked to equal texts only. Null ids are as in ``near_duplicates``.
+    """
+    body = F.col(text)
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("tid"), body.alias("text"))
+    kind = base.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            found = [shingle_hashes(t.as_py(), words) for t in batch.column(2)]
+            bands = [wide_fingerprint(h, lanes) if h.size else None for h in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "tid", "bands"])
+
+    prints = stage(base.mapInArrow(run, f"doc_id {kind}, tid long, bands array<long>"))
+    nodes = stage(prints.groupBy("tid").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")))
+    masks = F.array(*[F.lit(m).cast("long") for m in [0, *(1 << b for b in range(32))]])
+    met = nodes.filter("bands is not null").select("tid", "least", F.posexplode("bands").alias("band", "value"))
+    met = met.select("tid", "least", "band", "value", F.explode(masks).alias("mask"))
+    met = met.select("tid", "least", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("value").bitwiseXOR(F.col("mask"))).alias("variant"))
+    order = Window.partitionBy("variant").orderBy("least", "tid")
+    met = met.withColumns({"first": F.first("tid").over(order), "prior": F.lag("tid").over(order)}).filter("prior is not null")
+    pairs = met.select(F.explode(F.array_distinct(F.array("first", "prior"))).alias("a"), F.col("tid").alias("b"))
+    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    # of pairs that met by chance most differ in far more bits than similar ones can
+    bits = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    sides = nodes.select("tid", "bands")
+    near = (
+        pairs.join(sides.select(F.col("tid").alias("a"), F.col("bands").alias("x")), "a")
+        .join(sides.select(F.col("tid").alias("b"), F.col("bands").alias("y")), "b")
+        .filter(bits(F.col("x"), F.col("y")) * 4 <= BITS * lanes)
+        .select("a", "b")
+    )
+    near = stage(near)
+    wanted = near.select(F.col("a").alias("_tid")).union(near.select("b")).distinct()
+    wanted = wanted.join(nodes.select(F.col("tid").alias("_tid"), "least"), "_tid")
+
+    def shingles(batches):
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["tid", "shingles"])
+
+    named = base.join(wanted, (F.col("tid") == F.col("_tid")) & F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
+    sets = stage(named.select("tid", "text").mapInArrow(shingles, "tid long, shingles binary").dropDuplicates(["tid"]))
+
+    def alike(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                common = np.intersect1d(x, y, assume_unique=True).size
+                keep.append(common >= similarity * (x.size + y.size - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    joined = (
+        near.join(sets.select(F.col("tid").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("tid").alias("b"), F.col("shingles").alias("y")), "b")
+        .select("a", "b", "x", "y")
+    )
+    found = components(joined.mapInArrow(alike, "a long, b long")).withColumnsRenamed({"node": "tid", "component": "root"})
+    rooted = nodes.select("tid", "least").join(found, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(rooted.join(names, "root").select("tid", "component_id"), "tid").select("doc_id", "component_id")
+
+
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group. Repeats of an id count as one document."""
-    found = near_duplicates(docs, doc_id, text, **options)
+    """The rows of ``docs`` whose id names their group (``similar_groups``): one document of each. Repeats of an id count as one document."""
+    found = similar_groups(docs, doc_id, text, **options)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")

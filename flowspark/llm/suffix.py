@@ -506,3 +506,24 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
         *([F.when(copy, F.unhex(F.lit(""))).otherwise(F.col("kept")).alias("kept")] if with_text else []),
     )
     return out
+
+
+def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
+    """``docs`` with the repeated passages cut out of ``text``; rows of which nothing is left go, ``n_chars`` follows.
+
+    Characters cut in half go with the passage. ``doc_id`` must name a row.
+    """
+    found = repeats(docs, doc_id, text, with_text=True).select(F.col("doc_id").alias("_id"), "n_bytes", "n_removed", "kept")
+    changed = found.filter("n_removed > 0").groupBy("_id").agg(F.first("kept").alias("_kept"), F.max(F.col("n_bytes") == F.col("n_removed")).alias("_gone"))
+
+    def decode(batches):
+        for batch in batches:
+            texts = [k.as_py().decode("utf-8", "ignore") if k.is_valid else None for k in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2)], names=["_id", "_text", "_gone"])
+
+    changed = changed.mapInArrow(decode, "_id long, _text string, _gone boolean")
+    out = docs.join(changed, F.col(doc_id) == F.col("_id"), "left").filter(~F.coalesce("_gone", F.lit(False)))
+    columns = {text: F.coalesce("_text", F.col(text))}
+    if n_chars in docs.columns:
+        columns[n_chars] = F.when(F.col("_text").isNotNull(), F.length("_text").cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars))
+    return out.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])

@@ -269,3 +269,16 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 def held_out(doc_id: Column) -> Column:
     """Rows no label is learned from: a fifth by CRC-32 of the id as text; null ids count as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def drop_toxic(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, as they are: a row is judged by its own text in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([own.score(t.as_py())[0] < 0.5 for t in batch.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
