@@ -126,7 +126,7 @@ def wide_fingerprint(hashes: np.ndarray, lanes: int) -> np.ndarray:
 
 
 def similar_groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 4
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 6
 ) -> DataFrame:
     """``doc_id`` and ``component_id`` of every row: documents linked by equal texts or shingle sets with a Jaccard of ``similarity`` or more.
 
@@ -134,7 +134,8 @@ def similar_groups(
     all of it. A wide fingerprint is cut into bands of 32 bits; a text emits the ball of one bit around each band
     and texts meet where a band differs by two bits or fewer. Where they meet, each is compared with the text of the smallest id and
     with the one before it, never all with all, and a pair counts when its shingle sets are that similar. Equal texts are one node
-    from the start. Texts without words are linked to equal texts only. Null ids are as in ``near_duplicates``.
+    from the start. Texts without words are linked to equal texts only, and so are rows without
+    an id. An id names one text; of several texts with one id the links of any may be found.
     """
     body = F.col(text)
     base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("tid"), body.alias("text"))
@@ -147,36 +148,36 @@ def similar_groups(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "tid", "bands"])
 
     prints = stage(base.mapInArrow(run, f"doc_id {kind}, tid long, bands array<long>"))
-    nodes = stage(prints.groupBy("tid").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")))
+    nodes = prints.groupBy("tid").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    nodes = stage(nodes)  # a text is known by its smallest id
     masks = F.array(*[F.lit(m).cast("long") for m in [0, *(1 << b for b in range(32))]])
-    met = nodes.filter("bands is not null").select("tid", "least", F.posexplode("bands").alias("band", "value"))
-    met = met.select("tid", "least", "band", "value", F.explode(masks).alias("mask"))
-    met = met.select("tid", "least", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("value").bitwiseXOR(F.col("mask"))).alias("variant"))
-    order = Window.partitionBy("variant").orderBy("least", "tid")
-    met = met.withColumns({"first": F.first("tid").over(order), "prior": F.lag("tid").over(order)}).filter("prior is not null")
-    pairs = met.select(F.explode(F.array_distinct(F.array("first", "prior"))).alias("a"), F.col("tid").alias("b"))
-    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    met = nodes.filter("bands is not null and node is not null").select("node", F.posexplode("bands").alias("band", "value"))
+    met = met.select("node", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("value")).alias("band"), F.explode(masks).alias("mask"))
+    met = met.select("node", F.col("band").bitwiseXOR(F.col("mask")).alias("variant"))
+    order = Window.partitionBy("variant").orderBy("node")
+    met = met.withColumns({"first": F.first("node").over(order), "prior": F.lag("node").over(order)}).filter("prior < node")
+    pairs = stage(met.select(F.explode(F.array_distinct(F.array("first", "prior"))).alias("a"), F.col("node").alias("b")).distinct())
 
     # of pairs that met by chance most differ in far more bits than similar ones can
     bits = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    sides = nodes.select("tid", "bands")
+    sides = nodes.filter("bands is not null").select("node", "bands")
     near = (
-        pairs.join(sides.select(F.col("tid").alias("a"), F.col("bands").alias("x")), "a")
-        .join(sides.select(F.col("tid").alias("b"), F.col("bands").alias("y")), "b")
+        pairs.join(sides.select(F.col("node").alias("a"), F.col("bands").alias("x")), "a")
+        .join(sides.select(F.col("node").alias("b"), F.col("bands").alias("y")), "b")
         .filter(bits(F.col("x"), F.col("y")) * 4 <= BITS * lanes)
         .select("a", "b")
+        .distinct()
     )
     near = stage(near)
-    wanted = near.select(F.col("a").alias("_tid")).union(near.select("b")).distinct()
-    wanted = wanted.join(nodes.select(F.col("tid").alias("_tid"), "least"), "_tid")
+    wanted = near.select(F.col("a").alias("_node")).union(near.select("b")).distinct()
 
     def shingles(batches):
         for batch in batches:
             found = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["tid", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
 
-    named = base.join(wanted, (F.col("tid") == F.col("_tid")) & F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-    sets = stage(named.select("tid", "text").mapInArrow(shingles, "tid long, shingles binary").dropDuplicates(["tid"]))
+    named = base.join(wanted, F.col("doc_id") == F.col("_node"), "left_semi")
+    sets = stage(named.select("doc_id", "text").mapInArrow(shingles, f"node {kind}, shingles binary").dropDuplicates(["node"]))
 
     def alike(batches):
         for batch in batches:
@@ -188,14 +189,13 @@ def similar_groups(
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = (
-        near.join(sets.select(F.col("tid").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("tid").alias("b"), F.col("shingles").alias("y")), "b")
+        near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         .select("a", "b", "x", "y")
     )
-    found = components(joined.mapInArrow(alike, "a long, b long")).withColumnsRenamed({"node": "tid", "component": "root"})
-    rooted = nodes.select("tid", "least").join(found, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(names, "root").select("tid", "component_id"), "tid").select("doc_id", "component_id")
+    found = components(joined.mapInArrow(alike, f"a {kind}, b {kind}"))
+    rooted = nodes.select("tid", "node").join(found, "node", "left").select("tid", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(rooted, "tid").select("doc_id", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
