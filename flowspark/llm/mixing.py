@@ -69,14 +69,17 @@ def mix_plan(
     right = sources.withColumnRenamed("source", "_source")
     queued = stage(queued.join(right, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"))
 
+    some = F.nullif(F.col("source_size"), F.lit(0))  # a source without words has no copies
+    passes = F.ceil(F.col("target") / some)
+
     def finish(turn):
-        return (F.col("source_size") * turn + F.col("queued")).cast("double") / F.col("target")
+        return (F.col("source_size") * turn + F.col("queued")).cast("double") / F.nullif(F.col("target"), F.lit(0.0))
 
     def place(turn):
         return F.struct(finish(turn).alias("time"), F.col("rank").alias("rank"), F.col("key").alias("key"), F.col("size").alias("size"))
 
     ranges = max(1, math.ceil(rows * 2 / rows_per_bucket))
-    turns = F.explode(F.sequence(F.lit(0), F.least(F.ceil(F.col("target") / F.col("source_size")), F.lit(most)).cast("int") - 1))
+    turns = F.explode(F.sequence(F.lit(0), F.least(passes, F.lit(most)).cast("int") - 1))
     served = queued.filter("size > 0 and target > 0").withColumn("turn", turns)
     served = served.withColumn("place", place(F.col("turn"))).withColumn(
         "range", F.least(F.floor(F.col("place.time") * ranges), F.lit(4 * ranges)).cast("long")
@@ -99,8 +102,7 @@ def mix_plan(
             taken = lambda turn: place(turn) <= until
     copies = F.lit(0)
     for turn in range(most):
-        possible = F.ceil(F.col("target") / F.col("source_size")) > turn
-        copies = copies + F.when((F.col("size") > 0) & (F.col("target") > 0) & possible & taken(F.lit(turn)), 1).otherwise(0)
+        copies = copies + F.when((F.col("size") > 0) & (F.col("target") > 0) & (passes > turn) & taken(F.lit(turn)), 1).otherwise(0)
     return queued.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
