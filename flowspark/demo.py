@@ -9,9 +9,8 @@ from flowspark.operators.footfall import footfall
 from flowspark.operators.sightings import match_sightings
 from flowspark.plans.jobs import plan_runs
 
-# Fixed values of the demo mapping: twelve sensors, thirty days.
+# Fixed value of the demo mapping: twelve sensors.
 SENSORS = 12
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +41,15 @@ def network(spark: SparkSession) -> DataFrame:
     )
 
 
-def runs(spark: SparkSession) -> DataFrame:
-    return plan_runs(network(spark), FIRST_DAY, LAST_DAY)
+def day_range(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day of the table: two values, answered from the file's statistics where it has them."""
+    day = F.col("ts").cast("date").cast("string")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return tuple(events.agg(F.min(day), F.max(day)).first())
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plan_runs(network(spark), *day_range(spark, sf_dir))
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +88,7 @@ def arrival_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sensors = network(spark).select("place_id", "unit_id")
     grid = (
-        runs(spark)
+        runs(spark, sf_dir)
         .join(sensors.withColumnRenamed("unit_id", "ORIGIN"), "place_id")
         .join(sensors.withColumnRenamed("unit_id", "DESTINATION"), "place_id")
     )

@@ -10,6 +10,10 @@ import math
 
 import numpy as np
 
+# A pivot at most this part of the diagonal it started from counts as zero. Counts make exact sums, so
+# that true pivots and what rounding leaves of a zero one are many orders of magnitude apart.
+RANK_TOLERANCE = 1e-9
+
 
 def lagged_products(cross, edges, start, width, nobs):
     """Sums over the sample ``t = start … nobs-1`` from the whole-series sums.
@@ -59,13 +63,40 @@ def normal_equations(products, sums, lag, n):
     return gram, rhs, products[0, 0]
 
 
+def eliminate(matrix, count):
+    """Symmetric elimination of the first ``count`` columns in order: what is left, and the columns with a pivot."""
+    left, start, kept = np.array(matrix, dtype=float), np.diag(matrix).copy(), []
+    for c in range(count):
+        if left[c, c] > RANK_TOLERANCE * start[c]:
+            kept.append(c)
+            left[c + 1 :] -= np.outer(left[c + 1 :, c] / left[c, c], left[c])
+    return left, kept
+
+
+def least_squares_residual(gram, rhs, target):
+    """Residual products of the least-squares fit; an equation that is met exactly has a residual of exactly 0."""
+    width = len(gram)
+    left, _ = eliminate(np.block([[gram, rhs], [rhs.T, target]]), width)
+    residual = left[width:, width:]
+    residual = (residual + residual.T) / 2
+    met = np.diag(residual) <= RANK_TOLERANCE * np.diag(target)
+    residual[met] = 0.0
+    residual[:, met] = 0.0
+    return residual
+
+
 def residual_products(gram, rhs, target, beta):
     cross = rhs.T @ beta
     return target - cross - cross.T + beta.T @ gram @ beta
 
 
 def solve_least_squares(gram, rhs):
-    return np.linalg.pinv(gram) @ rhs
+    """The solution of least norm; columns that others determine are found by the rank rule."""
+    kept = eliminate(gram, len(gram))[1]
+    if len(kept) == len(gram):
+        return np.linalg.solve(gram, rhs)
+    rows = gram[kept]
+    return rows.T @ np.linalg.solve(rows @ rows.T, rhs[kept]) if kept else np.zeros(rhs.shape)
 
 
 def standardise(gram, rhs, target):
@@ -91,10 +122,11 @@ def solve_elastic_net(gram, rhs, l1, l2, start, tol, max_iter):
     Accelerated proximal gradient on the moments, momentum dropped whenever it
     points uphill; stops when no coefficient moves by more than ``tol``. ``l1`` is
     per coefficient, ``l2`` per column. A column without variance stays at 0.
+    Also returns whether that happened within ``max_iter`` steps.
     """
     largest = np.linalg.eigvalsh(gram)[-1]
     if largest <= 0:
-        return np.zeros_like(rhs)
+        return np.zeros_like(rhs), True
     step, shrink = 1.0 / largest, 1.0 / (1.0 + l2[:, None] / largest)
     beta = point = start
     weight = 1.0
@@ -103,21 +135,21 @@ def solve_elastic_net(gram, rhs, l1, l2, start, tol, max_iter):
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0.0) * shrink
         change = new - beta
         if np.abs(change).max() <= tol:
-            return new
+            return new, True
         if np.vdot(point - new, change) > 0:
             weight = 1.0
         following = (1.0 + np.sqrt(1.0 + 4.0 * weight * weight)) / 2.0
         point = new + (weight - 1.0) / following * change
         beta, weight = new, following
-    return beta
+    return beta, False
 
 
 def gaussian_loglik(covariance, n):
-    """Log-likelihood of n residuals whose ML covariance is ``covariance``."""
+    """Log-likelihood of n residuals whose ML covariance is ``covariance``, its rank by the rank rule."""
     k = len(covariance)
-    log_det = math.log(abs(np.linalg.det(covariance)) + 1e-256)
-    quadratic = float(np.trace(np.linalg.pinv(covariance) @ covariance))
-    return -0.5 * n * (k * math.log(2 * math.pi) + log_det + quadratic)
+    left, kept = eliminate(covariance, k)
+    det = float(np.prod(np.diag(left))) if len(kept) == k else 0.0
+    return -0.5 * n * (k * math.log(2 * math.pi) + math.log(det + 1e-256) + len(kept))
 
 
 def information_criterion(name, loglik, n, params):
@@ -132,16 +164,16 @@ def information_criterion(name, loglik, n, params):
 def unit_lower_factor(covariance):
     """L and d of ``covariance = L diag(d) L'`` with a unit diagonal in L.
 
-    A zero pivot is replaced by 1e-16 in the division, which leaves a silent
-    member's column zero below the diagonal.
+    A pivot that is zero by the rank rule leaves its column zero below the diagonal.
     """
     k = len(covariance)
     lower, pivots = np.eye(k), np.zeros(k)
     for c in range(k):
         done = lower[c:, :c] * pivots[:c]
         column = covariance[c:, c] - done @ lower[c, :c]
-        pivots[c] = column[0]
-        lower[c + 1 :, c] = column[1:] / (pivots[c] if pivots[c] != 0 else 1e-16)
+        if column[0] > RANK_TOLERANCE * covariance[c, c]:
+            pivots[c] = column[0]
+            lower[c + 1 :, c] = column[1:] / column[0]
     return lower, pivots
 
 

@@ -52,8 +52,8 @@ def hour_label(date: Column, hour: Column) -> Column:
 
 
 def round4(col: Column) -> Column:
-    """Four decimals, halves to even."""
-    return F.bround(col, 4)
+    """Four decimals, halves to even; what rounding errors leave beside a half does not count."""
+    return F.bround(F.bround(col, 10), 4)
 
 
 def influence_amount(response: Column, origin: Column, destination: Column) -> Column:
@@ -62,21 +62,7 @@ def influence_amount(response: Column, origin: Column, destination: Column) -> C
     return F.when((value > 0) & (origin != destination), value).otherwise(F.lit(0.0))
 
 
-def soft_threshold(col: Column, amount: Column | float) -> Column:
-    return F.signum(col) * F.greatest(F.abs(col) - amount, F.lit(0.0))
-
-
 def day_partition_columns(date: Column) -> dict[str, Column]:
     """``year`` and ``month`` path parts of a ``yyyy-MM-dd`` date."""
     text = date.cast("string")
     return {"year": F.substring(text, 1, 4), "month": F.substring(text, 1, 7)}
-
-
-def iso_date(col: Column, fmt: str = "yyyyMMdd") -> Column:
-    """``yyyy-MM-dd`` text from a date written as ``fmt``."""
-    return F.date_format(F.to_date(col, fmt), "yyyy-MM-dd")
-
-
-def is_clock_time(col: Column) -> Column:
-    """Whether the text is a ``HH:MM:SS`` time of day."""
-    return col.rlike(r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$")

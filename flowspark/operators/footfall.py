@@ -88,8 +88,3 @@ def footfall(
     if grain not in GRAIN_COUNT:
         raise ValueError(f"grain must be one of {sorted(GRAIN_COUNT)}, got {grain!r}")
     return footfall_table(footfall_counts(sightings, [grain], unit, device, dims), grain, unit, dims)
-
-
-def attach_dims(counts: DataFrame, dims: DataFrame, unit: str = "unit_id") -> DataFrame:
-    """Left join counts to the distinct dimension rows of each sensor; several rows fan out."""
-    return counts.join(dims.distinct(), unit, "left")

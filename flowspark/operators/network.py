@@ -19,7 +19,7 @@ def influence_edges(models: DataFrame, keys: Sequence[str]) -> DataFrame:
     The response one step after an orthogonal unit shock, rounded, kept where
     positive. Every ordered pair of a group has a row, 0 meaning no edge.
     """
-    steps = impulse_response(models, keys, horizon=1, orth=True, shock="unit").where("horizon = 1")
+    steps = impulse_response(models, keys, horizon=1, orth=True, shock="unit", first_step=1)
     amount = influence_amount(F.col("value"), F.col("src"), F.col("dst"))
     return steps.select(*keys, F.col("src").alias("ORIGIN"), F.col("dst").alias("DESTINATION"), amount.alias(AMOUNT))
 

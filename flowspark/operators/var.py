@@ -129,7 +129,7 @@ class _PlainModel:
         n = int(gram[-1, -1])
         beta = dense.solve_least_squares(gram, rhs)
         dof = n - k * lag - 1
-        residual = dense.residual_products(gram, rhs, target, beta)
+        residual = dense.least_squares_residual(gram, rhs, target)
         return {
             "coef": beta[:-1],
             "intercept": beta[-1],
@@ -139,6 +139,7 @@ class _PlainModel:
             "raw_rss": np.diag(residual),
             "dof": dof,
             "scale": np.ones(k),
+            "converged": True,
         }
 
 
@@ -160,7 +161,7 @@ class _SparseModel:
         if warm is not None:
             start[: len(warm)] = warm[: len(start)]
         l1 = self.l1 * n / np.outer(x_sd, y_sd)
-        beta = dense.solve_elastic_net(xx, xy, l1, self.l2 * n / x_sd**2, start, self.tol, self.max_iter)
+        beta, converged = dense.solve_elastic_net(xx, xy, l1, self.l2 * n / x_sd**2, start, self.tol, self.max_iter)
         residual = dense.residual_products(xx, xy, yy, beta)
         raw = beta * y_sd / x_sd[:, None]
         return {
@@ -172,6 +173,7 @@ class _SparseModel:
             "raw_rss": np.diag(residual) * y_sd**2,
             "dof": n - 1,
             "scale": y_sd,
+            "converged": converged,
         }
 
 
@@ -223,10 +225,10 @@ def _refit(group: _Group, model, lag: int, without: int | None = None):
 
 
 def _select_lag(group: _Group, model, criterion: str):
-    """Smallest lag with the least criterion on the common sample, and all log-likelihoods."""
+    """Smallest lag with the least criterion on the common sample, all log-likelihoods, rows, and whether all fits converged."""
     widest = max((p for p in range(1, group.maxlag + 1) if model.eligible(group.nobs - group.maxlag + p, group.k, p)), default=0)
     loglik = [None] * group.maxlag
-    best, chosen, warm = np.finfo(float).max, 1, None
+    best, chosen, warm, converged = np.finfo(float).max, 1, None, True
     n = group.nobs - group.maxlag
     if widest:
         products, sums, n = group.sample(group.maxlag, widest)
@@ -234,12 +236,13 @@ def _select_lag(group: _Group, model, criterion: str):
         gram, rhs, target = dense.normal_equations(products, sums, lag, n)
         fitted = model.fit(gram, rhs, target, group.k, lag, warm)
         warm = fitted["coef"]
+        converged = converged and fitted["converged"]
         loglik[lag - 1] = dense.gaussian_loglik(fitted["residual"] / n, n)
         if n > 1:
             value = dense.information_criterion(criterion, loglik[lag - 1], n, group.k * (group.k * lag + 1))
             if value < best:
                 best, chosen = value, lag
-    return chosen, loglik, n
+    return chosen, loglik, n, converged
 
 
 def var_fit(
@@ -259,7 +262,8 @@ def var_fit(
     """One model row per group: the lag is chosen by ``criterion`` unless ``lags`` fixes it.
 
     A group that cannot be fitted keeps its row with a ``status`` other than
-    ``fitted``, so one bad group never fails the batch. The panel is read three
+    ``fitted`` (``too few rows``, or ``not converged`` after ``max_iter`` steps
+    of the sparse solver), so one bad group never fails the batch. The panel is read three
     times; pass a stored one when it is costly to derive.
     """
     if criterion not in ("aic", "bic", "hqic"):
@@ -270,15 +274,17 @@ def var_fit(
 
     def solve(group: _Group) -> list[dict]:
         row = dict.fromkeys(fields) | {"nobs": group.nobs, "members": group.members, "status": "too few rows"}
-        lag, loglik, sample = lags, [], 0
+        lag, loglik, sample, converged = lags, [], 0, True
         if group.maxlag < 1 or (lag or 1) > group.maxlag:
             return [row]
         if lag is None:
-            lag, loglik, sample = _select_lag(group, model, criterion)
+            lag, loglik, sample, converged = _select_lag(group, model, criterion)
         if not model.eligible(group.nobs, group.k, lag):
             return [row]
         fitted, n = _refit(group, model, lag)
-        if fitted["dof"] > 0:
+        if not (converged and fitted["converged"]):
+            row |= {"status": "not converged", "lag": lag}
+        elif fitted["dof"] > 0:
             row |= {"status": "fitted", "lag": lag, "n": n, "dof": fitted["dof"], "sample": sample, "loglik": loglik}
             row |= {name: fitted[name].ravel() for name in ("coef", "intercept", "raw_coef", "raw_intercept", "scale")}
             row["sigma"] = (fitted["residual"] / fitted["dof"]).ravel()
@@ -306,6 +312,11 @@ def _fitted(models: DataFrame) -> DataFrame:
     return models.where("status = 'fitted'")
 
 
+def model_status(models: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per group, fitted or not: ``<keys>, status, lag, nobs, n_members``."""
+    return models.select(*keys, "status", "lag", "nobs", F.size("members").alias("n_members"))
+
+
 def var_coefficients(models: DataFrame, keys: Sequence[str], raw: bool = False) -> DataFrame:
     """``<keys>, target, source, lag, coef``; the intercept is the row with a null source and lag 0."""
     k = F.size("members")
@@ -314,19 +325,16 @@ def var_coefficients(models: DataFrame, keys: Sequence[str], raw: bool = False)
     def member(position):
         return F.get("members", position.cast("int"))
 
-    slopes = _fitted(models).select(*keys, "members", F.posexplode(coef).alias("at", "coef"))
-    slopes = slopes.select(
+    # slopes and intercepts leave the model row together, so that it is made once
+    both = _fitted(models).select(*keys, "members", F.size(coef).alias("slopes"), F.posexplode(F.concat(coef, intercept)).alias("at", "coef"))
+    constant = F.col("at") >= F.col("slopes")
+    return both.select(
         *keys,
-        member(F.col("at") % k).alias("target"),
-        member(F.floor(F.col("at") / k) % k).alias("source"),
-        (F.floor(F.col("at") / (k * k)) + 1).cast("int").alias("lag"),
+        member(F.when(constant, F.col("at") - F.col("slopes")).otherwise(F.col("at") % k)).alias("target"),
+        F.when(~constant, member(F.floor(F.col("at") / k) % k)).alias("source"),
+        F.when(constant, F.lit(0)).otherwise((F.floor(F.col("at") / (k * k)) + 1).cast("int")).alias("lag"),
         "coef",
     )
-    constants = _fitted(models).select(*keys, "members", F.posexplode(intercept).alias("at", "coef"))
-    constants = constants.select(
-        *keys, member(F.col("at")).alias("target"), F.lit(None).cast("string").alias("source"), F.lit(0).alias("lag"), "coef"
-    )
-    return slopes.unionByName(constants)
 
 
 def var_sigma(models: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -414,8 +422,8 @@ def var_rss(panel: DataFrame, spine: DataFrame, models: DataFrame, keys: Sequenc
 # ------------------------------------------------- responses and variance shares
 
 
-def _responses(models: DataFrame, keys: Sequence[str], horizon: int, kind: str) -> DataFrame:
-    """Long response rows; ``kind`` is ``plain``, ``unit``, ``sd`` or ``ml`` (ML covariance, with pivots)."""
+def _responses(models: DataFrame, keys: Sequence[str], horizon: int, kind: str, first_step: int = 0) -> DataFrame:
+    """Long response rows from ``first_step`` on; ``kind`` is ``plain``, ``unit``, ``sd`` or ``ml`` (ML covariance, with pivots)."""
     keys = list(keys)
     schema = T.StructType.fromDDL(
         f"{_key_schema(models, keys)}, horizon int, src string, dst string, value double, pivot double"
@@ -434,7 +442,9 @@ def _responses(models: DataFrame, keys: Sequence[str], horizon: int, kind: str)
         values = dense.propagate(coef, first, horizon)
         if kind == "sd":
             values = values * np.asarray(model.scale)
+        values = values[first_step:]
         h, dst, src = (axis.ravel() for axis in np.indices(values.shape))
+        h = h + first_step
         columns = {name: np.full(len(h), getattr(model, name), dtype=object) for name in keys}
         return columns | {
             "horizon": h,
@@ -469,12 +479,12 @@ def ma_coefficients(models: DataFrame, keys: Sequence[str], horizon: int = 10) -
 
 
 def impulse_response(
-    models: DataFrame, keys: Sequence[str], horizon: int = 30, orth: bool = False, shock: str = "sd"
+    models: DataFrame, keys: Sequence[str], horizon: int = 30, orth: bool = False, shock: str = "sd", first_step: int = 0
 ) -> DataFrame:
-    """Responses ``<keys>, horizon, src, dst, value``; ``shock`` is ``unit`` or ``sd`` when orthogonalised."""
+    """Responses ``<keys>, horizon, src, dst, value`` of the steps ``first_step`` to ``horizon``; ``shock`` is ``unit`` or ``sd`` when orthogonalised."""
     if shock not in ("unit", "sd"):
         raise ValueError(f"shock must be unit or sd, got {shock!r}")
-    return _responses(models, keys, horizon, shock if orth else "plain").drop("pivot")
+    return _responses(models, keys, horizon, shock if orth else "plain", first_step).drop("pivot")
 
 
 def fevd(models: DataFrame, keys: Sequence[str], horizon: int = 30) -> DataFrame:
@@ -482,7 +492,9 @@ def fevd(models: DataFrame, keys: Sequence[str], horizon: int = 30) -> DataFrame
 
     Null where a member has no error variance at all.
     """
-    responses = _responses(models, keys, horizon, "ml")
+    # dealt by receiver: both windows find their rows together
+    partitions = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    responses = _responses(models, keys, horizon, "ml").repartition(partitions, *keys, "dst")
     so_far = Window.partitionBy(*keys, "dst", "src").orderBy("horizon").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys, "dst", "horizon")
     variance = F.sum(F.col("value") * F.col("value")).over(so_far) * F.col("pivot")

@@ -36,7 +36,8 @@ mins AS (
          count(DISTINCT coalesce(aibeaconid, '<none>')) AS y
   FROM sight GROUP BY ALL),
 days AS (
-  SELECT strftime(DATE '2024-01-01' + CAST(d AS INTEGER), '%Y-%m-%d') AS date FROM range(30) AS r(d))
+  SELECT strftime(d, '%Y-%m-%d') AS date
+  FROM (SELECT unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS d FROM events))
 """
 
 
@@ -61,6 +62,22 @@ dense AS (
 """
 
 
+def _hour_grid(member: str, keys: str) -> str:
+    """Like ``_grid`` with one-minute buckets and a series per hour; ``keys`` end in ``hour``."""
+    places = ", ".join(k.strip() for k in keys.split(",") if k.strip() != "hour")
+    same = " AND ".join(f"p.{k.strip()} = s.{k.strip()}" for k in keys.split(","))
+    return f"""
+{_MINUTES},
+panel AS (
+  SELECT date, {places}, CAST(minute // 60 AS INTEGER) AS hour, {member} AS member, CAST(minute % 60 AS INTEGER) AS t, CAST(sum(y) AS BIGINT) AS y
+  FROM mins JOIN net USING (unit_id) GROUP BY ALL),
+members AS (SELECT DISTINCT {places}, {member} AS member FROM net),
+spine AS (SELECT date, {places}, CAST(h AS INTEGER) AS hour, member FROM days CROSS JOIN members CROSS JOIN range(24) AS r(h)),
+dense AS (
+  SELECT s.*, coalesce(p.y, 0) AS y FROM spine s LEFT JOIN panel p ON p.date = s.date AND p.member = s.member AND {same})
+"""
+
+
 def _footfall(bucket: str | None, label: str | None, count: str) -> str:
     key = f", {bucket} AS b" if bucket else ""
     join = ", c.b" if bucket else ""
@@ -327,7 +344,7 @@ FROM ll
     sql["influence_edges_pair"] = f"""
 {_PAIR_RESPONSE}
 SELECT date, src AS "ORIGIN", dst AS "DESTINATION",
-       CASE WHEN src <> dst AND round_even(v, 4) > 0 THEN round_even(v, 4) ELSE 0.0 END AS "MOVEMENT_INFLUENCE_AMOUNT"
+       CASE WHEN src <> dst AND round_even(round_even(v, 10), 4) > 0 THEN round_even(round_even(v, 10), 4) ELSE 0.0 END AS "MOVEMENT_INFLUENCE_AMOUNT"
 FROM long WHERE h = 1
 """
     sql["impulse_response_pair"] = f"""
@@ -375,6 +392,14 @@ SELECT p.date, round_even(sum((p.y - (ay + (p.x - ax) * b * sy / sx)) ** 2), 4)
     sql |= oracle_models.statements(_grid, "unit_id", by_place, "all")
     sql |= oracle_models.statements(_grid, "unit_id", "place_id, floor_name", "floor")
     sql |= oracle_models.statements(_grid, "network_id", by_place, "network")
+    sql |= oracle_models.statements(_hour_grid, "unit_id", "place_id, hour", "all", hourly=True)
+    sql |= oracle_models.statements(_hour_grid, "unit_id", "place_id, floor_name, hour", "floor", hourly=True)
+    for grain in ("hour", "day"):
+        del sql[f"circulation3_{grain}_floor"]
+    del sql["circulation3_hour_all"]
+    sql["influence_hour_all_floor"] = sql["influence_hour_floor"]
+    sql["circulation_hour_all_floor"] = sql["circulation_hour_floor"]
+    sql["popularity_hour_all_floor"] = sql["popularity_hour_all"]
     sql["influence_day_all_floor"] = sql["influence_day_floor"]
     sql["circulation_day_all_floor"] = sql["circulation_day_floor"]
     sql["popularity_day_all_floor"] = sql["popularity_day_all"]

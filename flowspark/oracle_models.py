@@ -1,13 +1,13 @@
 """DuckDB statements for whole models: lag choice, refit, responses, edges.
 
 Normal equations are solved by elimination, one recursion step per column, with
-every matrix held as one list per row. Valid while all ten lags are eligible in
-every group, which holds for up to thirteen members and 144 rows.
+every matrix held as one list per row. A pivot at most 1e-9 of the diagonal it
+started from is zero; where a design has such pivots the solution of least norm is taken.
 """
 
 from __future__ import annotations
 
-_ROWS, _LAGS = 144, 10
+_LAGS = 10
 
 
 def _matrix(name: str, source: str, group: str, size: str) -> str:
@@ -18,7 +18,7 @@ def _matrix(name: str, source: str, group: str, size: str) -> str:
   FROM {source} a JOIN {source} b ON a.g = b.g AND a.t = b.t GROUP BY ALL),
 {name} AS (
   SELECT q.g, q.r, list(coalesce(m.s, 0.0) ORDER BY q.c) AS v
-  FROM (SELECT g, i.r, j.c FROM {group} CROSS JOIN range(200) AS i(r) CROSS JOIN range(200) AS j(c)
+  FROM (SELECT g, i.r, j.c FROM {group} CROSS JOIN range(120) AS i(r) CROSS JOIN range(120) AS j(c)
         WHERE i.r <= {size} AND j.c <= {size}) q
   LEFT JOIN {name}_sums m ON m.g = q.g AND m.r = q.r AND m.c = q.c GROUP BY q.g, q.r)
 """
@@ -29,10 +29,20 @@ _CHOSEN = """chosen AS (
 _LAG_ONE = "chosen AS (SELECT g, k, 1 AS p FROM grp)"
 
 
-def model(grid: str, keys: str, chosen: str = _CHOSEN) -> str:
-    """Common table expressions from a ten-minute ``grid`` down to ``coef``, ``covariance`` and ``edges``."""
+def model(grid: str, keys: str, chosen: str = _CHOSEN, rows: int = 144) -> str:
+    """Common table expressions from a ``grid`` of ``rows`` per group down to ``coef``, ``covariance`` and ``edges``."""
     listed = ", ".join(key.strip() for key in keys.split(","))
-    cleared = "CASE WHEN p.v[s.step + 1] > 1e-9 THEN [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] ELSE s.v END"
+    cleared = "CASE WHEN p.v[s.step + 1] > 1e-9 * p.d0 THEN [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] ELSE s.v END"
+
+    def met(name: str, source: str, per: str) -> str:
+        """Residual products in which equations that are met exactly are zero; ``d0`` becomes their own diagonal."""
+        return f"""
+{name}_open AS (SELECT {per}, list(v[r + 1] > 1e-9 * d0 ORDER BY r) AS open FROM {source} GROUP BY {per}),
+{name} AS (
+  SELECT {per}, r, [CASE WHEN open[r + 1] AND open[i] THEN x ELSE 0 END for x, i in v] AS v,
+         CASE WHEN open[r + 1] THEN v[r + 1] ELSE 0 END AS d0
+  FROM {source} JOIN {name}_open USING ({per}))"""
+
     return f"""
 {grid},
 ranked AS (
@@ -40,42 +50,43 @@ ranked AS (
          CAST(count(*) OVER (PARTITION BY date, {listed}) AS INTEGER) AS k
   FROM dense GROUP BY date, {listed}, member),
 grp AS (
-  SELECT CAST(row_number() OVER (ORDER BY date, {listed}) AS INTEGER) AS g, * FROM (SELECT DISTINCT date, {listed}, k FROM ranked)),
+  SELECT CAST(row_number() OVER (ORDER BY date, {listed}) AS INTEGER) AS g, CAST(least({_LAGS}, ({rows} - {_LAGS} - 2) // k) AS INTEGER) AS widest, *
+  FROM (SELECT DISTINCT date, {listed}, k FROM ranked)),
 named AS (SELECT g, k, date, {listed}, member, r FROM ranked JOIN grp USING (date, {listed}, k)),
 cell AS (SELECT g, k, r, CAST(t AS INTEGER) AS t, CAST(y AS DOUBLE) AS y FROM panel JOIN named USING (date, {listed}, member)),
 
--- common sample: constant, lags 1 to {_LAGS} (newest first), targets
+-- common sample: constant, the eligible lags (newest first), targets
 vars AS (
-  SELECT g, 0 AS var, CAST(n.t AS INTEGER) AS t, CAST(1 AS DOUBLE) AS x FROM grp CROSS JOIN range({_LAGS}, {_ROWS}) AS n(t)
+  SELECT g, 0 AS var, CAST(n.t AS INTEGER) AS t, CAST(1 AS DOUBLE) AS x FROM grp CROSS JOIN range({_LAGS}, {rows}) AS n(t)
   UNION ALL
-  SELECT g, CAST((l.p - 1) * k + r AS INTEGER), CAST(t + l.p AS INTEGER), y FROM cell CROSS JOIN range(1, {_LAGS + 1}) AS l(p)
-  WHERE t + l.p BETWEEN {_LAGS} AND {_ROWS - 1}
+  SELECT g, CAST((l.p - 1) * cell.k + r AS INTEGER), CAST(t + l.p AS INTEGER), y FROM cell JOIN grp USING (g) CROSS JOIN range(1, {_LAGS + 1}) AS l(p)
+  WHERE l.p <= widest AND t + l.p BETWEEN {_LAGS} AND {rows - 1}
   UNION ALL
-  SELECT g, {_LAGS} * k + r, t, y FROM cell WHERE t >= {_LAGS}),
-{_matrix('common', 'vars', 'grp', f'({_LAGS} + 1) * k')},
+  SELECT g, widest * cell.k + r, t, y FROM cell JOIN grp USING (g) WHERE t >= {_LAGS}),
+{_matrix('common', 'vars', 'grp', '(widest + 1) * k')},
 swept AS (
-  SELECT 0 AS step, g, r, v FROM common
+  SELECT 0 AS step, g, r, v[r + 1] AS d0, v FROM common
   UNION ALL
-  SELECT s.step + 1, s.g, s.r, {cleared}
+  SELECT s.step + 1, s.g, s.r, s.d0, {cleared}
   FROM swept s JOIN swept p ON p.g = s.g AND p.r = s.step JOIN grp ON grp.g = s.g
-  WHERE s.r > s.step AND s.step <= {_LAGS} * grp.k),
+  WHERE s.r > s.step AND s.step <= grp.widest * grp.k),
 
 -- after the columns of lag p, the target block holds that lag's residual products
-residual AS (
-  SELECT s.g, grp.k, CAST((s.step - 1) // grp.k AS INTEGER) AS p, CAST(s.r - {_LAGS} * grp.k - 1 AS INTEGER) AS r,
-         [x / {_ROWS - _LAGS} for x in s.v[{_LAGS} * grp.k + 2 :]] AS v
+residual_of_lag AS (
+  SELECT s.g, CAST((s.step - 1) // grp.k AS INTEGER) AS lag, CAST(s.r - widest * grp.k - 1 AS INTEGER) AS r,
+         d0 / {rows - _LAGS} AS d0, [x / {rows - _LAGS} for x in s.v[widest * grp.k + 2 :]] AS v
   FROM swept s JOIN grp USING (g)
-  WHERE s.step > 1 AND (s.step - 1) % grp.k = 0 AND s.r > {_LAGS} * grp.k),
+  WHERE s.step > 1 AND (s.step - 1) % grp.k = 0 AND s.r > widest * grp.k),
+{met('residual', 'residual_of_lag', 'g, lag')},
 factored AS (
-  SELECT 0 AS step, g, p AS lag, r, v FROM residual
+  SELECT 0 AS step, g, lag, r, d0, v FROM residual
   UNION ALL
-  SELECT s.step + 1, s.g, s.lag, s.r, {cleared.replace('1e-9', '1e-12')}
+  SELECT s.step + 1, s.g, s.lag, s.r, s.d0, {cleared}
   FROM factored s JOIN factored p ON p.g = s.g AND p.lag = s.lag AND p.r = s.step WHERE s.r > s.step),
-pivots AS (SELECT g, lag, v[r + 1] AS d FROM factored WHERE step = r),
+pivots AS (SELECT g, lag, CASE WHEN v[r + 1] > 1e-9 * d0 THEN v[r + 1] ELSE 0 END AS d FROM factored WHERE step = r),
 likelihood AS (
-  SELECT g, grp.k, lag, {_ROWS - _LAGS} AS n,
-         -0.5 * {_ROWS - _LAGS} * (grp.k * ln(2 * pi()) + ln(product(CASE WHEN d > 1e-12 THEN d ELSE 0 END) + 1e-256)
-           + sum(CASE WHEN d > 1e-12 THEN 1 ELSE 0 END)) AS loglik
+  SELECT g, grp.k, lag, {rows - _LAGS} AS n,
+         -0.5 * {rows - _LAGS} * (grp.k * ln(2 * pi()) + ln(product(d) + 1e-256) + sum(CASE WHEN d > 0 THEN 1 ELSE 0 END)) AS loglik
   FROM pivots JOIN grp USING (g) GROUP BY g, grp.k, lag),
 ic AS (
   SELECT *, (-2 * loglik + 2 * k * (k * lag + 1)) / n AS aic, (-2 * loglik + ln(n) * k * (k * lag + 1)) / n AS bic,
@@ -84,38 +95,63 @@ ic AS (
 
 -- refit of the chosen lag on its full sample
 vars2 AS (
-  SELECT g, 0 AS var, CAST(n.t AS INTEGER) AS t, CAST(1 AS DOUBLE) AS x FROM chosen CROSS JOIN range({_ROWS}) AS n(t) WHERE n.t >= p
+  SELECT g, 0 AS var, CAST(n.t AS INTEGER) AS t, CAST(1 AS DOUBLE) AS x FROM chosen CROSS JOIN range({rows}) AS n(t) WHERE n.t >= p
   UNION ALL
   SELECT g, CAST((l.p - 1) * cell.k + r AS INTEGER), CAST(t + l.p AS INTEGER), y
   FROM cell JOIN chosen USING (g) CROSS JOIN range(1, {_LAGS + 1}) AS l(p)
-  WHERE l.p <= chosen.p AND t + l.p BETWEEN chosen.p AND {_ROWS - 1}
+  WHERE l.p <= chosen.p AND t + l.p BETWEEN chosen.p AND {rows - 1}
   UNION ALL
   SELECT g, p * cell.k + r, t, y FROM cell JOIN chosen USING (g) WHERE t >= p),
 {_matrix('full_sample', 'vars2', 'chosen', '(p + 1) * k')},
 solved AS (
-  SELECT 0 AS step, g, r, v FROM full_sample
+  SELECT 0 AS step, g, r, v[r + 1] AS d0, v FROM full_sample
   UNION ALL
-  SELECT s.step + 1, s.g, s.r, CASE WHEN s.r = s.step THEN s.v ELSE {cleared} END
+  SELECT s.step + 1, s.g, s.r, s.d0, CASE WHEN s.r = s.step THEN s.v ELSE {cleared} END
   FROM solved s JOIN solved p ON p.g = s.g AND p.r = s.step JOIN chosen ON chosen.g = s.g
   WHERE s.step <= chosen.p * chosen.k),
-last AS (SELECT s.g, chosen.k, chosen.p, s.r, s.v FROM solved s JOIN chosen USING (g) WHERE s.step = chosen.p * chosen.k + 1),
+pivot_of AS (SELECT g, r, v[r + 1] > 1e-9 * d0 AS held FROM solved WHERE step = r),
+last AS (SELECT s.g, chosen.k, chosen.p, s.r, s.d0, s.v FROM solved s JOIN chosen USING (g) WHERE s.step = chosen.p * chosen.k + 1),
+
+-- full rank: the solution itself; else the solution of least norm, a mix of the rows that have a pivot
+kept AS (
+  SELECT f.g, f.r, CAST(row_number() OVER (PARTITION BY f.g ORDER BY f.r) AS INTEGER) AS q, f.v[1 : c.p * c.k + 1] AS x, f.v[c.p * c.k + 2 :] AS y,
+         count(*) OVER (PARTITION BY f.g) AS held, c.p * c.k + 1 AS width
+  FROM full_sample f JOIN chosen c USING (g) JOIN pivot_of i ON i.g = f.g AND i.r = f.r WHERE f.r <= c.p * c.k AND i.held),
+short AS (SELECT * FROM kept WHERE held < width),
+mixed AS (
+  SELECT 0 AS step, g, q, held, v FROM (
+    SELECT a.g, a.q, any_value(a.held) AS held, list_concat(list(list_dot_product(a.x, b.x) ORDER BY b.q), any_value(a.y)) AS v
+    FROM short a JOIN short b ON a.g = b.g GROUP BY a.g, a.q)
+  UNION ALL
+  SELECT s.step + 1, s.g, s.q, s.held,
+         CASE WHEN s.q = s.step + 1 THEN s.v ELSE [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] END
+  FROM mixed s JOIN mixed p ON p.g = s.g AND p.q = s.step + 1 WHERE s.step < s.held),
+shares_of AS (SELECT g, q, [y / v[q] for y in v[held + 1 :]] AS w FROM mixed WHERE step = held),
 coef AS (
-  SELECT g, k, p, r AS var, CAST(d.dst AS INTEGER) AS dst,
-         CASE WHEN v[r + 1] > 1e-9 THEN v[p * k + d.dst + 1] / v[r + 1] ELSE 0 END AS coef
-  FROM last CROSS JOIN range(1, 40) AS d(dst) WHERE d.dst <= k AND r <= p * k),
-covariance AS (
-  SELECT g, CAST(r - p * k - 1 AS INTEGER) AS r, [x / ({_ROWS} - p - k * p - 1) for x in v[p * k + 2 :]] AS v FROM last WHERE r > p * k),
+  SELECT last.g, k, p, last.r AS var, CAST(d.dst AS INTEGER) AS dst,
+         CASE WHEN n.held = p * k + 1 THEN v[p * k + d.dst + 1] / v[last.r + 1] ELSE coalesce(m.coef, 0) END AS coef
+  FROM last CROSS JOIN range(1, 40) AS d(dst)
+  JOIN (SELECT g, sum(CASE WHEN held THEN 1 ELSE 0 END) AS held FROM pivot_of JOIN chosen USING (g) WHERE r <= p * k GROUP BY g) n ON n.g = last.g
+  LEFT JOIN (
+    SELECT s.g, CAST(i.var AS INTEGER) AS var, CAST(e.dst AS INTEGER) AS dst, sum(s.x[i.var + 1] * h.w[e.dst]) AS coef
+    FROM short s JOIN shares_of h ON h.g = s.g AND h.q = s.q CROSS JOIN range(120) AS i(var) CROSS JOIN range(1, 40) AS e(dst)
+    WHERE i.var < s.width AND e.dst <= len(h.w) GROUP BY ALL) m ON m.g = last.g AND m.var = last.r AND m.dst = d.dst
+  WHERE d.dst <= k AND last.r <= p * k),
+covariance_raw AS (
+  SELECT g, CAST(r - p * k - 1 AS INTEGER) AS r, d0 / ({rows} - p - k * p - 1) AS d0, [x / ({rows} - p - k * p - 1) for x in v[p * k + 2 :]] AS v
+  FROM last WHERE r > p * k),
+{met('covariance', 'covariance_raw', 'g')},
 lower_steps AS (
-  SELECT 0 AS step, g, r, v FROM covariance
+  SELECT 0 AS step, g, r, d0, v FROM covariance
   UNION ALL
-  SELECT s.step + 1, s.g, s.r, {cleared.replace('1e-9', '1e-12')}
+  SELECT s.step + 1, s.g, s.r, s.d0, {cleared}
   FROM lower_steps s JOIN lower_steps p ON p.g = s.g AND p.r = s.step WHERE s.r > s.step),
 lower AS (
   SELECT s.g, s.r + 1 AS r, s.step + 1 AS c,
-         CASE WHEN s.r = s.step THEN 1 WHEN p.v[s.step + 1] > 1e-12 THEN s.v[s.step + 1] / p.v[s.step + 1] ELSE 0 END AS w
+         CASE WHEN s.r = s.step THEN 1 WHEN p.v[s.step + 1] > 1e-9 * p.d0 THEN s.v[s.step + 1] / p.v[s.step + 1] ELSE 0 END AS w
   FROM lower_steps s JOIN lower_steps p ON p.g = s.g AND p.step = s.step AND p.r = s.step),
 response AS (
-  SELECT a.g, a.dst, l.c AS src, round_even(sum(a.coef * l.w), 4) AS w
+  SELECT a.g, a.dst, l.c AS src, round_even(round_even(sum(a.coef * l.w), 10), 4) AS w
   FROM coef a JOIN lower l ON l.g = a.g AND l.r = a.var WHERE a.var BETWEEN 1 AND a.k GROUP BY ALL),
 edges AS (
   SELECT o.date, {', '.join('o.' + key.strip() for key in keys.split(','))}, o.member AS ORIGIN, d.member AS DESTINATION,
@@ -124,35 +160,47 @@ edges AS (
 """
 
 
-def statements(grid, member: str, keys: str, suffix: str) -> dict[str, str]:
-    """Edges, popularity and circulation of one analysis."""
-    with_model = f"WITH RECURSIVE {model(grid(member, keys, 10), keys)}"
-    listed = ", ".join(key.strip() for key in keys.split(","))
-    same = " AND ".join(f"{{0}}.{key} = {{1}}.{key}" for key in ["date", *(k.strip() for k in keys.split(","))])
+def statements(grid, member: str, keys: str, suffix: str, hourly: bool = False) -> dict[str, str]:
+    """Edges, popularity and circulation of one analysis; ``keys`` of an hourly one end in ``hour``."""
+    if hourly:
+        with_model = f"WITH RECURSIVE {model(grid(member, keys), keys, rows=60)}"
+    else:
+        with_model = f"WITH RECURSIVE {model(grid(member, keys, 10), keys)}"
+    columns = [key.strip() for key in keys.split(",")]
+    same = " AND ".join(f"{{0}}.{key} = {{1}}.{key}" for key in ["date", *columns])
     ab, bc = same.format("a", "b"), same.format("b", "c")
-    of_a = ", ".join(f"a.{key}" for key in ["date", *(k.strip() for k in keys.split(","))])
+    grain, places = ("hour" if hourly else "day"), [c for c in columns if c != "hour"]
+    label = "{0}.date || ' ' || lpad(CAST({0}.hour AS VARCHAR), 2, '0') || ':00:00' AS date" if hourly else "{0}.date"
+    of_a = ", ".join([label.format("a"), *(f"a.{key}" for key in places)])
     floor = "net.floor_name" if "floor_name" in keys else "(SELECT max(f.floor_name) FROM net f WHERE f.unit_id = net.unit_id)"
+    hour = "degree.hour, " if hourly else ""
+    of_m = "m.hour, " if hourly else ""
     out = {
-        f"influence_day_{suffix}": f"""
-{with_model} SELECT date, {listed}, ORIGIN, DESTINATION, w AS "MOVEMENT_INFLUENCE_AMOUNT" FROM edges
+        f"influence_{grain}_{suffix}": f"""
+{with_model} SELECT {of_a}, ORIGIN, DESTINATION, w AS "MOVEMENT_INFLUENCE_AMOUNT" FROM edges a
 """
     }
     if member == "unit_id":
-        out[f"popularity_day_{suffix}"] = f"""
+        out[f"popularity_{grain}_{suffix}"] = f"""
 {with_model},
 degree AS (
-  SELECT m.date, m.member, count(*) FILTER (WHERE e.w > 0) AS degree, max(m.k) - 1 AS others
-  FROM named m JOIN edges e ON {same.format('e', 'm')} AND (e.ORIGIN = m.member OR e.DESTINATION = m.member) GROUP BY m.date, m.member)
-SELECT date, net.user_id, net.place_id, {floor} AS floor_name, net.unit_id,
+  SELECT m.date, {of_m}m.member, count(*) FILTER (WHERE e.w > 0) AS degree, max(m.k) - 1 AS others
+  FROM named m JOIN edges e ON {same.format('e', 'm')} AND (e.ORIGIN = m.member OR e.DESTINATION = m.member) GROUP BY m.date, {of_m}m.member)
+SELECT date, {hour}net.user_id, net.place_id, {floor} AS floor_name, net.unit_id,
        round_even(CAST(degree AS DOUBLE) / others, 4) AS popular_area
 FROM degree JOIN net ON net.unit_id = degree.member
 """
-        out[f"circulation_day_{suffix}"] = f"""
+        out[f"circulation_{grain}_{suffix}"] = f"""
 {with_model}
 SELECT {of_a}, a.ORIGIN, b.ORIGIN AS "VIA_1", c.ORIGIN AS "VIA_2", c.DESTINATION,
        round_even(a.w * b.w * c.w, 12) AS "MOVEMENT_INFLUENCE_AMOUNT_VIA_2"
 FROM edges a JOIN edges b ON {ab} AND a.DESTINATION = b.ORIGIN JOIN edges c ON {bc} AND b.DESTINATION = c.ORIGIN
 WHERE a.w <> 0 AND b.w <> 0 AND c.w <> 0
+"""
+        out[f"circulation3_{grain}_{suffix}"] = f"""
+{with_model}
+SELECT {of_a}, a.ORIGIN, b.ORIGIN AS "VIA_1", b.DESTINATION, round_even(a.w * b.w, 12) AS "MOVEMENT_INFLUENCE_AMOUNT_VIA_1"
+FROM edges a JOIN edges b ON {ab} AND a.DESTINATION = b.ORIGIN WHERE a.w <> 0 AND b.w <> 0
 """
     return out
 
@@ -192,13 +240,13 @@ FROM ic JOIN grp USING (g)
 def lag_one_tables(grid, member: str, keys: str) -> dict[str, str]:
     """Responses, variance shares and causality tests of the lag-1 model of every group."""
     with_model = f"WITH RECURSIVE {model(grid(member, keys, 10), keys, _LAG_ONE)}"
-    cleared = "CASE WHEN s.step = s.out OR p.v[s.step + 1] <= 1e-9 THEN s.v ELSE [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] END"
+    cleared = "CASE WHEN s.step = s.out OR p.v[s.step + 1] <= 1e-9 * p.d0 THEN s.v ELSE [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] END"
 
     def responses(first: str) -> str:
         return f"""
 {with_model},
 square AS (SELECT a.g, a.r AS dst, b.r AS src, grp.k FROM named a JOIN named b USING (g) JOIN grp USING (g)),
-scales AS (SELECT g, r + 1 AS src, v[r + 1] AS d FROM lower_steps WHERE step = r),
+scales AS (SELECT g, r + 1 AS src, CASE WHEN v[r + 1] > 1e-9 * d0 THEN v[r + 1] ELSE 0 END AS d FROM lower_steps WHERE step = r),
 resp AS (
   SELECT 0 AS h, q.g, q.dst, q.src, CAST({first} AS DOUBLE) AS w
   FROM square q LEFT JOIN lower l ON l.g = q.g AND l.r = q.dst AND l.c = q.src JOIN scales ON scales.g = q.g AND scales.src = q.src
@@ -229,7 +277,7 @@ SELECT {named}, CASE WHEN whole > 0 THEN round_even(e / whole, 7) + 0.0 END AS s
         # standardised moments, then plain proximal steps: their error shrinks by the ridge share each time
         "sparse_var_fit": f"""
 {with_model},
-moments AS (SELECT f.g, f.r, f.v, z.v AS z, grp.k, {_ROWS} - 1.0 AS n FROM full_sample f JOIN full_sample z ON z.g = f.g AND z.r = 0 JOIN grp ON grp.g = f.g),
+moments AS (SELECT f.g, f.r, f.v, z.v AS z, grp.k, 144 - 1.0 AS n FROM full_sample f JOIN full_sample z ON z.g = f.g AND z.r = 0 JOIN grp ON grp.g = f.g),
 centred AS (SELECT g, k, n, r, [x - v[1] * z[i] / n for x, i in v] AS v FROM moments WHERE r > 0),
 scales_of AS (
   SELECT g, r, CASE WHEN v[r + 1] / n > 1e-64 THEN sqrt(v[r + 1] / n) ELSE 1 END AS sd FROM centred),
@@ -255,15 +303,15 @@ FROM done JOIN named d ON d.g = done.g AND d.r = done.dst JOIN named s ON s.g =
         "granger_pairs": f"""
 {with_model},
 dropped AS (
-  SELECT 0 AS step, f.g, n.r AS out, f.r, f.v FROM full_sample f JOIN named n ON n.g = f.g
+  SELECT 0 AS step, f.g, n.r AS out, f.r, f.v[f.r + 1] AS d0, f.v FROM full_sample f JOIN named n ON n.g = f.g
   UNION ALL
-  SELECT s.step + 1, s.g, s.out, s.r, {cleared}
+  SELECT s.step + 1, s.g, s.out, s.r, s.d0, {cleared}
   FROM dropped s JOIN dropped p ON p.g = s.g AND p.out = s.out AND p.r = s.step JOIN grp ON grp.g = s.g
   WHERE s.r > s.step AND s.step <= grp.k),
 less AS (SELECT g, out, r - k AS dst, v[r + 1] AS rss FROM dropped JOIN grp USING (g) WHERE step = k + 1 AND r > k),
 tests AS (
   SELECT less.g, grp.k, less.out, less.dst,
-         CASE WHEN l.v[l.r + 1] > 1e-9 THEN (less.rss - l.v[l.r + 1]) * ({_ROWS} - 1 - grp.k - 1) / l.v[l.r + 1] END AS chi2
+         CASE WHEN l.v[l.r + 1] > 1e-9 THEN (less.rss - l.v[l.r + 1]) * (144 - 1 - grp.k - 1) / l.v[l.r + 1] END AS chi2
   FROM less JOIN grp USING (g) JOIN last l ON l.g = less.g AND l.r = less.dst + grp.k WHERE less.out <> less.dst),
 tails AS (
   SELECT tests.g, tests.out, dst, chi2, exp(-chi2 / 2) * sum(pow(chi2 / 2, i) / gamma(i + 1.0)) AS p_value

@@ -62,8 +62,8 @@ def _footfall_job(spark, sf_dir):
 
 def _panel_parts(spark, sf_dir, grid, member="unit_id", by_floor=False):
     sensors = panel.sensor_members(demo.network(spark), member, by_floor)
-    built = panel.build_panel(demo.by1min(spark, sf_dir), demo.runs(spark), sensors, grid)
-    spine = panel.group_spine(demo.runs(spark), sensors, grid)
+    built = panel.build_panel(demo.by1min(spark, sf_dir), demo.runs(spark, sf_dir), sensors, grid)
+    spine = panel.group_spine(demo.runs(spark, sf_dir), sensors, grid)
     return built, spine, panel.group_keys(by_floor, grid.hourly)
 
 
@@ -126,7 +126,7 @@ def _publish_popularity(spark, sf_dir):
     path = shared_path(spark, "popular_area")
     popular = materialize(_degree_popularity(spark, sf_dir))
     jobs.publish_popularity(popular, demo.network(spark), path)
-    jobs.publish_popularity(popular.where(F.col("date") == demo.FIRST_DAY), demo.network(spark), path)
+    jobs.publish_popularity(popular.where(F.col("date") == demo.day_range(spark, sf_dir)[0]), demo.network(spark), path)
     back = readers.read_published(spark, path, schemas.popularity_schema("day", "unit_id"))
     return back.withColumn("date", F.col("date").cast("string"))
 
@@ -140,7 +140,7 @@ def _result_csv(spark, sf_dir):
 
 
 def _plan_runs(spark, sf_dir):
-    return jobs.plan_runs(demo.sightings(spark, sf_dir), demo.FIRST_DAY, demo.LAST_DAY)
+    return jobs.plan_runs(demo.sightings(spark, sf_dir), *demo.day_range(spark, sf_dir))
 
 
 # ------------------------------------------- two-member systems with a closed form
@@ -150,7 +150,7 @@ def _site_parts(spark, sf_dir, member):
     """The whole site as one place; its members are the places (or the site itself)."""
     listed = demo.network(spark)
     site = listed.withColumns({"place_id": F.col("folder_name"), "network_id": F.col(member)})
-    runs = jobs.plan_runs(site, demo.FIRST_DAY, demo.LAST_DAY)
+    runs = jobs.plan_runs(site, *demo.day_range(spark, sf_dir))
     sensors = panel.sensor_members(site, "network_id", False)
     built = panel.build_panel(demo.by1min(spark, sf_dir), runs, sensors, DAY).drop("place_id")
     return materialize(built), panel.group_spine(runs, sensors, DAY).drop("place_id"), ["date"]
@@ -216,7 +216,7 @@ def _granger_pairs(spark, sf_dir):
 
 def _analysis(pick: Callable, grid: TimeGrid, popularity_area: str, influence_area: str, **settings) -> Query:
     def query(spark, sf_dir):
-        by1min, listed, runs = demo.by1min(spark, sf_dir), demo.network(spark), demo.runs(spark)
+        by1min, listed, runs = demo.by1min(spark, sf_dir), demo.network(spark), demo.runs(spark, sf_dir)
         return pick(jobs.analyze(by1min, listed, runs, grid, popularity_area, influence_area, **settings), listed)
 
     return query
@@ -234,6 +234,10 @@ def _four_stops(result, _):
     return _rounded(jobs.labelled_edges(result.migrations["migration_4"]), 12, "MOVEMENT_INFLUENCE_AMOUNT_VIA_2")
 
 
+def _three_stops(result, _):
+    return _rounded(jobs.labelled_edges(result.migrations["migration_3"]), 12, "MOVEMENT_INFLUENCE_AMOUNT_VIA_1")
+
+
 def registered() -> dict[str, Query]:
     out: dict[str, Query] = {
         "sightings": _sightings,
@@ -292,6 +296,7 @@ def registered() -> dict[str, Query]:
             out[f"influence_{grain}_{name}"] = _analysis(_edges, grid, popularity_area, influence_area)
             out[f"popularity_{grain}_{name}"] = _analysis(_popular, grid, popularity_area, influence_area)
             out[f"circulation_{grain}_{name}"] = _analysis(_four_stops, grid, popularity_area, influence_area, depth=4)
+    out["circulation3_day_all"] = _analysis(_three_stops, DAY, "all", "all", depth=3)
     out["influence_day_network"] = _analysis(_edges, DAY, "all", "all", member="network_id")
     out["influence_day_sparse"] = _analysis(_edges, DAY, "all", "all", sparse=True)
     return out

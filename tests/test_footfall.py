@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flowspark.operators.footfall import attach_dims, footfall, footfall_counts, footfall_table
+from flowspark.operators.footfall import footfall, footfall_counts, footfall_table
 from flowspark.operators.sightings import (
     attach_floor,
     build_sightings,
@@ -125,12 +125,6 @@ def test_hot_sensor_is_spread(spark, network, capsys, broadcast_rows):
     }
 
 
-def test_attach_dims_fans_out(spark, network):
-    base = spark.createDataFrame([("D", 3), ("Z", 1)], "unit_id string, n int")
-    out = attach_dims(base, network.select("unit_id", "floor_name"))
-    assert {tuple(row) for row in out.collect()} == {("D", 3, "1F"), ("D", 3, "2F"), ("Z", 1, None)}
-
-
 def test_network_check(spark, network):
     assert check_network(network).count() == 0
     require_one_client(network)
