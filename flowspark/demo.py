@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.operators.footfall import footfall
+from flowspark.operators.panel import place_keys
 from flowspark.operators.sightings import match_sightings
 from flowspark.plans.jobs import plan_runs
 
@@ -67,32 +68,31 @@ def gps_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def arrival_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def arrival_edges(spark: SparkSession, sf_dir: str, by_floor: bool = False, hourly: bool = False) -> DataFrame:
     """An edge table counted from the log, independent of any model.
 
-    A→B weighs the devices first seen at A strictly before B that day, over 100,
-    on the complete sensor grid of each date and place.
+    A→B weighs the devices first seen at A strictly before B that day (or hour), over 100,
+    on the complete sensor grid of each date and place (or floor).
     """
-    first = (
-        sightings(spark, sf_dir)
-        .groupBy("date", "place_id", "aibeaconid", "unit_id")
-        .agg(F.min("datetime").alias("seen"))
-    )
+    place, hour = place_keys(by_floor), ["hour"] if hourly else []
+    seen = sightings(spark, sf_dir).withColumn("hour", F.hour("datetime"))
+    first = seen.groupBy("date", *hour, *place, "aibeaconid", "unit_id").agg(F.min("datetime").alias("seen"))
     start = first.withColumnsRenamed({"unit_id": "ORIGIN", "seen": "left"})
     end = first.withColumnsRenamed({"unit_id": "DESTINATION", "seen": "reached"})
     moved = (
-        start.join(end, ["date", "place_id", "aibeaconid"])
+        start.join(end, ["date", *hour, *place, "aibeaconid"])
         .where(F.col("left") < F.col("reached"))
-        .groupBy("date", "place_id", "ORIGIN", "DESTINATION")
+        .groupBy("date", *hour, *place, "ORIGIN", "DESTINATION")
         .agg(F.count(F.lit(1)).alias("devices"))
     )
-    sensors = network(spark).select("place_id", "unit_id")
+    sensors = network(spark).select(*place, "unit_id")
+    wanted = runs(spark, sf_dir)
+    if hourly:
+        wanted = wanted.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
     grid = (
-        runs(spark, sf_dir)
-        .join(sensors.withColumnRenamed("unit_id", "ORIGIN"), "place_id")
-        .join(sensors.withColumnRenamed("unit_id", "DESTINATION"), "place_id")
+        wanted.join(sensors.withColumnRenamed("unit_id", "ORIGIN"), "place_id")
+        .join(sensors.withColumnRenamed("unit_id", "DESTINATION"), place)
     )
     amount = F.coalesce(F.col("devices") / 100, F.lit(0.0)).alias("MOVEMENT_INFLUENCE_AMOUNT")
-    return grid.join(moved, ["date", "place_id", "ORIGIN", "DESTINATION"], "left").select(
-        "date", "place_id", "ORIGIN", "DESTINATION", amount
-    )
+    keys = ["date", *place, *hour]
+    return grid.join(moved, [*keys, "ORIGIN", "DESTINATION"], "left").select(*keys, "ORIGIN", "DESTINATION", amount)

@@ -55,11 +55,10 @@ def minute_counts(by1min: DataFrame, runs: DataFrame | None = None) -> DataFrame
     """``date, unit_id, minute, y`` from a ``by1min`` table, one row per sensor and minute.
 
     A sensor listed under several dimension rows repeats its count there; it is
-    taken once. The days of ``runs`` are broadcast, which prunes day partitions;
-    their number is bounded by the calendar.
+    taken once. Joined with the days of ``runs``, a table partitioned by day is read for those only.
     """
     if runs is not None:
-        by1min = by1min.join(F.broadcast(runs.select("date").distinct()), "date", "left_semi")
+        by1min = by1min.join(runs.select("date").distinct(), "date", "left_semi")
     ts = as_timestamp("minute")
     rows = by1min.select("date", "unit_id", minute_of_day(ts).alias("minute"), F.col("1min_count").alias("y"))
     return rows.repartition("date", "unit_id").groupBy("date", "unit_id", "minute").agg(F.max("y").alias("y"))
@@ -83,13 +82,22 @@ def rollup_units(resampled: DataFrame, sensors: DataFrame) -> DataFrame:
     return joined.groupBy("date", *keys, "member", "i", "k", "bucket").agg(F.sum("y").alias("y"))
 
 
+def sensor_buckets(by1min: DataFrame, runs: DataFrame, grid: TimeGrid) -> DataFrame:
+    """``date, unit_id, bucket, y``: the clipped, resampled counts that every area is rolled up from."""
+    return resample_sum(clip_time_of_day(minute_counts(by1min, runs), grid), grid)
+
+
 def build_panel(by1min: DataFrame, runs: DataFrame, sensors: DataFrame, grid: TimeGrid) -> DataFrame:
     """Sparse panel ``<group keys>, member, i, t, y, nobs, k`` of the requested runs.
 
     ``nobs`` and ``k`` are the rows and members of the group's complete series.
     """
-    minutes = clip_time_of_day(minute_counts(by1min, runs), grid)
-    rolled = rollup_units(resample_sum(minutes, grid), sensors)
+    return panel_of(sensor_buckets(by1min, runs, grid), runs, sensors, grid)
+
+
+def panel_of(buckets: DataFrame, runs: DataFrame, sensors: DataFrame, grid: TimeGrid) -> DataFrame:
+    """The panel from ``sensor_buckets``."""
+    rolled = rollup_units(buckets, sensors)
     wanted = rolled.where("y <> 0").join(runs.select("date", "place_id").distinct(), ["date", "place_id"], "left_semi")
     bucket = F.col("bucket")
     placed = {"hour": grid.hour(bucket), "t": grid.index(bucket), "nobs": grid.series_rows(bucket)}

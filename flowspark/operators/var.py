@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowspark.functions import dense
-from flowspark.operators.moments import block_moments, edge_rows
+from flowspark.operators.moments import edge_rows, lag_moments
 from flowspark.operators.panel import densify
 
 # executors receive the helper with the job; they need not have this package installed
@@ -70,7 +70,7 @@ def _solver_input(
     return (
         part(spine, _MEMBER, s=F.lit(0), member="member", nobs="nobs")
         .union(part(totals, _TOTAL))
-        .union(part(block_moments(usable, keys, maxlag, block), _CROSS, j="j", lag="lag"))
+        .union(part(lag_moments(usable, keys, maxlag, block), _CROSS, j="j", lag="lag"))
         .union(part(edge_rows(usable, maxlag), _EDGE, lag="t", s="y"))
     )
 
@@ -98,7 +98,7 @@ class _Group:
         at = kind == _CROSS
         self.cross = np.zeros((self.maxlag + 1, self.k, self.k))
         a, b = rank[i[at]], rank[j[at]]
-        np.add.at(self.cross, (lag[at], a, b), s[at])  # the blocks' partial sums
+        self.cross[lag[at], a, b] = s[at]
         half = self.cross[0]
         self.cross[0] = half + half.T - np.diag(np.diag(half))
 
@@ -224,6 +224,25 @@ def _refit(group: _Group, model, lag: int, without: int | None = None):
     return model.fit(gram, rhs, target, len(rhs[0]), lag), n
 
 
+def _growth_without(group: _Group, lag: int, full: dict):
+    """What each equation's residual sum gains when a member's lags leave the design: a row per member.
+
+    With b the member's coefficients and V its part of the inverse, that is b' V^-1 b. None
+    where the design has no inverse by the rank rule.
+    """
+    products, sums, n = group.sample(lag, lag)
+    gram, _, _ = dense.normal_equations(products, sums, lag, n)
+    if len(dense.eliminate(gram, len(gram))[1]) < len(gram):
+        return None
+    inverse, coef = np.linalg.inv(gram), full["coef"]
+    out = []
+    for member in range(group.k):
+        at = np.arange(lag) * group.k + member
+        part = coef[at]
+        out.append((part * np.linalg.solve(inverse[np.ix_(at, at)], part)).sum(axis=0))
+    return out
+
+
 def _select_lag(group: _Group, model, criterion: str):
     """Smallest lag with the least criterion on the common sample, all log-likelihoods, rows, and whether all fits converged."""
     widest = max((p for p in range(1, group.maxlag + 1) if model.eligible(group.nobs - group.maxlag + p, group.k, p)), default=0)
@@ -520,7 +539,8 @@ def granger_pairs(
 ) -> DataFrame:
     """Causality test of every ordered pair: ``causing, caused, lag, chi2, p_value``.
 
-    The model is solved again without each causing member, from the same sums.
+    What a residual sum gains without a member follows from the one inverse of the full model;
+    singular and sparse models are solved again without each causing member, from the same sums.
     ``df="members"`` takes the number of members as degrees of freedom,
     ``df="lags"`` the number of lags.
     """
@@ -542,9 +562,13 @@ def granger_pairs(
             full, n = _refit(group, model, lag)
             spare = n - group.k * lag - 1
             degrees = group.k if df == "members" else lag
+            growth = None if sparse else _growth_without(group, lag, full)
             for causing in range(group.k):
                 kept = [c for c in range(group.k) if c != causing]
-                reduced = _refit(group, model, lag, without=causing)[0]["raw_rss"]
+                if growth is None:
+                    reduced = _refit(group, model, lag, without=causing)[0]["raw_rss"]
+                else:
+                    reduced = full["raw_rss"][kept] + growth[causing][kept]
                 for at, caused in enumerate(kept):
                     rss = full["raw_rss"][caused]
                     known = rss > 0 and spare > 0

@@ -138,6 +138,34 @@ SELECT degree.date, net.user_id, net.place_id, net.floor_name, net.unit_id,
 FROM degree JOIN net ON net.unit_id = degree.member
 """
 
+def _published(by_floor: bool, hourly: bool) -> str:
+    """Popularity from arrivals of one grain and area, with its names."""
+    floor, hour = (", floor_name" if by_floor else ""), (", hour" if hourly else "")
+    on = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in ["date", "place_id", *(["floor_name"] if by_floor else []), *(["hour"] if hourly else [])])
+    hours = "CROSS JOIN (SELECT CAST(h AS BIGINT) AS hour FROM range(24) AS r(h)) hours" if hourly else ""
+    same_floor = "AND o.floor_name = d.floor_name" if by_floor else ""
+    of_o = "o.place_id" + (", o.floor_name" if by_floor else "") + (", hours.hour" if hourly else "")
+    match = "m.date = days.date AND m.place_id = o.place_id" + (" AND m.floor_name = o.floor_name" if by_floor else "") + (" AND m.hour = hours.hour" if hourly else "")
+    return f"""(
+WITH {_MINUTES},
+firsts AS (SELECT date, place_id{floor}{", hour(seen) AS hour" if hourly else ""}, aibeaconid, unit_id, min(datetime) AS seen_at FROM sight GROUP BY ALL),
+moved AS (
+  SELECT a.date, a.place_id{floor.replace(", ", ", a.")}{hour.replace(", ", ", a.")}, a.unit_id AS origin, b.unit_id AS destination, count(*) AS devices
+  FROM firsts a JOIN firsts b ON {on("a", "b")} AND a.aibeaconid = b.aibeaconid WHERE a.seen_at < b.seen_at GROUP BY ALL),
+edges AS (
+  SELECT days.date, {of_o}, o.unit_id AS ORIGIN, d.unit_id AS DESTINATION, coalesce(m.devices, 0) AS w
+  FROM days {hours} CROSS JOIN net o JOIN net d ON o.place_id = d.place_id {same_floor}
+  LEFT JOIN moved m ON {match} AND m.origin = o.unit_id AND m.destination = d.unit_id),
+ends AS (
+  SELECT date, place_id{floor}{hour}, ORIGIN AS member, w FROM edges UNION ALL SELECT date, place_id{floor}{hour}, DESTINATION, w FROM edges),
+degree AS (
+  SELECT date{hour}, member, count(*) FILTER (WHERE w > 0) AS degree, count(*) / 2 - 1 AS others FROM ends GROUP BY ALL)
+SELECT '{"hour" if hourly else "day"}' AS grain, '{"floor" if by_floor else "all"}' AS area, degree.date, {"CAST(degree.hour AS INTEGER)" if hourly else "CAST(-1 AS INTEGER)"} AS hour,
+       net.user_id, net.place_id, net.floor_name, net.unit_id, round_even(degree / CAST(others AS DOUBLE), 4) AS popular_area
+FROM degree JOIN net ON net.unit_id = degree.member
+{"WHERE degree.date = (SELECT strftime(min(ts), '%Y-%m-%d') FROM events)" if hourly else ""})"""
+
+
 # The two places of the site as a two-member system, lag 1, ten-minute buckets:
 # everything has a closed form. Members are numbered by total, largest first.
 _PAIR = f"""
@@ -221,7 +249,20 @@ SELECT network_id AS place_id, count(DISTINCT user_id) AS n_users FROM sight GRO
     sql["footfall_hour"] = _footfall(*_HOUR, "hourly_count")
     for width in (30, 10, 1):
         sql[f"footfall_{width}min"] = _footfall(*_minute(width), f"{width}min_count")
-    sql["footfall_job"] = sql["footfall_hour"]
+    sql["sightings_salted"] = sql["sightings"]
+    minute = _minute(1)
+    parts = {
+        "day": (_footfall(None, None, "devices"), "CAST(NULL AS VARCHAR)"),
+        "hour": (_footfall(*_HOUR, "devices"), "hour"),
+        "1min": (_footfall(*minute, "devices"), "minute"),
+    }
+    counts = " UNION ALL ".join(
+        f"SELECT '{grain}' AS grain, date, {bucket} AS bucket, folder_name, user_id, place_id, floor_name, network_id, unit_id, devices FROM ({part})"
+        for grain, (part, bucket) in parts.items()
+    )
+    sql["footfall_job"] = counts
+    fourth = "date_diff('day', (SELECT CAST(min(ts) AS DATE) FROM events), CAST(date AS DATE)) % 4 = 0"
+    sql["footfall_days"] = f"SELECT * FROM ({counts}) WHERE {fourth}"
     sql["footfall_gps_day"] = _gps(None, None, "daily_count")
     sql["footfall_gps_hour"] = _gps(*_HOUR, "hourly_count")
     sql["footfall_gps_1min"] = _gps(*_minute(1), "1min_count")
@@ -236,6 +277,13 @@ FROM dense GROUP BY ALL
     sql["panel_clipped"] = f"""
 WITH {_grid('unit_id', by_place, 1, 570, 1080)}
 SELECT date, place_id, member, CAST(t AS INTEGER) AS t, y FROM panel
+"""
+    sql["panel_clipped_dense"] = f"WITH {_grid('unit_id', by_place, 10, 570, 1080)} SELECT date, place_id, member, t, y FROM dense"
+    sql["model_status"] = f"""
+WITH {_grid('unit_id', by_place, 10, 540, 640)},
+sized AS (SELECT date, place_id, CAST(nobs AS INTEGER) AS nobs, CAST(count(*) AS INTEGER) AS n_members FROM spine GROUP BY ALL)
+SELECT date, place_id, CASE WHEN nobs - 1 - n_members - 1 > 0 THEN 'fitted' ELSE 'too few rows' END AS status,
+       CAST(CASE WHEN nobs - 1 - n_members - 1 > 0 THEN 1 ELSE 0 END AS INTEGER) AS lag, nobs, n_members FROM sized
 """
     sql["panel_resampled"] = f"WITH {_grid('unit_id', by_place, 50)} SELECT date, place_id, member, t, y FROM dense"
     sql["panel_grouped_all"] = f"WITH {_grid('network_id', by_place, 10)} SELECT date, place_id, member, t, y FROM dense"
@@ -294,6 +342,7 @@ WITH {_ARRIVALS}
 SELECT date, place_id, member AS unique_id, round_even(degree / CAST(others AS DOUBLE), 4) AS popular_area FROM degree
 """
     sql["publish_popularity"] = _PUBLISHED
+    sql["publish_all"] = " UNION ALL ".join(_published(by_floor, hourly) for hourly in (False, True) for by_floor in (False, True))
     sql["result_csv"] = f"""
 WITH {_ARRIVALS}
 SELECT date, place_id, member AS unique_id, CAST(round_even(degree / CAST(others AS DOUBLE), 4) AS DOUBLE) AS popular_area FROM degree

@@ -26,6 +26,7 @@ def _matrix(name: str, source: str, group: str, size: str) -> str:
 
 _CHOSEN = """chosen AS (
   SELECT g, k, lag AS p, hqic FROM ic QUALIFY row_number() OVER (PARTITION BY g ORDER BY hqic, lag) = 1)"""
+_CHOSEN_BY = {name: _CHOSEN.replace("hqic", name) for name in ("aic", "bic")}
 _LAG_ONE = "chosen AS (SELECT g, k, 1 AS p FROM grp)"
 
 
@@ -205,6 +206,50 @@ FROM edges a JOIN edges b ON {ab} AND a.DESTINATION = b.ORIGIN WHERE a.w <> 0 AN
     return out
 
 
+def responses_sql(whole: str, keys: str) -> dict[str, str]:
+    """Responses and variance shares of the model ``whole`` at its lag."""
+
+    def responses(first: str) -> str:
+        return f"""
+WITH RECURSIVE {whole},
+square AS (SELECT a.g, a.r AS dst, b.r AS src, grp.k FROM named a JOIN named b USING (g) JOIN grp USING (g)),
+scales AS (SELECT g, r + 1 AS src, CASE WHEN v[r + 1] > 1e-9 * d0 THEN v[r + 1] ELSE 0 END AS d FROM lower_steps WHERE step = r),
+resp AS (
+  SELECT 0 AS h, q.g, q.k, q.dst, q.src, [CAST({first} AS DOUBLE)] AS ws
+  FROM square q LEFT JOIN lower l ON l.g = q.g AND l.r = q.dst AND l.c = q.src JOIN scales ON scales.g = q.g AND scales.src = q.src
+  UNION ALL
+  -- the newest response first; lag p takes the p-th of the list
+  SELECT n.h, n.g, n.k, n.dst, n.src, list_concat([n.w], o.ws)
+  FROM (
+    SELECT resp.h + 1 AS h, resp.g, resp.k, a.dst, resp.src, sum(a.coef * resp.ws[(a.var - 1) // a.k + 1]) AS w
+    FROM resp JOIN coef a ON a.g = resp.g AND a.var > 0 AND (a.var - 1) % a.k + 1 = resp.dst AND (a.var - 1) // a.k < len(resp.ws)
+    WHERE resp.h < 10 GROUP BY ALL) n
+  JOIN resp o ON o.g = n.g AND o.dst = n.dst AND o.src = n.src),
+resp_of AS (SELECT h, g, dst, src, ws[1] AS w FROM resp)
+"""
+
+    named = f"s.date, s.{keys}, h AS horizon, s.member AS src, d.member AS dst"
+    joined = "JOIN named s ON s.g = {0}.g AND s.r = {0}.src JOIN named d ON d.g = {0}.g AND d.r = {0}.dst"
+    return {
+        "ma_coefficients": f"""
+{responses("CASE WHEN q.src = q.dst THEN 1 ELSE 0 END")}
+SELECT {named}, round_even(w, 7) + 0.0 AS value FROM resp_of {joined.format("resp_of")}
+""",
+        "impulse_response": f"""
+{responses("coalesce(l.w, 0) * sqrt(greatest(d, 0))")}
+SELECT {named}, round_even(w, 7) + 0.0 AS value FROM resp_of {joined.format("resp_of")}
+""",
+        "fevd": f"""
+{responses("coalesce(l.w, 0)")},
+grown AS (
+  SELECT resp_of.*, sum(w * w) OVER (PARTITION BY resp_of.g, dst, resp_of.src ORDER BY h) * d AS e
+  FROM resp_of JOIN scales ON scales.g = resp_of.g AND scales.src = resp_of.src),
+shares AS (SELECT g, h, dst, src, e, sum(e) OVER (PARTITION BY g, h, dst) AS whole FROM grown)
+SELECT {named}, CASE WHEN whole > 0 THEN round_even(e / whole, 7) + 0.0 END AS share FROM shares {joined.format("shares")}
+""",
+    }
+
+
 def model_tables(grid, member: str, keys: str) -> dict[str, str]:
     """Coefficients, covariance, likelihoods, criteria and chosen lags."""
     with_model = f"WITH RECURSIVE {model(grid(member, keys, 10), keys)}"
@@ -234,6 +279,15 @@ FROM ic JOIN grp USING (g)
         "var_select_order": f"""
 {with_model} SELECT date, {keys}, p AS lag, round_even(hqic, 7) AS hqic FROM chosen JOIN grp USING (g)
 """,
+        **{
+            f"var_select_{name}": f"""
+WITH RECURSIVE {model(grid(member, keys, 10), keys, chosen)} SELECT date, {keys}, p AS lag, round_even({name}, 7) AS {name} FROM chosen JOIN grp USING (g)
+"""
+            for name, chosen in _CHOSEN_BY.items()
+        },
+        **{
+            f"{name}_selected": responses_sql(model(grid(member, keys, 10), keys), keys)[name] for name in ("impulse_response", "fevd")
+        },
     }
 
 
@@ -242,38 +296,8 @@ def lag_one_tables(grid, member: str, keys: str) -> dict[str, str]:
     with_model = f"WITH RECURSIVE {model(grid(member, keys, 10), keys, _LAG_ONE)}"
     cleared = "CASE WHEN s.step = s.out OR p.v[s.step + 1] <= 1e-9 * p.d0 THEN s.v ELSE [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] END"
 
-    def responses(first: str) -> str:
-        return f"""
-{with_model},
-square AS (SELECT a.g, a.r AS dst, b.r AS src, grp.k FROM named a JOIN named b USING (g) JOIN grp USING (g)),
-scales AS (SELECT g, r + 1 AS src, CASE WHEN v[r + 1] > 1e-9 * d0 THEN v[r + 1] ELSE 0 END AS d FROM lower_steps WHERE step = r),
-resp AS (
-  SELECT 0 AS h, q.g, q.dst, q.src, CAST({first} AS DOUBLE) AS w
-  FROM square q LEFT JOIN lower l ON l.g = q.g AND l.r = q.dst AND l.c = q.src JOIN scales ON scales.g = q.g AND scales.src = q.src
-  UNION ALL
-  SELECT h + 1, resp.g, a.dst, resp.src, sum(a.coef * resp.w)
-  FROM resp JOIN coef a ON a.g = resp.g AND a.var = resp.dst WHERE h < 10 GROUP BY h, resp.g, a.dst, resp.src)
-"""
-
-    named = f"s.date, s.{keys}, h AS horizon, s.member AS src, d.member AS dst"
-    joined = "JOIN named s ON s.g = {0}.g AND s.r = {0}.src JOIN named d ON d.g = {0}.g AND d.r = {0}.dst"
     return {
-        "ma_coefficients": f"""
-{responses("CASE WHEN q.src = q.dst THEN 1 ELSE 0 END")}
-SELECT {named}, round_even(w, 7) + 0.0 AS value FROM resp {joined.format("resp")}
-""",
-        "impulse_response": f"""
-{responses("coalesce(l.w, 0) * sqrt(greatest(d, 0))")}
-SELECT {named}, round_even(w, 7) + 0.0 AS value FROM resp {joined.format("resp")}
-""",
-        "fevd": f"""
-{responses("coalesce(l.w, 0)")},
-grown AS (
-  SELECT resp.*, sum(w * w) OVER (PARTITION BY resp.g, dst, resp.src ORDER BY h) * d AS e
-  FROM resp JOIN scales ON scales.g = resp.g AND scales.src = resp.src),
-shares AS (SELECT g, h, dst, src, e, sum(e) OVER (PARTITION BY g, h, dst) AS whole FROM grown)
-SELECT {named}, CASE WHEN whole > 0 THEN round_even(e / whole, 7) + 0.0 END AS share FROM shares {joined.format("shares")}
-""",
+        **responses_sql(model(grid(member, keys, 10), keys, _LAG_ONE), keys),
         # standardised moments, then plain proximal steps: their error shrinks by the ridge share each time
         "sparse_var_fit": f"""
 {with_model},

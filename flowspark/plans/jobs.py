@@ -12,9 +12,9 @@ from flowspark.functions.scalars import hour_label
 from flowspark.functions.timegrid import TimeGrid
 from flowspark.operators.footfall import footfall_counts, footfall_table
 from flowspark.operators.network import circulation, influence_edges, popularity
-from flowspark.operators.panel import build_panel, group_keys, group_spine, sensor_members
+from flowspark.operators.panel import group_keys, group_spine, panel_of, sensor_buckets, sensor_members
 from flowspark.operators.sightings import attach_floor, match_sightings, require_one_client
-from flowspark.operators.var import var_coefficients, var_fit
+from flowspark.operators.var import model_status, var_coefficients, var_fit
 from flowspark.session import materialize
 from flowspark.sources.schemas import DIMENSION_COLUMNS, popularity_schema
 from flowspark.sources.writers import replace_partitions, write_counts, write_result
@@ -54,19 +54,46 @@ def footfall_job(
 class Analysis:
     """Results of one analysis, each computed when first asked for and then kept.
 
-    ``keys`` name the groups of the influence tables. Models, and edges that
-    feed path joins, are written to the checkpoint folder once.
+    ``keys`` name the groups of the influence tables. The panel, the models, and edges that
+    feed path joins, are written to the checkpoint folder once. ``status`` has a row
+    for every group of the run, fitted or not.
     """
 
-    def __init__(self, fit: Callable[[bool], DataFrame], hourly: bool, areas: tuple[str, str], depth: int):
-        self._fit, self._hourly, self._depth = fit, hourly, depth
+    def __init__(self, panel: Callable[[bool], DataFrame], fit: Callable[[DataFrame, bool], DataFrame], hourly: bool, areas: tuple[str, str], depth: int):
+        self._panel, self._fit_panel, self._hourly, self._depth = panel, fit, hourly, depth
         self._popularity_by_floor, self._influence_by_floor = (area == "floor" for area in areas)
         self.keys = group_keys(self._influence_by_floor, hourly)
 
+    def _fit(self, by_floor: bool) -> DataFrame:
+        return self._fit_panel(self.panel if by_floor == self._influence_by_floor else materialize(self._panel(by_floor)), by_floor)
+
+    @property
+    def grain(self) -> str:
+        return "hourly" if self._hourly else "daily"
+
+    @cached_property
+    def panel(self) -> DataFrame:
+        """The analysed counts of the influence groups: ``<keys>, member, i, t, y, nobs, k``, silent minutes left out."""
+        return materialize(self._panel(self._influence_by_floor))
+
     @cached_property
     def models(self) -> DataFrame:
         return materialize(self._fit(self._influence_by_floor))
 
+    @cached_property
+    def popularity_models(self) -> DataFrame:
+        """The models behind the popularity: those of the influence where both are by the same area."""
+        same = self._popularity_by_floor == self._influence_by_floor
+        return self.models if same else materialize(self._fit(self._popularity_by_floor))
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return model_status(self.models, self.keys)
+
+    @cached_property
+    def popularity_status(self) -> DataFrame:
+        return model_status(self.popularity_models, group_keys(self._popularity_by_floor, self._hourly))
+
     @cached_property
     def edges(self) -> DataFrame:
         edges = influence_edges(self.models, self.keys)
@@ -77,7 +104,7 @@ class Analysis:
         if self._popularity_by_floor == self._influence_by_floor:
             return popularity(self.edges, self.keys)
         keys = group_keys(self._popularity_by_floor, self._hourly)
-        return popularity(influence_edges(self._fit(self._popularity_by_floor), keys), keys)
+        return popularity(influence_edges(self.popularity_models, keys), keys)
 
     @cached_property
     def migrations(self) -> dict[str, DataFrame]:
@@ -110,13 +137,24 @@ def analyze(
     if member not in ("unit_id", "network_id"):
         raise ValueError(f"member must be unit_id or network_id, got {member!r}")
 
-    def fit(by_floor: bool) -> DataFrame:
-        sensors = sensor_members(network, member, by_floor)
-        panel = materialize(build_panel(by1min, runs, sensors, grid))
-        spine = group_spine(runs, sensors, grid)
-        return var_fit(panel, spine, group_keys(by_floor, grid.hourly), **model)
+    stored: list[DataFrame] = []
+
+    def buckets() -> DataFrame:
+        """Counts by sensor and bucket; stored when two areas are rolled up from them."""
+        if areas[0] == areas[1]:
+            return sensor_buckets(by1min, runs, grid)
+        if not stored:
+            stored.append(materialize(sensor_buckets(by1min, runs, grid)))
+        return stored[0]
 
-    return Analysis(fit, grid.hourly, areas, depth)
+    def panel(by_floor: bool) -> DataFrame:
+        return panel_of(buckets(), runs, sensor_members(network, member, by_floor), grid)
+
+    def fit(counts: DataFrame, by_floor: bool) -> DataFrame:
+        spine = group_spine(runs, sensor_members(network, member, by_floor), grid)
+        return var_fit(counts, spine, group_keys(by_floor, grid.hourly), **model)
+
+    return Analysis(panel, fit, grid.hourly, areas, depth)
 
 
 def labelled_edges(edges: DataFrame) -> DataFrame:
@@ -126,22 +164,33 @@ def labelled_edges(edges: DataFrame) -> DataFrame:
     return edges.withColumn("date", hour_label(F.col("date"), F.col("hour"))).drop("hour")
 
 
+def result_path(path: str, grain: str, table: DataFrame, name: str) -> str:
+    """``path/<daily|hourly>/<ALL|SEPARATE>/<name>``: results of another grain or area never share a folder."""
+    area = "SEPARATE" if "floor_name" in table.columns else "ALL"
+    return f"{path}/{grain}/{area}/{name}"
+
+
 def write_analysis(result: Analysis, path: str) -> None:
-    """CSV of every table of an analysis: coefficients, causality, centrality and the migrations.
+    """CSV of every table of an analysis: input panel, model status, coefficients, causality, centrality and the migrations.
 
-    Each goes to ``path/<table>`` under ``place_id=[/floor_name=]/day=``; the
-    folders of the places and days in the result are replaced.
+    Each goes to ``path/<daily|hourly>/<ALL|SEPARATE>/<table>`` under ``place_id=[/floor_name=]/day=``; the
+    folders of the places and days in the result are replaced. ``model_status`` lists
+    every group of the run, so that one without a model is not taken for one without influence.
     """
     tables = {
+        "input_data": result.panel.select(*result.keys, "member", "t", "y"),
+        "model_status": result.status,
         "var_model_coefficient": var_coefficients(result.models, result.keys),
         "causality": result.edges,
         "centrality": result.popularity,
         **result.migrations,
     }
+    as_it_is = {"input_data", "model_status", "centrality"}
     for name, table in tables.items():
         floor = ["floor_name"] if "floor_name" in table.columns else []
         out = table.withColumn("day", F.col("date"))
-        write_result(out if name == "centrality" else labelled_edges(out), f"{path}/{name}", ["place_id", *floor, "day"])
+        out = out if name in as_it_is else labelled_edges(out)
+        write_result(out, result_path(path, result.grain, table, name), ["place_id", *floor, "day"])
 
 
 def popularity_table(popular: DataFrame, network: DataFrame, member: str = "unit_id") -> DataFrame:
@@ -155,9 +204,33 @@ def popularity_table(popular: DataFrame, network: DataFrame, member: str = "unit
     return named.join(clients, "place_id", "left").select(*columns)
 
 
-def publish_popularity(popular: DataFrame, network: DataFrame, path: str, member: str = "unit_id") -> None:
-    """Write popularity, replacing exactly the date/hour/client/place/floor partitions it contains."""
+def require_models(status: DataFrame) -> None:
+    """Refuse a run in which a group has no model; the message names the first ones."""
+    missing = status.where("status <> 'fitted'")
+    first = missing.limit(5).collect()
+    if first:
+        named = "; ".join(", ".join(str(v) for v in row) for row in first)
+        raise ValueError(f"groups without a model: {named}")
+
+
+def published_path(popular: DataFrame, path: str) -> str:
+    """Where ``publish_popularity`` writes a table of this grain and area."""
+    return result_path(path, "hourly" if "hour" in popular.columns else "daily", popular, "popular_area")
+
+
+def publish_popularity(
+    popular: DataFrame, network: DataFrame, path: str, member: str = "unit_id", status: DataFrame | None = None
+) -> None:
+    """Write popularity, replacing exactly the date/hour/client/place/floor partitions it contains.
+
+    Daily and hourly results, and those of whole places and of floors, have folders of
+    their own below ``path`` (``published_path``). With the models' ``status`` nothing is published when a
+    group of the run has no model.
+    """
     require_one_client(network)
+    if status is not None:
+        require_models(status)
+    path = published_path(popular, path)
     grain = "hour" if "hour" in popular.columns else "day"
     schema = popularity_schema(grain, member)
     partitions = [name for name in schema.names if name not in (member, "popular_area")]

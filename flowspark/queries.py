@@ -54,7 +54,47 @@ def _footfall_gps(grain: str) -> Query:
 def _footfall_job(spark, sf_dir):
     path = shared_path(spark, "footfall")
     jobs.footfall_job(demo.raw_log(spark, sf_dir), demo.network(spark), path)
-    return readers.read_counts(spark, f"{path}/hourly").withColumn("hour", F.col("hour").cast("string"))
+    return _all_counts(spark, path)
+
+
+def _all_counts(spark, path, dates=None):
+    """The three tables of a footfall job as one: ``grain, date, bucket, <dimensions>, unit_id, devices``."""
+    found = None
+    for grain, (folder, bucket, count) in {
+        "day": ("daily", F.lit(None).cast("string"), "daily_count"),
+        "hour": ("hourly", F.col("hour").cast("string"), "hourly_count"),
+        "1min": ("by1min", F.col("minute").cast("string"), "1min_count"),
+    }.items():
+        table = readers.read_counts(spark, f"{path}/{folder}", dates=dates)
+        columns = ["folder_name", "user_id", "place_id", "floor_name", "network_id", "unit_id"]
+        part = table.select(F.lit(grain).alias("grain"), F.col("date").cast("string").alias("date"), bucket.alias("bucket"), *columns, F.col(count).alias("devices"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _days(spark, sf_dir, step):
+    """Every ``step``-th day of the table."""
+    first, last = demo.day_range(spark, sf_dir)
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr(f"interval {step} days"))))
+    return [str(r[0]) for r in days.collect()]  # bounded by the calendar
+
+
+def _footfall_days(spark, sf_dir):
+    """A job for every second day, of which every fourth is read: days pass from the log's scan to the tables' folders."""
+    path = shared_path(spark, "footfall")
+    jobs.footfall_job(demo.raw_log(spark, sf_dir), demo.network(spark), path, dates=_days(spark, sf_dir, 2))
+    return _all_counts(spark, path, _days(spark, sf_dir, 4))
+
+
+def _sightings_salted(spark, sf_dir):
+    return build_sightings(demo.raw_log(spark, sf_dir), demo.network(spark), broadcast_rows=0)
+
+
+def _model_status(spark, sf_dir):
+    """Ten rows per series: places with eight sensors have too few for any lag."""
+    grid = TimeGrid("10min", "09:00:00", "10:40:00")
+    built, spine, keys = _panel_parts(spark, sf_dir, grid)
+    return var.model_status(var.var_fit(materialize(built), spine, keys), keys).fillna(0, ["lag"])
 
 
 # -------------------------------------------------------------------------- panels
@@ -127,10 +167,38 @@ def _publish_popularity(spark, sf_dir):
     popular = materialize(_degree_popularity(spark, sf_dir))
     jobs.publish_popularity(popular, demo.network(spark), path)
     jobs.publish_popularity(popular.where(F.col("date") == demo.day_range(spark, sf_dir)[0]), demo.network(spark), path)
-    back = readers.read_published(spark, path, schemas.popularity_schema("day", "unit_id"))
+    back = readers.read_published(spark, jobs.published_path(popular, path), schemas.popularity_schema("day", "unit_id"))
     return back.withColumn("date", F.col("date").cast("string"))
 
 
+def _publish_all(spark, sf_dir):
+    """Daily and hourly, place and floor popularity under one root; all of it read back.
+
+    Daily results of all days are published, then the first day once more; the hourly ones are
+    those of a run of the first day.
+    """
+    path, found = shared_path(spark, "popular_area"), None
+    first, listed = demo.day_range(spark, sf_dir)[0], demo.network(spark)
+    for hourly in (False, True):
+        for by_floor in (False, True):
+            keys = panel.group_keys(by_floor, hourly)
+            popular = materialize(network.popularity(demo.arrival_edges(spark, sf_dir, by_floor, hourly), keys))
+            if not hourly:
+                jobs.publish_popularity(popular, listed, path)
+            jobs.publish_popularity(popular.where(F.col("date") == first), listed, path)
+            grain = "hour" if hourly else "day"
+            back = readers.read_published(spark, jobs.published_path(popular, path), schemas.popularity_schema(grain, "unit_id"))
+            back = back.select(
+                F.lit(grain).alias("grain"),
+                F.lit("floor" if by_floor else "all").alias("area"),
+                F.col("date").cast("string").alias("date"),
+                (F.col("hour").cast("int") if hourly else F.lit(-1)).alias("hour"),
+                *("user_id", "place_id", "floor_name", "unit_id", "popular_area"),
+            )
+            found = back if found is None else found.unionByName(back)
+    return found
+
+
 def _result_csv(spark, sf_dir):
     path = shared_path(spark, "centrality")
     writers.write_result_by_day(_degree_popularity(spark, sf_dir), path, ["date", "place_id", "unique_id"])
@@ -244,9 +312,14 @@ def registered() -> dict[str, Query]:
         "network_check": _network_check,
         **{f"footfall_{grain}": _footfall(grain) for grain in ("day", "hour", "30min", "10min", "1min")},
         "footfall_job": _footfall_job,
+        "footfall_days": _footfall_days,
+        "sightings_salted": _sightings_salted,
+        "model_status": _model_status,
+        "publish_all": _publish_all,
         **{f"footfall_gps_{grain}": _footfall_gps(grain) for grain in ("day", "hour", "1min")},
         "panel_dense": _panel_dense,
         "panel_clipped": _sparse_rows(TimeGrid("1min", "09:30:00", "18:00:00")),
+        "panel_clipped_dense": _dense(TimeGrid("10min", "09:30:00", "18:00:00")),
         "panel_resampled": _dense(TimeGrid("50min")),
         "panel_grouped_all": _dense(DAY, "network_id"),
         "panel_grouped_floor": _dense(DAY, "network_id", by_floor=True),
@@ -282,6 +355,10 @@ def registered() -> dict[str, Query]:
         "var_loglik": _models(lambda m, k: _rounded(var.var_loglik(m, k), 5, "loglik")),
         "var_ic": _models(lambda m, k: _rounded(_rounded(var.var_ic(m, k), 7, "aic", "bic", "hqic"), 5, "loglik")),
         "var_select_order": _models(lambda m, k: _rounded(var.var_select_order(m, k), 7, "hqic")),
+        "var_select_aic": _models(lambda m, k: _rounded(var.var_select_order(m, k, "aic"), 7, "aic")),
+        "var_select_bic": _models(lambda m, k: _rounded(var.var_select_order(m, k, "bic"), 7, "bic")),
+        "impulse_response_selected": _models(lambda m, k: _rounded(var.impulse_response(m, k, 10, orth=True), 7, "value")),
+        "fevd_selected": _models(lambda m, k: _rounded(var.fevd(m, k, 10), 7, "share")),
         "sparse_var_fit": _models(
             lambda m, k: _rounded(var.var_coefficients(m, k).where("lag > 0"), 6, "coef"), sparse=True, lags=1
         ),

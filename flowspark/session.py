@@ -40,4 +40,18 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = shared_path(df.sparkSession, "stage")
     df.write.parquet(path)
+    _STAGES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_STAGES: list[str] = []
+
+
+def release_stages(spark: SparkSession) -> int:
+    """Delete the tables ``materialize`` has written in this session; call it when no result that reads them is needed any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    released = 0
+    while _STAGES:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        released += path.getFileSystem(conf).delete(path, True)
+    return released

@@ -326,3 +326,88 @@ def test_predictions_cover_every_row(fitted, series):
     want = sum((len(y) - lags[key]) * y.shape[1] for key, y in series.items())
     assert predicted.count() == want
     assert densify(panel, spine, KEYS).count() == sum(y.size for y in series.values())
+
+
+def sparse_counts(rng, rows, k):
+    """Few counts, some columns equal or silent: systems of low rank."""
+    y = (rng.random((rows, k)) < 0.06) * rng.integers(1, 3, (rows, k))
+    y[:, k - 1] = y[:, 0]
+    if k > 3:
+        y[:, k - 2] = 0
+    return y.astype(float)
+
+
+def moments_of(y, lag):
+    x, b = design(y, lag, lag)
+    return x.T @ x, x.T @ b, b.T @ b, len(x)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_singular_models_do_not_depend_on_member_order(seed):
+    rng = np.random.default_rng(seed)
+    k, lag = int(rng.integers(2, 7)), int(rng.integers(1, 4))
+    y = sparse_counts(rng, 60, k)
+    gram, rhs, target, n = moments_of(y, lag)
+    beta = dense.solve_least_squares(gram, rhs)
+    residual = dense.least_squares_residual(gram, rhs, target)
+    loglik = dense.gaussian_loglik(residual / n, n)
+    assert np.allclose(beta, np.linalg.pinv(gram, rcond=1e-10) @ rhs, atol=1e-8)
+    for _ in range(4):
+        order = rng.permutation(k)
+        g2, r2, t2, _ = moments_of(y[:, order], lag)
+        again = dense.solve_least_squares(g2, r2)
+        columns = np.concatenate([np.concatenate([a * k + order for a in range(lag)]), [lag * k]])
+        assert np.allclose(again, beta[columns][:, order], atol=1e-8)
+        left = dense.least_squares_residual(g2, r2, t2)
+        assert np.allclose(left, residual[np.ix_(order, order)], atol=1e-9)
+        assert math.isclose(dense.gaussian_loglik(left / n, n), loglik, rel_tol=1e-9)
+
+
+def test_lag_choice_of_singular_groups_ignores_names(spark):
+    rng = np.random.default_rng(3)
+    series = {(f"d{i}", "p"): sparse_counts(rng, 40, 4).astype(int) for i in range(6)}
+    turned = {key: y[:, ::-1] for key, y in series.items()}
+    found = []
+    for given in (series, turned):
+        models = var.var_fit(*make(spark, given), KEYS, maxlag=4)
+        found.append({r["date"]: (r["lag"], [None if v is None else round(v, 6) for v in r["loglik"]]) for r in models.collect()})
+    assert found[0] == found[1]
+
+
+def test_unconverged_models_say_so(spark):
+    panel, spine = make(spark, {("d", "p"): walk(1, 60, 3)})
+    models = var.sparse_var_fit(panel, spine, KEYS, lags=1, max_iter=1)
+    assert [r["status"] for r in var.model_status(models, KEYS).collect()] == ["not converged"]
+    assert var.var_coefficients(models, KEYS).count() == 0
+    assert [r["status"] for r in var.sparse_var_fit(panel, spine, KEYS, lags=1).collect()] == ["fitted"]
+
+
+def test_causality_from_one_inverse_equals_solving_again(spark, monkeypatch):
+    panel, spine = make(spark, {("d", "p"): walk(4, 80, 4)})
+    quick = {(r["causing"], r["caused"]): r["chi2"] for r in var.granger_pairs(panel, spine, KEYS, lags=2).collect()}
+    y, names = ordered(walk(4, 80, 4))
+    x, b = design(y, 2, 2)
+    rss = lambda x: ((b - x @ np.linalg.lstsq(x, b, rcond=None)[0]) ** 2).sum(axis=0)
+    full, spare = rss(x), len(x) - 4 * 2 - 1
+    for c in range(4):
+        less = rss(np.delete(x, [c, 4 + c], axis=1))
+        for d in range(4):
+            if c != d:
+                assert quick[names[c], names[d]] == pytest.approx((less[d] - full[d]) * spare / full[d], rel=1e-6)
+
+
+def test_one_solve_feeds_all_coefficients(spark, capsys):
+    panel, spine = make(spark, {("d", "p"): walk(1, 60, 3)})
+    var.var_coefficients(var.var_fit(panel, spine, KEYS, lags=1), KEYS).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInPandas") == 2  # the sums of blocks, the solve
+
+
+def test_shares_take_one_shuffle(spark, capsys):
+    from flowspark.session import materialize
+
+    panel, spine = make(spark, {("d", "p"): walk(1, 60, 3)})
+    models = materialize(var.var_fit(panel, spine, KEYS, lags=1))
+    capsys.readouterr()
+    var.fevd(models, KEYS, 3).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1

@@ -116,11 +116,15 @@ def test_analysis_tables_are_written(site, spark, tmp_path):
     by1min, network, runs = site
     result = jobs.analyze(by1min, network, runs, TimeGrid("1min", "08:00:00", "10:00:00", hourly=True), influence_area="floor", depth=3)
     jobs.write_analysis(result, str(tmp_path))
-    assert {entry.name for entry in tmp_path.iterdir()} == {"var_model_coefficient", "causality", "centrality", "migration_2", "migration_3"}
-    edges = spark.read.option("header", True).csv(str(tmp_path / "causality"))
+    by_floor, by_place = tmp_path / "hourly" / "SEPARATE", tmp_path / "hourly" / "ALL"
+    assert {entry.name for entry in by_floor.iterdir()} == {"input_data", "model_status", "var_model_coefficient", "causality", "migration_2", "migration_3"}
+    assert [entry.name for entry in by_place.iterdir()] == ["centrality"]
+    status = spark.read.option("header", True).csv(str(by_floor / "model_status"))
+    assert status.count() == 2 * 2 * 2 and {r["status"] for r in status.collect()} == {"fitted"}
+    edges = spark.read.option("header", True).csv(str(by_floor / "causality"))
     assert {r["date"] for r in edges.where("day = '2024-01-01'").collect()} == {f"{DAY} 08:00:00", f"{DAY} 09:00:00"}
     assert edges.count() == 2 * 2 * 2 * 4
-    centrality = spark.read.option("header", True).csv(str(tmp_path / "centrality"))
+    centrality = spark.read.option("header", True).csv(str(by_place / "centrality"))
     assert set(centrality.columns) == {"date", "hour", "unique_id", "popular_area", "place_id", "day"}
 
 

@@ -24,7 +24,7 @@ def popularity(spark, value, days=DAYS):
 
 
 def published(spark, path):
-    back = readers.read_published(spark, path, schemas.popularity_schema("day", "unit_id"))
+    back = readers.read_published(spark, f"{path}/daily/ALL/popular_area", schemas.popularity_schema("day", "unit_id"))
     return {(str(r["date"]), r["user_id"], r["floor_name"], r["unit_id"]): r["popular_area"] for r in back.collect()}
 
 
@@ -46,7 +46,7 @@ def test_hourly_publication(spark, network, tmp_path):
     path = str(tmp_path / "popular")
     hourly = popularity(spark, 0.5).withColumn("hour", F.lit(7)).withColumn("floor_name", F.lit("10F"))
     jobs.publish_popularity(hourly, network, path)
-    back = readers.read_published(spark, path, schemas.popularity_schema("hour", "unit_id"))
+    back = readers.read_published(spark, f"{path}/hourly/SEPARATE/popular_area", schemas.popularity_schema("hour", "unit_id"))
     assert {(r["hour"], r["floor_name"]) for r in back.collect()} == {(7, "10F")}
 
 
@@ -101,3 +101,32 @@ def test_checkpoint_folder_follows_the_session(spark):
     first = spark.sparkContext.getCheckpointDir()
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() == first
+
+
+def test_publication_refuses_runs_with_groups_without_a_model(spark, network, tmp_path):
+    status = spark.createDataFrame([(DAYS[0], "P0", "fitted"), (DAYS[1], "P0", "too few rows")], "date string, place_id string, status string")
+    path = str(tmp_path / "popular")
+    with pytest.raises(ValueError, match="2024-01-02, P0, too few rows"):
+        jobs.publish_popularity(popularity(spark, 0.5), network, path, status=status)
+    assert not (tmp_path / "popular").exists()
+    jobs.publish_popularity(popularity(spark, 0.5), network, path, status=status.limit(1))
+    assert len(published(spark, path)) == 4
+
+
+def test_grains_and_areas_do_not_replace_each_other(spark, network, tmp_path):
+    path = str(tmp_path / "popular")
+    by_floor = popularity(spark, 0.7).withColumn("floor_name", F.when(F.col("unique_id") == "A", "1F").otherwise("10F"))
+    jobs.publish_popularity(popularity(spark, 0.5), network, path)
+    jobs.publish_popularity(by_floor, network, path)
+    jobs.publish_popularity(popularity(spark, 0.9).withColumn("hour", F.lit(3)), network, path)
+    assert set(published(spark, path).values()) == {0.5}
+    back = readers.read_published(spark, f"{path}/daily/SEPARATE/popular_area", schemas.popularity_schema("day", "unit_id"))
+    assert {r["popular_area"] for r in back.collect()} == {0.7}
+
+
+def test_stages_are_released(spark):
+    from flowspark.session import materialize, release_stages
+
+    kept = materialize(spark.range(5).toDF("n"))
+    assert kept.count() == 5 and release_stages(spark) >= 1
+    assert release_stages(spark) == 0
