@@ -24,10 +24,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import stage
+from flowspark.llm.common import give_back, stage
 
 LENGTH = 50
 SEED = 20
@@ -35,10 +36,13 @@ WINDOW = LENGTH - SEED + 1
 #: Bytes hashed at once, bytes of text in a shard of texts, bytes in a suffix shard.
 CHUNK = 1 << 18
 TEXT_SHARD = 4 << 20
-SUFFIX_SHARD = 4 << 20
+SUFFIX_SHARD = 1 << 19
 #: Texts from which a piece counts as very common.
 COMMON = 512
 NO_ID = np.iinfo(np.int64).max
+#: Bytes of text that a task gathers before it sends them, packed by shard; texts hashed at once.
+GATHERED = 16 << 20
+LOT = 1000
 LANES = 4096
 _HASH = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _MIX = [np.uint64(x | 1) for x in np.random.default_rng(11).integers(1, 1 << 63, 8, dtype=np.int64).tolist()]
@@ -160,12 +164,11 @@ class SuffixShard:
         heads = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if group.size else np.zeros(0, np.int64)
         self.group = np.cumsum(np.concatenate(([0], group[1:] != group[:-1]))) if group.size else group
         self.least = np.minimum.reduceat(ids[self.owner], heads) if heads.size else np.zeros(0, np.int64)
-        # the strings themselves, for merging with other shards; fixed-size bytes compare as bytes here
-        at = self.place[heads]
-        self.strings = raw[at[:, None] + np.arange(LENGTH)].copy() if heads.size else np.zeros((0, LENGTH), np.uint8)
+        self.raw, self.heads = raw, self.place[heads]
 
     def sorted_strings(self) -> np.ndarray:
-        return _comparable(self.strings)
+        """The different strings in order, for merging with other shards."""
+        return _comparable(self.raw[self.heads[:, None] + np.arange(LENGTH)])
 
     def masks(self, ids: np.ndarray, least: np.ndarray) -> np.ndarray:
         """For each context a bit per string that is in a smaller document."""
@@ -315,8 +318,39 @@ def _runs(parts):
     return numbers, heads + shift, stop + shift, hashes[piece[heads]]
 
 
+# --- packed rows: arrays and byte strings in one compressed value ---
+
+
+def _pack(arrays: list[np.ndarray], strings: list[bytes]) -> bytes:
+    sizes = np.array([len(x) for x in strings], np.int64)
+    head = np.array([len(arrays), len(strings), *map(len, arrays)], np.int64)
+    body = b"".join([head.tobytes(), *(a.astype(np.int64).tobytes() for a in arrays), sizes.tobytes(), *strings])
+    return zstandard.ZstdCompressor(level=3).compress(body)
+
+
+def _unpack(value) -> tuple[list[np.ndarray], list[bytes]]:
+    body = zstandard.ZstdDecompressor().decompress(value.as_buffer())
+    count, n = np.frombuffer(body, np.int64, 2).tolist()
+    lengths = np.frombuffer(body, np.int64, count, 16).tolist()
+    at, arrays = 16 + 8 * count, []
+    for length in [*lengths, n]:
+        arrays.append(np.frombuffer(body, np.int64, length, at))
+        at += 8 * length
+    ends = (at + np.cumsum(arrays.pop())).tolist()
+    return arrays, [body[a:b] for a, b in zip([at, *ends], ends)]
+
+
+# --- the rounds ---
+
+
+def _piece_key(hashes: np.ndarray) -> np.ndarray:
+    """48 bits of a piece's hash; that two pieces share a key costs a look and changes nothing."""
+    return (hashes >> np.uint64(16)).astype(np.int64)
+
+
 def _string_key(string: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "big", signed=True)
+    """A negative key, unlike those of pieces."""
+    return -1 - (int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "big") >> 1)
 
 
 def _pieces(texts: DataFrame) -> DataFrame:
@@ -325,135 +359,140 @@ def _pieces(texts: DataFrame) -> DataFrame:
     def run(batches):
         seen = set()
         for batch in batches:
-            tids, found = [], []
-            for tid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if tid not in seen:
-                    seen.add(tid)
-                    tids.append(tid)
-                    found.append(text.as_buffer().to_pybytes())
-            which, _, _, keys = owned_runs(found)
-            numbers = np.array(tids, np.int64)[which]
-            for i in range(0, keys.size, 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 18)].view(np.int64)), pa.array(numbers[i : i + (1 << 18)])], names=["key", "tid"])
+            for lot in range(0, batch.num_rows, LOT):
+                part = batch.slice(lot, LOT)
+                tids, found = [], []
+                for tid, text in zip(part.column(0).to_pylist(), part.column(1)):
+                    if tid not in seen:
+                        seen.add(tid)
+                        tids.append(tid)
+                        found.append(text.as_buffer().to_pybytes())
+                which, _, _, hashes = owned_runs(found)
+                yield pa.RecordBatch.from_arrays([pa.array(_piece_key(hashes)), pa.array(np.array(tids, np.int64)[which])], names=["key", "tid"])
+            give_back()
 
     return texts.select("tid", "raw").mapInArrow(run, "key long, tid long")
 
 
-def _once_per_task(texts: DataFrame) -> DataFrame:
-    """Drop texts that the same task has seen: copies of one text do not all travel."""
+def _packed_texts(texts: DataFrame, shards: int) -> DataFrame:
+    """Texts packed by shard: a task's copies of one text travel once."""
 
     def run(batches):
-        seen = set()
+        seen, held, size = set(), {}, 0
+
+        def flush():
+            blobs = [_pack([np.array([t for t, _ in part], np.int64)], [x for _, x in part]) for part in held.values()]
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
+
         for batch in batches:
-            keep = []
-            for tid in batch.column(0).to_pylist():
-                keep.append(tid not in seen)
-                seen.add(tid)
-            yield batch.filter(pa.array(keep))
-
-    return texts.mapInArrow(run, texts.schema)
-
-
-_PARTS = "kind int, shard int, number int, tid long, id long, key long, raw binary, runs binary"
-
-
-def _contexts(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One shard of texts with its shared pieces: distinct contexts (kind 0), and texts that have any with their runs (kind 1)."""
-    keys = right.column("key").to_numpy(zero_copy_only=False)
-    firsts = right.column("tid").is_valid().to_numpy(zero_copy_only=False)
-    least = dict(zip(right.column("tid").filter(firsts).to_pylist(), right.column("id").filter(firsts).to_pylist()))
-    shared = right.filter(pa.array(~firsts))
-    keys = shared.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
-    by = np.argsort(keys)
-    keys, common = keys[by], shared.column("common").to_numpy(zero_copy_only=False).astype(bool)[by]
-    texts: dict[int, bytes] = {}
-    for tid, raw in zip(left.column("tid").to_pylist(), left.column("raw")):
-        if tid not in texts:
-            texts[tid] = raw.as_buffer().to_pybytes()
-    rows: dict[str, list] = {n: [] for n in ("kind", "shard", "number", "tid", "id", "key", "raw", "runs")}
-    shard = left.column("shard")[0].as_py() if left.num_rows else 0
-
-    def add(**values):
-        for name in rows:
-            rows[name].append(values.get(name))
-
-    if keys.size and texts:
-        tids = sorted(texts, key=lambda t: (least[t], t))  # the first holder of a context has the smallest id
-        bodies = [texts[t] for t in tids]
-        which, first, last, found = owned_runs(bodies)
-        found = found.view(np.int64)
-        at = np.minimum(np.searchsorted(keys, found), keys.size - 1)
-        hit = keys[at] == found
-        which, first, last, found, hot = which[hit], first[hit], last[hit], found[hit], common[at[hit]]
-        by = np.argsort(which, kind="stable")
-        numbers: dict[tuple[int, bytes], tuple[int, int]] = {}
-        runs: dict[int, list] = {}
-        for w, a, b, k, h in zip(which[by].tolist(), first[by].tolist(), last[by].tolist(), found[by].tolist(), hot[by].tolist()):
-            body, own = bodies[w], least[tids[w]]
-            spans = [(s, s) for s in range(a, b + 1)] if h else [(a, b)]
-            for a, b in spans:
-                context = body[a : b + LENGTH]
-                key = _string_key(context) if h else k
-                number, holder = numbers.setdefault((key, context), (len(numbers), own))
-                runs.setdefault(w, []).append((a, b - a + 1, number if holder == own else -1))
-                if number == len(rows["kind"]):  # a new one
-                    add(kind=0, shard=shard, number=number, id=own, key=key, raw=context)
-        for w, parts in runs.items():
-            add(kind=1, shard=shard, tid=tids[w], id=least[tids[w]], raw=bodies[w], runs=np.array(parts, np.int32).tobytes())
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.table([pa.array(rows[n], k) for n, k in zip(rows, kinds)], names=list(rows))
-
-
-def _decide(batches):
-    """Contexts of a partition in key order to (shard, number, mask); a key's rows stay together in one go."""
-    held: list[pa.Table] = []
-
-    def solve(table):
-        masks = repeated_masks(
-            table.column("key").to_numpy(), [c.as_buffer().to_pybytes() for c in table.column("raw")], table.column("id").to_numpy()
-        )
-        hit = pa.array(masks > 0)
-        return pa.table(
-            [table.column("shard").filter(hit), table.column("number").filter(hit), pa.array(masks[masks > 0].astype(np.int64))],
-            names=["shard", "number", "mask"],
-        ).to_batches()
-
-    size = 0
-    for batch in batches:
-        held.append(pa.Table.from_batches([batch]))
-        size += batch.nbytes
-        if size >= 2 * SUFFIX_SHARD:
-            table = pa.concat_tables(held).combine_chunks()
-            keys = table.column("key").to_numpy()
-            cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
-            if cut:
-                yield from solve(table.slice(0, cut))
-                held = [table.slice(cut)]
-            size = held[0].nbytes if cut else size
-    if held:
-        yield from solve(pa.concat_tables(held).combine_chunks())
+            for tid, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if tid not in seen:
+                    seen.add(tid)
+                    held.setdefault(tid % shards, []).append((tid, raw.as_buffer().to_pybytes()))
+                    size += len(held[tid % shards][-1][1])
+                    if size >= GATHERED:
+                        yield flush()
+                        held, size = {}, 0
+                        give_back()
+        if held:
+            yield flush()
+
+    return texts.select("tid", "raw").mapInArrow(run, "shard int, blob binary")
+
+
+_PARTS = "kind int, shard int, bucket int, blob binary"
+
+
+def _contexts(buckets: int):
+    """A shard's texts and shared pieces to its distinct contexts by bucket (kind 0) and its texts that have any, with their runs (kind 1)."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        firsts = right.column("tid").is_valid().to_numpy(zero_copy_only=False)
+        known = right.filter(pa.array(firsts))
+        least = dict(zip(known.column("tid").to_pylist(), known.column("id").to_pylist()))
+        shared = right.filter(pa.array(~firsts))
+        keys = shared.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
+        by = np.argsort(keys)
+        keys, common = keys[by], shared.column("common").to_numpy(zero_copy_only=False).astype(bool)[by]
+        texts: dict[int, bytes] = {}
+        for blob in left.column("blob"):
+            (tids,), found = _unpack(blob)
+            texts.update(zip(tids.tolist(), found))
+        if keys.size and texts:
+            shard = left.column("shard")[0].as_py()
+            tids = sorted(texts, key=lambda t: (least[t], t))  # the first holder of a context has the smallest id
+            bodies = [texts[t] for t in tids]
+            which, first, last, hashes = owned_runs(bodies)
+            piece = _piece_key(hashes)
+            at = np.minimum(np.searchsorted(keys, piece), keys.size - 1)
+            hit = keys[at] == piece
+            which, first, last, piece, hot = which[hit], first[hit], last[hit], piece[hit], common[at[hit]]
+            by = np.argsort(which, kind="stable")
+            numbers: dict[tuple[int, bytes], tuple[int, int]] = {}
+            runs: list[tuple[int, int, int, int]] = []
+            for w, a, b, k, h in zip(which[by].tolist(), first[by].tolist(), last[by].tolist(), piece[by].tolist(), hot[by].tolist()):
+                body, own = bodies[w], least[tids[w]]
+                for start, stop in [(s, s) for s in range(a, b + 1)] if h else [(a, b)]:
+                    context = body[start : stop + LENGTH]
+                    number, holder = numbers.setdefault((_string_key(context) if h else k, context), (len(numbers), own))
+                    runs.append((w, start, stop - start + 1, number if holder == own else -1))
+            own_keys = np.array([k for k, _ in numbers], np.int64)
+            ids = np.array([i for _, i in numbers.values()], np.int64)
+            contexts = [c for _, c in numbers]
+            bucket = own_keys % buckets
+            order = np.argsort(bucket, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                rows.append((0, shard, int(bucket[part[0]]), _pack([own_keys[part], part, ids[part]], [contexts[i] for i in part])))
+            table = np.array(runs, np.int64).reshape(-1, 4)
+            used, table[:, 0] = np.unique(table[:, 0], return_inverse=True)
+            rows.append((1, shard, None, _pack([np.array([tids[w] for w in used], np.int64), *table.T], [bodies[w] for w in used])))
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        give_back()
+        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["kind", "shard", "bucket", "blob"])
+
+    return run
+
+
+def _decide(table: pa.Table) -> pa.Table:
+    """Contexts of a bucket to (shard, number, mask) where something repeats."""
+    keys, numbers, ids, shards, contexts = [], [], [], [], []
+    for shard, blob in zip(table.column("shard").to_pylist(), table.column("blob")):
+        (k, n, i), found = _unpack(blob)
+        keys.append(k), numbers.append(n), ids.append(i), shards.append(np.full(k.size, shard))
+        contexts += found
+    keys, numbers, ids, shards = (np.concatenate(x) for x in (keys, numbers, ids, shards))
+    by = np.argsort(keys, kind="stable")
+    masks = repeated_masks(keys[by], [contexts[i] for i in by], ids[by])
+    hit = masks > 0
+    give_back()
+    columns = [shards[by][hit].astype(np.int32), numbers[by][hit].astype(np.int32), masks[hit].astype(np.int64)]
+    return pa.table(columns, names=["shard", "number", "mask"])
 
 
 def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
     """Texts of a shard without their repeated bytes."""
     masks = dict(zip(right.column("number").to_pylist(), right.column("mask").to_pylist()))
     out: list[tuple] = []
-    for tid, raw, runs in zip(left.column("tid").to_pylist(), left.column("raw"), left.column("runs")):
-        body = raw.as_buffer().to_pybytes()
-        edges = np.zeros(len(body) + 1, np.int64)
-        for start, count, number in np.frombuffer(runs.as_buffer(), np.int32).reshape(-1, 3).tolist():
+    for blob in left.column("blob"):
+        (tids, which, starts, counts, numbers), bodies = _unpack(blob)
+        edges = [None] * len(bodies)
+        for w, start, count, number in zip(which.tolist(), starts.tolist(), counts.tolist(), numbers.tolist()):
             mask = (1 << count) - 1 if number < 0 else masks.get(number, 0)
-            while mask:
-                bit = (mask & -mask).bit_length() - 1
-                mask &= mask - 1
-                edges[start + bit] += 1
-                edges[start + bit + LENGTH] -= 1
-        gone = np.cumsum(edges[:-1]) > 0
-        removed = int(gone.sum())
-        if removed:
-            spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            kept = np.frombuffer(body, np.uint8)[~gone].tobytes()
-            out.append((tid, removed, spans, kept))
+            if mask and edges[w] is None:
+                edges[w] = np.zeros(len(bodies[w]) + 1, np.int32)
+            while mask:  # stretches of strings that follow each other
+                low = (mask & -mask).bit_length() - 1
+                run = (~(mask >> low) & -~(mask >> low)).bit_length() - 1
+                mask &= ~(((1 << run) - 1) << low)
+                edges[w][start + low] += 1
+                edges[w][start + low + run - 1 + LENGTH] -= 1
+        for tid, body, edge in zip(tids.tolist(), bodies, edges):
+            if edge is not None:
+                gone = np.cumsum(edge[:-1]) > 0
+                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                out.append((tid, int(gone.sum()), spans, np.frombuffer(body, np.uint8)[~gone].tobytes()))
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     columns = list(zip(*out)) if out else [[], [], [], []]
     return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["tid", "n_removed", "n_spans", "kept"])
@@ -485,12 +524,12 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
     )
     least = stage(ids.groupBy("tid").agg(F.min("id").alias("first_id")))
     firsts = least.select(shard, "tid", F.col("first_id").alias("id"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("boolean").alias("common"))
-    texts = _once_per_task(long_).select(shard, "tid", "raw")
-    parts = stage(texts.groupBy("shard").cogroup(shared.unionByName(firsts).groupBy("shard")).applyInArrow(_contexts, _PARTS))
-    contexts = parts.filter("kind = 0").select("key", "id", "shard", "number", "raw")
-    partitions = max(1, math.ceil(size / (4 * TEXT_SHARD)))
-    masks = contexts.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(_decide, "shard int, number int, mask long")
-    held = parts.filter("kind = 1").select("shard", "tid", "raw", "runs")
+    texts = _packed_texts(long_, shards)
+    buckets = shards
+    parts = texts.groupBy("shard").cogroup(shared.unionByName(firsts).groupBy("shard")).applyInArrow(_contexts(buckets), _PARTS)
+    parts = stage(parts)
+    masks = parts.filter("kind = 0").select("bucket", "shard", "blob").groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long")
+    held = parts.filter("kind = 1").select("shard", "blob")
     cut = held.groupBy("shard").cogroup(masks.groupBy("shard")).applyInArrow(_cut, "tid long, n_removed long, n_spans long, kept binary")
     if with_text:
         cut = stage(cut)
