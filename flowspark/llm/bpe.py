@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose tokens a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Texts are normalised and cut into words in runs of about so many characters.
 RUN = 1 << 18
 

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import stage
+from flowspark.llm.common import give_back, stage
 from flowspark.llm.components import components
 
 BITS = 64
@@ -146,6 +146,7 @@ def similar_groups(
             found = [shingle_hashes(t.as_py(), words) for t in batch.column(2)]
             bands = [wide_fingerprint(h, lanes) if h.size else None for h in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "tid", "bands"])
+            give_back()
 
     prints = stage(base.mapInArrow(run, f"doc_id {kind}, tid long, bands array<long>"))
     nodes = prints.groupBy("tid").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
@@ -175,6 +176,7 @@ def similar_groups(
         for batch in batches:
             found = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
+            give_back()
 
     named = base.join(wanted, F.col("doc_id") == F.col("_node"), "left_semi")
     sets = stage(named.select("doc_id", "text").mapInArrow(shingles, f"node {kind}, shingles binary").dropDuplicates(["node"]))

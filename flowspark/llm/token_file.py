@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowspark.llm.bpe import Memory
+from flowspark.llm.common import give_back
 from flowspark.session import shared_path
 
 MAGIC = b"IDS1"
@@ -303,6 +304,7 @@ def write_tokens(docs: DataFrame, path: str, to: str, end_id: int = 2, doc_id: s
                 size += held[-1].size
                 if size >= FRAME:
                     yield flush()
+                    give_back()
                     held, names, size, frame = [], [], 0, frame + 1
         if held:
             yield flush()
@@ -329,6 +331,7 @@ def read_tokens(spark: SparkSession, path: str, digests: bool = False) -> DataFr
                 else:
                     last = pa.array([f.astype(np.int64) for f in found], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([names.values, pa.array(starts), pa.array(sizes), last], names=["doc_id", "start", "n_tokens", "last"])
+                give_back()
 
     kind = table.schema["doc_ids"].dataType.elementType.simpleString()
     out = frames.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, last {'long' if digests else 'array<long>'}")

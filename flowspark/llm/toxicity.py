@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import stage
+from flowspark.llm.common import give_back, stage
 
 #: Labelled rows that the vocabulary is learned from, and examples in the index, half of either label.
 MOST_LABELLED = 20_000
@@ -147,6 +147,7 @@ def _document_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[np.ndar
                 rows += 1
                 for w in numbers.keys() & set(terms(text.as_py())):
                     count[numbers[w]] += 1
+            give_back()
         hit = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1)), pa.array(np.append(count[hit], rows))], names=["term", "n"])
 
@@ -280,5 +281,6 @@ def drop_toxic(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
         own = shared.value
         for batch in batches:
             yield batch.filter(pa.array([own.score(t.as_py())[0] < 0.5 for t in batch.column(place)], pa.bool_()))
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)
