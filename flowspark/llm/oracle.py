@@ -47,8 +47,8 @@ WITH words AS (
   SELECT doc_id, lang, source, base_failed, m.metric, m.least, m.v
   FROM (SELECT *, unnest([
       {'metric': 'symbols', 'least': 100, 'v': CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END},
-      {'metric': 'dup_lines', 'least': 300, 'v': CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END},
-      {'metric': 'repeat_words', 'least': 200, 'v': CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END},
+      {'metric': 'dup_lines', 'least': 400, 'v': CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END},
+      {'metric': 'repeat_words', 'least': 300, 'v': CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END},
       {'metric': 'word_length', 'least': 600, 'v': CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END}]) AS m FROM flagged)
 ), cells AS (
   SELECT lang, source, metric, least, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS cell, count(*) AS n
@@ -65,7 +65,7 @@ WITH words AS (
   GROUP BY lang, metric
 ), limits AS (
   SELECT f.lang, f.source, f.metric,
-    CASE WHEN f.rows >= 100 THEN f.q3 + greatest(3 * (f.q3 - f.q1), f.least) WHEN c.rows >= 100 THEN c.q3 + greatest(3 * (c.q3 - c.q1), c.least) END AS high
+    CASE WHEN f.rows >= 30 THEN f.q3 + greatest(3 * (f.q3 - f.q1), f.least) WHEN c.rows >= 30 THEN c.q3 + greatest(3 * (c.q3 - c.q1), c.least) END AS high
   FROM fine f JOIN coarse c ON f.lang IS NOT DISTINCT FROM c.lang AND f.metric = c.metric
 ), verdicts AS (
   SELECT doc_id, coalesce(bool_or(v > high), false) AS above

@@ -18,8 +18,8 @@ WINDOW = 8
 #: Metric: (column that divides it, scale, least distance of the limit from the upper quartile).
 METRICS = {
     "symbols": ("n_symbols", "word_chars", 1000, 100),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300),
-    "repeat_words": ("n_repeat_words", "n_words", 1000, 200),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 400),
+    "repeat_words": ("n_repeat_words", "n_words", 1000, 300),
     "word_length": ("word_chars", "n_words", 100, 600),
 }
 
@@ -117,7 +117,7 @@ def fences(sketches: DataFrame, groups: list[str], spread: int = 3) -> DataFrame
     )
 
 
-def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_rows: int = 100) -> DataFrame:
+def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_rows: int = 30) -> DataFrame:
     """Counts of every document, ``base_failed`` and ``kept``; the text itself is dropped.
 
     Base rule: under 20 words, or over 30 % of the words in repeated windows. The other
