@@ -509,7 +509,7 @@ def impulse_response(
 def fevd(models: DataFrame, keys: Sequence[str], horizon: int = 30) -> DataFrame:
     """Share of each member's forecast-error variance owed to each source.
 
-    Null where a member has no error variance at all.
+    Null where a member has no error variance at all (nothing above what rounding leaves).
     """
     # dealt by receiver: both windows find their rows together
     partitions = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -517,9 +517,9 @@ def fevd(models: DataFrame, keys: Sequence[str], horizon: int = 30) -> DataFrame
     so_far = Window.partitionBy(*keys, "dst", "src").orderBy("horizon").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys, "dst", "horizon")
     variance = F.sum(F.col("value") * F.col("value")).over(so_far) * F.col("pivot")
-    return responses.withColumn("variance", variance).select(
-        *keys, "horizon", "src", "dst", F.try_divide("variance", F.sum("variance").over(whole)).alias("share")
-    )
+    shared = responses.withColumn("variance", variance).withColumn("whole", F.sum("variance").over(whole))
+    share = F.when(F.col("whole") > 1e-18, F.col("variance") / F.col("whole"))
+    return shared.select(*keys, "horizon", "src", "dst", share.alias("share"))
 
 
 def granger_pairs(

@@ -245,7 +245,7 @@ grown AS (
   SELECT resp_of.*, sum(w * w) OVER (PARTITION BY resp_of.g, dst, resp_of.src ORDER BY h) * d AS e
   FROM resp_of JOIN scales ON scales.g = resp_of.g AND scales.src = resp_of.src),
 shares AS (SELECT g, h, dst, src, e, sum(e) OVER (PARTITION BY g, h, dst) AS whole FROM grown)
-SELECT {named}, CASE WHEN whole > 0 THEN round_even(e / whole, 7) + 0.0 END AS share FROM shares {joined.format("shares")}
+SELECT {named}, CASE WHEN whole > 1e-18 THEN round_even(e / whole, 7) + 0.0 END AS share FROM shares {joined.format("shares")}
 """,
     }
 
