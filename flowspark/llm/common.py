@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import math
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,7 +17,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's folder, where they see it; else it must be installed there."""
+    root, known = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(":"):
+        known["PYTHONPATH"] = ":".join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

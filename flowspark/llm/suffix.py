@@ -368,7 +368,11 @@ def _pieces(texts: DataFrame) -> DataFrame:
                         tids.append(tid)
                         found.append(text.as_buffer().to_pybytes())
                 which, _, _, hashes = owned_runs(found)
-                yield pa.RecordBatch.from_arrays([pa.array(_piece_key(hashes)), pa.array(np.array(tids, np.int64)[which])], names=["key", "tid"])
+                keys = _piece_key(hashes)
+                by = np.lexsort((keys, which))  # a piece that a text repeats is one row
+                keys, which = keys[by], which[by]
+                new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (which[1:] != which[:-1])))[: keys.size]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[new]), pa.array(np.array(tids, np.int64)[which[new]])], names=["key", "tid"])
             give_back()
 
     return texts.select("tid", "raw").mapInArrow(run, "key long, tid long")
