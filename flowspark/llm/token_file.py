@@ -40,7 +40,7 @@ LOW_P, HIGH_P = 64, ONE - 64
 #: Speed of adaptation by half byte: deep contexts are rare and learn fast.
 RATES = (5, 4, 3, 2)
 CONTEXTS = 4096
-_PULL = np.array([[i if i <= s else ONE - 16 + i for i in range(16)] for s in range(16)], np.int32)
+_PULL = np.array([[i if i <= s else ONE - 16 + i for i in range(16)] for s in range(16)], np.int16)
 
 
 class _Writer:
@@ -75,8 +75,8 @@ class _Writer:
 
     def half(self, lanes, starts, value):
         rows = np.arange(lanes.size)
-        start = starts[rows, value]
-        end = np.where(value == 15, ONE, starts[rows, np.minimum(value + 1, 15)])
+        start = starts[rows, value].astype(np.int32)
+        end = np.where(value == 15, ONE, starts[rows, np.minimum(value + 1, 15)].astype(np.int32))
         self._narrow(lanes, start, end - start)
         return value
 
@@ -124,11 +124,13 @@ class _Reader:
 
     def half(self, lanes, starts, _):
         unit, code = self.range[lanes] >> np.uint64(15), self.code[lanes]
-        place = np.minimum(code // unit, np.uint64(ONE - 1)).astype(np.int32)
-        value = (starts <= place[:, None]).sum(axis=1) - 1
+        # both are whole numbers below 2^33, so the quotient's floor is exact
+        place = np.minimum(code.astype(np.float64) / unit.astype(np.float64), ONE - 1).astype(np.int16)
+        below = (starts <= place[:, None]).view(np.uint64) * np.uint64(0x0101010101010101) >> np.uint64(56)  # eight flags each
+        value = (below[:, 0] + below[:, 1]).astype(np.int64) - 1
         rows = np.arange(lanes.size)
-        start = starts[rows, value]
-        end = np.where(value == 15, ONE, starts[rows, np.minimum(value + 1, 15)])
+        start = starts[rows, value].astype(np.int32)
+        end = np.where(value == 15, ONE, starts[rows, np.minimum(value + 1, 15)].astype(np.int32))
         self._narrow(lanes, code, unit, start, end - start)
         return value
 
@@ -141,7 +143,8 @@ def _code(coder, lanes: int, ids: int, halves: int, known: np.ndarray | None) ->
     guess1, sure1 = np.full((lanes, 1024), -1, np.int32), np.zeros((lanes, 1024), np.int8)
     hit2, hit1, alone1 = (np.full((lanes, 17), ONE // 2, np.int32) for _ in range(3))
     weight = np.full(lanes, 16, np.int32)
-    order0 = [np.tile(np.arange(16, dtype=np.int16) * (ONE // 16), (lanes, min(16**j, CONTEXTS), 1)) for j in range(halves)]
+    room = [min(16**j, CONTEXTS) for j in range(halves)]
+    order0 = [np.tile(np.arange(16, dtype=np.int16) * (ONE // 16), (lanes * r, 1)) for r in room]
     before1, before2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     every = np.arange(lanes)
     for t in range(min(ids, BLOCK)):
@@ -184,9 +187,10 @@ def _code(coder, lanes: int, ids: int, halves: int, known: np.ndarray | None) ->
             who, path = lane[asked], np.zeros(asked.size, np.int64)
             for j in range(halves):
                 at = path if j <= 3 else (path * 40503 >> 3) & (CONTEXTS - 1)
-                starts = order0[j][who, at].astype(np.int32)
+                at = who * room[j] + at
+                starts = order0[j].take(at, axis=0)
                 value = coder.half(who, starts, None if real is None else (real[asked] >> 4 * (halves - 1 - j)) & 15)
-                order0[j][who, at] = starts + ((_PULL[value] - starts) >> RATES[min(j, 3)])
+                order0[j][at] = starts + ((_PULL.take(value, axis=0) - starts) >> RATES[min(j, 3)])
                 path = path << 4 | value
             found[asked] = path
         out[:n, t] = found
