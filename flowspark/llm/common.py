@@ -30,8 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from the written table."""
-    return materialize(df)
+    """Write ``df`` once to the shared checkpoint folder and go on from the written table.
+
+    Spark deletes the finished job's shuffle files when the driver's collector finds them unreferenced; it is asked to look
+    now, so that the rounds of an operator do not add up on the executors' disks.
+    """
+    written = materialize(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
 
 
 def give_back() -> None:
