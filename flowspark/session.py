@@ -47,11 +47,18 @@ def materialize(df: DataFrame) -> DataFrame:
 _STAGES: list[str] = []
 
 
-def release_stages(spark: SparkSession) -> int:
-    """Delete the tables ``materialize`` has written in this session; call it when no result that reads them is needed any more."""
+def staged() -> list[str]:
+    """Folders of the tables ``materialize`` has written and nothing has released."""
+    return list(_STAGES)
+
+
+def release_stages(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete tables of ``materialize``, all or those in ``paths``; call it when no result that reads them is needed any more."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     released = 0
-    while _STAGES:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        released += path.getFileSystem(conf).delete(path, True)
+    for name in staged() if paths is None else paths:
+        if name in _STAGES:
+            _STAGES.remove(name)
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            released += path.getFileSystem(conf).delete(path, True)
     return released
