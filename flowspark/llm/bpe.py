@@ -21,8 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowspark.llm.common import give_back
+
 #: Words whose tokens a Python worker remembers, in each of two generations.
-REMEMBERED = 150_000
+REMEMBERED = 80_000
 #: Texts are normalised and cut into words in runs of about so many characters.
 RUN = 1 << 18
 
@@ -84,7 +86,7 @@ class Merges:
                     c = self.rank.get((x, y))
                     if c is not None and x_birth < c < x_end and y_birth < c <= y_end:
                         found = False
-            if len(self._side) >= 2_000_000:
+            if len(self._side) >= 200_000:
                 self._side.clear()
             self._side[left, right] = found
         return found
@@ -392,6 +394,7 @@ def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
         bpe = tokenizer(path)
         for batch in batches:
             found = [bpe.digests(t.as_py()) for t in batch.column(1)]
+            give_back()
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate([pa.int64(), pa.string(), pa.string()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
