@@ -1,11 +1,13 @@
-"""Near duplicates by SimHash fingerprints and ball hashing."""
+"""Near duplicates by SimHash fingerprints and ball hashing, and by similar shingle sets."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import give_back, stage
@@ -15,6 +17,12 @@ BITS = 64
 SEED = 42
 #: Shingles whose bits are unpacked at once.
 BLOCK = 1 << 16
+#: Texts from which the order of shingles is taken, holders among them that make a shingle common, and common shingles known.
+SAMPLED = 10_000
+LEAST_HELD = 4
+MOST_COMMON = 1 << 18
+#: Texts of a bucket that are compared with the others of the bucket in one block.
+CROWD = 512
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -90,7 +98,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# --- similarity beyond a few bits: wide fingerprints, ball hashing by band ---
+# --- similarity beyond a few bits: shingle sets, an exact prefix join ---
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -109,94 +117,121 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64))
 
 
-def wide_fingerprint(hashes: np.ndarray, lanes: int) -> np.ndarray:
-    """SimHash of ``lanes`` times 64 bits of a set of shingle hashes, as 32-bit bands."""
-    out = []
-    for lane in range(lanes):
-        mixed = hashes + np.uint64((lane + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            mixed = (mixed ^ mixed >> np.uint64(shift)) * np.uint64(factor)
-        mixed ^= mixed >> np.uint64(31)
-        counts = np.zeros(BITS, np.int64)
-        for i in range(0, len(mixed), BLOCK):
-            block = mixed[i : i + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8)
-            counts += np.unpackbits(block, axis=1).sum(axis=0, dtype=np.int64)
-        out.append(np.packbits(counts * 2 > len(hashes)).view(">u4").astype(np.int64))
-    return np.concatenate(out)
-
-
-def similar_groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 6
-) -> DataFrame:
+def prefix_size(size: int, similarity: float) -> int:
+    """How many of a set's elements, in an order common to all sets, must hold the first one shared with any set so similar."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
+
+
+class Order:
+    """An order of shingles: those that many texts hold come last, the others by their hash."""
+
+    def __init__(self, common: np.ndarray, holders: np.ndarray):
+        at = np.argsort(common)
+        self.common, self.holders = common[at], holders[at]
+
+    def first(self, hashes: np.ndarray, n: int) -> np.ndarray:
+        """The first ``n`` of distinct hashes."""
+        held = np.zeros(hashes.size, np.int64)
+        if self.common.size:
+            at = np.minimum(np.searchsorted(self.common, hashes), self.common.size - 1)
+            held = np.where(self.common[at] == hashes, self.holders[at], 0)
+        return hashes[np.lexsort((hashes, held))[:n]]
+
+
+def _shingle_order(base: DataFrame, texts: int, words: int) -> Order:
+    """Shingles that several of ``SAMPLED`` texts hold go to the end; any order gives the same groups, this one small buckets."""
+
+    def run(batches):
+        for batch in batches:
+            for t in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(t.as_py(), words).view(np.int64))], names=["shingle"])
+            give_back()
+
+    sample = base.filter(F.pmod(F.col("tid"), F.lit(max(1, texts // SAMPLED))) == 0).dropDuplicates(["tid"]).select("text")
+    held = sample.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_HELD)
+    rows = held.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).collect()  # MOST_COMMON rows
+    return Order(np.array([r["shingle"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64))
+
+
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``doc_id`` and ``component_id`` of every row: documents linked by equal texts or shingle sets with a Jaccard of ``similarity`` or more.
 
-    Two texts so alike differ in a tenth of a fingerprint's bits, too far for a ball around
-    all of it. A wide fingerprint is cut into bands of 32 bits; a text emits the ball of one bit around each band
-    and texts meet where a band differs by two bits or fewer. Where they meet, each is compared with the text of the smallest id and
-    with the one before it, never all with all, and a pair counts when its shingle sets are that similar. Equal texts are one node
-    from the start. Texts without words are linked to equal texts only, and so are rows without
-    an id. An id names one text; of several texts with one id the links of any may be found.
+    Exact: in an order common to all texts, the first shingle that two so similar sets share is among the first
+    ``prefix_size`` of both, so texts meet in the buckets of these shingles. In each bucket all are first
+    compared with the least one; then those of a bucket that are not yet in one group are compared all with all, in blocks, but for
+    pairs that their sizes and places in the order rule out. A pair counts when its whole shingle sets (64-bit hashes) are that similar. Equal
+    texts are one node from the start. Texts without words are linked to equal texts only, and so are texts of which no row has
+    an id. An id names one text; texts with one id are one node.
     """
     body = F.col(text)
     base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("tid"), body.alias("text"))
-    kind = base.schema["doc_id"].dataType.simpleString()
+    prints = stage(base.select("doc_id", "tid"))
+    nodes = stage(prints.groupBy("tid").agg(F.min("doc_id").alias("node")))  # a text is known by its smallest id
+    named = base.filter("doc_id is not null")
+    shared = docs.sparkSession.sparkContext.broadcast(_shingle_order(named, nodes.count(), words))  # MOST_COMMON shingles
 
-    def run(batches):
+    def prefixes(batches):
+        order = shared.value
         for batch in batches:
-            found = [shingle_hashes(t.as_py(), words) for t in batch.column(2)]
-            bands = [wide_fingerprint(h, lanes) if h.size else None for h in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "tid", "bands"])
+            found = [shingle_hashes(t.as_py(), words) for t in batch.column(1)]
+            heads = [order.first(h, prefix_size(h.size, similarity)).view(np.int64) for h in found]
+            heads = [h if f.size else h[:0] for h, f in zip(heads, found)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.size for h in found], pa.int32()), pa.array(heads, pa.list_(pa.int64()))], names=["tid", "size", "head"])
             give_back()
 
-    prints = stage(base.mapInArrow(run, f"doc_id {kind}, tid long, bands array<long>"))
-    nodes = prints.groupBy("tid").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
-    nodes = stage(nodes)  # a text is known by its smallest id
-    masks = F.array(*[F.lit(m).cast("long") for m in [0, *(1 << b for b in range(32))]])
-    met = nodes.filter("bands is not null and node is not null").select("node", F.posexplode("bands").alias("band", "value"))
-    met = met.select("node", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("value")).alias("band"), F.explode(masks).alias("mask"))
-    met = met.select("node", F.col("band").bitwiseXOR(F.col("mask")).alias("variant"))
-    order = Window.partitionBy("variant").orderBy("node")
-    met = met.withColumns({"first": F.first("node").over(order), "prior": F.lag("node").over(order)}).filter("prior < node")
-    pairs = stage(met.select(F.explode(F.array_distinct(F.array("first", "prior"))).alias("a"), F.col("node").alias("b")).distinct())
-
-    # of pairs that met by chance most differ in far more bits than similar ones can
-    bits = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    sides = nodes.filter("bands is not null").select("node", "bands")
-    near = (
-        pairs.join(sides.select(F.col("node").alias("a"), F.col("bands").alias("x")), "a")
-        .join(sides.select(F.col("node").alias("b"), F.col("bands").alias("y")), "b")
-        .filter(bits(F.col("x"), F.col("y")) * 4 <= BITS * lanes)
-        .select("a", "b")
-        .distinct()
-    )
-    near = stage(near)
-    wanted = near.select(F.col("a").alias("_node")).union(near.select("b")).distinct()
+    heads = named.select("tid", "text").mapInArrow(prefixes, "tid long, size int, head array<long>").filter("size > 0")
+    heads = stage(heads.groupBy("tid").agg(F.first(F.struct("size", "head")).alias("x")).select("tid", "x.size", "x.head"))
+    met = heads.select("tid", "size", F.posexplode("head").alias("pos", "shingle"))
+    tally = met.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("tid", "size", "pos")).alias("least"))
+    met = stage(met.join(stage(tally.filter("n > 1")), "shingle"))
+
+    def possible(x: str, y: str) -> Column:
+        """Whether sets of these sizes whose first common shingle has these places can be similar."""
+        size = lambda s: F.col(f"{s}.size")
+        most = 1 + F.least(*[size(s) - F.col(f"{s}.pos") - 1 for s in (x, y)])
+        return (F.least(size(x), size(y)) + 1e-6 >= F.greatest(size(x), size(y)) * similarity) & (most + 1e-6 >= (size(x) + size(y)) * (similarity / (1 + similarity)))
 
     def shingles(batches):
         for batch in batches:
-            found = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
+            found = [shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["tid", "shingles"])
             give_back()
 
-    named = base.join(wanted, F.col("doc_id") == F.col("_node"), "left_semi")
-    sets = stage(named.select("doc_id", "text").mapInArrow(shingles, f"node {kind}, shingles binary").dropDuplicates(["node"]))
-
     def alike(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(common >= similarity * (x.size + y.size - common))
+                keep.append(common + 1e-9 >= similarity * (x.size + y.size - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = (
-        near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", "x", "y")
-    )
-    found = components(joined.mapInArrow(alike, f"a {kind}, b {kind}"))
-    rooted = nodes.select("tid", "node").join(found, "node", "left").select("tid", F.coalesce("component", "node").alias("component_id"))
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The pairs ``a``, ``b`` of texts whose whole sets are similar."""
+        pairs = stage(pairs.distinct())
+        wanted = nodes.join(pairs.select(F.col("a").alias("tid")).union(pairs.select("b")).distinct(), "tid", "left_semi")
+        wanted = wanted.select(F.col("tid").alias("_tid"), "node")
+        texts = named.join(wanted, (F.col("tid") == F.col("_tid")) & (F.col("doc_id") == F.col("node")), "left_semi")
+        sets = stage(texts.select("tid", "text").mapInArrow(shingles, "tid long, shingles binary").dropDuplicates(["tid"]))
+        both = pairs.join(sets.select(F.col("tid").alias("a"), F.col("shingles").alias("x")), "a")
+        both = both.join(sets.select(F.col("tid").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+        return stage(both.mapInArrow(alike, "a long, b long"))
+
+    one = met.select("least", F.struct("tid", "size", "pos").alias("other")).filter("least.tid != other.tid").filter(possible("least", "other"))
+    links = similar(one.select(F.col("least.tid").alias("a"), F.col("other.tid").alias("b")))
+    grouped = components(links).withColumnsRenamed({"node": "tid", "component": "part"})
+    rest = met.filter("n > 2 and least.tid != tid").join(grouped, "tid", "left").withColumn("part", F.coalesce("part", "tid"))
+    rest = stage(rest.select("shingle", "tid", "size", "pos", "part"))
+    mixed = rest.groupBy("shingle").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high")
+    rest = stage(rest.join(mixed.select("shingle", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks")), "shingle"))
+    x = rest.select("shingle", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int").alias("block"), F.struct("tid", "size", "pos", "part").alias("x"))
+    y = rest.select("shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.struct("tid", "size", "pos", "part").alias("y"))
+    on = (x["shingle"] == y["shingle"]) & (x["block"] == y["block"]) & (F.col("x.tid") < F.col("y.tid")) & (F.col("x.part") != F.col("y.part"))
+    more = similar(x.join(y, on & possible("x", "y")).select(F.col("x.tid").alias("a"), F.col("y.tid").alias("b")))
+
+    name = lambda side: nodes.select(F.col("tid").alias(side), F.col("node").alias(f"_{side}"))
+    links = links.union(more).join(name("a"), "a").join(name("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    rooted = nodes.join(components(links), "node", "left").select("tid", F.coalesce("component", "node").alias("component_id"))
     return prints.join(rooted, "tid").select("doc_id", "component_id")
 
 

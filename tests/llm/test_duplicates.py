@@ -254,3 +254,29 @@ def test_masks_whatever_the_shards(room):
     for i, c in enumerate(contexts):
         want = sum(1 << s for s in range(len(c) - 49) if any(keys[j] == keys[i] and ids[j] < ids[i] and c[s : s + 50] in contexts[j] for j in range(60)))
         assert masks[i] == want
+
+
+def test_similar_groups_at_the_border_and_in_crowds(spark):
+    """Every pair at 0.8 or more links: pairs just above and below it, families that share most of their words."""
+    rng = random.Random(21)
+    texts = []
+    for i in range(120):  # a few changed words apart: around 0.75 to 0.9
+        parts = words(rng, 100, 5000).split()
+        texts.append(" ".join(parts))
+        for p in rng.sample(range(5, 95), rng.choice((1, 2, 2, 3))):
+            parts[p] = f"changed{i}_{p}"
+        texts.append(" ".join(parts))
+    for f in range(2):  # a template with room for two words, so a bucket holds texts that are not alike
+        frame = words(rng, 60, 5000).split()
+        for i in range(60):
+            parts, k = list(frame), rng.choice((0, 1, 2, 3, 4, 5))
+            for p in rng.sample(range(60), k):
+                parts[p] = f"w{f}_{i}_{p}" if rng.random() < 0.7 else f"t{p % 3}"
+            texts.append(" ".join(parts))
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    rows = list(zip(order, texts))
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    scores = {(a, c): jaccard(b, d) for a, b in rows for c, d in rows if a < c}
+    assert sum(0.8 <= s < 0.85 for s in scores.values()) > 50 and sum(0.75 <= s < 0.8 for s in scores.values()) > 50
+    assert found == roots(order, [p for p, s in scores.items() if s >= 0.8])
