@@ -15,12 +15,14 @@ from flowspark.llm.common import SPACE, SPACE_CHARS, stage
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-#: Metric: (column that divides it, scale, least distance of the limit from the upper quartile).
+#: Least distance of a limit from the upper quartile: two of the widest cells of values up to 1,023, so that the quartile range decides.
+LEAST = 32
+#: Metric: (counted column, column that divides it, scale, least distance of the limit from the upper quartile).
 METRICS = {
-    "symbols": ("n_symbols", "word_chars", 1000, 100),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 400),
-    "repeat_words": ("n_repeat_words", "n_words", 1000, 300),
-    "word_length": ("word_chars", "n_words", 100, 600),
+    "symbols": ("n_symbols", "word_chars", 1000, LEAST),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, LEAST),
+    "repeat_words": ("n_repeat_words", "n_words", 1000, LEAST),
+    "word_length": ("word_chars", "n_words", 100, LEAST),
 }
 
 

@@ -76,6 +76,23 @@ def test_quality_limits_follow_their_group(spark):
     assert not found.pop(5000) and all(found.values())
 
 
+def test_each_quality_metric_rejects_by_its_group(spark):
+    rng = random.Random(2)
+    some = lambda n, digits=6: [f"w{rng.randrange(10 ** (digits - 1), 10**digits)}" for _ in range(n)]
+    lines = lambda parts, n: "\n".join(" ".join(parts[i : i + n]) for i in range(0, len(parts), n))
+    rows = [(i, lines(some(60), 12)) for i in range(60)]
+    parts = some(100)
+    rows.append((100, " ".join(parts + parts[:8])))  # 16 of 108 words in repeated windows
+    pairs = [" ".join(some(2)) for _ in range(17)]
+    rows.append((101, "\n".join(pairs + pairs[5:8:2] + pairs[9:10])))  # 3 of 20 lines again
+    rows.append((102, lines(some(60, 8), 12)))  # words of nine characters where others have seven
+    rows.append((103, lines([w.replace("w", "#") if i < 24 else w for i, w in enumerate(some(60))], 12)))  # 24 of 420 characters
+    docs = spark.createDataFrame([(*r, "en", "plain") for r in rows], "doc_id int, text string, lang string, source string")
+    found = quality.quality_filter(docs).collect()
+    assert not any(r.base_failed for r in found)
+    assert {r.doc_id for r in found if not r.kept} == {100, 101, 102, 103}
+
+
 def test_index_finds_the_exact_nearest():
     rng = np.random.default_rng(2)
     vectors, labels = [], []
