@@ -174,8 +174,7 @@ def _publish_popularity(spark, sf_dir):
 def _publish_all(spark, sf_dir):
     """Daily and hourly, place and floor popularity under one root; all of it read back.
 
-    Daily results of all days are published, then the first day once more; the hourly ones are
-    those of a run of the first day.
+    Of each, all days are published, then the first day once more: the other days stay as they are.
     """
     path, found = shared_path(spark, "popular_area"), None
     first, listed = demo.day_range(spark, sf_dir)[0], demo.network(spark)
@@ -183,8 +182,7 @@ def _publish_all(spark, sf_dir):
         for by_floor in (False, True):
             keys = panel.group_keys(by_floor, hourly)
             popular = materialize(network.popularity(demo.arrival_edges(spark, sf_dir, by_floor, hourly), keys))
-            if not hourly:
-                jobs.publish_popularity(popular, listed, path)
+            jobs.publish_popularity(popular, listed, path)
             jobs.publish_popularity(popular.where(F.col("date") == first), listed, path)
             grain = "hour" if hourly else "day"
             back = readers.read_published(spark, jobs.published_path(popular, path), schemas.popularity_schema(grain, "unit_id"))
