@@ -162,8 +162,7 @@ degree AS (
   SELECT date{hour}, member, count(*) FILTER (WHERE w > 0) AS degree, count(*) / 2 - 1 AS others FROM ends GROUP BY ALL)
 SELECT '{"hour" if hourly else "day"}' AS grain, '{"floor" if by_floor else "all"}' AS area, degree.date, {"CAST(degree.hour AS INTEGER)" if hourly else "CAST(-1 AS INTEGER)"} AS hour,
        net.user_id, net.place_id, net.floor_name, net.unit_id, round_even(degree / CAST(others AS DOUBLE), 4) AS popular_area
-FROM degree JOIN net ON net.unit_id = degree.member
-{"WHERE degree.date = (SELECT strftime(min(ts), '%Y-%m-%d') FROM events)" if hourly else ""})"""
+FROM degree JOIN net ON net.unit_id = degree.member)"""
 
 
 # The two places of the site as a two-member system, lag 1, ten-minute buckets:
