@@ -101,10 +101,9 @@ def _model_status(spark, sf_dir):
 
 
 def _panel_parts(spark, sf_dir, grid, member="unit_id", by_floor=False):
-    sensors = panel.sensor_members(demo.network(spark), member, by_floor)
-    built = panel.build_panel(demo.by1min(spark, sf_dir), demo.runs(spark, sf_dir), sensors, grid)
-    spine = panel.group_spine(demo.runs(spark, sf_dir), sensors, grid)
-    return built, spine, panel.group_keys(by_floor, grid.hourly)
+    sensors, runs = panel.sensor_members(demo.network(spark), member, by_floor), demo.runs(spark, sf_dir)
+    built = panel.build_panel(demo.by1min(spark, sf_dir), runs, sensors, grid)
+    return built, panel.group_spine(runs, sensors, grid), panel.group_keys(by_floor, grid.hourly)
 
 
 def _dense(grid, member="unit_id", by_floor=False) -> Query:
