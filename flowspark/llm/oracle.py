@@ -46,10 +46,10 @@ WITH words AS (
 ), metrics AS (
   SELECT doc_id, lang, source, base_failed, m.metric, m.least, m.v
   FROM (SELECT *, unnest([
-      {'metric': 'symbols', 'least': 100, 'v': CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END},
-      {'metric': 'dup_lines', 'least': 400, 'v': CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END},
-      {'metric': 'repeat_words', 'least': 300, 'v': CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END},
-      {'metric': 'word_length', 'least': 600, 'v': CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END}]) AS m FROM flagged)
+      {'metric': 'symbols', 'least': 32, 'v': CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END},
+      {'metric': 'dup_lines', 'least': 32, 'v': CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END},
+      {'metric': 'repeat_words', 'least': 32, 'v': CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END},
+      {'metric': 'word_length', 'least': 32, 'v': CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END}]) AS m FROM flagged)
 ), cells AS (
   SELECT lang, source, metric, least, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS cell, count(*) AS n
   FROM metrics WHERE NOT base_failed GROUP BY ALL
