@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.llm import bpe, hnsw, mixing, quality, sharding, simhash, suffix, token_file, toxicity, url_filter
+from flowspark.llm import bpe, conversations, hnsw, mixing, quality, rules, sharding, simhash, suffix, token_file, toxicity, url_filter, whitening
 from flowspark.llm.common import table
 
 URL_RULES = [
@@ -65,5 +65,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = rules.fit(docs, table(spark, sf_dir, "labels"), ~rules.held_out(F.col("doc_id")))
+    return rules.score(docs, model).select("doc_id", rules.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "rules")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.repair(table(spark, sf_dir, "conversations")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
