@@ -63,21 +63,56 @@ def normal_equations(products, sums, lag, n):
     return gram, rhs, products[0, 0]
 
 
-def eliminate(matrix, count):
-    """Symmetric elimination of the first ``count`` columns in order: what is left, and the columns with a pivot."""
-    left, start, kept = np.array(matrix, dtype=float), np.diag(matrix).copy(), []
-    for c in range(count):
-        if left[c, c] > RANK_TOLERANCE * start[c]:
-            kept.append(c)
-            left[c + 1 :] -= np.outer(left[c + 1 :, c] / left[c, c], left[c])
+def eliminate(matrix, count, start=None, panel=48):
+    """Symmetric elimination of the first ``count`` columns in order: what is left, and the columns with a pivot.
+
+    Pivots are measured against ``start``, by default the diagonal as it is. Column by column within a panel of rows; what
+    lies beyond the panel is brought up to date by one matrix product.
+    """
+    left, kept = np.array(matrix, dtype=float), []
+    start = np.diag(matrix).copy() if start is None else start
+    for first in range(0, count, panel):
+        last = min(first + panel, count)
+        rows, held = left[first:last], []
+        for c in range(first, last):
+            at, pivot = c - first, left[c, c]
+            if pivot > RANK_TOLERANCE * start[c]:
+                held.append(c)
+                rows[at + 1 :, c:] -= np.outer(rows[at + 1 :, c] / pivot, rows[at, c:])
+        kept += held
+        if held:
+            upper = left[held, last:]
+            left[last:, last:] -= (upper / left[held, held][:, None]).T @ upper
     return left, kept
 
 
-def least_squares_residual(gram, rhs, target):
-    """Residual products of the least-squares fit; an equation that is met exactly has a residual of exactly 0."""
-    width = len(gram)
-    left, _ = eliminate(np.block([[gram, rhs], [rhs.T, target]]), width)
-    residual = left[width:, width:]
+def lag_sweep(products, sums, widest, n):
+    """Residual products and rank of the least-squares fits of lags 1 … ``widest``, from one elimination.
+
+    The design of a lag is the leading part of that of the next one, so the border is moved lag by lag:
+    constant, members at lag 1, members at lag 2, …, targets. After the columns of a lag have gone, what is left of the
+    targets' block are that lag's residual products. Yields ``(residual, rank)``.
+    """
+    k = products.shape[2]
+    width = 1 + widest * k
+    bordered = np.empty((width + k, width + k))
+    order = [*range(1, widest + 1), 0]
+    inner = products[np.ix_(order, order)].transpose(0, 2, 1, 3).reshape(width - 1 + k, width - 1 + k)
+    bordered[1:, 1:], bordered[0, 0] = inner, n
+    bordered[0, 1:] = bordered[1:, 0] = sums[order].ravel()
+    own, target, rank, done = np.diag(bordered).copy(), products[0, 0], 0, 0
+    left = bordered
+    for lag in range(1, widest + 1):
+        columns = 1 + lag * k - done
+        # the pivots' limits are those of the whole matrix: a column is measured against what it started from
+        left, kept = eliminate(left, columns, own[done:])
+        rank += len(kept)
+        left, done = left[columns:, columns:], done + columns
+        yield without_met(left[-k:, -k:], target), rank
+
+
+def without_met(residual, target):
+    """Residual products in which an equation that is met exactly is exactly 0."""
     residual = (residual + residual.T) / 2
     met = np.diag(residual) <= RANK_TOLERANCE * np.diag(target)
     residual[met] = 0.0
@@ -85,6 +120,13 @@ def least_squares_residual(gram, rhs, target):
     return residual
 
 
+def least_squares_residual(gram, rhs, target):
+    """Residual products of the least-squares fit; an equation that is met exactly has a residual of exactly 0."""
+    width = len(gram)
+    left, _ = eliminate(np.block([[gram, rhs], [rhs.T, target]]), width)
+    return without_met(left[width:, width:], target)
+
+
 def residual_products(gram, rhs, target, beta):
     cross = rhs.T @ beta
     return target - cross - cross.T + beta.T @ gram @ beta
@@ -124,7 +166,7 @@ def solve_elastic_net(gram, rhs, l1, l2, start, tol, max_iter):
     per coefficient, ``l2`` per column. A column without variance stays at 0.
     Also returns whether that happened within ``max_iter`` steps.
     """
-    largest = np.linalg.eigvalsh(gram)[-1]
+    largest = largest_eigenvalue(gram)
     if largest <= 0:
         return np.zeros_like(rhs), True
     step, shrink = 1.0 / largest, 1.0 / (1.0 + l2[:, None] / largest)
@@ -144,6 +186,48 @@ def solve_elastic_net(gram, rhs, l1, l2, start, tol, max_iter):
     return beta, False
 
 
+def largest_eigenvalue(matrix, exact=600, steps=100):
+    """Of a positive semidefinite matrix; beyond ``exact`` rows by power iteration with a margin of a tenth, which only shortens steps."""
+    if len(matrix) <= exact:
+        return np.linalg.eigvalsh(matrix)[-1]
+    vector = np.ones(len(matrix)) + np.arange(len(matrix)) % 7
+    value = 0.0
+    for _ in range(steps):
+        following = matrix @ vector
+        value = np.linalg.norm(following)
+        if value == 0.0:
+            return 0.0
+        vector = following / value
+    return 1.1 * value
+
+
+def reduced_residual_gains(gram, coef, kept, inverse, dropped):
+    """What each equation's residual sum gains when the columns ``dropped`` leave a design of any rank.
+
+    ``kept`` are the columns with a pivot, ``inverse`` that of their part of ``gram``, ``coef`` the coefficients on them. With V the
+    inverse and b the coefficients at the pivots that leave, the loss is b' V^-1 b; columns without a pivot, which the
+    others determined, may then stand in for them, and take back what their own part of it explains.
+    """
+    place = {c: at for at, c in enumerate(kept)}
+    leaving = [place[c] for c in dropped if c in place]
+    if not leaving:
+        return np.zeros(coef.shape[1])
+    inner = np.linalg.inv(inverse[np.ix_(leaving, leaving)])
+    lost = coef[leaving]
+    gain = np.einsum("ij,ik,kj->j", lost, inner, lost)
+    gone = set(dropped)
+    spare = [c for c in range(len(gram)) if c not in place and c not in gone and gram[c, c] > 0]
+    if not spare:
+        return gain
+    # how the spare columns hang on the pivots that leave
+    hung = (inverse @ gram[np.ix_(kept, spare)])[leaving]
+    own, shared = hung.T @ inner @ hung, hung.T @ inner @ lost
+    width = len(spare)
+    bordered = np.block([[own, shared], [shared.T, np.diag(gain)]])
+    left, _ = eliminate(bordered, width, np.append(np.diag(gram)[spare], gain))
+    return np.maximum(np.diag(left)[width:], 0.0)
+
+
 def gaussian_loglik(covariance, n):
     """Log-likelihood of n residuals whose ML covariance is ``covariance``, its rank by the rank rule."""
     k = len(covariance)

@@ -1,8 +1,9 @@
 """Exact distinct-device counts per sensor and time bucket.
 
 All requested grains and the sensor dimensions come out of one pass over the
-sightings. Each sighting yields one small row per grain plus one for its
-dimensions; duplicates disappear map-side before the shuffle, and the shuffle
+sightings and one shuffle of them, by day, sensor and device: there a device's minutes of the day at a
+sensor are one small set, and each bucket of a coarser grain is counted where the device is
+first seen in it. Duplicates disappear map-side before the shuffle, and the shuffle
 key contains the device, so a sensor holding a third of the log still spreads
 over all tasks.
 """
@@ -14,10 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.functions.scalars import GRAIN_COUNT, as_timestamp, bucket_label, grain_bucket
+from flowspark.functions.scalars import GRAIN_COUNT, as_timestamp, bucket_label, bucket_start, grain_bucket
 from flowspark.sources.schemas import DIMENSION_COLUMNS
 
 _DIMENSION_ROW = "dimension"
+#: Stands for a sighting without a time inside sets, which hold no nulls.
+_NO_TIME = -(2**62)
 
 
 def footfall_counts(
@@ -35,23 +38,38 @@ def footfall_counts(
     them that was seen that day.
     """
     ts = as_timestamp("datetime")
-    dim = F.struct(*dims)
-    no_dim = F.lit(None).cast(sightings.select(dim.alias("d")).schema["d"].dataType)
-    device_id = F.col(device).cast("string")
-
-    def row(grain, bucket, who, where):
-        return F.struct(
-            F.lit(grain).alias("grain"), bucket.alias("bucket"), who.alias("device"), where.alias("dim")
+    # every grain follows from the minute; a single one needs no finer buckets than its own
+    finest = grain_bucket(ts, grains[0]) if len(grains) == 1 else bucket_start(ts, 60)
+    per_device = (
+        sightings.select(
+            "date",
+            F.col(unit).alias("unit"),
+            F.col(device).cast("string").alias("device"),
+            F.coalesce(finest, F.lit(_NO_TIME)).alias("bucket"),
+            F.struct(*dims).alias("dim"),
         )
+        .groupBy("date", "unit", "device")
+        .agg(F.collect_set("bucket").alias("buckets"), F.collect_set("dim").alias("dims"))
+    )
+    no_dim = F.lit(None).cast(per_device.schema["dims"].dataType.elementType)
 
-    rows = [row(grain, grain_bucket(ts, grain), device_id, no_dim) for grain in grains]
-    rows.append(row(_DIMENSION_ROW, F.lit(None).cast("long"), F.lit(None).cast("string"), dim))
+    def row(grain, bucket, dim):
+        return F.struct(F.lit(grain).alias("grain"), bucket.cast("long").alias("bucket"), dim.alias("dim"))
 
-    presence = (
-        sightings.select("date", F.col(unit).alias("unit"), F.explode(F.array(*rows)).alias("r"))
-        .select("date", "unit", "r.grain", "r.bucket", "r.device", "r.dim")
-        .distinct()
-    )
+    def first_seen(grain):
+        """The buckets of a grain in which the device was seen at the sensor, each once."""
+        if grain == "day":
+            return F.array(row(grain, F.lit(0), no_dim))
+
+        def coarser(bucket):
+            found = bucket if len(grains) == 1 else grain_bucket(F.timestamp_seconds(bucket), grain)
+            return F.when(bucket != _NO_TIME, found)
+
+        return F.transform(F.array_distinct(F.transform("buckets", coarser)), lambda bucket: row(grain, bucket, no_dim))
+
+    places = F.transform("dims", lambda dim: row(_DIMENSION_ROW, F.lit(None), dim))
+    presence = per_device.select("date", "unit", F.explode(F.concat(*map(first_seen, grains), places)).alias("r"))
+    presence = presence.select("date", "unit", "r.grain", "r.bucket", "r.dim")
     counts = presence.groupBy("date", "unit", "grain", "bucket", "dim").agg(F.count(F.lit(1)).alias("visitors"))
     seen = Window.partitionBy("date", "unit")
     return (

@@ -1,14 +1,15 @@
-"""Lagged cross-moments of every group.
+"""Lagged cross-moments of every group, as binary tiles.
 
 With C_d[i, j] = sum over t of y_i(t) * y_j(t-d) for d = 0..maxlag, plus the
 first and last ``maxlag`` rows, the normal equations of *every* lag order of a
 group follow by a short recursion. That is K*K*(maxlag+1) sums instead of
 (K*maxlag)^2, and counts are integers, so the sums are exact whatever the order.
 
-A group's time axis is cut into blocks, each carrying ``maxlag`` rows of its
-predecessor, so a wide or long group is summed by several tasks and only
-partial sums meet. A block is a small dense matrix (its rows times the group's
-members), and its sums are matrix products inside the task.
+Members are cut into tiles and time into blocks, each block carrying ``maxlag`` rows of
+its predecessor. A strip is what one tile of members saw in one block; each pair of strips of
+a block meets in some task and gives one tile of sums by matrix products. However many members
+a group has, a task holds two strips and a tile, and the tiles of one group are
+made by as many tasks as there are pairs.
 """
 
 from __future__ import annotations
@@ -17,70 +18,153 @@ import sys
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # executors receive this helper with the job
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Members of a tile, and rows of a time block: a day of minutes.
+TILE = 64
+BLOCK = 1440
 
-def block_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = 240) -> DataFrame:
-    """Partial sums ``<keys>, i, j, lag, s`` of each time block; a group's sums are their totals.
+TILE_COLUMNS = "a int, c int, b int, span int, rows int, cols int, data binary"
 
-    At lag 0 only ``i <= j`` is kept (the rest is its mirror image). If the panel
-    has a ``span`` column, lags above it are not summed for that row's group.
-    """
-    block = max(block, maxlag, 1)
-    split = [*keys, "b"]
-    span = F.col("span") if "span" in panel.columns else F.lit(maxlag)
 
+def key_schema(df: DataFrame, keys: Sequence[str]) -> str:
+    return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in keys)
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """Their number for stages that are light on bytes and heavy on time: given the number, small partitions are not merged."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _strips(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int, tile: int) -> DataFrame:
+    """``<keys>, tile, b, tiles, span, t, i, y``: one row per tile of members and time block, its cells as arrays."""
+    span = F.col("span") if "span" in panel.columns else F.lit(maxlag)
+    if "k" not in panel.columns:
+        counted = panel.groupBy(*keys).agg((F.max("i") + 1).alias("k"))
+        panel = panel.join(counted, list(keys))
     # each row goes to its own block and, near the end of it, also to the next one
-    blocks = F.sequence(F.floor(F.col("t") / block), F.floor((F.col("t") + maxlag) / block))
-    placed = panel.select(*keys, "t", "i", "y", span.alias("span"), F.explode(blocks).alias("b"))
-    # light on bytes, heavier on time: given the number, small partitions are not merged
-    partitions = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = (
-        placed.repartition(partitions, *split)
-        .groupBy(*split)
-        .agg(*(F.collect_list(name).alias(name) for name in ("t", "i", "y")), F.max("span").alias("span"))
+    blocks = F.sequence(F.floor(F.col("t") / block).cast("int"), F.floor((F.col("t") + maxlag) / block).cast("int"))
+    placed = panel.select(
+        *keys,
+        F.floor(F.col("i") / tile).cast("int").alias("tile"),
+        F.ceil(F.col("k") / tile).cast("int").alias("tiles"),
+        span.cast("int").alias("span"),
+        *(F.col(name).cast(kind).alias(name) for name, kind in (("t", "int"), ("i", "int"), ("y", "long"))),
+        F.explode(blocks).alias("b"),
     )
+    arrays = [F.collect_list(name).alias(name) for name in ("t", "i", "y")]
+    return placed.groupBy(*keys, "tile", "b").agg(F.max("tiles").alias("tiles"), F.max("span").alias("span"), *arrays)
+
 
-    def sums(row) -> dict:
-        members, column = np.unique(np.asarray(row.i), return_inverse=True)
-        y = np.zeros((maxlag + block, len(members)))
-        y[np.asarray(row.t) - (row.b * block - maxlag), column] = row.y
-        products = np.array([y[maxlag:].T @ y[maxlag - lag : maxlag - lag + block] for lag in range(row.span + 1)])
-        products[0] = np.triu(products[0])
-        lag, a, b = np.nonzero(products)
-        found = {name: np.full(len(lag), getattr(row, name), dtype=object) for name in keys}
-        return found | {"i": members[a], "j": members[b], "lag": lag, "s": products[lag, a, b].astype(np.int64)}
+def moment_tiles(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = BLOCK, tile: int = TILE) -> DataFrame:
+    """``<keys>, a, c, b, span, rows, cols, data``: sums of member tile ``a`` with the past of member tile ``c`` in time block ``b``.
 
-    def together(parts: list[dict]) -> pd.DataFrame:
-        return pd.DataFrame({name: np.concatenate([part[name] for part in parts]) for name in names})
+    ``data`` holds ``span + 1`` matrices of ``rows`` x ``cols`` 64-bit integers, lag 0 first; at lag 0 only pairs with
+    ``i <= j`` are filled (the rest is their mirror image). A group's sums are the totals over ``b``. If the panel
+    has a ``span`` column, lags above it are not summed for that row's group. Tiles without any sum are left out.
+    """
+    keys = list(keys)
+    block = max(block, maxlag, 1)
+    strips = _strips(panel, keys, maxlag, block, tile)
+    partners = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    cells = ("b", "span", "t", "i", "y")
+    now = strips.select(*keys, F.col("tile").alias("a"), partners.alias("c"), F.lit(0).alias("side"), *cells)
+    past = strips.select(*keys, partners.alias("a"), F.col("tile").alias("c"), F.lit(1).alias("side"), *cells).where("a <> c")
+    order = [*keys, "a", "c", "b"]
+    pairs = now.unionByName(past).repartition(shuffle_partitions(panel), *order).sortWithinPartitions(*order, "side")
+    schema = T.StructType.fromDDL(f"{key_schema(panel, keys)}, {TILE_COLUMNS}")
+    arrow = to_arrow_schema(schema)
+
+    def dense_strip(strip, first: int, base: int) -> np.ndarray:
+        t, i, y = strip
+        out = np.zeros((int(t.max()) - base + 1, int(i.max()) - first + 1))
+        out[t - base, i - first] = y
+        return out
+
+    def products(a: int, c: int, b: int, span: int, now, past) -> np.ndarray:
+        base = b * block - maxlag
+        y = dense_strip(now, a * tile, base)
+        x = y if a == c else dense_strip(past, c * tile, base)
+        out = np.zeros((span + 1, y.shape[1], x.shape[1]), np.int64)
+        for lag in range(span + 1):
+            height = min(len(y), len(x) + lag) - maxlag
+            if height > 0:
+                out[lag] = y[maxlag : maxlag + height].T @ x[maxlag - lag : maxlag - lag + height]
+        if a > c:
+            out[0] = 0
+        elif a == c:
+            out[0] = np.triu(out[0])
+        return out
 
     def run(batches):
+        ready, size = [], 0
+        last, strip = None, None
         for batch in batches:
-            ready, size = [], 0
-            for row in batch.itertuples(index=False):
-                ready.append(sums(row))
-                size += len(ready[-1]["s"])
-                if size > 200_000:
-                    yield together(ready)
+            columns = dict(zip(batch.schema.names, batch.columns))
+            for at in range(batch.num_rows):
+                place = tuple(columns[name][at].as_py() for name in order)
+                cut = tuple(columns[name][at].values.to_numpy(zero_copy_only=False) for name in ("t", "i", "y"))
+                a, c, b = place[-3:]
+                if columns["side"][at].as_py() == 0:
+                    last, strip = place, cut
+                    if a != c:
+                        continue
+                elif last != place:
+                    continue
+                span = columns["span"][at].as_py()
+                found = products(a, c, b, span, strip, cut)
+                if not found.any():
+                    continue
+                _, rows, cols = found.shape
+                ready.append(dict(zip(schema.names, (*place, span, rows, cols, found.tobytes()))))
+                size += found.nbytes
+                if size > 16 << 20:
+                    yield pa.RecordBatch.from_pylist(ready, arrow)
                     ready, size = [], 0
-            if ready:
-                yield together(ready)
+        if ready:
+            yield pa.RecordBatch.from_pylist(ready, arrow)
 
-    names = [*keys, "i", "j", "lag", "s"]
-    key_types = ", ".join(f"`{name}` {panel.schema[name].dataType.simpleString()}" for name in keys)
-    return packed.mapInPandas(run, f"{key_types}, i int, j int, lag int, s bigint")
+    return pairs.select(*order, "side", "span", "t", "i", "y").mapInArrow(run, schema)
 
 
-def lag_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = 240) -> DataFrame:
-    """``<keys>, i, j, lag, s`` with ``s = sum_t y_i(t) y_j(t-lag)``; zero sums are left out."""
-    partial = block_moments(panel, keys, maxlag, block)
-    return partial.groupBy(*keys, "i", "j", "lag").agg(F.sum("s").alias("s"))
+def tile_sums(data: bytes, span: int, rows: int, cols: int) -> np.ndarray:
+    return np.frombuffer(data, np.int64).reshape(span + 1, rows, cols)
+
+
+def cells_of(tiles: DataFrame, keys: Sequence[str], tile: int = TILE) -> DataFrame:
+    """The non-zero cells ``<keys>, i, j, lag, s`` of ``moment_tiles``, still per time block."""
+    schema = T.StructType.fromDDL(f"{key_schema(tiles, keys)}, i int, j int, lag int, s bigint")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            for at in range(batch.num_rows):
+                a, c, span, rows, cols, data = (columns[name][at].as_py() for name in ("a", "c", "span", "rows", "cols", "data"))
+                sums = tile_sums(data, span, rows, cols)
+                lag, i, j = np.nonzero(sums)
+                own = [pa.repeat(columns[name][at], len(lag)) for name in keys]
+                cells = [pa.array(v.astype(np.int32)) for v in (i + a * tile, j + c * tile, lag)]
+                yield pa.RecordBatch.from_arrays([*own, *cells, pa.array(sums[lag, i, j])], schema=arrow)
+
+    return tiles.mapInArrow(run, schema)
+
+
+def lag_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = BLOCK, tile: int = TILE) -> DataFrame:
+    """``<keys>, i, j, lag, s`` with ``s = sum_t y_i(t) y_j(t-lag)``; zero sums are left out.
+
+    Tiles keep a group's K*K*lags sums packed; this table has a row for each. Where nothing else asks for rows, use ``moment_tiles``.
+    """
+    cells = cells_of(moment_tiles(panel, keys, maxlag, block, tile), keys, tile)
+    return cells.groupBy(*keys, "i", "j", "lag").agg(F.sum("s").alias("s"))
 
 
 def edge_rows(panel: DataFrame, maxlag: int) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 # the largest sensor hierarchy sent to every executor, some tens of megabytes
 BROADCAST_ROWS = 200_000
+# log rows of one sensor that one task joins, and sensors the sketch of heavy hitters tells apart
+ROWS_PER_TASK = 1_000_000
+SKETCH_ITEMS = 1000
 
 SIGHTING_COLUMNS = [
     "date",
@@ -30,20 +33,34 @@ def filter_log(log: DataFrame, dates: Iterable[str] | None = None) -> DataFrame:
     return log.where(F.col("randomized") == "1").select("date", "datetime", "unit_id", "aibeaconid", "rssi")
 
 
-def join_network(log: DataFrame, network: DataFrame, broadcast_rows: int = BROADCAST_ROWS, salts: int = 32) -> DataFrame:
+def hot_sensors(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``unit_id, salts``: the sensors with more than ``rows_per_task`` rows, and over how many tasks to deal each.
+
+    A mergeable sketch of heavy hitters counts ``SKETCH_ITEMS`` sensors at most, map-side and exactly while there are no more; the hot ones are
+    read from it, so at most that many rows come back. A sensor the sketch underrates only gets fewer salts.
+    """
+    top = log.select(F.expr(f"approx_top_k(unit_id, {SKETCH_ITEMS}, {2 * SKETCH_ITEMS})").alias("top")).select(F.explode("top").alias("t"))
+    found = top.select(F.col("t.item").alias("unit_id"), F.ceil(F.col("t.count") / rows_per_task).cast("int").alias("salts"))
+    return found.where("unit_id is not null and salts > 1")
+
+
+def join_network(log: DataFrame, network: DataFrame, broadcast_rows: int = BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Log rows of listed sensors at or below the sensor's signal threshold.
 
     The hierarchy's size is checked first: up to ``broadcast_rows`` sensors are
-    broadcast. A larger hierarchy is joined by shuffle on sensor and salt, so
-    that the rows of one hot sensor go to up to ``salts`` tasks.
+    broadcast. A larger hierarchy is joined by shuffle on sensor and salt. Only the
+    hot sensors of ``hot_sensors`` have more than one salt, each as many as its rows need, and
+    only their hierarchy rows are copied.
     """
     within = F.col("rssi").try_cast("double") <= F.col("rssi_fx").try_cast("double")
     if network.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return log.join(F.broadcast(network), "unit_id", "inner").where(within)
-    salt = F.pmod(F.xxhash64("aibeaconid", "datetime"), F.lit(salts)).cast("int").alias("salt")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    joined = log.select("*", salt).join(network.select("*", copies), ["unit_id", "salt"], "inner")
-    return joined.where(within).drop("salt")
+    hot = F.broadcast(hot_sensors(log, rows_per_task))  # SKETCH_ITEMS rows at most
+    salts = F.coalesce("salts", F.lit(1))
+    salt = F.pmod(F.xxhash64("aibeaconid", "datetime"), salts).cast("int")
+    dealt = log.join(hot, "unit_id", "left").withColumn("salt", salt).drop("salts")
+    copied = network.join(hot, "unit_id", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return dealt.join(copied, ["unit_id", "salt"], "inner").where(within).drop("salt")
 
 
 def match_sightings(

@@ -8,21 +8,26 @@ one compact row per group, from which every other operator here starts.
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowspark.functions import dense
-from flowspark.operators.moments import edge_rows, lag_moments
+from flowspark.operators import moments
+from flowspark.operators.moments import BLOCK, TILE, edge_rows, key_schema, moment_tiles, shuffle_partitions, tile_sums
 from flowspark.operators.panel import densify
+from flowspark.session import materialize
 
 # executors receive the helper with the job; they need not have this package installed
 cloudpickle.register_pickle_by_value(dense)
+cloudpickle.register_pickle_by_value(moments)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The settings an analysis uses unless told otherwise.
@@ -32,7 +37,12 @@ ALPHA = 0.1
 L1_RATIO = 0.1
 MAX_ITERATIONS = 300_000
 
-_MEMBER, _TOTAL, _CROSS, _EDGE = range(4)
+#: Targets that one task solves an elastic net for; a group with more members is solved by several.
+TARGETS = 64
+
+_MEMBER, _TOTAL, _EDGE = range(3)
+#: Rows of a group in the order they are read: its small sums, its moment tiles, coefficients solved elsewhere.
+_SMALL, _TILE, _COEF = range(3)
 
 _MODEL = (
     "status string, nobs int, lag int, n int, dof int, members array<string>, "
@@ -41,17 +51,24 @@ _MODEL = (
 )
 
 
-def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
-    return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in keys)
-
-
-def _solver_input(
-    panel: DataFrame, spine: DataFrame, keys: Sequence[str], maxlag: int, lags: int | None, sparse: bool, block: int
+def solver_parts(
+    panel: DataFrame,
+    spine: DataFrame,
+    keys: Sequence[str],
+    maxlag: int = MAX_LAG,
+    lags: int | None = None,
+    sparse: bool = False,
+    block: int = BLOCK,
+    tile: int = TILE,
 ) -> DataFrame:
-    """Members, totals, cross-moments and edge rows of every group as one long table."""
+    """All that the solves need of every group, a few rows each: members, totals and edge rows as arrays, cross-moments as tiles.
+
+    Rows of a group are told apart by ``_part``. The table can be stored and read by several operators (``var_fit``,
+    ``granger_pairs``, ``var_rss_moments``); ``lags`` and ``sparse`` must then be the same there.
+    """
     # widest lag the solve can use: a plain model needs more rows than coefficients
     nobs, k = F.col("nobs"), F.col("k")
-    reach = F.least(F.lit(maxlag), nobs - 1)
+    reach = F.least(F.lit(lags or maxlag), nobs - 1)
     if sparse:
         usable, span = panel, reach
     else:
@@ -59,55 +76,79 @@ def _solver_input(
         eligible = F.floor((nobs - reach - 2) / k)
         span = F.least(reach, F.greatest(eligible, F.lit(lags or 1)))
     usable = usable.withColumn("span", span.cast("int"))
+    depth = lags or maxlag
 
-    def part(df: DataFrame, kind: int, i="i", j=F.lit(0), lag=F.lit(0), s="s", member=F.lit(None), nobs=F.lit(0)):
-        columns = {"kind": F.lit(kind), "i": i, "j": j, "lag": lag, "s": s, "member": member, "nobs": nobs}
+    def part(df: DataFrame, kind: int, t=F.lit(0), s="s", member=F.lit(None), nobs=F.lit(0)):
+        columns = {"kind": F.lit(kind), "i": "i", "t": t, "s": s, "member": member, "nobs": nobs}
         types = {"s": "bigint", "member": "string"}
         named = [(F.col(c) if isinstance(c, str) else c).cast(types.get(name, "int")).alias(name) for name, c in columns.items()]
         return df.select(*keys, *named)
 
     totals = panel.groupBy(*keys, "i").agg(F.sum("y").alias("s"))
-    return (
+    small = (
         part(spine, _MEMBER, s=F.lit(0), member="member", nobs="nobs")
         .union(part(totals, _TOTAL))
-        .union(part(lag_moments(usable, keys, maxlag, block), _CROSS, j="j", lag="lag"))
-        .union(part(edge_rows(usable, maxlag), _EDGE, lag="t", s="y"))
+        .union(part(edge_rows(usable, depth), _EDGE, t="t", s="y"))
+        .groupBy(*keys)
+        .agg(
+            *(F.collect_list(name).alias(name) for name in ("kind", "i", "t", "s")),
+            F.collect_list(F.struct("i", "member")).alias("members"),
+            F.max("nobs").alias("nobs"),
+            F.count(F.when(F.col("kind") == _MEMBER, 1)).cast("int").alias("k"),
+        )
+        .withColumn("members", F.filter("members", lambda m: m["member"].isNotNull()))
+    )
+    tiles = moment_tiles(usable, keys, depth, block, tile)
+    return small.select(*keys, F.lit(_SMALL).alias("_part"), *small.columns[len(keys) :]).unionByName(
+        tiles.select(*keys, F.lit(_TILE).alias("_part"), F.lit(tile).alias("tile"), *tiles.columns[len(keys) :]), allowMissingColumns=True
     )
 
 
 class _Group:
     """One group's sums, with members ordered by mean (largest first, then name)."""
 
-    def __init__(self, row, maxlag: int):
-        kind, i, j, lag = (np.asarray(column, dtype=np.int64) for column in (row.kind, row.i, row.j, row.lag))
-        s = np.asarray(row.s, dtype=float)
-        listed = kind == _MEMBER
-        names, numbers = list(row.member), i[listed]
+    def __init__(self, row: dict, maxlag: int):
+        kind, i, t = (np.asarray(row[name], dtype=np.int64) for name in ("kind", "i", "t"))
+        s = np.asarray(row["s"], dtype=float)
+        names, numbers = [m["member"] for m in row["members"]], np.array([m["i"] for m in row["members"]], dtype=np.int64)
         sums = np.zeros(numbers.max() + 1)
         sums[i[kind == _TOTAL]] = s[kind == _TOTAL]
         totals = sums[numbers]
         order = sorted(range(len(names)), key=lambda at: (-totals[at], names[at]))
         self.members = [names[at] for at in order]
-        self.nobs = int(row.nobs)
+        self.nobs = int(row["nobs"])
         self.total = totals[order]
         self.k = len(order)
         self.maxlag = min(maxlag, self.nobs - 1)
-        rank = np.zeros(numbers.max() + 1, dtype=np.int64)
-        rank[numbers[order]] = np.arange(self.k)
-
-        at = kind == _CROSS
+        self.rank = np.zeros(numbers.max() + 1, dtype=np.int64)
+        self.rank[numbers[order]] = np.arange(self.k)
         self.cross = np.zeros((self.maxlag + 1, self.k, self.k))
-        a, b = rank[i[at]], rank[j[at]]
-        self.cross[lag[at], a, b] = s[at]
-        half = self.cross[0]
-        self.cross[0] = half + half.T - np.diag(np.diag(half))
+        self.given = row
+        #: Coefficients other tasks have solved: by lag, a column per target.
+        self.solved: dict[int, np.ndarray] = {}
+        self.converged = True
 
         # the first and last rows; a short series is held whole
         self.tail = max(self.maxlag, self.nobs - self.maxlag)
         self.rows = np.zeros((self.maxlag + self.nobs - self.tail, self.k))
         at = kind == _EDGE
-        t = lag[at]
-        self.rows[np.where(t < self.maxlag, t, t - self.tail + self.maxlag), rank[i[at]]] = s[at]
+        self.rows[np.where(t[at] < self.maxlag, t[at], t[at] - self.tail + self.maxlag), self.rank[i[at]]] = s[at]
+
+    def add_tile(self, row: dict) -> None:
+        sums = tile_sums(row["data"], row["span"], row["rows"], row["cols"])
+        i = self.rank[row["a"] * row["tile"] + np.arange(row["rows"])]
+        j = self.rank[row["c"] * row["tile"] + np.arange(row["cols"])]
+        for lag in range(row["span"] + 1):
+            self.cross[lag][np.ix_(i, j)] += sums[lag]
+        # at lag 0 a tile has one half; its mirror image is the other
+        once = np.triu(sums[0], 1) if row["a"] == row["c"] else sums[0]
+        self.cross[0][np.ix_(j, i)] += once.T
+
+    def add_solved(self, row: dict) -> None:
+        """Coefficients of the targets ``a`` * TARGETS … at lag ``span``."""
+        whole = self.solved.setdefault(row["span"], np.zeros((row["rows"], self.k)))
+        whole[:, row["a"] * TARGETS : row["a"] * TARGETS + row["cols"]] = np.frombuffer(row["data"]).reshape(row["rows"], row["cols"])
+        self.converged = self.converged and row["b"] == 1
 
     def edge(self, t: int) -> np.ndarray:
         return self.rows[t if t < self.maxlag else t - self.tail + self.maxlag]
@@ -154,61 +195,78 @@ class _SparseModel:
     def eligible(self, rows: int, k: int, lag: int) -> bool:
         return rows > lag
 
-    def fit(self, gram, rhs, target, k, lag, warm=None):
+    def solve(self, gram, rhs, target, warm=None):
+        """Standardised coefficients of the targets in ``rhs``, and whether they converged."""
         n = int(gram[-1, -1])
-        (xx, xy, yy), (x_mean, x_sd), (y_mean, y_sd) = dense.standardise(gram, rhs, target)
+        (xx, xy, _), (_, x_sd), (_, y_sd) = dense.standardise(gram, rhs, target)
         start = np.zeros(xy.shape)
         if warm is not None:
             start[: len(warm)] = warm[: len(start)]
         l1 = self.l1 * n / np.outer(x_sd, y_sd)
-        beta, converged = dense.solve_elastic_net(xx, xy, l1, self.l2 * n / x_sd**2, start, self.tol, self.max_iter)
+        return dense.solve_elastic_net(xx, xy, l1, self.l2 * n / x_sd**2, start, self.tol, self.max_iter)
+
+    def finish(self, gram, rhs, target, beta, converged):
+        """The model whose standardised coefficients are ``beta``."""
+        (xx, xy, yy), (x_mean, x_sd), (y_mean, y_sd) = dense.standardise(gram, rhs, target)
         residual = dense.residual_products(xx, xy, yy, beta)
         raw = beta * y_sd / x_sd[:, None]
         return {
             "coef": beta,
-            "intercept": np.zeros(k),
+            "intercept": np.zeros(len(y_sd)),
             "raw_coef": raw,
             "raw_intercept": y_mean - x_mean @ raw,
             "residual": residual,
             "raw_rss": np.diag(residual) * y_sd**2,
-            "dof": n - 1,
+            "dof": int(gram[-1, -1]) - 1,
             "scale": y_sd,
             "converged": converged,
         }
 
-
-def _solve_groups(source: DataFrame, keys: Sequence[str], maxlag: int, solve, schema: T.StructType) -> DataFrame:
+    def fit(self, gram, rhs, target, k, lag, warm=None):
+        return self.finish(gram, rhs, target, *self.solve(gram, rhs, target, warm))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str], maxlag: int) -> Iterator[tuple[dict, _Group]]:
+    """The groups of a task's sorted ``solver_parts``, one after the other."""
+    key, group = None, None
+    for batch in batches:
+        for row in batch.to_pylist() if batch.num_rows < 64 else (r for at in range(0, batch.num_rows, 64) for r in batch.slice(at, 64).to_pylist()):
+            if row["_part"] == _SMALL:
+                if group is not None:
+                    yield key, group
+                key, group = {name: row[name] for name in keys}, _Group(row, maxlag)
+            elif row["_part"] == _TILE:
+                group.add_tile(row)
+            else:
+                group.add_solved(row)
+    if group is not None:
+        yield key, group
+
+
+def _solve_groups(parts: DataFrame, keys: Sequence[str], maxlag: int, solve: Callable, schema: T.StructType, spread: Sequence[str] = ()) -> DataFrame:
     """``solve(group) -> rows`` for every group; a row is a dict without the keys.
 
-    Each group travels as one row of arrays, whose length is set by its number
-    of members and lags. A solve is heavy on time and light on bytes, so the
-    groups keep all shuffle partitions: given the number, Spark does not merge
-    these partitions for being small.
+    A group arrives as a few rows, sorted and read as a stream: a task holds one group at a time. A solve is heavy on time and
+    light on bytes, so the groups keep all shuffle partitions. ``spread`` names further
+    columns to deal by, which ``solve(group, values)`` then also gets.
     """
-    partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = (
-        source.repartition(partitions, *keys)
-        .groupBy(*keys)
-        .agg(
-            *(F.collect_list(name).alias(name) for name in ("kind", "i", "j", "lag", "s", "member")),
-            F.max("nobs").alias("nobs"),
-        )
-    )
-    names = schema.names
+    names, spread, keys = schema.names, list(spread), list(keys)
+    dealt = parts.repartition(shuffle_partitions(parts), *keys, *spread).sortWithinPartitions(*keys, *spread, "_part", "a", "c", "b")
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            out = []
-            for packed_row in batch.itertuples(index=False):
-                key = {name: getattr(packed_row, name) for name in keys}
-                out.extend(key | row for row in solve(_Group(packed_row, maxlag)))
-                if len(out) > 10_000:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            if out:
-                yield pd.DataFrame(out, columns=names)
+        out, size = [], 0
+        for key, group in _groups(batches, [*keys, *spread], maxlag):
+            for row in solve(group, *(key[name] for name in spread)):
+                out.append(key | row)
+                size += sum(getattr(value, "nbytes", 16) for value in row.values())
+            if size > 8 << 20:
+                yield pa.RecordBatch.from_pylist([{name: row[name] for name in names} for row in out], arrow)
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist([{name: row[name] for name in names} for row in out], arrow)
 
-    return packed.mapInPandas(run, schema)
+    return dealt.mapInArrow(run, schema)
 
 
 def _model(sparse: bool, alpha: float, l1_ratio: float, tol: float, max_iter: int):
@@ -221,42 +279,57 @@ def _refit(group: _Group, model, lag: int, without: int | None = None):
         keep = np.delete(np.arange(group.k), without)
         products, sums = products[np.ix_(range(lag + 1), range(lag + 1), keep, keep)], sums[:, keep]
     gram, rhs, target = dense.normal_equations(products, sums, lag, n)
+    if lag in group.solved and without is None:
+        return model.finish(gram, rhs, target, group.solved[lag], group.converged), n
     return model.fit(gram, rhs, target, len(rhs[0]), lag), n
 
 
-def _growth_without(group: _Group, lag: int, full: dict):
-    """What each equation's residual sum gains when a member's lags leave the design: a row per member.
-
-    With b the member's coefficients and V its part of the inverse, that is b' V^-1 b. None
-    where the design has no inverse by the rank rule.
-    """
+def _reduced_rss(group: _Group, lag: int, full: dict) -> list[np.ndarray]:
+    """Residual sums of every equation when a member's lags leave the design: a row per member, from one factor."""
     products, sums, n = group.sample(lag, lag)
-    gram, _, _ = dense.normal_equations(products, sums, lag, n)
-    if len(dense.eliminate(gram, len(gram))[1]) < len(gram):
-        return None
-    inverse, coef = np.linalg.inv(gram), full["coef"]
-    out = []
-    for member in range(group.k):
-        at = np.arange(lag) * group.k + member
-        part = coef[at]
-        out.append((part * np.linalg.solve(inverse[np.ix_(at, at)], part)).sum(axis=0))
-    return out
+    gram, rhs, _ = dense.normal_equations(products, sums, lag, n)
+    kept = dense.eliminate(gram, len(gram))[1]
+    inverse = np.linalg.inv(gram[np.ix_(kept, kept)])
+    coef = inverse @ rhs[kept]
+    dropped = [np.arange(lag) * group.k + member for member in range(group.k)]
+    return [full["raw_rss"] + dense.reduced_residual_gains(gram, coef, kept, inverse, columns.tolist()) for columns in dropped]
+
+
+def _widest(group: _Group, model) -> int:
+    return max((p for p in range(1, group.maxlag + 1) if model.eligible(group.nobs - group.maxlag + p, group.k, p)), default=0)
 
 
 def _select_lag(group: _Group, model, criterion: str):
-    """Smallest lag with the least criterion on the common sample, all log-likelihoods, rows, and whether all fits converged."""
-    widest = max((p for p in range(1, group.maxlag + 1) if model.eligible(group.nobs - group.maxlag + p, group.k, p)), default=0)
+    """Smallest lag with the least criterion on the common sample, all log-likelihoods, rows, and whether all fits converged.
+
+    Plain models of all lags come from one elimination. Sparse ones start from the lag before, unless their coefficients were solved elsewhere.
+    """
+    widest = _widest(group, model)
     loglik = [None] * group.maxlag
-    best, chosen, warm, converged = np.finfo(float).max, 1, None, True
+    best, chosen, converged = np.finfo(float).max, 1, group.converged
     n = group.nobs - group.maxlag
-    if widest:
-        products, sums, n = group.sample(group.maxlag, widest)
-    for lag in range(1, widest + 1):
-        gram, rhs, target = dense.normal_equations(products, sums, lag, n)
-        fitted = model.fit(gram, rhs, target, group.k, lag, warm)
-        warm = fitted["coef"]
-        converged = converged and fitted["converged"]
-        loglik[lag - 1] = dense.gaussian_loglik(fitted["residual"] / n, n)
+    if not widest:
+        return chosen, loglik, n, converged
+    products, sums, n = group.sample(group.maxlag, widest)
+
+    def residuals():
+        nonlocal converged
+        if isinstance(model, _PlainModel):
+            yield from (residual for residual, _ in dense.lag_sweep(products, sums, widest, n))
+            return
+        warm = None
+        for lag in range(1, widest + 1):
+            gram, rhs, target = dense.normal_equations(products, sums, lag, n)
+            if group.solved:
+                fitted = model.finish(gram, rhs, target, group.solved[lag], True)
+            else:
+                fitted = model.fit(gram, rhs, target, group.k, lag, warm)
+                warm = fitted["coef"]
+            converged = converged and fitted["converged"]
+            yield fitted["residual"]
+
+    for lag, residual in enumerate(residuals(), start=1):
+        loglik[lag - 1] = dense.gaussian_loglik(residual / n, n)
         if n > 1:
             value = dense.information_criterion(criterion, loglik[lag - 1], n, group.k * (group.k * lag + 1))
             if value < best:
@@ -264,6 +337,61 @@ def _select_lag(group: _Group, model, criterion: str):
     return chosen, loglik, n, converged
 
 
+def _sparse_by_target(parts: DataFrame, keys: list[str], depth: int, lags: int | None, criterion: str, model: _SparseModel) -> DataFrame:
+    """``solver_parts`` of wide groups with the coefficients of their sparse models added, each solved by a task per ``TARGETS`` targets.
+
+    Without ``lags`` the coefficients of all lags on the common sample come first, from which the group's lag is chosen;
+    then those of the chosen lag on its whole sample. ``parts`` must be a stored table: it is read once for each step.
+    """
+    spread = [*keys, "_q"]
+    schema = T.StructType.fromDDL(f"{key_schema(parts, keys)}, _q int, span int, rows int, cols int, b int, data binary")
+    sizes = parts.where(F.col("_part") == _SMALL).select(*keys, "k")
+
+    def per_target(table: DataFrame) -> DataFrame:
+        """Every task of a group gets the group's rows."""
+        sized = table.drop("k").join(sizes, keys)
+        return sized.withColumn("_q", F.explode(F.sequence(F.lit(0), F.ceil(F.col("k") / TARGETS).cast("int") - 1)))
+
+    def coefficients(group: _Group, q: int, lag: int, warm):
+        columns = np.arange(q * TARGETS, min((q + 1) * TARGETS, group.k))
+        gram, rhs, target = dense.normal_equations(*group.common[:2], lag, group.common[2])
+        beta, converged = model.solve(gram, rhs[:, columns], target[np.ix_(columns, columns)], warm)
+        return beta, {"span": lag, "rows": len(beta), "cols": len(columns), "b": int(converged), "data": beta.tobytes()}
+
+    def all_lags(group: _Group, q: int):
+        widest, warm = _widest(group, model), None
+        if widest:
+            group.common = group.sample(group.maxlag, widest)
+        for lag in range(1, widest + 1):
+            warm, row = coefficients(group, q, lag, warm)
+            yield row
+
+    def one_lag(group: _Group, q: int, lag: int | None):
+        if lag and lag <= group.maxlag and model.eligible(group.nobs, group.k, lag):
+            group.common = group.sample(lag, lag)
+            yield coefficients(group, q, lag, None)[1]
+
+    def as_parts(found: DataFrame) -> DataFrame:
+        return found.select(*keys, F.lit(_COEF).alias("_part"), F.col("_q").alias("a"), F.col("span").alias("c"), "b", "span", "rows", "cols", "data")
+
+    if lags is not None:
+        solved = _solve_groups(per_target(parts), keys, depth, lambda group, q: one_lag(group, q, lags), schema, ["_q"])
+        return parts.unionByName(as_parts(solved), allowMissingColumns=True).withColumn("_lag", F.lit(lags))
+    tried = materialize(as_parts(_solve_groups(per_target(parts), keys, depth, all_lags, schema, ["_q"])))
+    choice = T.StructType.fromDDL(f"{key_schema(parts, keys)}, _lag int, loglik array<double>, sample int, _sound boolean")
+
+    def choose(group: _Group):
+        if group.maxlag >= 1:
+            lag, loglik, sample, converged = _select_lag(group, model, criterion)
+            yield {"_lag": lag, "loglik": loglik, "sample": sample, "_sound": bool(converged)}
+
+    chosen = materialize(_solve_groups(parts.unionByName(tried, allowMissingColumns=True), keys, depth, choose, choice))
+    with_lag = per_target(parts).join(chosen.select(*keys, "_lag"), keys)
+    solved = _solve_groups(with_lag, keys, depth, one_lag, schema, ["_q", "_lag"])
+    whole = parts.unionByName(as_parts(solved), allowMissingColumns=True)
+    return whole.join(chosen, keys, "left")
+
+
 def var_fit(
     panel: DataFrame,
     spine: DataFrame,
@@ -276,27 +404,34 @@ def var_fit(
     l1_ratio: float = L1_RATIO,
     tol: float = 1e-9,
     max_iter: int = MAX_ITERATIONS,
-    block: int = 240,
+    block: int = BLOCK,
+    parts: DataFrame | None = None,
 ) -> DataFrame:
     """One model row per group: the lag is chosen by ``criterion`` unless ``lags`` fixes it.
 
     A group that cannot be fitted keeps its row with a ``status`` other than
     ``fitted`` (``too few rows``, or ``not converged`` after ``max_iter`` steps
     of the sparse solver), so one bad group never fails the batch. The panel is read three
-    times; pass a stored one when it is costly to derive.
+    times; pass a stored one when it is costly to derive, or its stored ``solver_parts`` as ``parts``.
+    Sparse models of groups with more than ``TARGETS`` members are solved by several tasks per group, from stored parts.
     """
     if criterion not in ("aic", "bic", "hqic"):
         raise ValueError(f"criterion must be aic, bic or hqic, got {criterion!r}")
     keys = list(keys)
     depth = lags or maxlag
     model = _model(sparse, alpha, l1_ratio, tol, max_iter)
+    schema = T.StructType.fromDDL(f"{key_schema(spine, keys)}, {_MODEL}")
+    fields = schema.names[len(keys) :]
 
     def solve(group: _Group) -> list[dict]:
         row = dict.fromkeys(fields) | {"nobs": group.nobs, "members": group.members, "status": "too few rows"}
-        lag, loglik, sample, converged = lags, [], 0, True
+        lag, loglik, sample, converged = lags, [], 0, group.converged
         if group.maxlag < 1 or (lag or 1) > group.maxlag:
             return [row]
-        if lag is None:
+        if lag is None and group.given.get("_lag") is not None:
+            lag, loglik, sample, converged = (group.given[name] for name in ("_lag", "loglik", "sample", "_sound"))
+            converged = converged and group.converged
+        elif lag is None:
             lag, loglik, sample, converged = _select_lag(group, model, criterion)
         if not model.eligible(group.nobs, group.k, lag):
             return [row]
@@ -309,10 +444,15 @@ def var_fit(
             row["sigma"] = (fitted["residual"] / fitted["dof"]).ravel()
         return [row]
 
-    source = _solver_input(panel, spine, keys, depth, lags, sparse, block)
-    schema = T.StructType.fromDDL(f"{_key_schema(spine, keys)}, {_MODEL}")
-    fields = schema.names[len(keys) :]
-    return _solve_groups(source, keys, depth, solve, schema)
+    if parts is None:
+        parts = solver_parts(panel, spine, keys, maxlag, lags, sparse, block)
+    if not sparse or spine.groupBy(*keys).count().agg(F.max("count")).first()[0] in (None, *range(TARGETS + 1)):
+        return _solve_groups(parts, keys, depth, solve, schema)
+    parts = materialize(parts)
+    wide = parts.where((F.col("_part") == _SMALL) & (F.col("k") > TARGETS)).select(*keys)
+    narrow = _solve_groups(parts.join(wide, keys, "left_anti"), keys, depth, solve, schema)
+    by_target = _sparse_by_target(materialize(parts.join(wide, keys, "left_semi")), keys, depth, lags, criterion, model)
+    return narrow.unionByName(_solve_groups(by_target, keys, depth, solve, schema))
 
 
 def sparse_var_fit(panel: DataFrame, spine: DataFrame, keys: Sequence[str], **settings) -> DataFrame:
@@ -438,6 +578,78 @@ def var_rss(panel: DataFrame, spine: DataFrame, models: DataFrame, keys: Sequenc
     return joined.groupBy(*keys, "member").agg(F.sum(error * error).alias("rss"))
 
 
+def var_rss_moments(models: DataFrame, parts: DataFrame, keys: Sequence[str], maxlag: int = MAX_LAG) -> DataFrame:
+    """Residual sum of squares per equation from stored ``solver_parts``, without the series: ``<keys>, member, rss``.
+
+    With G the moments of a model's design, h those with a target and b its coefficients, that is ``y'y - 2 b'h + b'G b``. The parts
+    may be those of other days than the model was fitted on, under the model's keys; members are matched by name, and a group
+    with other members than its model has no row. ``maxlag`` is that of the parts.
+    """
+    keys = list(keys)
+    schema = T.StructType.fromDDL(f"{key_schema(parts, keys)}, member string, rss double")
+    fitted = _fitted(models).select(*keys, F.col("members").alias("_names"), F.col("lag").alias("_lag"), "raw_coef", "raw_intercept")
+    small = parts.where(F.col("_part") == _SMALL).join(fitted, keys)
+    sought = small.unionByName(parts.where(F.col("_part") == _TILE).join(fitted.select(*keys), keys, "left_semi"), allowMissingColumns=True)
+
+    def solve(group: _Group) -> list[dict]:
+        lag, names = group.given["_lag"], group.given["_names"]
+        if sorted(names) != sorted(group.members) or lag > group.maxlag:
+            return []
+        place = np.array([names.index(name) for name in group.members])
+        k = group.k
+        coef = np.reshape(group.given["raw_coef"], (lag, k, k))[:, place][:, :, place].reshape(lag * k, k)
+        beta = np.vstack([coef, np.asarray(group.given["raw_intercept"])[place]])
+        gram, rhs, target = dense.normal_equations(*group.sample(lag, lag)[:2], lag, group.nobs - lag)
+        residual = dense.without_met(dense.residual_products(gram, rhs, target, beta), target)
+        return [{"member": name, "rss": float(rss)} for name, rss in zip(group.members, np.diag(residual))]
+
+    return _solve_groups(sought, keys, maxlag, solve, schema)
+
+
+def sparse_certificate(
+    panel: DataFrame, spine: DataFrame, models: DataFrame, keys: Sequence[str], alpha: float = ALPHA, l1_ratio: float = L1_RATIO
+) -> DataFrame:
+    """How far each equation of a sparse model is from the optimality conditions: ``<keys>, target, gap``, as plain joins and sums.
+
+    Coefficients b of the elastic net are optimal exactly if, for every column x of the standardised design with residuals r,
+    ``x'r - l2 b`` equals ``l1 sign(b)`` where b is not 0, and lies within ``l1`` of 0 where it is. ``gap`` is the largest
+    excess over these, per row of the sample. Nothing is solved here, and the sums come from the series, not from the
+    moments the solver used.
+    """
+    keys = list(keys)
+    ratio = min(max(l1_ratio, 0.0), 1.0)
+    fitted = _fitted(models).select(*keys, "lag", F.col("n").cast("double").alias("n"))
+    cells = densify(panel, spine, keys).join(fitted, keys).withColumn("y", F.col("y").cast("double"))
+    # the columns of the design: each member at each lag, by the row it explains
+    shifted = cells.withColumn("l", F.explode(F.sequence(F.lit(1), F.col("lag")))).withColumn("row", F.col("t") + F.col("l"))
+    rows = F.col("n") + F.col("lag")
+    design = shifted.where(F.col("row").between(F.col("lag"), rows - 1)).select(*keys, F.col("member").alias("source"), "l", "row", F.col("y").alias("x"))
+    answer = cells.where(F.col("t") >= F.col("lag")).select(*keys, F.col("member").alias("target"), F.col("t").alias("row"), "y")
+
+    def scale(variance):
+        return F.when(F.sqrt(variance) < 1e-32, F.lit(1.0)).otherwise(F.sqrt(variance))
+
+    x_scale = design.groupBy(*keys, "source", "l").agg(F.avg("x").alias("x_mean"), F.var_pop("x").alias("x_var")).withColumn("x_sd", scale(F.col("x_var")))
+    y_scale = answer.groupBy(*keys, "target").agg(F.avg("y").alias("y_mean"), F.var_pop("y").alias("y_var")).withColumn("y_sd", scale(F.col("y_var")))
+    scaled = design.join(x_scale, [*keys, "source", "l"]).withColumn("x", (F.col("x") - F.col("x_mean")) / F.col("x_sd"))
+    scaled = scaled.select(*keys, "source", "l", "row", "x")
+    slopes = var_coefficients(models, keys).where("lag > 0").select(*keys, "target", "source", F.col("lag").alias("l"), "coef")
+    told = scaled.join(slopes.where("coef <> 0"), [*keys, "source", "l"]).groupBy(*keys, "target", "row").agg(F.sum(F.col("x") * F.col("coef")).alias("told"))
+    errors = answer.join(y_scale, [*keys, "target"]).join(told, [*keys, "target", "row"], "left")
+    errors = errors.select(*keys, "target", "row", ((F.col("y") - F.col("y_mean")) / F.col("y_sd") - F.coalesce("told", F.lit(0.0))).alias("error"))
+    slope_of = scaled.join(errors, [*keys, "row"]).groupBy(*keys, "target", "source", "l").agg(F.sum(F.col("x") * F.col("error")).alias("g"))
+    judged = (
+        slope_of.join(slopes, [*keys, "target", "source", "l"])
+        .join(x_scale.select(*keys, "source", "l", "x_sd"), [*keys, "source", "l"])
+        .join(y_scale.select(*keys, "target", "y_sd"), [*keys, "target"])
+        .join(fitted.select(*keys, "n"), keys)
+    )
+    l1 = F.lit(abs(alpha) * ratio) * F.col("n") / (F.col("x_sd") * F.col("y_sd"))
+    l2 = F.lit(abs(alpha) * (1 - ratio)) * F.col("n") / (F.col("x_sd") * F.col("x_sd"))
+    off = F.when(F.col("coef") != 0, F.abs(F.col("g") - l2 * F.col("coef") - l1 * F.signum("coef"))).otherwise(F.greatest(F.abs("g") - l1, F.lit(0.0)))
+    return judged.groupBy(*keys, "target").agg(F.max(off / F.col("n")).alias("gap"))
+
+
 # ------------------------------------------------- responses and variance shares
 
 
@@ -445,7 +657,7 @@ def _responses(models: DataFrame, keys: Sequence[str], horizon: int, kind: str,
     """Long response rows from ``first_step`` on; ``kind`` is ``plain``, ``unit``, ``sd`` or ``ml`` (ML covariance, with pivots)."""
     keys = list(keys)
     schema = T.StructType.fromDDL(
-        f"{_key_schema(models, keys)}, horizon int, src string, dst string, value double, pivot double"
+        f"{key_schema(models, keys)}, horizon int, src string, dst string, value double, pivot double"
     )
 
     def respond(model) -> dict:
@@ -535,12 +747,13 @@ def granger_pairs(
     l1_ratio: float = L1_RATIO,
     tol: float = 1e-9,
     max_iter: int = MAX_ITERATIONS,
-    block: int = 240,
+    block: int = BLOCK,
+    parts: DataFrame | None = None,
 ) -> DataFrame:
     """Causality test of every ordered pair: ``causing, caused, lag, chi2, p_value``.
 
-    What a residual sum gains without a member follows from the one inverse of the full model;
-    singular and sparse models are solved again without each causing member, from the same sums.
+    What a residual sum gains without a member follows from one factor of the full design, whatever its rank;
+    sparse models are solved again without each causing member, from the same sums. ``parts`` may be stored ``solver_parts``.
     ``df="members"`` takes the number of members as degrees of freedom,
     ``df="lags"`` the number of lags.
     """
@@ -550,7 +763,7 @@ def granger_pairs(
     depth = lags or maxlag
     model = _model(sparse, alpha, l1_ratio, tol, max_iter)
     schema = T.StructType.fromDDL(
-        f"{_key_schema(spine, keys)}, causing string, caused string, lag int, chi2 double, p_value double"
+        f"{key_schema(spine, keys)}, causing string, caused string, lag int, chi2 double, p_value double"
     )
 
     def solve(group: _Group) -> list[dict]:
@@ -562,13 +775,10 @@ def granger_pairs(
             full, n = _refit(group, model, lag)
             spare = n - group.k * lag - 1
             degrees = group.k if df == "members" else lag
-            growth = None if sparse else _growth_without(group, lag, full)
+            reduced_by = None if sparse else _reduced_rss(group, lag, full)
             for causing in range(group.k):
                 kept = [c for c in range(group.k) if c != causing]
-                if growth is None:
-                    reduced = _refit(group, model, lag, without=causing)[0]["raw_rss"]
-                else:
-                    reduced = full["raw_rss"][kept] + growth[causing][kept]
+                reduced = _refit(group, model, lag, without=causing)[0]["raw_rss"] if sparse else reduced_by[causing][kept]
                 for at, caused in enumerate(kept):
                     rss = full["raw_rss"][caused]
                     known = rss > 0 and spare > 0
@@ -578,6 +788,7 @@ def granger_pairs(
                     out.append(dict(zip(fields, values)))
         return out
 
-    source = _solver_input(panel, spine, keys, depth, lags, sparse, block)
+    if parts is None:
+        parts = solver_parts(panel, spine, keys, maxlag, lags, sparse, block)
     fields = schema.names[len(keys) :]
-    return _solve_groups(source, keys, depth, solve, schema)
+    return _solve_groups(parts, keys, depth, solve, schema)

@@ -345,3 +345,49 @@ SELECT c.date, c.{keys}, c.member AS causing, d.member AS caused, CAST(1 AS INTE
 FROM tails JOIN named c ON c.g = tails.g AND c.r = tails.out JOIN named d ON d.g = tails.g AND d.r = tails.dst
 """,
     }
+
+
+def chosen_lag_tables(day_grid, hour_grid) -> dict[str, str]:
+    """Predictions, residual sums and causality tests of the models at their chosen lags."""
+    by_day = f"WITH RECURSIVE {model(day_grid('unit_id', 'place_id', 10), 'place_id')}"
+    by_hour = f"WITH RECURSIVE {model(hour_grid('unit_id', 'place_id, hour'), 'place_id, hour', rows=60)}"
+    cleared = """CASE WHEN (s.step - 1) % c.k + 1 = s.out OR p.v[s.step + 1] <= 1e-9 * p.d0 THEN s.v
+              ELSE [x - s.v[s.step + 1] / p.v[s.step + 1] * p.v[i] for x, i in s.v] END"""
+    return {
+        "var_predict_selected": f"""
+{by_day},
+told AS (
+  SELECT a.g, cell.t + (a.var - 1) // a.k + 1 AS t, a.dst, sum(a.coef * cell.y) AS part
+  FROM coef a JOIN cell ON cell.g = a.g AND cell.r = (a.var - 1) % a.k + 1 WHERE a.var > 0 GROUP BY ALL)
+SELECT named.date, named.place_id, CAST(n.t AS INTEGER) AS t, named.member, round_even(a.coef + coalesce(told.part, 0), 6) + 0.0 AS predicted
+FROM coef a CROSS JOIN range(144) AS n(t) JOIN named ON named.g = a.g AND named.r = a.dst
+LEFT JOIN told ON told.g = a.g AND told.t = n.t AND told.dst = a.dst
+WHERE a.var = 0 AND n.t >= a.p
+""",
+        "var_rss_selected": f"""
+{by_day}
+SELECT date, place_id, member, round_even(CASE WHEN l.v[l.r + 1] > 1e-9 * l.d0 THEN l.v[l.r + 1] ELSE 0 END, 4) + 0.0 AS rss
+FROM last l JOIN named ON named.g = l.g AND named.r = l.r - l.p * l.k WHERE l.r > l.p * l.k
+""",
+        # all lags of one member left out at a time, whatever the rank of what remains
+        "granger_pairs_selected": f"""
+{by_hour},
+dropped AS (
+  SELECT 0 AS step, f.g, n.r AS out, f.r, f.v[f.r + 1] AS d0, f.v FROM full_sample f JOIN named n ON n.g = f.g
+  UNION ALL
+  SELECT s.step + 1, s.g, s.out, s.r, s.d0, {cleared}
+  FROM dropped s JOIN dropped p ON p.g = s.g AND p.out = s.out AND p.r = s.step JOIN chosen c ON c.g = s.g
+  WHERE s.r > s.step AND s.step <= c.p * c.k),
+less AS (SELECT g, c.k, c.p, out, r - c.p * c.k AS dst, v[r + 1] AS rss FROM dropped JOIN chosen c USING (g) WHERE step = c.p * c.k + 1 AND r > c.p * c.k),
+tests AS (
+  SELECT less.g, less.k, less.p, less.out, less.dst,
+         CASE WHEN l.v[l.r + 1] > 1e-9 * l.d0 THEN (less.rss - l.v[l.r + 1]) * (60 - less.p - less.k * less.p - 1) / l.v[l.r + 1] END AS chi2
+  FROM less JOIN last l ON l.g = less.g AND l.r = less.dst + less.p * less.k WHERE less.out <> less.dst),
+tails AS (
+  SELECT tests.g, tests.p, tests.out, dst, chi2, exp(-chi2 / 2) * sum(pow(chi2 / 2, i) / gamma(i + 1.0)) AS p_value
+  FROM tests CROSS JOIN range(20) AS n(i) WHERE i < tests.k // 2 GROUP BY tests.g, tests.p, tests.out, dst, chi2)
+SELECT c.date, c.place_id, CAST(c.hour AS INTEGER) AS hour, c.member AS causing, d.member AS caused, CAST(p AS INTEGER) AS lag,
+       round_even(chi2, 4) + 0.0 AS chi2, round_even(p_value, 6) + 0.0 AS p_value
+FROM tails JOIN named c ON c.g = tails.g AND c.r = tails.out JOIN named d ON d.g = tails.g AND d.r = tails.dst
+""",
+    }

@@ -219,13 +219,13 @@ def published_path(popular: DataFrame, path: str) -> str:
 
 
 def publish_popularity(
-    popular: DataFrame, network: DataFrame, path: str, member: str = "unit_id", status: DataFrame | None = None
+    popular: DataFrame, network: DataFrame, path: str, member: str = "unit_id", status: DataFrame | None = None, run: str | None = None
 ) -> None:
     """Write popularity, replacing exactly the date/hour/client/place/floor partitions it contains.
 
     Daily and hourly results, and those of whole places and of floors, have folders of
     their own below ``path`` (``published_path``). With the models' ``status`` nothing is published when a
-    group of the run has no model.
+    group of the run has no model. A failed publication changes nothing; repeated under the same ``run`` it goes on where it stopped.
     """
     require_one_client(network)
     if status is not None:
@@ -234,4 +234,4 @@ def publish_popularity(
     grain = "hour" if "hour" in popular.columns else "day"
     schema = popularity_schema(grain, member)
     partitions = [name for name in schema.names if name not in (member, "popular_area")]
-    replace_partitions(popularity_table(popular, network, member), path, schema, partitions)
+    replace_partitions(popularity_table(popular, network, member), path, schema, partitions, run)

@@ -279,6 +279,38 @@ def _granger_pairs(spark, sf_dir):
     return _rounded(_rounded(out, 5, "chi2"), 7, "p_value")
 
 
+def _var_predict_selected(spark, sf_dir):
+    built, spine, keys = _stored_parts(spark, sf_dir)
+    models = materialize(var.var_fit(built, spine, keys))
+    return _rounded(var.var_predict(built, spine, models, keys), 6, "predicted")
+
+
+def _var_rss_selected(spark, sf_dir):
+    """Fits and residual sums from the same stored sums; the series is read once, for these."""
+    built, spine, keys = _stored_parts(spark, sf_dir)
+    parts = materialize(var.solver_parts(built, spine, keys))
+    models = materialize(var.var_fit(built, spine, keys, parts=parts))
+    return _rounded(var.var_rss_moments(models, parts, keys), 4, "rss")
+
+
+def _granger_selected(spark, sf_dir):
+    built, spine, keys = _panel_parts(spark, sf_dir, HOUR)
+    out = var.granger_pairs(materialize(built), spine, keys)
+    return _rounded(_rounded(out, 4, "chi2"), 6, "p_value")
+
+
+#: Largest excess per row at which a coefficient counts as optimal; the solver stops at moves of 1e-9.
+_OPTIMAL = 1e-6
+
+
+def _sparse_certificate(spark, sf_dir):
+    """Whether every equation of the sparse models, at their chosen lags, meets the conditions of the optimum."""
+    built, spine, keys = _stored_parts(spark, sf_dir)
+    models = materialize(var.sparse_var_fit(built, spine, keys))
+    gaps = var.sparse_certificate(built, spine, models, keys)
+    return gaps.select(*keys, "target", (F.col("gap") <= _OPTIMAL).alias("optimal"))
+
+
 def _analysis(pick: Callable, grid: TimeGrid, popularity_area: str, influence_area: str, **settings) -> Query:
     def query(spark, sf_dir):
         by1min, listed, runs = demo.by1min(spark, sf_dir), demo.network(spark), demo.runs(spark, sf_dir)
@@ -363,6 +395,10 @@ def registered() -> dict[str, Query]:
         "ma_coefficients": _models(lambda m, k: _rounded(var.ma_coefficients(m, k), 7, "value"), lags=1),
         "fevd": _models(lambda m, k: _rounded(var.fevd(m, k, 10), 7, "share"), lags=1),
         "granger_pairs": _granger_pairs,
+        "granger_pairs_selected": _granger_selected,
+        "var_predict_selected": _var_predict_selected,
+        "var_rss_selected": _var_rss_selected,
+        "sparse_certificate": _sparse_certificate,
     }
     areas = {"all": ("all", "all"), "all_floor": ("all", "floor"), "floor": ("floor", "floor")}
     for grain, grid in (("day", DAY), ("hour", HOUR)):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowspark.sources import published
 from flowspark.sources.schemas import NETWORK_COLUMNS
 
 
@@ -49,5 +50,5 @@ def read_counts(
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Partitioned result table with its declared types."""
-    return spark.read.schema(schema).parquet(path)
+    """Table of ``writers.replace_partitions`` as last published, with its declared types."""
+    return published.read(spark, path, schema)

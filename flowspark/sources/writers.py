@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowspark.functions.scalars import day_partition_columns
+from flowspark.sources import published
 from flowspark.sources.schemas import enforce_schema
 
 
@@ -39,7 +40,9 @@ def write_result_by_day(df: DataFrame, path: str, order: list[str] | None = None
     write_result(out, path, ["year", "month", "date"], order)
 
 
-def replace_partitions(df: DataFrame, path: str, schema: T.StructType, partitions: list[str]) -> None:
-    """Write under the schema contract, replacing exactly the partitions present in ``df``."""
-    out = _arranged(enforce_schema(df, schema), partitions, None)
-    _replacing(out, partitions).option("compression", "snappy").parquet(path)
+def replace_partitions(df: DataFrame, path: str, schema: T.StructType, partitions: list[str], run: str | None = None) -> None:
+    """Write under the schema contract, replacing exactly the partitions present in ``df``, all at once or not at all.
+
+    See ``published``: a failed job changes nothing, and ``run`` lets its repetition go on where it stopped.
+    """
+    published.publish(enforce_schema(df, schema), path, partitions, run)

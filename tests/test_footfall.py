@@ -6,6 +6,8 @@ from flowspark.operators.sightings import (
     attach_floor,
     build_sightings,
     check_network,
+    hot_sensors,
+    join_network,
     require_one_client,
 )
 
@@ -148,3 +150,48 @@ def test_attach_floor(spark, network):
 def test_unknown_grain(spark, network):
     with pytest.raises(ValueError, match="grain"):
         footfall(spark.range(1), "5min")
+
+
+def test_one_shuffle_of_sightings_for_all_grains(spark, network, capsys):
+    raw = log(spark, *((f"{h:02d}:{m:02d}:00", u, f"d{h % 3}", "-70", "1") for h in range(8, 12) for m in range(0, 60, 7) for u in "AB"), ("08:00:00", "A", None, "-70", "1"))
+    seen = build_sightings(raw, network)
+    grains = ["day", "hour", "30min", "10min", "1min"]
+    together = footfall_counts(seen, grains)
+    together.explain()
+    shuffles = [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len([line for line in shuffles if "device#" in line]) == 1
+    rows = seen.select("unit_id", "aibeaconid", "datetime").collect()
+    cut = {"day": 0, "hour": 13, "30min": 14, "10min": 15, "1min": 16}
+    for grain in grains:
+        def bucket(r):
+            return r["datetime"][: cut[grain]] + (str(int(r["datetime"][14]) // 3) if grain == "30min" else "")
+        want = sorted(len({r["aibeaconid"] for r in group}) for group in by(rows, lambda r: (r["unit_id"], bucket(r))).values())
+        assert sorted(r["visitors"] for r in together.where(F.col("grain") == grain).collect()) == want
+
+
+def by(rows, key):
+    out = {}
+    for r in rows:
+        out.setdefault(key(r), []).append(r)
+    return out
+
+
+def test_sightings_without_a_time_keep_their_day(spark, network):
+    raw = log(spark, ("10:00:00", "A", "d1", "-70", "1")).unionByName(
+        spark.createDataFrame([(DAY, None, "A", "d2", "-70", "1"), (DAY, "junk", "A", "d2", "-70", "1"), (DAY, None, "A", "d1", "-70", "1")], LOG)
+    )
+    seen = build_sightings(raw, network)
+    for together in (footfall_counts(seen, ["day", "hour"]), footfall_counts(seen, ["day"]).unionByName(footfall_counts(seen, ["hour"]))):
+        got = {(r["grain"], r["bucket"]): r["visitors"] for r in together.collect()}
+        assert got == {("day", 0): 2, ("hour", 10): 1, ("hour", None): 2}
+
+
+def test_only_hot_sensors_are_salted(spark, network, capsys):
+    raw = log(spark, *((f"10:{m % 60:02d}:{m // 60:02d}", "A", f"d{m}", "-70", "1") for m in range(500)), *((f"10:{m:02d}:00", u, "x", "-90", "1") for m in range(20) for u in ("B", "D", None)))
+    assert {r["unit_id"]: r["salts"] for r in hot_sensors(raw, rows_per_task=100).collect()} == {"A": 5}
+    assert hot_sensors(raw, rows_per_task=500).count() == 0 and hot_sensors(raw.limit(0)).count() == 0
+    want = sorted(join_network(raw, network).collect(), key=str)
+    salted = join_network(raw, network, broadcast_rows=0, rows_per_task=100)
+    assert sorted(salted.collect(), key=str) == want
+    dealt = join_network(raw, network.where("unit_id <> 'A'"), broadcast_rows=0, rows_per_task=100)
+    assert sorted(dealt.collect(), key=str) == [r for r in want if r["unit_id"] != "A"]

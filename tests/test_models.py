@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowspark.functions import dense
 from flowspark.operators import network, var
-from flowspark.operators.moments import lag_moments
+from flowspark.operators.moments import lag_moments, moment_tiles
 from flowspark.operators.panel import densify
 
 KEYS = ["date", "place_id"]
@@ -84,6 +84,20 @@ def test_cross_moments_in_blocks(spark):
         assert got == {key: value for key, value in want.items() if value}
 
 
+@pytest.mark.parametrize("tile,block", [(1, 1440), (2, 20), (3, 7), (64, 1440)])
+def test_tiles_hold_the_cross_moments(spark, tile, block):
+    y = walk(1, 50, 5)
+    panel, _ = make(spark, {("d", "p"): y, ("d", "q"): y[:, :1], ("e", "p"): np.zeros((9, 2), dtype=int)})
+    want = {(i, j, d): int((y[d:, i] * y[: len(y) - d, j]).sum()) for d in range(4) for i in range(5) for j in range(5) if d or i <= j}
+    for df in (panel, panel.drop("k", "nobs")):
+        rows = lag_moments(df, KEYS, 3, block, tile).collect()
+        assert {(r["i"], r["j"], r["lag"]): r["s"] for r in rows if r["place_id"] == "p"} == {key: v for key, v in want.items() if v}
+        assert {(r["i"], r["j"]) for r in rows if r["place_id"] == "q"} == {(0, 0)}
+    tiles = moment_tiles(panel.where("place_id = 'p'"), KEYS, 3, block, tile)
+    assert all(max(r["rows"], r["cols"]) <= tile for r in tiles.collect())
+    assert lag_moments(panel.limit(0), KEYS, 3).count() == 0
+
+
 @pytest.mark.parametrize("start,width", [(3, 3), (6, 4), (6, 6)])
 def test_sample_moments(start, width):
     y = walk(2, 40, 3).astype(float)
@@ -400,7 +414,7 @@ def test_one_solve_feeds_all_coefficients(spark, capsys):
     panel, spine = make(spark, {("d", "p"): walk(1, 60, 3)})
     var.var_coefficients(var.var_fit(panel, spine, KEYS, lags=1), KEYS).explain()
     plan = capsys.readouterr().out
-    assert plan.count("MapInPandas") == 2  # the sums of blocks, the solve
+    assert plan.count("MapInArrow") == 2  # the tiles of sums, the solve
 
 
 def test_shares_take_one_shuffle(spark, capsys):
@@ -411,3 +425,101 @@ def test_shares_take_one_shuffle(spark, capsys):
     capsys.readouterr()
     var.fevd(models, KEYS, 3).explain()
     assert capsys.readouterr().out.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_one_sweep_gives_every_lag(seed):
+    rng = np.random.default_rng(seed)
+    y = walk(seed, 70, 3).astype(float) if seed % 2 else sparse_counts(rng, 70, 5)
+    cross = np.array([y[d:].T @ y[: len(y) - d] for d in range(5)])
+    products = dense.lagged_products(cross, lambda t: y[t], 4, 4, len(y))
+    sums = dense.lagged_sums(y.sum(axis=0), lambda t: y[t], 4, 4, len(y))
+    swept = list(dense.lag_sweep(products, sums, 4, len(y) - 4))
+    assert len(swept) == 4
+    for lag, (residual, rank) in enumerate(swept, start=1):
+        gram, rhs, target = dense.normal_equations(products, sums, lag, len(y) - 4)
+        assert np.allclose(residual, dense.least_squares_residual(gram, rhs, target), atol=1e-7)
+        assert rank == np.linalg.matrix_rank(gram, tol=1e-7 * gram.max())
+
+
+@pytest.mark.parametrize("panel", [1, 2, 48])
+def test_elimination_in_panels(panel):
+    a = np.random.default_rng(1).integers(0, 4, (60, 7)).astype(float)
+    a[:, 3] = a[:, 0] + a[:, 1]
+    gram = a.T @ a
+    left, kept = dense.eliminate(gram, 5, panel=panel)
+    assert kept == [0, 1, 2, 4]
+    rest = a[:, 5:] - a[:, kept] @ np.linalg.lstsq(a[:, kept], a[:, 5:], rcond=None)[0]
+    assert np.allclose(left[5:, 5:], rest.T @ rest)
+
+
+def test_causality_of_singular_groups(spark):
+    rng = np.random.default_rng(5)
+    series = {("d", f"p{seed}"): sparse_counts(rng, 60, 5).astype(int) for seed in range(4)}
+    series["d", "twice"] = np.repeat(walk(2, 60, 2), 2, axis=1)
+    series["d", "sum"] = np.column_stack([walk(3, 60, 3), walk(3, 60, 3).sum(axis=1)])
+    panel, spine = make(spark, series)
+    found = by_group(var.granger_pairs(panel, spine, KEYS, lags=2), series)
+    for key, raw in series.items():
+        y, names = ordered(raw)
+        k = y.shape[1]
+        x, b = design(y, 2, 2)
+        rss = lambda x: ((b - x @ np.linalg.lstsq(x, b, rcond=1e-10)[0]) ** 2).sum(axis=0)
+        full, spare = rss(x), len(x) - 2 * k - 1
+        assert len(found[key]) == k * (k - 1)
+        for r in found[key]:
+            c, d = names.index(r["causing"]), names.index(r["caused"])
+            if full[d] <= 1e-9 * (b[:, d] ** 2).sum():
+                assert r["chi2"] is None
+            else:
+                less = rss(np.delete(x, [c, k + c], axis=1))
+                assert r["chi2"] == pytest.approx((less[d] - full[d]) * spare / full[d], rel=1e-5, abs=1e-6)
+
+
+def test_residual_sums_from_stored_sums(spark, fitted, series):
+    panel, spine, models = fitted
+    parts = var.solver_parts(panel, spine, KEYS, maxlag=6).cache()
+    again = var.var_fit(panel, spine, KEYS, maxlag=6, parts=parts)
+    assert {(r["date"], r["place_id"]): r["lag"] for r in again.collect()} == {(r["date"], r["place_id"]): r["lag"] for r in models.collect()}
+    got = by_group(var.var_rss_moments(models, parts, KEYS, maxlag=6), series)
+    for key, raw in series.items():
+        y, names = ordered(raw)
+        rss = (direct(y, 6)[4] ** 2).sum(axis=0)
+        assert {r["member"]: pytest.approx(r["rss"], abs=1e-5) for r in got[key]} == dict(zip(names, rss))
+
+
+def test_residual_sums_on_another_day(spark):
+    first, second = walk(1, 60, 3), walk(8, 60, 3)[:, ::-1]
+    models = var.var_fit(*make(spark, {("d", "p"): first}), KEYS, lags=2)
+    parts = var.solver_parts(*make(spark, {("d", "p"): second}), KEYS, lags=2)
+    got = {r["member"]: r["rss"] for r in var.var_rss_moments(models, parts, KEYS, maxlag=2).collect()}
+    x, b = design(first, 2, 2)
+    beta = np.linalg.lstsq(x, b, rcond=None)[0]
+    x, b = design(second, 2, 2)
+    assert [got[f"M{k:02d}"] for k in range(3)] == pytest.approx(((b - x @ beta) ** 2).sum(axis=0).tolist(), rel=1e-8)
+
+
+@pytest.mark.parametrize("lags", [None, 2])
+def test_wide_sparse_groups_by_target(spark, monkeypatch, lags):
+    series = {("d", "wide"): walk(3, 60, 5), ("d", "narrow"): walk(4, 50, 2), ("e", "wide"): walk(5, 40, 4)}
+    panel, spine = make(spark, series)
+    settings = {"maxlag": 3, "lags": lags, "alpha": 0.3, "l1_ratio": 0.5}
+    whole = {(r["date"], r["place_id"]): r for r in var.sparse_var_fit(panel, spine, KEYS, **settings).collect()}
+    monkeypatch.setattr(var, "TARGETS", 2)
+    split = {(r["date"], r["place_id"]): r for r in var.sparse_var_fit(panel, spine, KEYS, **settings).collect()}
+    assert whole.keys() == split.keys()
+    for key, r in whole.items():
+        got = split[key]
+        assert (got["status"], got["lag"], got["members"], got["n"], got["sample"]) == ("fitted", r["lag"], r["members"], r["n"], r["sample"])
+        for name in ("coef", "raw_coef", "raw_intercept", "sigma", "loglik"):
+            assert np.allclose(np.array(got[name], float), np.array(r[name], float), atol=1e-6, equal_nan=True)
+
+
+def test_certificate_tells_an_optimum(spark, series):
+    panel, spine = make(spark, series)
+    models = var.sparse_var_fit(panel, spine, KEYS, maxlag=4, alpha=0.3, l1_ratio=0.4).cache()
+    sound = var.sparse_certificate(panel, spine, models, KEYS, alpha=0.3, l1_ratio=0.4).collect()
+    assert len(sound) == sum(y.shape[1] for y in series.values()) and all(r["gap"] < 1e-7 for r in sound)
+    for change in (lambda x: x * 1.01, lambda x: F.when(x == 0, 0.01).otherwise(x), lambda x: F.when(F.abs(x) < 0.2, 0.0).otherwise(x)):
+        moved = var.sparse_certificate(panel, spine, models.withColumn("coef", F.transform("coef", change)), KEYS, alpha=0.3, l1_ratio=0.4)
+        assert moved.agg(F.max("gap")).first()[0] > 1e-4

@@ -1,6 +1,7 @@
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowspark.functions.timegrid import TimeGrid
 from flowspark.operators import network as nw
@@ -143,3 +144,30 @@ def test_unsupported_settings(site):
     for settings in ({"popularity_area": "floor"}, {"influence_area": "none"}, {"depth": 5}, {"member": "floor_name"}):
         with pytest.raises(ValueError):
             jobs.analyze(by1min, network, runs, grid, **settings)
+
+
+def test_hubs_are_split(spark):
+    """A hub that all paths pass: many tasks make them, and they are the paths of the plain join."""
+    ends = [f"M{n:03d}" for n in range(80)]
+    rows = [("d", e, "HUB", 0.5 + n) for n, e in enumerate(ends)] + [("d", "HUB", e, 1.5 + n) for n, e in enumerate(ends)] + [("d", "M001", "M002", 2.0), ("e", "x", "y", 1.0), ("e", "y", "x", 3.0)]
+    edges = spark.createDataFrame(rows, f"date string, ORIGIN string, DESTINATION string, {AMOUNT} double")
+    want = {(a[0], a[1], a[2], b[2]): a[3] * b[3] for a in rows for b in rows if a[0] == b[0] and a[2] == b[1]}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        paths = nw.paths3(edges, ["date"], per_task=400)
+        got = {(r["date"], r["ORIGIN"], r["VIA_1"], r["DESTINATION"]): r[f"{AMOUNT}_VIA_1"] for r in paths.collect()}
+        assert got == want
+        four = {(a[0], a[1], a[2], a[3], b[2]): w * b[3] for a, w in want.items() for b in rows if a[0] == b[0] and a[3] == b[1]}
+        paths = nw.paths4(edges, ["date"], per_task=40_000)
+        got = {(r["date"], r["ORIGIN"], r["VIA_1"], r["VIA_2"], r["DESTINATION"]): r[f"{AMOUNT}_VIA_2"] for r in paths.collect()}
+        assert got == four
+        # the joined rows before names: no task makes most of them
+        real, _ = nw._numbered(edges, ["date"])
+        for per_task, bound in ((10**9, None), (400, 0.5)):
+            made = nw._numbered_paths3(real, ["date"], per_task).groupBy(F.spark_partition_id().alias("p")).count().collect()
+            largest = max(r["count"] for r in made) / len(want)
+            assert largest > 0.9 if bound is None else largest < bound
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

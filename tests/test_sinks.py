@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from flowspark.plans import jobs
 from flowspark.session import ensure_checkpoint_dir
+from flowspark.sources import published as sources_published
 from flowspark.sources import readers, schemas, writers
 
 NETWORK = "folder_name string, floor_name string, user_id string, place_id string, network_id string, unit_id string, rssi_fx string"
@@ -130,3 +131,63 @@ def test_stages_are_released(spark):
     kept = materialize(spark.range(5).toDF("n"))
     assert kept.count() == 5 and release_stages(spark) >= 1
     assert release_stages(spark) == 0
+
+
+def rows_aside(path):
+    return {os.path.join(at, name) for at, _, names in os.walk(path / "daily/ALL/popular_area/data") for name in names if name.endswith(".parquet")}
+
+
+def test_a_job_that_fails_half_way_changes_nothing(spark, network, tmp_path):
+    path = str(tmp_path / "popular")
+    jobs.publish_popularity(popularity(spark, 0.5), network, path)
+    before = published(spark, path)
+    broken = popularity(spark, 0.9).repartition(4, "date").withColumn("popular_area", F.when((F.col("date") == DAYS[0]) | (F.col("unique_id") == "A"), F.col("popular_area")))
+    with pytest.raises(Exception, match="popular_area must not be null"):
+        jobs.publish_popularity(broken, network, path, run="second")
+    assert published(spark, path) == before
+    jobs.publish_popularity(popularity(spark, 0.9), network, path, run="second")
+    assert set(published(spark, path).values()) == {0.9} and len(published(spark, path)) == 4
+
+
+def test_a_repeated_publication_goes_on_where_it_stopped(spark, network, tmp_path, monkeypatch):
+    path, table = str(tmp_path / "popular"), str(tmp_path / "popular/daily/ALL/popular_area")
+    jobs.publish_popularity(popularity(spark, 0.5), network, path, run="first")
+    switch = sources_published._manifest_path
+
+    def lost(*_):
+        raise RuntimeError("the driver is lost before the switch")
+
+    monkeypatch.setattr(sources_published, "_manifest", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.publish_popularity(popularity(spark, 0.9, DAYS[1:]), network, path, run="second")
+    monkeypatch.undo()
+    assert set(published(spark, path).values()) == {0.5}
+    aside = rows_aside(tmp_path / "popular")
+    # a manifest that was begun and not completed does not count
+    os.makedirs(switch(table, 2, "second"))
+    assert set(published(spark, path).values()) == {0.5}
+    jobs.publish_popularity(popularity(spark, 0.9, DAYS[1:]), network, path, run="second")
+    assert sorted(published(spark, path).values()) == [0.5, 0.5, 0.9, 0.9]
+    for _ in range(2):  # complete: nothing is repeated, not even with other rows
+        jobs.publish_popularity(popularity(spark, 0.1), network, path, run="second")
+    assert rows_aside(tmp_path / "popular") == aside and len(sources_published.publications(spark, table)) == 2
+    assert sorted(published(spark, path).values()) == [0.5, 0.5, 0.9, 0.9]
+
+
+def test_vacuum_keeps_what_is_read(spark, network, tmp_path):
+    path, table = str(tmp_path / "popular"), str(tmp_path / "popular/daily/ALL/popular_area")
+    assert sources_published.vacuum(spark, table) == 0
+    assert readers.read_published(spark, table, schemas.popularity_schema("day", "unit_id")).count() == 0
+    for value, days in ((0.1, DAYS), (0.2, DAYS), (0.3, DAYS[1:]), (0.4, DAYS[1:])):
+        jobs.publish_popularity(popularity(spark, value, days), network, path)
+    want = published(spark, path)
+    assert sorted(want.values()) == [0.2, 0.2, 0.4, 0.4]
+    assert sources_published.vacuum(spark, table, keep=1) == 3 + 2 and published(spark, path) == want
+    assert sources_published.vacuum(spark, table, keep=1) == 0
+
+
+def test_reading_a_day_prunes_the_others(spark, network, tmp_path):
+    path = str(tmp_path / "popular")
+    jobs.publish_popularity(popularity(spark, 0.5), network, path)
+    back = readers.read_published(spark, f"{path}/daily/ALL/popular_area", schemas.popularity_schema("day", "unit_id"))
+    assert "PartitionFilters: [isnotnull(date" in back.where("date = '2024-01-01'")._jdf.queryExecution().toString()
