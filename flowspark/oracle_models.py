@@ -387,7 +387,7 @@ tails AS (
   SELECT tests.g, tests.p, tests.out, dst, chi2, exp(-chi2 / 2) * sum(pow(chi2 / 2, i) / gamma(i + 1.0)) AS p_value
   FROM tests CROSS JOIN range(20) AS n(i) WHERE i < tests.k // 2 GROUP BY tests.g, tests.p, tests.out, dst, chi2)
 SELECT c.date, c.place_id, CAST(c.hour AS INTEGER) AS hour, c.member AS causing, d.member AS caused, CAST(p AS INTEGER) AS lag,
-       round_even(chi2, 4) + 0.0 AS chi2, round_even(p_value, 6) + 0.0 AS p_value
+       round_even(round_even(chi2, 9), 4) + 0.0 AS chi2, round_even(p_value, 6) + 0.0 AS p_value
 FROM tails JOIN named c ON c.g = tails.g AND c.r = tails.out JOIN named d ON d.g = tails.g AND d.r = tails.dst
 """,
     }

@@ -296,7 +296,8 @@ def _var_rss_selected(spark, sf_dir):
 def _granger_selected(spark, sf_dir):
     built, spine, keys = _panel_parts(spark, sf_dir, HOUR)
     out = var.granger_pairs(materialize(built), spine, keys)
-    return _rounded(_rounded(out, 4, "chi2"), 6, "p_value")
+    # first to nine decimals: few counts make exact halves, beside which rounding errors decide
+    return _rounded(_rounded(_rounded(out, 9, "chi2"), 4, "chi2"), 6, "p_value")
 
 
 #: Largest excess per row at which a coefficient counts as optimal; the solver stops at moves of 1e-9.
