@@ -32,7 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TILE = 64
 BLOCK = 1440
 
-TILE_COLUMNS = "a int, c int, b int, span int, rows int, cols int, data binary"
+TILE_COLUMNS = "a int, c int, b int, span int, rows int, cols int, data binary, totals binary, edges binary"
 
 
 def key_schema(df: DataFrame, keys: Sequence[str]) -> str:
@@ -45,8 +45,9 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def _strips(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int, tile: int) -> DataFrame:
-    """``<keys>, tile, b, tiles, span, t, i, y``: one row per tile of members and time block, its cells as arrays."""
+    """``<keys>, tile, b, tiles, span, nobs, t, i, y``: one row per tile of members and time block, its cells as arrays."""
     span = F.col("span") if "span" in panel.columns else F.lit(maxlag)
+    nobs = F.col("nobs") if "nobs" in panel.columns else F.lit(None)
     if "k" not in panel.columns:
         counted = panel.groupBy(*keys).agg((F.max("i") + 1).alias("k"))
         panel = panel.join(counted, list(keys))
@@ -57,29 +58,35 @@ def _strips(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int, tile
         F.floor(F.col("i") / tile).cast("int").alias("tile"),
         F.ceil(F.col("k") / tile).cast("int").alias("tiles"),
         span.cast("int").alias("span"),
+        nobs.cast("int").alias("nobs"),
         *(F.col(name).cast(kind).alias(name) for name, kind in (("t", "int"), ("i", "int"), ("y", "long"))),
         F.explode(blocks).alias("b"),
     )
     arrays = [F.collect_list(name).alias(name) for name in ("t", "i", "y")]
-    return placed.groupBy(*keys, "tile", "b").agg(F.max("tiles").alias("tiles"), F.max("span").alias("span"), *arrays)
+    facts = [F.max(name).alias(name) for name in ("tiles", "span", "nobs")]
+    return placed.groupBy(*keys, "tile", "b").agg(*facts, *arrays)
 
 
 def moment_tiles(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int = BLOCK, tile: int = TILE) -> DataFrame:
-    """``<keys>, a, c, b, span, rows, cols, data``: sums of member tile ``a`` with the past of member tile ``c`` in time block ``b``.
+    """``<keys>, a, c, b, span, rows, cols, data, totals, edges``: sums of member tile ``a`` with the past of member tile ``c`` in time block ``b``.
 
     ``data`` holds ``span + 1`` matrices of ``rows`` x ``cols`` 64-bit integers, lag 0 first; at lag 0 only pairs with
     ``i <= j`` are filled (the rest is their mirror image). A group's sums are the totals over ``b``. If the panel
-    has a ``span`` column, lags above it are not summed for that row's group. Tiles without any sum are left out.
+    has a ``span`` column, lags above it are not summed for that row's group, and none at all where it is -1. Tiles off the diagonal
+    without any sum are left out; those on it also carry the members' ``totals`` and, if the panel has ``nobs``, as (t, i, y) the cells
+    among the first or last ``maxlag`` rows of the series (``edges``), so that the panel is read once for all of them.
     """
     keys = list(keys)
     block = max(block, maxlag, 1)
     strips = _strips(panel, keys, maxlag, block, tile)
-    partners = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    cells = ("b", "span", "t", "i", "y")
-    now = strips.select(*keys, F.col("tile").alias("a"), partners.alias("c"), F.lit(0).alias("side"), *cells)
-    past = strips.select(*keys, partners.alias("a"), F.col("tile").alias("c"), F.lit(1).alias("side"), *cells).where("a <> c")
+    cells = ("span", "nobs", "t", "i", "y")
     order = [*keys, "a", "c", "b"]
-    pairs = now.unionByName(past).repartition(shuffle_partitions(panel), *order).sortWithinPartitions(*order, "side")
+    # each strip is the present of the pairs with all tiles of its block, and the past of those with all others
+    tile_numbers, own = F.sequence(F.lit(0), F.col("tiles") - 1), F.col("tile")
+    present = F.transform(tile_numbers, lambda c: F.struct(own.alias("a"), c.alias("c"), F.lit(0).alias("side")))
+    past = F.transform(F.filter(tile_numbers, lambda a: a != own), lambda a: F.struct(a.alias("a"), own.alias("c"), F.lit(1).alias("side")))
+    pairs = strips.select(*keys, F.explode(F.concat(present, past)).alias("p"), "b", *cells).select(*keys, "p.*", "b", *cells)
+    pairs = pairs.repartition(shuffle_partitions(panel), *order).sortWithinPartitions(*order, "side")
     schema = T.StructType.fromDDL(f"{key_schema(panel, keys)}, {TILE_COLUMNS}")
     arrow = to_arrow_schema(schema)
 
@@ -98,12 +105,21 @@ def moment_tiles(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int
             height = min(len(y), len(x) + lag) - maxlag
             if height > 0:
                 out[lag] = y[maxlag : maxlag + height].T @ x[maxlag - lag : maxlag - lag + height]
-        if a > c:
+        if span >= 0 and a > c:
             out[0] = 0
-        elif a == c:
+        elif span >= 0 and a == c:
             out[0] = np.triu(out[0])
         return out
 
+    def own_parts(a: int, b: int, nobs: int | None, strip) -> tuple[bytes, bytes | None]:
+        """Totals and edge cells of the block's own rows."""
+        t, i, y = (v[strip[0] >= b * block] for v in strip)
+        totals = np.bincount(i - a * tile, y, int(strip[1].max()) - a * tile + 1).astype(np.int64)
+        if nobs is None:
+            return totals.tobytes(), None
+        near = (t < maxlag) | (t >= nobs - maxlag)
+        return totals.tobytes(), np.array([t[near], i[near], y[near]], np.int64).tobytes()
+
     def run(batches):
         ready, size = [], 0
         last, strip = None, None
@@ -119,20 +135,21 @@ def moment_tiles(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int
                         continue
                 elif last != place:
                     continue
-                span = columns["span"][at].as_py()
+                span, nobs = columns["span"][at].as_py(), columns["nobs"][at].as_py()
                 found = products(a, c, b, span, strip, cut)
-                if not found.any():
+                if a != c and not found.any():
                     continue
                 _, rows, cols = found.shape
-                ready.append(dict(zip(schema.names, (*place, span, rows, cols, found.tobytes()))))
-                size += found.nbytes
+                own = own_parts(a, b, nobs, strip) if a == c else (None, None)
+                ready.append(dict(zip(schema.names, (*place, span, rows, cols, found.tobytes(), *own))))
+                size += found.nbytes + 64
                 if size > 16 << 20:
                     yield pa.RecordBatch.from_pylist(ready, arrow)
                     ready, size = [], 0
         if ready:
             yield pa.RecordBatch.from_pylist(ready, arrow)
 
-    return pairs.select(*order, "side", "span", "t", "i", "y").mapInArrow(run, schema)
+    return pairs.select(*order, "side", *cells).mapInArrow(run, schema)
 
 
 def tile_sums(data: bytes, span: int, rows: int, cols: int) -> np.ndarray:
@@ -165,8 +182,3 @@ def lag_moments(panel: DataFrame, keys: Sequence[str], maxlag: int, block: int =
     """
     cells = cells_of(moment_tiles(panel, keys, maxlag, block, tile), keys, tile)
     return cells.groupBy(*keys, "i", "j", "lag").agg(F.sum("s").alias("s"))
-
-
-def edge_rows(panel: DataFrame, maxlag: int) -> DataFrame:
-    """Cells among the first or last ``maxlag`` rows of their series (the panel needs ``nobs``)."""
-    return panel.where((F.col("t") < maxlag) | (F.col("t") >= F.col("nobs") - maxlag))

@@ -44,12 +44,14 @@ def popularity(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _numbered(edges: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _numbered(edges: DataFrame, keys: Sequence[str], stored: bool = False) -> tuple[DataFrame, DataFrame]:
     """The real edges ``<keys>, o, d, w`` with members as numbers, and the ``names`` they stand for: an array per group.
 
     The real edges are stored: path joins read them several times, and their known size lets small ones be broadcast.
+    ``stored`` edges are a written table already.
     """
-    real = materialize(edges.where(F.col(AMOUNT) != 0).select(*keys, "ORIGIN", "DESTINATION", F.col(AMOUNT).alias("w")))
+    real = edges.where(F.col(AMOUNT) != 0).select(*keys, "ORIGIN", "DESTINATION", F.col(AMOUNT).alias("w"))
+    real = real if stored else materialize(real)
     ends = real.select(*keys, F.explode(F.array("ORIGIN", "DESTINATION")).alias("name"))
     names = ends.groupBy(*keys).agg(F.sort_array(F.collect_set("name")).alias("names"))
 
@@ -114,12 +116,12 @@ def paths4(edges: DataFrame, keys: Sequence[str], per_task: int = PATHS_PER_TASK
     return _named(paths, names, keys, stops, f"{AMOUNT}_VIA_2")
 
 
-def circulation(edges: DataFrame, keys: Sequence[str], depth: int) -> dict[str, DataFrame]:
-    """``migration_2`` … ``migration_<depth>``; depth is 2, 3 or 4."""
+def circulation(edges: DataFrame, keys: Sequence[str], depth: int, stored: bool = False) -> dict[str, DataFrame]:
+    """``migration_2`` … ``migration_<depth>``; depth is 2, 3 or 4. ``stored`` edges are a written table."""
     if depth not in (2, 3, 4):
         raise ValueError(f"circulation depth must be 2, 3 or 4, got {depth}")
     out = {"migration_2": edges}
-    numbered = _numbered(edges, keys) if depth >= 3 else None
+    numbered = _numbered(edges, keys, stored) if depth >= 3 else None
     if depth >= 3:
         out["migration_3"] = paths3(edges, keys, numbered=numbered)
     if depth == 4:

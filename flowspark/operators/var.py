@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowspark.functions import dense
 from flowspark.operators import moments
-from flowspark.operators.moments import BLOCK, TILE, edge_rows, key_schema, moment_tiles, shuffle_partitions, tile_sums
+from flowspark.operators.moments import BLOCK, TILE, key_schema, moment_tiles, shuffle_partitions, tile_sums
 from flowspark.operators.panel import densify
 from flowspark.session import materialize
 
@@ -40,8 +40,7 @@ MAX_ITERATIONS = 300_000
 #: Targets that one task solves an elastic net for; a group with more members is solved by several.
 TARGETS = 64
 
-_MEMBER, _TOTAL, _EDGE = range(3)
-#: Rows of a group in the order they are read: its small sums, its moment tiles, coefficients solved elsewhere.
+#: Rows of a group in the order they are read: its members, its moment tiles, coefficients solved elsewhere.
 _SMALL, _TILE, _COEF = range(3)
 
 _MODEL = (
@@ -61,78 +60,60 @@ def solver_parts(
     block: int = BLOCK,
     tile: int = TILE,
 ) -> DataFrame:
-    """All that the solves need of every group, a few rows each: members, totals and edge rows as arrays, cross-moments as tiles.
+    """All that the solves need of every group, a few rows each: its members, and its moments, totals and edge rows in tiles.
 
-    Rows of a group are told apart by ``_part``. The table can be stored and read by several operators (``var_fit``,
-    ``granger_pairs``, ``var_rss_moments``); ``lags`` and ``sparse`` must then be the same there.
+    The panel is read once. Rows of a group are told apart by ``_part``. The table can be stored and read by several operators
+    (``var_fit``, ``granger_pairs``, ``var_rss_moments``); ``lags`` and ``sparse`` must then be the same there.
     """
     # widest lag the solve can use: a plain model needs more rows than coefficients
     nobs, k = F.col("nobs"), F.col("k")
     reach = F.least(F.lit(lags or maxlag), nobs - 1)
     if sparse:
-        usable, span = panel, reach
+        span = reach
     else:
-        usable = panel.where(nobs - 2 - k > 0)
         eligible = F.floor((nobs - reach - 2) / k)
-        span = F.least(reach, F.greatest(eligible, F.lit(lags or 1)))
-    usable = usable.withColumn("span", span.cast("int"))
-    depth = lags or maxlag
-
-    def part(df: DataFrame, kind: int, t=F.lit(0), s="s", member=F.lit(None), nobs=F.lit(0)):
-        columns = {"kind": F.lit(kind), "i": "i", "t": t, "s": s, "member": member, "nobs": nobs}
-        types = {"s": "bigint", "member": "string"}
-        named = [(F.col(c) if isinstance(c, str) else c).cast(types.get(name, "int")).alias(name) for name, c in columns.items()]
-        return df.select(*keys, *named)
-
-    totals = panel.groupBy(*keys, "i").agg(F.sum("y").alias("s"))
-    small = (
-        part(spine, _MEMBER, s=F.lit(0), member="member", nobs="nobs")
-        .union(part(totals, _TOTAL))
-        .union(part(edge_rows(usable, depth), _EDGE, t="t", s="y"))
-        .groupBy(*keys)
-        .agg(
-            *(F.collect_list(name).alias(name) for name in ("kind", "i", "t", "s")),
-            F.collect_list(F.struct("i", "member")).alias("members"),
-            F.max("nobs").alias("nobs"),
-            F.count(F.when(F.col("kind") == _MEMBER, 1)).cast("int").alias("k"),
-        )
-        .withColumn("members", F.filter("members", lambda m: m["member"].isNotNull()))
-    )
-    tiles = moment_tiles(usable, keys, depth, block, tile)
-    return small.select(*keys, F.lit(_SMALL).alias("_part"), *small.columns[len(keys) :]).unionByName(
-        tiles.select(*keys, F.lit(_TILE).alias("_part"), F.lit(tile).alias("tile"), *tiles.columns[len(keys) :]), allowMissingColumns=True
+        span = F.when(nobs - 2 - k > 0, F.least(reach, F.greatest(eligible, F.lit(lags or 1)))).otherwise(-1)
+    members = spine.groupBy(*keys).agg(
+        F.collect_list(F.struct("i", "member")).alias("members"), F.max("nobs").cast("int").alias("nobs"), F.count(F.lit(1)).cast("int").alias("k")
     )
+    tiles = moment_tiles(panel.withColumn("span", span.cast("int")), keys, lags or maxlag, block, tile)
+    small = members.select(*keys, F.lit(_SMALL).alias("_part"), "members", "nobs", "k")
+    return small.unionByName(tiles.select(*keys, F.lit(_TILE).alias("_part"), F.lit(tile).alias("tile"), *tiles.columns[len(keys) :]), allowMissingColumns=True)
 
 
 class _Group:
     """One group's sums, with members ordered by mean (largest first, then name)."""
 
-    def __init__(self, row: dict, maxlag: int):
-        kind, i, t = (np.asarray(row[name], dtype=np.int64) for name in ("kind", "i", "t"))
-        s = np.asarray(row["s"], dtype=float)
-        names, numbers = [m["member"] for m in row["members"]], np.array([m["i"] for m in row["members"]], dtype=np.int64)
+    def __init__(self, given: dict, parts: list[dict], maxlag: int):
+        tiles = [row for row in parts if row["_part"] == _TILE]
+        names, numbers = [m["member"] for m in given["members"]], np.array([m["i"] for m in given["members"]], dtype=np.int64)
         sums = np.zeros(numbers.max() + 1)
-        sums[i[kind == _TOTAL]] = s[kind == _TOTAL]
+        for row in tiles:
+            if row["totals"] is not None:
+                own = np.frombuffer(row["totals"], np.int64)
+                sums[row["a"] * row["tile"] : row["a"] * row["tile"] + len(own)] += own
         totals = sums[numbers]
         order = sorted(range(len(names)), key=lambda at: (-totals[at], names[at]))
+        self.given = given
         self.members = [names[at] for at in order]
-        self.nobs = int(row["nobs"])
+        self.nobs = int(given["nobs"])
         self.total = totals[order]
         self.k = len(order)
         self.maxlag = min(maxlag, self.nobs - 1)
         self.rank = np.zeros(numbers.max() + 1, dtype=np.int64)
         self.rank[numbers[order]] = np.arange(self.k)
         self.cross = np.zeros((self.maxlag + 1, self.k, self.k))
-        self.given = row
-        #: Coefficients other tasks have solved: by lag, a column per target.
-        self.solved: dict[int, np.ndarray] = {}
-        self.converged = True
-
         # the first and last rows; a short series is held whole
         self.tail = max(self.maxlag, self.nobs - self.maxlag)
         self.rows = np.zeros((self.maxlag + self.nobs - self.tail, self.k))
-        at = kind == _EDGE
-        self.rows[np.where(t[at] < self.maxlag, t[at], t[at] - self.tail + self.maxlag), self.rank[i[at]]] = s[at]
+        for row in tiles:
+            self.add_tile(row)
+        #: Coefficients other tasks have solved: by lag, a column per target.
+        self.solved: dict[int, np.ndarray] = {}
+        self.converged = True
+        for row in parts:
+            if row["_part"] == _COEF:
+                self.add_solved(row)
 
     def add_tile(self, row: dict) -> None:
         sums = tile_sums(row["data"], row["span"], row["rows"], row["cols"])
@@ -141,8 +122,13 @@ class _Group:
         for lag in range(row["span"] + 1):
             self.cross[lag][np.ix_(i, j)] += sums[lag]
         # at lag 0 a tile has one half; its mirror image is the other
-        once = np.triu(sums[0], 1) if row["a"] == row["c"] else sums[0]
-        self.cross[0][np.ix_(j, i)] += once.T
+        if row["span"] >= 0:
+            once = np.triu(sums[0], 1) if row["a"] == row["c"] else sums[0]
+            self.cross[0][np.ix_(j, i)] += once.T
+        if row["edges"] is not None:
+            t, i, y = np.frombuffer(row["edges"], np.int64).reshape(3, -1)
+            t, i, y = (v[(t < self.maxlag) | (t >= self.tail)] for v in (t, i, y))
+            self.rows[np.where(t < self.maxlag, t, t - self.tail + self.maxlag), self.rank[i]] = y
 
     def add_solved(self, row: dict) -> None:
         """Coefficients of the targets ``a`` * TARGETS … at lag ``span``."""
@@ -228,19 +214,18 @@ class _SparseModel:
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str], maxlag: int) -> Iterator[tuple[dict, _Group]]:
     """The groups of a task's sorted ``solver_parts``, one after the other."""
-    key, group = None, None
+    key, small, parts = None, None, []
     for batch in batches:
-        for row in batch.to_pylist() if batch.num_rows < 64 else (r for at in range(0, batch.num_rows, 64) for r in batch.slice(at, 64).to_pylist()):
-            if row["_part"] == _SMALL:
-                if group is not None:
-                    yield key, group
-                key, group = {name: row[name] for name in keys}, _Group(row, maxlag)
-            elif row["_part"] == _TILE:
-                group.add_tile(row)
-            else:
-                group.add_solved(row)
-    if group is not None:
-        yield key, group
+        for first in range(0, batch.num_rows, 64):
+            for row in batch.slice(first, 64).to_pylist():
+                if row["_part"] == _SMALL:
+                    if small is not None:
+                        yield key, _Group(small, parts, maxlag)
+                    key, small, parts = {name: row[name] for name in keys}, row, []
+                else:
+                    parts.append(row)
+    if small is not None:
+        yield key, _Group(small, parts, maxlag)
 
 
 def _solve_groups(parts: DataFrame, keys: Sequence[str], maxlag: int, solve: Callable, schema: T.StructType, spread: Sequence[str] = ()) -> DataFrame:

@@ -108,7 +108,7 @@ class Analysis:
 
     @cached_property
     def migrations(self) -> dict[str, DataFrame]:
-        return circulation(self.edges, self.keys, self._depth)
+        return circulation(self.edges, self.keys, self._depth, stored=self._depth > 2)
 
 
 def analyze(

@@ -414,7 +414,7 @@ def test_one_solve_feeds_all_coefficients(spark, capsys):
     panel, spine = make(spark, {("d", "p"): walk(1, 60, 3)})
     var.var_coefficients(var.var_fit(panel, spine, KEYS, lags=1), KEYS).explain()
     plan = capsys.readouterr().out
-    assert plan.count("MapInArrow") == 2  # the tiles of sums, the solve
+    assert plan.count("MapInArrow") == 2  # the tiles, the solve
 
 
 def test_shares_take_one_shuffle(spark, capsys):
