@@ -22,6 +22,16 @@ def as_timestamp(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).try_cast("timestamp")
 
 
+def iso_day(day: Column) -> Column:
+    """The date of ``yyyyMMdd`` or ``yyyy-MM-dd`` text; null if it is neither."""
+    return F.coalesce(F.try_to_timestamp(day, F.lit("yyyyMMdd")), F.try_to_timestamp(day, F.lit("yyyy-MM-dd"))).cast("date")
+
+
+def compact_day(day: Column) -> Column:
+    """``yyyyMMdd`` of a date or ``yyyy-MM-dd`` text."""
+    return F.date_format(day.cast("date"), "yyyyMMdd")
+
+
 def bucket_start(ts: Column, seconds: int) -> Column:
     """Epoch second at which the ``seconds``-wide bucket holding ``ts`` starts."""
     epoch = F.unix_timestamp(ts)

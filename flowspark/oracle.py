@@ -443,6 +443,8 @@ SELECT p.date, round_even(sum((p.y - (ay + (p.x - ax) * b * sy / sx)) ** 2), 4)
     sql |= oracle_models.statements(_hour_grid, "unit_id", "place_id, hour", "all", hourly=True)
     sql |= oracle_models.statements(_hour_grid, "unit_id", "place_id, floor_name, hour", "floor", hourly=True)
     sql |= oracle_models.chosen_lag_tables(_grid, _hour_grid)
+    sql["analysis_tables"] = oracle_models.analysis_tables(_grid)
+    sql["plan_runs_compact"] = sql["plan_runs"]
     # every equation of every group meets the conditions that only the optimum meets
     sql["sparse_certificate"] = f"WITH {_grid('unit_id', by_place, 10)} SELECT DISTINCT date, place_id, member AS target, true AS optimal FROM spine"
     for grain in ("hour", "day"):

@@ -391,3 +391,45 @@ SELECT c.date, c.place_id, CAST(c.hour AS INTEGER) AS hour, c.member AS causing,
 FROM tails JOIN named c ON c.g = tails.g AND c.r = tails.out JOIN named d ON d.g = tails.g AND d.r = tails.dst
 """,
     }
+
+
+def analysis_tables(day_grid) -> str:
+    """All tables of a daily analysis of whole places as one: ``name, date, place_id, first … fourth, value``."""
+    ab, bc = "a.date = b.date AND a.place_id = b.place_id", "b.date = c.date AND b.place_id = c.place_id"
+
+    def part(name: str, value: str, source: str, *stops: str) -> str:
+        named = [*stops, *["NULL"] * (4 - len(stops))]
+        listed = ", ".join(f"CAST({stop} AS VARCHAR) AS {label}" for stop, label in zip(named, ('"first"', '"second"', '"third"', '"fourth"')))
+        return f"SELECT '{name}' AS name, x.date, x.place_id, {listed}, CAST({value} AS DOUBLE) + 0.0 AS value FROM {source}"
+
+    pairs = "edges x"
+    threes = f"(SELECT a.*, b.ORIGIN AS via, b.DESTINATION AS last, a.w * b.w AS ww FROM edges a JOIN edges b ON {ab} AND a.DESTINATION = b.ORIGIN WHERE a.w <> 0 AND b.w <> 0) x"
+    fours = (
+        "(SELECT a.*, b.ORIGIN AS via, c.ORIGIN AS via2, c.DESTINATION AS last, a.w * b.w * c.w AS ww FROM edges a "
+        f"JOIN edges b ON {ab} AND a.DESTINATION = b.ORIGIN JOIN edges c ON {bc} AND b.DESTINATION = c.ORIGIN WHERE a.w <> 0 AND b.w <> 0 AND c.w <> 0) x"
+    )
+    parts = [
+        part("input_data", "x.y", "panel x", "x.member", "x.t"),
+        part("model_status", "p", "chosen JOIN grp x USING (g)", "'fitted'", "144", "x.k"),
+        part(
+            "var_model_coefficient",
+            "round_even(coef, 7)",
+            "coef JOIN named x ON x.g = coef.g AND x.r = coef.dst LEFT JOIN named s ON s.g = coef.g AND var > 0 AND s.r = (var - 1) % coef.k + 1",
+            "x.member",
+            "s.member",
+            "CASE WHEN var = 0 THEN 0 ELSE (var - 1) // coef.k + 1 END",
+        ),
+        part("causality", "x.w", pairs, "x.ORIGIN", "x.DESTINATION"),
+        part("centrality", "round_even(CAST(x.degree AS DOUBLE) / x.others, 4)", "degree x", "x.member"),
+        part("migration_2", "x.w", pairs, "x.ORIGIN", "x.DESTINATION"),
+        part("migration_3", "round_even(x.ww, 12)", threes, "x.ORIGIN", "x.via", "x.last"),
+        part("migration_4", "round_even(x.ww, 12)", fours, "x.ORIGIN", "x.via", "x.via2", "x.last"),
+    ]
+    return f"""
+WITH RECURSIVE {model(day_grid('unit_id', 'place_id', 10), 'place_id')},
+degree AS (
+  SELECT m.date, m.place_id, m.member, count(*) FILTER (WHERE e.w > 0) AS degree, max(m.k) - 1 AS others
+  FROM named m JOIN edges e ON e.date = m.date AND e.place_id = m.place_id AND (e.ORIGIN = m.member OR e.DESTINATION = m.member)
+  GROUP BY m.date, m.place_id, m.member)
+{" UNION ALL ".join(parts)}
+"""

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions.scalars import hour_label
+from flowspark.functions.scalars import hour_label, iso_day
 from flowspark.functions.timegrid import TimeGrid
 from flowspark.operators.footfall import footfall_counts, footfall_table
 from flowspark.operators.network import circulation, influence_edges, popularity
@@ -24,8 +24,8 @@ FOOTFALL_FOLDERS = {"day": "daily", "hour": "hourly", "1min": "by1min"}
 
 
 def plan_runs(network: DataFrame, start: str, end: str) -> DataFrame:
-    """One row per date and place to analyse, both ends included: ``date, place_id``."""
-    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    """One row per date and place to analyse, both ends included: ``date, place_id``. Days are ``yyyy-MM-dd`` or ``yyyyMMdd``."""
+    days = F.sequence(iso_day(F.lit(start)), iso_day(F.lit(end)))
     runs = network.select("place_id").distinct().withColumn("date", F.explode(days))
     return runs.select(F.col("date").cast("string").alias("date"), "place_id")
 

@@ -208,6 +208,12 @@ def _plan_runs(spark, sf_dir):
     return jobs.plan_runs(demo.sightings(spark, sf_dir), *demo.day_range(spark, sf_dir))
 
 
+def _plan_runs_compact(spark, sf_dir):
+    """Days given without hyphens."""
+    first, last = (day.replace("-", "") for day in demo.day_range(spark, sf_dir))
+    return jobs.plan_runs(demo.sightings(spark, sf_dir), first, last)
+
+
 # ------------------------------------------- two-member systems with a closed form
 
 
@@ -320,6 +326,34 @@ def _analysis(pick: Callable, grid: TimeGrid, popularity_area: str, influence_ar
     return query
 
 
+def _analysis_tables(spark, sf_dir):
+    """Every table ``write_analysis`` writes, read back from its CSV folders as one: ``name, date, place_id, first … fourth, value``."""
+    by1min, runs = demo.by1min(spark, sf_dir), demo.runs(spark, sf_dir)
+    path = shared_path(spark, "analysis")
+    jobs.write_analysis(jobs.analyze(by1min, demo.network(spark), runs, DAY, depth=4), path)
+    edge = ["ORIGIN", "DESTINATION"]
+    amount = "MOVEMENT_INFLUENCE_AMOUNT"
+    shapes = {
+        "input_data": (["member", "t"], "y", 0),
+        "model_status": (["status", "nobs", "n_members"], "lag", 0),
+        "var_model_coefficient": (["target", "source", "lag"], "coef", 7),
+        "causality": (edge, amount, 4),
+        "centrality": (["unique_id"], "popular_area", 4),
+        "migration_2": (edge, amount, 4),
+        "migration_3": (["ORIGIN", "VIA_1", "DESTINATION"], f"{amount}_VIA_1", 12),
+        "migration_4": (["ORIGIN", "VIA_1", "VIA_2", "DESTINATION"], f"{amount}_VIA_2", 12),
+    }
+    found = None
+    for name, (stops, value, places) in shapes.items():
+        back = readers.read_dimension_csv(spark, f"{path}/daily/ALL/{name}")
+        named = [F.col(stop).cast("string") for stop in stops] + [F.lit(None).cast("string")] * (4 - len(stops))
+        columns = [column.alias(label) for column, label in zip(named, ("first", "second", "third", "fourth"))]
+        part = back.select(F.lit(name).alias("name"), "date", F.col("place_id").cast("string").alias("place_id"), *columns, F.col(value).cast("double").alias("value"))
+        part = _rounded(part, places, "value")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def _edges(result, _):
     return jobs.labelled_edges(result.edges)
 
@@ -400,6 +434,8 @@ def registered() -> dict[str, Query]:
         "var_predict_selected": _var_predict_selected,
         "var_rss_selected": _var_rss_selected,
         "sparse_certificate": _sparse_certificate,
+        "analysis_tables": _analysis_tables,
+        "plan_runs_compact": _plan_runs_compact,
     }
     areas = {"all": ("all", "all"), "all_floor": ("all", "floor"), "floor": ("floor", "floor")}
     for grain, grid in (("day", DAY), ("hour", HOUR)):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowspark.functions.scalars import compact_day, iso_day
 from flowspark.plans import jobs
 from flowspark.session import ensure_checkpoint_dir
 from flowspark.sources import published as sources_published
@@ -191,3 +192,11 @@ def test_reading_a_day_prunes_the_others(spark, network, tmp_path):
     jobs.publish_popularity(popularity(spark, 0.5), network, path)
     back = readers.read_published(spark, f"{path}/daily/ALL/popular_area", schemas.popularity_schema("day", "unit_id"))
     assert "PartitionFilters: [isnotnull(date" in back.where("date = '2024-01-01'")._jdf.queryExecution().toString()
+
+
+def test_days_in_either_form(spark):
+    days = spark.createDataFrame([("20240229",), ("2024-02-29",), ("29.02.2024",), ("",), (None,)], "d string")
+    found = days.select(iso_day(F.col("d")).alias("iso"), compact_day(iso_day(F.col("d"))).alias("compact")).collect()
+    assert [(str(r["iso"]), r["compact"]) for r in found] == [("2024-02-29", "20240229")] * 2 + [("None", None)] * 3
+    network = spark.createDataFrame([("P0",)], "place_id string")
+    assert [r["date"] for r in jobs.plan_runs(network, "20240228", "2024-03-01").orderBy("date").collect()] == ["2024-02-28", "2024-02-29", "2024-03-01"]
