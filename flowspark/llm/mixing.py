@@ -111,12 +111,12 @@ def mix_plan(
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mixed documents themselves: each row as often as the mix takes it; rows without words stay once.
 
-    ``doc_id`` must name a row: rows that share one get the plan of either.
+    Every row has the plan of its own id, source and size; rows alike in all three share their place in the mix, and so their number.
     """
-    plan = mix_plan(docs, doc_id, text, source, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"), F.max("size").alias("_size"))
+    size = options.get("size")
+    own_size = (word_count(F.col(text)) if size is None else size).cast("long")
+    plan = mix_plan(docs, doc_id, text, source, **options)
+    plan = plan.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
+    own = F.col(doc_id).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (own_size == F.col("_size"))
     times = F.when(F.col("_size") == 0, F.lit(1)).otherwise(F.col("_copies"))
-    return (
-        docs.join(plan, F.col(doc_id).eqNullSafe(F.col("_id")))
-        .withColumn("_turn", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
-        .select(*docs.columns)
-    )
+    return docs.join(plan, own).withColumn("_turn", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).select(*docs.columns)

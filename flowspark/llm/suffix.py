@@ -506,7 +506,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
     """What of each document repeats earlier ones.
 
     Returns ``doc_id`` (long), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept_sha256`` of
-    every row, and with ``with_text`` ``kept``, the remaining bytes (null where nothing goes). Earlier means a smaller id; null ids come
+    every row, and with ``with_text`` ``kept``, the remaining bytes (null where nothing goes), and ``tid``, the text's hash. Earlier means a smaller id; null ids come
     last; rows of one id never remove from each other. Null texts are empty. A later copy of a whole text goes entirely if it
     has ``LENGTH`` bytes. Texts and pieces are told apart by 64-bit hashes, strings by their bytes.
     """
@@ -546,7 +546,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
-        *([F.when(copy, F.unhex(F.lit(""))).otherwise(F.col("kept")).alias("kept")] if with_text else []),
+        *([F.when(copy, F.unhex(F.lit(""))).otherwise(F.col("kept")).alias("kept"), "tid"] if with_text else []),
     )
     return out
 
@@ -554,18 +554,23 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``; rows of which nothing is left go, ``n_chars`` follows.
 
-    Characters cut in half go with the passage. ``doc_id`` must name a row.
+    Characters cut in half go with the passage. Every row is cut by its own id and text: rows that share an id, and rows whose id is null,
+    keep what is theirs.
     """
-    found = repeats(docs, doc_id, text, with_text=True).select(F.col("doc_id").alias("_id"), "n_bytes", "n_removed", "kept")
-    changed = found.filter("n_removed > 0").groupBy("_id").agg(F.first("kept").alias("_kept"), F.max(F.col("n_bytes") == F.col("n_removed")).alias("_gone"))
+    found = repeats(docs, doc_id, text, with_text=True).where("n_removed > 0")
+    changed = found.groupBy(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid")).agg(
+        F.first("kept").alias("_kept"), F.max(F.col("n_bytes") == F.col("n_removed")).alias("_gone")
+    )
 
     def decode(batches):
         for batch in batches:
-            texts = [k.as_py().decode("utf-8", "ignore") if k.is_valid else None for k in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2)], names=["_id", "_text", "_gone"])
+            texts = [k.as_py().decode("utf-8", "ignore") if k.is_valid else None for k in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), batch.column(3)], names=["_id", "_tid", "_text", "_gone"])
 
-    changed = changed.mapInArrow(decode, "_id long, _text string, _gone boolean")
-    out = docs.join(changed, F.col(doc_id) == F.col("_id"), "left").filter(~F.coalesce("_gone", F.lit(False)))
+    changed = changed.mapInArrow(decode, "_id long, _tid long, _text string, _gone boolean")
+    own = F.xxhash64(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))
+    same_row = F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (own == F.col("_tid"))
+    out = docs.join(changed, same_row, "left").filter(~F.coalesce("_gone", F.lit(False)))
     columns = {text: F.coalesce("_text", F.col(text))}
     if n_chars in docs.columns:
         columns[n_chars] = F.when(F.col("_text").isNotNull(), F.length("_text").cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars))

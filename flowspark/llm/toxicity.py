@@ -1,34 +1,35 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
-The vocabulary is learned: of the words of labelled examples those that go with label 1
-more than chance allows and mostly. Document frequencies are counted over all documents. The
-examples' vectors form a block-max inverted index; a text is scored by its exact nearest
-examples.
+The vectors hold every word of a text. Document frequencies of the examples' words are counted over all documents; a word's weight is
+its inverse document frequency, up to five times as large for words that go with label 1. The examples'
+vectors form a block-max inverted index; a text is scored by its exact nearest examples.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from flowspark.llm.common import give_back, stage
 
-#: Labelled rows that the vocabulary is learned from, and examples in the index, half of either label.
+#: Labelled rows that the words' leanings are learned from, and examples in the index, half of either label.
 MOST_LABELLED = 20_000
 MOST_EXAMPLES = 4_000
-#: Chi-square with one degree of freedom beyond which a word goes with a label, and words kept.
+#: Chi-square with one degree of freedom from which a word that goes with label 1 has its full weight; a word without
+#: any leaning has this share of it.
 CHI_SQUARE = 25.0
-#: Least examples with a word, and least odds of label 1 among the labelled rows that hold it.
-LEAST_HOLDERS = 4
-LEAST_ODDS = 1.0
-MOST_TERMS = 4_096
+LEAST_WEIGHT = 0.2
 NEAREST = 15
 BLOCK = 32
+#: Blocks scored before the others' limits are compared with what they hold.
+FIRST_BLOCKS = 8
 #: Weight of the base rate beside the votes.
 PRIOR = 0.05
 _EDGES = re.compile(r"[^\W_]+")
@@ -39,95 +40,103 @@ def terms(text: str | None) -> list[str]:
     return _EDGES.findall((text or "").lower())
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges ``first`` … ``last`` - 1, one range after the other."""
+    sizes = last - first
+    starts = np.cumsum(sizes) - sizes
+    return np.repeat(first - starts, sizes) + np.arange(sizes.sum())
+
+
 class BlockMaxIndex:
-    """Examples by term in blocks with the largest weight of each block; finds exact nearest examples by cosine."""
+    """Examples by term in blocks with the largest weight of each block; finds exact nearest examples by cosine.
 
-    def __init__(self, vectors: list[dict[int, float]], labels: list[int], terms: int):
+    ``entries`` are the (term, block) pairs that hold an example, by term; each has its block's largest weight and its postings.
+    """
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: list[int], terms: int):
         # examples that look alike share blocks, which makes the blocks' limits tight
-        order = sorted(range(len(vectors)), key=lambda i: (sorted(vectors[i], key=lambda t: (-vectors[i][t], t))[:3], i))
+        heaviest = [t[np.lexsort((t, -w))[:3]].tolist() for t, w in vectors]
+        order = sorted(range(len(vectors)), key=lambda i: (heaviest[i], i))
         self.ids = np.array(order, np.int64)
         self.labels = np.array([labels[i] for i in order], np.int64)
         self.blocks = math.ceil(len(order) / BLOCK)
-        self.limits = np.zeros((terms, self.blocks))
-        self.postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in range(terms)]
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for place, i in enumerate(order):
-            for t, w in vectors[i].items():
-                lists.setdefault((t, place // BLOCK), []).append((place % BLOCK, w))
-        for (t, b), entries in lists.items():
-            at, weights = zip(*entries)
-            self.postings[t][b] = np.array(at), np.array(weights)
-            self.limits[t, b] = max(weights)
-
-    def nearest(self, query: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
+        term = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, np.int64)
+        weight = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
+        place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        by_term = np.argsort(term, kind="stable")
+        term, self.place, self.weight = term[by_term], place[by_term].astype(np.int32), weight[by_term]
+        pair = term * max(self.blocks, 1) + self.place // BLOCK
+        self.first = np.flatnonzero(np.diff(pair, prepend=-1))
+        self.last = np.append(self.first[1:], len(pair))
+        self.block = (pair[self.first] % max(self.blocks, 1)).astype(np.int32)
+        self.limit = np.maximum.reduceat(self.weight, self.first) if len(pair) else np.zeros(0)
+        self.of_term = np.searchsorted(term[self.first], np.arange(terms + 1))
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the ``k`` nearest examples that share a term; ties by place.
 
-        Blocks are scored from the highest limit down until no block left can hold an example
-        as near as the k-th.
+        The blocks with the highest limits are scored first; then those left that can hold an example as near as the k-th of these.
         """
-        if not query or not self.blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
-        ts, ws = np.array(list(query)), np.array(list(query.values()))
-        limits = ws @ self.limits[ts]
-        places, values, least = [], [], 0.0
-        for b in np.argsort(-limits, kind="stable").tolist():
-            if limits[b] <= 0 or limits[b] < least - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in query.items():
-                found = self.postings[t].get(b)
-                if found is not None:
-                    scores[found[0]] += w * found[1]
-            hit = np.flatnonzero(scores > max(least - 1e-9, 0.0))
-            if hit.size:
-                places.append(hit + b * BLOCK)
-                values.append(scores[hit])
-                joined = np.concatenate(values)
-                if joined.size >= k:
-                    least = np.partition(joined, joined.size - k)[joined.size - k]
-        if not places:
+        first, last = self.of_term[terms], self.of_term[terms + 1]
+        sizes = last - first
+        entries = _ranges(first, last)
+        if not len(entries):
             return np.zeros(0, np.int64), np.zeros(0)
-        place, value = np.concatenate(places), np.concatenate(values)
-        best = np.lexsort((place, -np.round(value, 9)))[:k]
-        return place[best], value[best]
+        factor, block = np.repeat(weights, sizes), self.block[entries]
+        limits = np.bincount(block, self.limit[entries] * factor, self.blocks)
+        scores = np.zeros(self.blocks * BLOCK)
+
+        def add(picked: np.ndarray) -> None:
+            use = np.flatnonzero(picked[block])
+            start, end = self.first[entries[use]], self.last[entries[use]]
+            postings = _ranges(start, end)
+            scores[:] += np.bincount(self.place[postings], self.weight[postings] * np.repeat(factor[use], end - start), len(scores))
+
+        begun = np.zeros(self.blocks, bool)
+        begun[np.argpartition(-limits, min(FIRST_BLOCKS, self.blocks - 1))[:FIRST_BLOCKS]] = True
+        add(begun)
+        least = max(np.partition(scores, len(scores) - k)[len(scores) - k], 0.0) if len(scores) > k else 0.0
+        left = ~begun & (limits > 0) & (limits >= least - 1e-9)
+        if left.any():
+            add(left)
+        place = np.flatnonzero((scores > 0) & (scores >= least - 1e-9))
+        best = place[np.lexsort((place, -np.round(scores[place], 9)))[:k]]
+        return best, scores[best]
 
 
 class Model:
-    """Vocabulary, document frequencies and indexed examples; scores texts."""
+    """Words of the examples with their weights, and the indexed examples; scores texts."""
 
-    def __init__(self, vocabulary: list[str], frequency: np.ndarray, documents: int, examples: list[tuple[int, int, dict[int, int]]], rates: dict):
+    def __init__(self, vocabulary: list[str], frequency: np.ndarray, leaning: np.ndarray, documents: int, examples: list[tuple], rates: dict):
+        """``examples`` are (id, label, word counts); ``leaning`` is from 0 to 1 per word."""
         self.numbers = {w: i for i, w in enumerate(vocabulary)}
-        self.idf = np.log((1 + documents) / (1 + frequency)) + 1
+        self.weights = (np.log((1 + documents) / (1 + frequency)) + 1) * (LEAST_WEIGHT + (1 - LEAST_WEIGHT) * leaning)
+        # a word of no example is as rare as can be, and leans to nothing
+        self.other = (math.log((1 + documents) / 2) + 1) * LEAST_WEIGHT
         self.example_ids = [i for i, _, _ in examples]
-        labels = [label for _, label, _ in examples]
-        self.index = BlockMaxIndex([self.vector(c) for _, _, c in examples], labels, len(vocabulary))
+        self.index = BlockMaxIndex([self.vector(c) for _, _, c in examples], [label for _, label, _ in examples], len(vocabulary))
         self.rates = rates
         # a vote counts as many rows as its example stands for
         self.weight = np.array([rates["weight"][label] for label in (0, 1)])
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        found: dict[int, int] = {}
-        numbers = self.numbers
-        for w in terms(text):
-            t = numbers.get(w)
-            if t is not None:
-                found[t] = found.get(t, 0) + 1
-        return found
-
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + math.log(c)) * self.idf[t] for t, c in counts.items()}
-        norm = math.sqrt(sum(v * v for v in raw.values()))
-        return {t: v / norm for t, v in raw.items()}
-
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and weights of the words known, at the length 1 of the whole text's vector: the others count for it too."""
+        number = np.array([self.numbers.get(w, -1) for w in counts], np.int64)
+        often = 1 + np.log(np.array(list(counts.values()), float))
+        known = number >= 0
+        terms, own, other = number[known], often[known] * self.weights[number[known]], often[~known] * self.other
+        norm = math.sqrt((own * own).sum() + (other * other).sum())
+        return terms, own / norm if norm else own
+
+    def score(self, text: str | None) -> tuple[float, list, list[float]]:
         """Chance of label 1, the nearest examples' ids and cosines.
 
-        A text without any word of the vocabulary has the rate of such texts among the labelled.
+        A text without words has the rate of such texts among the labelled, one without any word of an example that of all.
         """
-        query = self.vector(self.counts(text))
-        if not query:
+        counts = Counter(terms(text))
+        if not counts:
             return self.rates["empty"], [], []
-        place, cosine = self.index.nearest(query, NEAREST)
+        place, cosine = self.index.nearest(*self.vector(counts), NEAREST)
         if not place.size:
             return self.rates["all"], [], []
         label = self.index.labels[place]
@@ -145,13 +154,13 @@ def _document_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[np.ndar
         for batch in batches:
             for text in batch.column(0):
                 rows += 1
-                for w in numbers.keys() & set(terms(text.as_py())):
-                    count[numbers[w]] += 1
+                found = [n for n in map(numbers.get, set(terms(text.as_py()))) if n is not None]
+                count[found] += 1  # each word once
             give_back()
         hit = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1)), pa.array(np.append(count[hit], rows))], names=["term", "n"])
 
-    found = docs.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row per word of the vocabulary
+    found = docs.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row per word of the examples
     frequency, rows = np.zeros(len(vocabulary), np.int64), 0
     for r in found:
         if r["term"] < 0:
@@ -165,8 +174,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
     """Learn from the labelled rows where ``train`` (a condition on ``doc_id``) holds.
 
     Of them ``MOST_LABELLED`` at most, half of either label and the first by the MD5 of their ids,
-    teach the vocabulary; the first ``MOST_EXAMPLES`` of these form the index. Rows whose label is not 0 or 1 or whose id is null teach
-    nothing; an id that is labelled twice takes the larger label. Without examples every score is the base rate.
+    teach how words lean; the first ``MOST_EXAMPLES`` of these, half of either label, form the index with all their words. Rows whose label is not 0 or 1 or
+    whose id is null teach nothing; an id that is labelled twice takes the larger label, one with several texts the first of them in order. Without
+    examples every score is the base rate.
     """
     marked = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).filter("doc_id is not null and label in (0, 1)").filter(train)
     marked = stage(marked.groupBy("doc_id").agg(F.max("label").cast("int").alias("label")))
@@ -179,52 +189,34 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
 
     def words(batches):
         for batch in batches:
-            found = [sorted(set(terms(t.as_py()))) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "label", "words"])
+            found = [sorted(Counter(terms(t.as_py())).items()) for t in batch.column(2)]
+            lists = [pa.array([[w for w, _ in f] for f in found], pa.list_(pa.string())), pa.array([[c for _, c in f] for f in found], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc_id", "label", "words", "counts"])
 
     named = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    joined = named.join(F.broadcast(stage(chosen)), F.col("_id") == F.col("doc_id")).select("doc_id", "label", "_text")  # MOST_LABELLED rows
+    # MOST_LABELLED rows; rows that share an id teach once, whatever their number
+    joined = named.join(F.broadcast(stage(chosen)), F.col("_id") == F.col("doc_id")).groupBy("doc_id", "label").agg(F.min("_text").alias("_text"))
     kind = labels.schema[doc_id].dataType.simpleString()
-    bags = stage(joined.mapInArrow(words, f"doc_id {kind}, label int, words array<string>"))
-    # counted in Spark, so that only the chosen words come back
-    n = bags.count()
-    positive = bags.filter("label = 1").count()
+    bags = stage(joined.mapInArrow(words, f"doc_id {kind}, label int, words array<string>, counts array<int>"))
+    filled = F.size("words") > 0
+    shape = {(r["label"], r["empty"]): r["n"] for r in bags.groupBy("label", (~filled).alias("empty")).agg(F.count("*").alias("n")).collect()}
+    parts = [bags.where((F.col("label") == v) & filled).orderBy(order, "doc_id").limit(MOST_EXAMPLES // 2) for v in (0, 1)]
+    indexed = stage(parts[0].unionByName(parts[1]))
+    examples = [(r["doc_id"], r["label"], dict(zip(r["words"], r["counts"]))) for r in indexed.orderBy("label", order, "doc_id").collect()]  # MOST_EXAMPLES rows
+
+    # how the examples' words lean, counted over all rows that teach
+    n, positive = (sum(c for (label, _), c in shape.items() if label in some) for some in ((0, 1), (1,)))
+    own = indexed.select(F.explode("words").alias("w")).distinct()
+    held = bags.select("label", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
+    counted = held.join(own, "w", "left_semi").orderBy("w").collect()  # a row per word of the examples
+    vocabulary = [r["w"] for r in counted]
+    holders, ones = (np.array([r[c] for r in counted], float) for c in ("n", "p"))
     rate = positive / n if n else 0.0
-    counts = bags.select("label", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
-    expected = F.col("n") * F.lit(rate)
-    chance = expected * (1 - rate) * (1 - F.col("n") / F.lit(max(n, 1)))
-    # the sample holds both labels alike; among all labelled rows a word's holders are mostly of label 1
-    scale = [totals.get(0, 0) / max(n - positive, 1), totals.get(1, 0) / max(positive, 1)]
-    mostly = F.col("p") * scale[1] >= (F.col("n") - F.col("p")) * scale[0] * LEAST_ODDS
-    strong = counts.filter(F.col("n") >= LEAST_HOLDERS).withColumn("chi", F.pow(F.col("p") - expected, 2) / chance)
-    strong = strong.filter((chance > 0) & (F.col("chi") >= CHI_SQUARE) & (F.col("p") > expected) & mostly)
-    strong = strong.orderBy(F.desc("chi"), "w").limit(MOST_TERMS)
-    vocabulary = [r["w"] for r in strong.select("w").collect()]  # MOST_TERMS rows
+    expected = holders * rate
+    chance = expected * (1 - rate) * (1 - holders / max(n, 1))
+    chi = np.where((ones > expected) & (chance > 0), (ones - expected) ** 2 / np.where(chance > 0, chance, 1.0), 0.0)
     frequency, rows = _document_frequency(docs.select(text), vocabulary)
-
-    numbers = {w: i for i, w in enumerate(vocabulary)}
-
-    def vectors(batches):
-        for batch in batches:
-            found = []
-            for t in batch.column(2):
-                c: dict[int, int] = {}
-                for w in terms(t.as_py()):
-                    if w in numbers:
-                        c[numbers[w]] = c.get(numbers[w], 0) + 1
-                found.append(sorted(c.items()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int32())), pa.array([[c for _, c in f] for f in found], pa.list_(pa.int32()))],
-                names=["doc_id", "label", "terms", "counts"],
-            )
-
-    seen = stage(joined.mapInArrow(vectors, f"doc_id {kind}, label int, terms array<int>, counts array<int>"))
-    shape = {(r["label"], r["empty"]): r["n"] for r in seen.groupBy("label", (F.size("terms") == 0).alias("empty")).agg(F.count("*").alias("n")).collect()}
-    examples: list[tuple[int, int, dict[int, int]]] = []
-    for value in (0, 1):
-        part = seen.filter((F.col("label") == value) & (F.size("terms") > 0)).orderBy(order, "doc_id", "terms", "counts").limit(MOST_EXAMPLES // 2)
-        examples += [(r["doc_id"], value, dict(zip(r["terms"], r["counts"]))) for r in part.collect()]  # MOST_EXAMPLES rows
-    return Model(vocabulary, frequency, rows, examples, _rates(totals, shape, examples))
+    return Model(vocabulary, frequency, np.minimum(chi / CHI_SQUARE, 1.0), rows, examples, _rates(totals, shape, examples))
 
 
 def _rates(totals: dict[int, int], shape: dict, examples: list) -> dict:
@@ -239,32 +231,44 @@ def _rates(totals: dict[int, int], shape: dict, examples: list) -> dict:
     return {"all": share(whole), "empty": share(empty) if sum(empty.values()) else share(whole), "weight": [stands[0], stands[1]]}
 
 
+def _scores(model: Model, texts: pa.Array) -> list[tuple]:
+    """The texts' scores; copies within a batch are scored once."""
+    known: dict[str | None, tuple] = {}
+    out = []
+    for text in texts.to_pylist():
+        if text not in known:
+            known[text] = model.score(text)
+        out.append(known[text])
+    return out
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``score`` (0 to 1), ``predicted`` (1 from 0.5 on) and the evidence: ``examples`` and their ``cosines``.
 
     Every row is scored by its text alone; null and empty texts have the rate of texts without known words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MOST_EXAMPLES examples, MOST_TERMS words
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MOST_EXAMPLES examples with their words
+    df = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = df.schema["doc_id"].dataType.simpleString()
+    ids = pa.list_(to_arrow_type(df.schema["doc_id"].dataType))
 
     def run(batches):
         own = shared.value
         for batch in batches:
-            found = [own.score(t.as_py()) for t in batch.column(1)]
+            found = _scores(own, batch.column(1))
             values = np.array([f[0] for f in found])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(values),
                     pa.array((values >= 0.5).astype(np.int32)),
-                    pa.array([f[1] for f in found], pa.list_(pa.int64())),
+                    pa.array([f[1] for f in found], ids),
                     pa.array([f[2] for f in found], pa.list_(pa.float64())),
                 ],
                 names=["doc_id", "score", "predicted", "examples", "cosines"],
             )
 
-    df = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = df.schema["doc_id"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc_id {kind}, score double, predicted int, examples array<long>, cosines array<double>")
+    return df.mapInArrow(run, f"doc_id {kind}, score double, predicted int, examples array<{kind}>, cosines array<double>")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -280,7 +284,7 @@ def drop_toxic(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     def run(batches):
         own = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([own.score(t.as_py())[0] < 0.5 for t in batch.column(place)], pa.bool_()))
+            yield batch.filter(pa.array([f[0] < 0.5 for f in _scores(own, batch.column(place))], pa.bool_()))
             give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -280,3 +280,23 @@ def test_similar_groups_at_the_border_and_in_crowds(spark):
     scores = {(a, c): jaccard(b, d) for a, b in rows for c, d in rows if a < c}
     assert sum(0.8 <= s < 0.85 for s in scores.values()) > 50 and sum(0.75 <= s < 0.8 for s in scores.values()) > 50
     assert found == roots(order, [p for p, s in scores.items() if s >= 0.8])
+
+
+def test_drop_repeats_by_row(spark):
+    """Rows that share an id, or have none, are cut each by its own text."""
+    rng = random.Random(8)
+    passage = words(rng, 20)
+    clean, other = words(rng, 30), words(rng, 25)
+    rows = [(1, "start " + passage), (2, clean), (2, other + " " + passage), (2, clean), (None, passage + " end"), (None, words(rng, 12)), (None, passage + " end"), (3, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", None) for i, t in rows], "doc_id long, text string, lang string, n_chars long")
+    ids = [2**62 if i is None else i for i, _ in rows]
+    raws = [(t or "").encode() for _, t in rows]
+    want = []
+    for (i, t), own, raw in zip(rows, ids, raws):
+        seen = {r[at : at + 50] for j, r in zip(ids, raws) if j < own for at in range(len(r) - 49)}
+        gone = {at + k for at in range(len(raw) - 49) if raw[at : at + 50] in seen for k in range(50)}
+        if len(gone) < len(raw) or not raw:
+            left = bytes(b for at, b in enumerate(raw) if at not in gone).decode(errors="ignore")
+            want.append((i, t if not gone else left, len(left) if gone else None))
+    got = [(r.doc_id, r.text, r.n_chars) for r in suffix.drop_repeats(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -101,10 +101,11 @@ def test_index_finds_the_exact_nearest():
         w = rng.random(terms.size) + 0.1
         vectors.append(dict(zip(terms.tolist(), (w / np.sqrt((w * w).sum())).tolist())))
         labels.append(int(rng.integers(0, 2)))
-    index = toxicity.BlockMaxIndex(vectors, labels, 40)
-    for q in vectors[:60]:
+    arrays = [(np.array(list(v)), np.array(list(v.values()))) for v in vectors]
+    index = toxicity.BlockMaxIndex(arrays, labels, 40)
+    for q, given in zip(vectors[:60], arrays):
         truth = sorted((round(sum(w * v.get(t, 0.0) for t, w in q.items()), 9) for v in vectors), reverse=True)[:15]
-        place, cosine = index.nearest(q, 15)
+        place, cosine = index.nearest(*given, 15)
         assert np.allclose(cosine, [x for x in truth if x > 0][:15])
         assert [index.labels[p] for p in place] == [labels[index.ids[p]] for p in place]
 
@@ -137,6 +138,70 @@ def test_toxicity_learns_and_ignores_held_out_labels(spark):
     assert kept == {i for i, r in got.items() if not r.predicted}
 
 
+def test_toxicity_equals_brute_force(spark):
+    """Every word of every text counts: frequencies, leanings, cosines and votes written out."""
+    rng = random.Random(3)
+    bad = ["scumbag", "nitwit"]
+    rows = [(i, " ".join([f"w{rng.randrange(150)}" for _ in range(rng.randrange(3, 40))] + rng.choices(bad, k=2 * (i % 4 == 0)))) for i in range(200)]
+    rows += [(300, None), (301, ""), (302, "--- ..."), (303, "only strange words"), (304, "w1 " * 20_000 + "nitwit"), (None, "NITWIT w2"), (7, rows[9][1]), (305, rows[0][1])]
+    marks = [(i, int(i % 4 == 0)) for i in range(200) if i % 3]
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, score string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    got = toxicity.score(docs, model).collect()
+
+    bags = {i: Counter(re.findall(r"[^\W_]+", (t or "").lower())) for i, t in reversed(rows)}
+    frequency = Counter(w for _, t in rows for w in set(re.findall(r"[^\W_]+", (t or "").lower())))
+    taught = [(i, label) for i, label in marks if bags[i]]
+    for i, _ in taught:  # of two texts of one id the first in order teaches
+        bags[i] = Counter(re.findall(r"[^\W_]+", min(t for j, t in rows if j == i).lower()))
+    n, rate = len(marks), sum(label for _, label in marks) / len(marks)
+
+    def weight(w):
+        holders = [label for i, label in taught if bags[i][w]]
+        if not holders:
+            return (np.log((1 + len(rows)) / 2) + 1) * 0.2
+        expected = len(holders) * rate
+        chance = expected * (1 - rate) * (1 - len(holders) / n)
+        chi = (sum(holders) - expected) ** 2 / chance if sum(holders) > expected and chance > 0 else 0
+        return (np.log((1 + len(rows)) / (1 + frequency[w])) + 1) * (0.2 + 0.8 * min(chi / 25, 1))
+
+    weights = {w: weight(w) for w in frequency}
+
+    def vector(bag):
+        raw = {w: (1 + np.log(c)) * weights[w] for w, c in bag.items()}
+        norm = np.sqrt(sum(v * v for v in raw.values()))
+        return {w: v / norm for w, v in raw.items()}
+
+    examples = [(vector(bags[i]), label) for i, label in taught]
+    for (_, text), r in zip([(r.doc_id, r.text) for r in docs.collect()], got):
+        bag = Counter(re.findall(r"[^\W_]+", (text or "").lower()))
+        if not bag:
+            assert r.score == pytest.approx(rate) and not r.examples
+            continue
+        own = vector(bag)
+        near = sorted(((sum(v * e.get(w, 0) for w, v in own.items()), label) for e, label in examples), key=lambda x: -x[0])[:15]
+        near = [x for x in near if x[0] > 0]
+        assert np.allclose(r.cosines, [c for c, _ in near])
+        if len({round(c, 9) for c, _ in near}) == len(near):  # no ties to choose between
+            votes, ones = sum(c * c for c, _ in near), sum(c * c for c, label in near if label)
+            assert r.score == pytest.approx((ones + 0.05 * rate) / (votes + 0.05))
+
+
+def test_a_listed_word_in_a_long_clean_text_is_no_verdict(spark):
+    rng = random.Random(5)
+    prose = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    rows = [(i, " ".join(prose(60) + (["scumbag", "nitwit"] if i % 5 == 0 else []))) for i in range(400)]
+    rows += [(900, " ".join(prose(800) + ["scumbag"])), (901, "scumbag nitwit " + " ".join(prose(40)))]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id int, toxic int"), F.lit(True))
+    found = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert found[900].score < 0.5 <= found[901].score and len(found[900].examples) == 15
+    named = docs.select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text")
+    by_name = toxicity.fit(named, named.select("doc_id", F.when(F.col("text").contains("nitwit"), 1).otherwise(0).alias("toxic")), F.lit(True))
+    assert all(x.startswith("d") for r in toxicity.score(named, by_name).collect() for x in r.examples)
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int")

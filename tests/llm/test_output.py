@@ -278,3 +278,16 @@ def test_stages_on_no_rows(spark, tmp_path):
 def test_operators_are_called_by_the_stages():
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     assert all(callable(x) for x in (toxicity.drop_toxic, simhash.drop_near_duplicates, suffix.drop_repeats, mixing.mix, F.col))
+
+
+def test_mix_by_row(spark):
+    """Rows that share an id but differ in source or size have a plan each."""
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 2, 3, None]), " ".join("w" for _ in range(rng.randrange(0, 30))), rng.choice(["a", "b", None])) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {(r.doc_id, r.source, r.size): r.copies for r in mixing.mix_plan(docs).collect()}
+    want = Counter()
+    for doc_id, text, source in rows:
+        size = len(text.split())
+        want[doc_id, text, source] += 1 if size == 0 else plan[doc_id, source, size]
+    assert Counter(tuple(r) for r in mixing.mix(docs).collect()) == +want
