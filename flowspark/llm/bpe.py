@@ -14,6 +14,7 @@ import codecs
 import functools
 import hashlib
 import json
+import sys
 import unicodedata
 
 import pyarrow as pa
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from flowspark.llm.common import give_back
 
-#: Words whose tokens a Python worker remembers, in each of two generations.
-REMEMBERED = 80_000
+#: Bytes of words and their tokens that a Python worker remembers, in each of two generations, and pairs of tokens.
+REMEMBERED = 64 << 20
+PAIRS = 500_000
 #: Texts are normalised and cut into words in runs of about so many characters.
 RUN = 1 << 18
 
@@ -86,7 +88,7 @@ class Merges:
                     c = self.rank.get((x, y))
                     if c is not None and x_birth < c < x_end and y_birth < c <= y_end:
                         found = False
-            if len(self._side) >= 200_000:
+            if len(self._side) >= PAIRS:
                 self._side.clear()
             self._side[left, right] = found
         return found
@@ -256,19 +258,21 @@ class Decoder:
 
 
 class Memory(dict):
-    """What was computed for a key lately; two generations bound its size."""
+    """What was computed for a key lately; two generations of ``size`` bytes each bound it."""
 
     def __init__(self, compute, size: int = REMEMBERED):
         super().__init__()
-        self.compute, self.size, self.older = compute, size, {}
+        self.compute, self.size, self.older, self.held = compute, size, {}, 0
 
     def __missing__(self, key):
         found = self.older.get(key)
         if found is None:
             found = self.compute(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
+        if self.held >= self.size:
+            self.older, self.held = dict(self), 0
             self.clear()
+        # the entry, its key and what it holds
+        self.held += 100 + sys.getsizeof(key) + sys.getsizeof(found) + (sum(map(sys.getsizeof, found)) if isinstance(found, tuple) else 0)
         self[key] = found
         return found
 
@@ -299,9 +303,9 @@ class WordBpe:
         found = encoder.feed(raw[:-1]) + encoder.finish(raw[-1])
         return [self.vocab[t] for t in found]
 
-    def _digest(self, word: str) -> tuple[int, bytes, str]:
+    def _digest(self, word: str) -> tuple[int, bytes, bytes]:
         ids = [self.added[word]] if word in self.added else self.word_ids(word)
-        return len(ids), " ".join(map(str, ids)).encode(), self.decode(ids)
+        return len(ids), " ".join(map(str, ids)).encode(), self.decode(ids).encode()
 
     def runs(self, text: str):
         """Words and added tokens of a text, run by run."""
@@ -338,16 +342,17 @@ class WordBpe:
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids as text and SHA-256 of the decoded text, run by run."""
         count, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        between = b"" if self.byte_level else b" "  # what the decoder puts between words
         for words in self.runs(text or ""):
             if not words:
                 continue
             found = list(map(self.memory.__getitem__, words))
             if count:
                 ids.update(b" ")
-                decoded.update(b" ")
+                decoded.update(between)
             count += sum([f[0] for f in found])
             ids.update(b" ".join([f[1] for f in found]))
-            decoded.update(" ".join([f[2] for f in found]).encode())
+            decoded.update(between.join([f[2] for f in found]))
         return count, ids.hexdigest(), decoded.hexdigest()
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowspark.session import materialize
+from flowspark.session import materialize, release_stages, staged
 
 #: White space between words; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -36,10 +36,17 @@ def stage(df: DataFrame) -> DataFrame:
     now, so that the rounds of an operator do not add up on the executors' disks.
     """
     written = materialize(df)
+    written.stage_path = staged()[-1]
     df.sparkSession.sparkContext._jvm.System.gc()
     return written
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables of ``stage`` that nothing will read any more."""
+    for df in tables:
+        release_stages(df.sparkSession, [df.stage_path])
+
+
 def give_back() -> None:
     """Return a Python worker's freed memory to the machine: workers live on between tasks and would keep their peak."""
     pa.default_memory_pool().release_unused()

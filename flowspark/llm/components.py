@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import stage
+from flowspark.llm.common import release, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stage(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
     while True:
-        edges = stage(_small_star(_large_star(edges)))
+        before, edges = edges, stage(_small_star(_large_star(edges)))
+        release(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break

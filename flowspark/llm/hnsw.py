@@ -18,7 +18,7 @@ FIRST_BEAM = 32
 #: Beam from which a query compares with the whole shard.
 WIDEST_BEAM = 256
 #: Queries of a shard that are compared with brute force, and the recall they must show.
-AUDITED = 64
+AUDITED = 1024
 RECALL = 0.99
 STEP = 512
 
@@ -155,15 +155,18 @@ class Graph:
             near[live] = np.take_along_axis(all_near, top, axis=1)
             open_[live] = np.take_along_axis(all_open, top, axis=1) & (ids[live] >= 0)
 
-    def links_of(self, queries: np.ndarray, least: float) -> np.ndarray:
+    def links_of(self, queries: np.ndarray, least: float, own: bool = False) -> np.ndarray:
         """Boolean table of queries and nodes with a cosine of ``least`` or more, as far as the beams find them.
 
         A query whose beam is full of links gets a wider one, in the end the whole shard.
-        All beams widen until the audited queries find ``RECALL`` of their links.
+        All beams widen until the audited queries find ``RECALL`` of their links. With ``own`` the queries are the shard's
+        nodes, whose matches with themselves prove nothing and are left out.
         """
         n, out = len(self.x), np.zeros((len(queries), len(self.x)), bool)
         audited = np.unique(np.linspace(0, len(queries) - 1, AUDITED).astype(int)) if len(queries) else np.zeros(0, int)
         truth = queries[audited] @ self.x.T >= least
+        if own:
+            truth[np.arange(len(audited)), audited] = False
         beam = min(FIRST_BEAM, n)
         while True:
             waiting, width = np.arange(len(queries)), beam
@@ -187,7 +190,7 @@ class Graph:
             beam *= 2
 
 
-_GRAPH = "label int, dim int, shard int, shards int, ids array<long>, copies array<long>, x binary, nodes array<binary>, links array<binary>"
+_GRAPH = "label string, dim int, shard int, shards int, ids array<long>, copies array<long>, x binary, nodes array<binary>, links array<binary>"
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -202,7 +205,7 @@ def _build(table: pa.Table) -> pa.Table:
         [[nodes.astype(np.int32).tobytes() for nodes, _ in graph.layers]], [[links.tobytes() for _, links in graph.layers]],
     ]
     many = pa.list_(pa.int64())
-    kinds = [pa.int32()] * 4 + [many, many, pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary())]
+    kinds = [pa.string()] + [pa.int32()] * 3 + [many, many, pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary())]
     names = ["label", "dim", "shard", "shards", "ids", "copies", "x", "nodes", "links"]
     return pa.table([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
@@ -244,7 +247,7 @@ def _compare(least: float):
         rows = sorted(table.to_pylist(), key=lambda r: r["shard"])
         a_ids, a_copies, a = _load(rows[0])
         if len(rows) == 1:
-            found = a.links_of(a.x, least)
+            found = a.links_of(a.x, least, own=True)
             found |= found.T
             np.fill_diagonal(found, False)
             counts = [(a_ids, found @ a_copies)]
@@ -275,10 +278,11 @@ def vector_links(vectors: DataFrame, least: float = 0.93, vec_id: str = "vec_id"
     nothing. Equal vectors of a label become one node that counts for all its rows, so copies cost nothing. The nodes
     of a label are dealt over shards of about ``SHARD``; each gets a graph, and each pair of shards one task in which
     both are queried by the other, so memory is bounded whatever a label holds. Found links are verified by
-    their cosine and united; recall follows the audits (``Graph.links_of``). Null ids are a node without name: n_links is counted, their component is that of their links or null.
+    their cosine and united; recall follows the audits (``Graph.links_of``). Labels are compared as text, whatever
+    their type. A row without an id has no name to link by: it links with nothing, and nothing counts it.
     """
     x, least_id = F.col("embedding"), F.col("vec_id")
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding"), F.col(label).cast("int").alias("label"))
+    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding"), F.col(label).cast("string").alias("label"))
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     usable = F.col("label").isNotNull() & x.isNotNull() & finite & F.exists(x, lambda v: v != 0) & least_id.isNotNull()
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import give_back, stage
+from flowspark.llm.common import give_back, release, stage
 from flowspark.llm.components import components
 
 BITS = 64
@@ -183,7 +183,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     heads = stage(heads.groupBy("tid").agg(F.first(F.struct("size", "head")).alias("x")).select("tid", "x.size", "x.head"))
     met = heads.select("tid", "size", F.posexplode("head").alias("pos", "shingle"))
     tally = met.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("tid", "size", "pos")).alias("least"))
-    met = stage(met.join(stage(tally.filter("n > 1")), "shingle"))
+    often = stage(tally.filter("n > 1"))
+    met = stage(met.join(often, "shingle"))
+    release(heads, often)
 
     def possible(x: str, y: str) -> Column:
         """Whether sets of these sizes whose first common shingle has these places can be similar."""
@@ -215,19 +217,24 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sets = stage(texts.select("tid", "text").mapInArrow(shingles, "tid long, shingles binary").dropDuplicates(["tid"]))
         both = pairs.join(sets.select(F.col("tid").alias("a"), F.col("shingles").alias("x")), "a")
         both = both.join(sets.select(F.col("tid").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        return stage(both.mapInArrow(alike, "a long, b long"))
+        found = stage(both.mapInArrow(alike, "a long, b long"))
+        release(pairs, sets)
+        return found
 
     one = met.select("least", F.struct("tid", "size", "pos").alias("other")).filter("least.tid != other.tid").filter(possible("least", "other"))
     links = similar(one.select(F.col("least.tid").alias("a"), F.col("other.tid").alias("b")))
     grouped = components(links).withColumnsRenamed({"node": "tid", "component": "part"})
     rest = met.filter("n > 2 and least.tid != tid").join(grouped, "tid", "left").withColumn("part", F.coalesce("part", "tid"))
-    rest = stage(rest.select("shingle", "tid", "size", "pos", "part"))
-    mixed = rest.groupBy("shingle").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high")
-    rest = stage(rest.join(mixed.select("shingle", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks")), "shingle"))
+    unlinked = stage(rest.select("shingle", "tid", "size", "pos", "part"))
+    release(met)
+    mixed = unlinked.groupBy("shingle").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high")
+    rest = stage(unlinked.join(mixed.select("shingle", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks")), "shingle"))
+    release(unlinked)
     x = rest.select("shingle", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int").alias("block"), F.struct("tid", "size", "pos", "part").alias("x"))
     y = rest.select("shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.struct("tid", "size", "pos", "part").alias("y"))
     on = (x["shingle"] == y["shingle"]) & (x["block"] == y["block"]) & (F.col("x.tid") < F.col("y.tid")) & (F.col("x.part") != F.col("y.part"))
     more = similar(x.join(y, on & possible("x", "y")).select(F.col("x.tid").alias("a"), F.col("y.tid").alias("b")))
+    release(rest)
 
     name = lambda side: nodes.select(F.col("tid").alias(side), F.col("node").alias(f"_{side}"))
     links = links.union(more).join(name("a"), "a").join(name("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))

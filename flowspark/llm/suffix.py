@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import give_back, stage
+from flowspark.llm.common import give_back, release, stage
 
 LENGTH = 50
 SEED = 20
@@ -526,12 +526,15 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
         .filter("low < high")
         .select(shard, F.lit(None).cast("long").alias("tid"), F.lit(None).cast("long").alias("id"), "key", (F.col("n") >= COMMON).alias("common"))
     )
+    # stored, so that the shuffle of all pieces is gone before texts are dealt
+    shared = stage(shared)
     least = stage(ids.groupBy("tid").agg(F.min("id").alias("first_id")))
     firsts = least.select(shard, "tid", F.col("first_id").alias("id"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("boolean").alias("common"))
     texts = _packed_texts(long_, shards)
     buckets = shards
     parts = texts.groupBy("shard").cogroup(shared.unionByName(firsts).groupBy("shard")).applyInArrow(_contexts(buckets), _PARTS)
     parts = stage(parts)
+    release(shared)
     masks = parts.filter("kind = 0").select("bucket", "shard", "blob").groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long")
     held = parts.filter("kind = 1").select("shard", "blob")
     cut = held.groupBy("shard").cogroup(masks.groupBy("shard")).applyInArrow(_cut, "tid long, n_removed long, n_spans long, kept binary")

@@ -28,6 +28,12 @@ CHI_SQUARE = 25.0
 LEAST_WEIGHT = 0.2
 NEAREST = 15
 BLOCK = 32
+#: Terms kept as rows of a matrix at most, of those that more than this share of the examples hold; queries in a product,
+#: and texts whose words are counted together.
+FREQUENT = 1024
+FREQUENT_SHARE = 1 / 32
+LOT = 64
+TOGETHER = 512
 #: Blocks scored before the others' limits are compared with what they hold.
 FIRST_BLOCKS = 8
 #: Weight of the base rate beside the votes.
@@ -50,7 +56,8 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Examples by term in blocks with the largest weight of each block; finds exact nearest examples by cosine.
 
-    ``entries`` are the (term, block) pairs that hold an example, by term; each has its block's largest weight and its postings.
+    Entries are the (term, block) pairs that hold an example, by term; each has its block's largest weight and its postings. The
+    ``FREQUENT`` terms that most examples hold are rows of a matrix instead, so that their part of all cosines is a matrix product.
     """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: list[int], terms: int):
@@ -63,6 +70,15 @@ class BlockMaxIndex:
         term = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, np.int64)
         weight = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
         place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        held = np.bincount(term, minlength=terms)
+        often = np.argsort(-held, kind="stable")[:FREQUENT]
+        often = often[held[often] > FREQUENT_SHARE * len(order)]
+        self.row = np.full(terms, -1, np.int64)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), self.blocks * BLOCK))
+        dense = self.row[term] >= 0
+        self.matrix[self.row[term[dense]], place[dense]] = weight[dense]
+        term, place, weight = term[~dense], place[~dense], weight[~dense]
         by_term = np.argsort(term, kind="stable")
         term, self.place, self.weight = term[by_term], place[by_term].astype(np.int32), weight[by_term]
         pair = term * max(self.blocks, 1) + self.place // BLOCK
@@ -72,71 +88,93 @@ class BlockMaxIndex:
         self.limit = np.maximum.reduceat(self.weight, self.first) if len(pair) else np.zeros(0)
         self.of_term = np.searchsorted(term[self.first], np.arange(terms + 1))
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the ``k`` nearest examples that share a term; ties by place.
-
-        The blocks with the highest limits are scored first; then those left that can hold an example as near as the k-th of these.
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Places and cosines of the ``k`` nearest examples that share a term with each query; ties by place."""
+        out = []
+        for lot in range(0, len(queries), LOT):
+            some = queries[lot : lot + LOT]
+            dense = np.zeros((len(some), len(self.matrix)))
+            for at, (terms, weights) in enumerate(some):
+                row = self.row[terms]
+                dense[at, row[row >= 0]] = weights[row >= 0]
+            begun = dense @ self.matrix
+            out += [self._nearest(*query, scores, k) for query, scores in zip(some, begun)]
+        return out
+
+    def _nearest(self, terms: np.ndarray, weights: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Complete the ``scores`` of the frequent terms by those of the others.
+
+        A block can hold no more than its best score so far and the limits of its entries. The blocks with the most are
+        completed first; then those left that can hold an example as near as the k-th of these.
         """
-        first, last = self.of_term[terms], self.of_term[terms + 1]
-        sizes = last - first
+        rare = self.row[terms] < 0
+        first, last = self.of_term[terms[rare]], self.of_term[terms[rare] + 1]
         entries = _ranges(first, last)
-        if not len(entries):
-            return np.zeros(0, np.int64), np.zeros(0)
-        factor, block = np.repeat(weights, sizes), self.block[entries]
-        limits = np.bincount(block, self.limit[entries] * factor, self.blocks)
-        scores = np.zeros(self.blocks * BLOCK)
+        factor, block = np.repeat(weights[rare], last - first), self.block[entries]
+        limits = np.bincount(block, self.limit[entries] * factor, self.blocks) + scores.reshape(-1, BLOCK).max(axis=1, initial=0.0)
 
-        def add(picked: np.ndarray) -> None:
+        def complete(picked: np.ndarray) -> None:
             use = np.flatnonzero(picked[block])
             start, end = self.first[entries[use]], self.last[entries[use]]
             postings = _ranges(start, end)
             scores[:] += np.bincount(self.place[postings], self.weight[postings] * np.repeat(factor[use], end - start), len(scores))
 
-        begun = np.zeros(self.blocks, bool)
-        begun[np.argpartition(-limits, min(FIRST_BLOCKS, self.blocks - 1))[:FIRST_BLOCKS]] = True
-        add(begun)
+        if len(entries):
+            begun = np.zeros(self.blocks, bool)
+            begun[np.argpartition(-limits, min(FIRST_BLOCKS, self.blocks - 1))[:FIRST_BLOCKS]] = True
+            complete(begun)
         least = max(np.partition(scores, len(scores) - k)[len(scores) - k], 0.0) if len(scores) > k else 0.0
-        left = ~begun & (limits > 0) & (limits >= least - 1e-9)
-        if left.any():
-            add(left)
+        if len(entries):
+            left = ~begun & (limits > 0) & (limits >= least - 1e-9)
+            if left.any():
+                complete(left)
+                least = max(np.partition(scores, len(scores) - k)[len(scores) - k], 0.0) if len(scores) > k else 0.0
         place = np.flatnonzero((scores > 0) & (scores >= least - 1e-9))
-        best = place[np.lexsort((place, -np.round(scores[place], 9)))[:k]]
-        return best, scores[best]
+        near = np.round(scores[place], 12)  # alike whatever else was in the lot
+        best = np.lexsort((place, -np.round(near, 9)))[:k]
+        return place[best], near[best]
 
 
 class Model:
     """Words of the examples with their weights, and the indexed examples; scores texts."""
 
-    def __init__(self, vocabulary: list[str], frequency: np.ndarray, leaning: np.ndarray, documents: int, examples: list[tuple], rates: dict):
-        """``examples`` are (id, label, word counts); ``leaning`` is from 0 to 1 per word."""
-        self.numbers = {w: i for i, w in enumerate(vocabulary)}
+    def __init__(self, numbers: dict[str, int], frequency: np.ndarray, leaning: np.ndarray, documents: int, examples: list[tuple], rates: dict):
+        """``numbers`` of the words; ``leaning`` is from 0 to 1 per word; ``examples`` are (id, label, numbers of the words, counts)."""
+        self.numbers = numbers
         self.weights = (np.log((1 + documents) / (1 + frequency)) + 1) * (LEAST_WEIGHT + (1 - LEAST_WEIGHT) * leaning)
         # a word of no example is as rare as can be, and leans to nothing
         self.other = (math.log((1 + documents) / 2) + 1) * LEAST_WEIGHT
-        self.example_ids = [i for i, _, _ in examples]
-        self.index = BlockMaxIndex([self.vector(c) for _, _, c in examples], [label for _, label, _ in examples], len(vocabulary))
+        self.example_ids = [x[0] for x in examples]
+        self.index = BlockMaxIndex([self.unit(number, count) for _, _, number, count in examples], [x[1] for x in examples], len(numbers))
         self.rates = rates
         # a vote counts as many rows as its example stands for
         self.weight = np.array([rates["weight"][label] for label in (0, 1)])
 
-    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and weights of the words known, at the length 1 of the whole text's vector: the others count for it too."""
-        number = np.array([self.numbers.get(w, -1) for w in counts], np.int64)
-        often = 1 + np.log(np.array(list(counts.values()), float))
+    def unit(self, number: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and weights of the words known (not -1), at the length 1 of the whole text's vector: the others count for it too."""
+        often = 1 + np.log(count)
         known = number >= 0
         terms, own, other = number[known], often[known] * self.weights[number[known]], often[~known] * self.other
         norm = math.sqrt((own * own).sum() + (other * other).sum())
         return terms, own / norm if norm else own
 
-    def score(self, text: str | None) -> tuple[float, list, list[float]]:
-        """Chance of label 1, the nearest examples' ids and cosines.
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        get = self.numbers.get
+        return self.unit(np.array([get(w, -1) for w in counts], np.int64), np.fromiter(counts.values(), np.int64, len(counts)))
+
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list, list[float]]]:
+        """Chance of label 1, the nearest examples' ids and cosines of each text; copies are scored once.
 
         A text without words has the rate of such texts among the labelled, one without any word of an example that of all.
         """
-        counts = Counter(terms(text))
-        if not counts:
-            return self.rates["empty"], [], []
-        place, cosine = self.index.nearest(*self.vector(counts), NEAREST)
+        bags = {text: Counter(terms(text)) for text in dict.fromkeys(texts)}
+        found = {text: (self.rates["empty"], [], []) for text in bags}
+        worded = [text for text, bag in bags.items() if bag]
+        for text, (place, cosine) in zip(worded, self.index.nearest([self.vector(bags[text]) for text in worded], NEAREST)):
+            found[text] = self.vote(place, cosine)
+        return [found[text] for text in texts]
+
+    def vote(self, place: np.ndarray, cosine: np.ndarray) -> tuple[float, list, list[float]]:
         if not place.size:
             return self.rates["all"], [], []
         label = self.index.labels[place]
@@ -160,14 +198,11 @@ def _document_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[np.ndar
         hit = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1)), pa.array(np.append(count[hit], rows))], names=["term", "n"])
 
-    found = docs.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row per word of the examples
-    frequency, rows = np.zeros(len(vocabulary), np.int64), 0
-    for r in found:
-        if r["term"] < 0:
-            rows = r["n"]
-        else:
-            frequency[r["term"]] = r["n"]
-    return frequency, rows
+    found = docs.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row per word of the examples
+    term, n = (found.column(name).to_numpy() for name in ("term", "n"))
+    frequency, words = np.zeros(len(vocabulary), np.int64), term >= 0
+    frequency[term[words]] = n[words]
+    return frequency, int(n[~words].sum())
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
@@ -202,29 +237,32 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
     shape = {(r["label"], r["empty"]): r["n"] for r in bags.groupBy("label", (~filled).alias("empty")).agg(F.count("*").alias("n")).collect()}
     parts = [bags.where((F.col("label") == v) & filled).orderBy(order, "doc_id").limit(MOST_EXAMPLES // 2) for v in (0, 1)]
     indexed = stage(parts[0].unionByName(parts[1]))
-    examples = [(r["doc_id"], r["label"], dict(zip(r["words"], r["counts"]))) for r in indexed.orderBy("label", order, "doc_id").collect()]  # MOST_EXAMPLES rows
-
     # how the examples' words lean, counted over all rows that teach
     n, positive = (sum(c for (label, _), c in shape.items() if label in some) for some in ((0, 1), (1,)))
     own = indexed.select(F.explode("words").alias("w")).distinct()
     held = bags.select("label", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
-    counted = held.join(own, "w", "left_semi").orderBy("w").collect()  # a row per word of the examples
-    vocabulary = [r["w"] for r in counted]
-    holders, ones = (np.array([r[c] for r in counted], float) for c in ("n", "p"))
+    counted = held.join(own, "w", "left_semi").orderBy("w").toArrow()  # a row per word of the examples
+    vocabulary = counted.column("w").to_pylist()
+    holders, ones = (counted.column(c).to_numpy().astype(float) for c in ("n", "p"))
     rate = positive / n if n else 0.0
     expected = holders * rate
     chance = expected * (1 - rate) * (1 - holders / max(n, 1))
     chi = np.where((ones > expected) & (chance > 0), (ones - expected) ** 2 / np.where(chance > 0, chance, 1.0), 0.0)
     frequency, rows = _document_frequency(docs.select(text), vocabulary)
-    return Model(vocabulary, frequency, np.minimum(chi / CHI_SQUARE, 1.0), rows, examples, _rates(totals, shape, examples))
+
+    numbers = {w: i for i, w in enumerate(vocabulary)}
+    examples = []
+    for r in indexed.orderBy("label", order, "doc_id").toLocalIterator():  # MOST_EXAMPLES rows, kept as numbers
+        examples.append((r["doc_id"], r["label"], np.array([numbers[w] for w in r["words"]], np.int64), np.array(r["counts"], np.int64)))
+    return Model(numbers, frequency, np.minimum(chi / CHI_SQUARE, 1.0), rows, examples, _rates(totals, shape, [x[1] for x in examples]))
 
 
-def _rates(totals: dict[int, int], shape: dict, examples: list) -> dict:
+def _rates(totals: dict[int, int], shape: dict, indexed_labels: list[int]) -> dict:
     """Base rates from all labelled rows, and how many of them an example of either label stands for."""
     in_sample = {v: shape.get((v, True), 0) + shape.get((v, False), 0) for v in (0, 1)}
     scale = {v: totals.get(v, 0) / in_sample[v] if in_sample[v] else 0.0 for v in (0, 1)}
     empty = {v: shape.get((v, True), 0) * scale[v] for v in (0, 1)}
-    indexed = {v: sum(1 for _, label, _ in examples if label == v) for v in (0, 1)}
+    indexed = {v: indexed_labels.count(v) for v in (0, 1)}
     stands = {v: shape.get((v, False), 0) * scale[v] / indexed[v] if indexed[v] else 0.0 for v in (0, 1)}
     share = lambda x: x[1] / (x[0] + x[1]) if x[0] + x[1] else 0.0
     whole = {v: totals.get(v, 0) for v in (0, 1)}
@@ -232,13 +270,10 @@ def _rates(totals: dict[int, int], shape: dict, examples: list) -> dict:
 
 
 def _scores(model: Model, texts: pa.Array) -> list[tuple]:
-    """The texts' scores; copies within a batch are scored once."""
-    known: dict[str | None, tuple] = {}
+    """The texts' scores, some hundred at a time: their word counts are held together."""
     out = []
-    for text in texts.to_pylist():
-        if text not in known:
-            known[text] = model.score(text)
-        out.append(known[text])
+    for lot in range(0, len(texts), TOGETHER):
+        out += model.scores(texts.slice(lot, TOGETHER).to_pylist())
     return out
 
 

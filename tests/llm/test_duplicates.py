@@ -300,3 +300,26 @@ def test_drop_repeats_by_row(spark):
             want.append((i, t if not gone else left, len(left) if gone else None))
     got = [(r.doc_id, r.text, r.n_chars) for r in suffix.drop_repeats(docs).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("kind", ["string", "double"])
+def test_labels_of_any_type(spark, kind):
+    labels = ["cat", "cats", "cat", None] if kind == "string" else [1.2, 1.7, 1.2, None]
+    frame = spark.createDataFrame([(i, [1.0, 2.0, 3.0], label) for i, label in enumerate(labels)] + [(None, [1.0, 2.0, 3.0], labels[0])], f"vec_id long, embedding array<double>, label {kind}")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.vector_links(frame).collect()}
+    assert got == {0: (1, 0), 1: (0, 1), 2: (1, 0), 3: (0, 3), None: (0, None)}
+
+
+def test_recall_on_planted_links(spark, monkeypatch):
+    """Few links, spread over many pairs of shards, among vectors that are otherwise far apart."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(6000, 32))
+    at = rng.permutation(6000)
+    a, b = at[:400], at[400:800]
+    x[b] = x[a] + rng.normal(size=(400, 32)) * 0.2
+    monkeypatch.setattr(hnsw, "SHARD", 1500)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    truth = sum((unit[i] @ unit.T >= 0.93).sum() - 1 for i in range(6000))
+    found = hnsw.vector_links(frame).agg(F.sum("n_links")).first()[0]
+    assert truth >= 700 and 0.99 * truth <= found <= truth

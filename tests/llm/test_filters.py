@@ -93,7 +93,10 @@ def test_each_quality_metric_rejects_by_its_group(spark):
     assert {r.doc_id for r in found if not r.kept} == {100, 101, 102, 103}
 
 
-def test_index_finds_the_exact_nearest():
+@pytest.mark.parametrize("frequent,first", [(1024, 8), (5, 1), (0, 2)])
+def test_index_finds_the_exact_nearest(monkeypatch, frequent, first):
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", first)
     rng = np.random.default_rng(2)
     vectors, labels = [], []
     for _ in range(300):
@@ -103,9 +106,8 @@ def test_index_finds_the_exact_nearest():
         labels.append(int(rng.integers(0, 2)))
     arrays = [(np.array(list(v)), np.array(list(v.values()))) for v in vectors]
     index = toxicity.BlockMaxIndex(arrays, labels, 40)
-    for q, given in zip(vectors[:60], arrays):
+    for q, (place, cosine) in zip(vectors[:60], index.nearest(arrays[:60], 15)):
         truth = sorted((round(sum(w * v.get(t, 0.0) for t, w in q.items()), 9) for v in vectors), reverse=True)[:15]
-        place, cosine = index.nearest(*given, 15)
         assert np.allclose(cosine, [x for x in truth if x > 0][:15])
         assert [index.labels[p] for p in place] == [labels[index.ids[p]] for p in place]
 
