@@ -535,7 +535,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
     parts = texts.groupBy("shard").cogroup(shared.unionByName(firsts).groupBy("shard")).applyInArrow(_contexts(buckets), _PARTS)
     parts = stage(parts)
     release(shared)
-    masks = parts.filter("kind = 0").select("bucket", "shard", "blob").groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long")
+    # stored as well: the contexts' shuffle is gone before the texts are dealt again
+    masks = stage(parts.filter("kind = 0").select("bucket", "shard", "blob").groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long"))
     held = parts.filter("kind = 1").select("shard", "blob")
     cut = held.groupBy("shard").cogroup(masks.groupBy("shard")).applyInArrow(_cut, "tid long, n_removed long, n_spans long, kept binary")
     if with_text:
