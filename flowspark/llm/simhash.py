@@ -1,4 +1,4 @@
-"""Near duplicates by SimHash fingerprints and ball hashing, and by similar shingle sets."""
+"""Near duplicates by SimHash fingerprints and ball hashing, and beyond a few bits by similar shingle sets."""
 
 from __future__ import annotations
 
@@ -153,9 +153,23 @@ def _shingle_order(base: DataFrame, texts: int, words: int) -> Order:
     return Order(np.array([r["shingle"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64))
 
 
-def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+def _print_links(prints: DataFrame, half: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of texts that connect all whose fingerprints (``tid``, ``fp``) link; equal fingerprints are one node."""
+    nodes = stage(prints.groupBy("fp").agg(F.min("tid").alias("least")))
+    name = lambda side: nodes.select(F.col("fp").alias(side), F.col("least").alias(f"_{side}"))
+    near = ball_links(nodes, half).join(name("a"), "a").join(name("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    alike = prints.join(nodes, "fp").filter("tid != least").select(F.col("least").alias("a"), F.col("tid").alias("b"))
+    return near.union(alike)
+
+
+def similar_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, half: int | None = None, print_words: int = 3
+) -> DataFrame:
     """``doc_id`` and ``component_id`` of every row: documents linked by equal texts or shingle sets with a Jaccard of ``similarity`` or more.
 
+    With ``half``, texts with words also link where the SimHash of their shingles of ``print_words`` words differs in ``2 * half`` bits
+    or fewer (``ball_links``). These links come first; the sets are then compared for texts that fingerprints have not put into one group.
+
     Exact: in an order common to all texts, the first shingle that two so similar sets share is among the first
     ``prefix_size`` of both, so texts meet in the buckets of these shingles. In each bucket all are first
     compared with the least one; then those of a bucket that are not yet in one group are compared all with all, in blocks, but for
@@ -173,14 +187,18 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def prefixes(batches):
         order = shared.value
         for batch in batches:
-            found = [shingle_hashes(t.as_py(), words) for t in batch.column(1)]
+            texts = [t.as_py() for t in batch.column(1)]
+            found = [shingle_hashes(t, words) for t in texts]
             heads = [order.first(h, prefix_size(h.size, similarity)).view(np.int64) for h in found]
             heads = [h if f.size else h[:0] for h, f in zip(heads, found)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.size for h in found], pa.int32()), pa.array(heads, pa.list_(pa.int64()))], names=["tid", "size", "head"])
+            bits = np.array([0 if half is None else fingerprint(t, print_words) for t in texts], np.uint64).view(np.int64)
+            columns = [batch.column(0), pa.array([h.size for h in found], pa.int32()), pa.array(heads, pa.list_(pa.int64())), pa.array(bits)]
+            yield pa.RecordBatch.from_arrays(columns, names=["tid", "size", "head", "fp"])
             give_back()
 
-    heads = named.select("tid", "text").mapInArrow(prefixes, "tid long, size int, head array<long>").filter("size > 0")
-    heads = stage(heads.groupBy("tid").agg(F.first(F.struct("size", "head")).alias("x")).select("tid", "x.size", "x.head"))
+    heads = named.select("tid", "text").mapInArrow(prefixes, "tid long, size int, head array<long>, fp long").filter("size > 0")
+    heads = stage(heads.groupBy("tid").agg(F.first(F.struct("size", "head", "fp")).alias("x")).select("tid", "x.size", "x.head", "x.fp"))
+    near = None if half is None else stage(components(_print_links(heads.select("tid", "fp"), half)))
     met = heads.select("tid", "size", F.posexplode("head").alias("pos", "shingle"))
     tally = met.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("tid", "size", "pos")).alias("least"))
     often = stage(tally.filter("n > 1"))
@@ -208,6 +226,13 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 keep.append(common + 1e-9 >= similarity * (x.size + y.size - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    def apart(pairs: DataFrame) -> DataFrame:
+        """The pairs that fingerprints have not put into one group."""
+        for side in ("a", "b"):
+            part = near.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+            pairs = pairs.join(part, side, "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
+        return pairs.filter("_a != _b").select("a", "b")
+
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs ``a``, ``b`` of texts whose whole sets are similar."""
         pairs = stage(pairs.distinct())
@@ -222,7 +247,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return found
 
     one = met.select("least", F.struct("tid", "size", "pos").alias("other")).filter("least.tid != other.tid").filter(possible("least", "other"))
-    links = similar(one.select(F.col("least.tid").alias("a"), F.col("other.tid").alias("b")))
+    one = one.select(F.col("least.tid").alias("a"), F.col("other.tid").alias("b"))
+    links = similar(one) if near is None else similar(apart(one.distinct())).union(near.select(F.col("node").alias("a"), F.col("component").alias("b")))
     grouped = components(links).withColumnsRenamed({"node": "tid", "component": "part"})
     rest = met.filter("n > 2 and least.tid != tid").join(grouped, "tid", "left").withColumn("part", F.coalesce("part", "tid"))
     unlinked = stage(rest.select("shingle", "tid", "size", "pos", "part"))
@@ -242,8 +268,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(rooted, "tid").select("doc_id", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their group (``similar_groups``): one document of each. Repeats of an id count as one document."""
-    found = similar_groups(docs, doc_id, text, **options)
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", half: int | None = 1, **options) -> DataFrame:
+    """The rows of ``docs`` whose id names their group: one document of each. Repeats of an id count as one document.
+
+    Texts link by SimHash fingerprints within ``2 * half`` bits, and those further apart by shingle sets (``similar_groups``).
+    """
+    found = similar_groups(docs, doc_id, text, half=half, **options)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")

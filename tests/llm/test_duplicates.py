@@ -323,3 +323,19 @@ def test_recall_on_planted_links(spark, monkeypatch):
     truth = sum((unit[i] @ unit.T >= 0.93).sum() - 1 for i in range(6000))
     found = hnsw.vector_links(frame).agg(F.sum("n_links")).first()[0]
     assert truth >= 700 and 0.99 * truth <= found <= truth
+
+
+def test_fingerprints_decide_in_the_pipeline_step(spark):
+    """The pipeline's step drops what SimHash links, and what only shingle sets link; wordless texts are linked to equal ones alone."""
+    rng = random.Random(31)
+    refrain = " ".join(f"r{i}" for i in range(9)) + " "
+    tails = [words(rng, 40, 5000) for _ in range(2)]
+    far = words(rng, 60, 5000).split()
+    changed = [*far[:-1], "changed"]
+    rows = [(1, refrain * 60 + tails[0]), (2, refrain * 60 + tails[1]), (3, " ".join(far)), (4, " ".join(changed)), (5, words(rng, 60, 5000)), (6, ""), (7, " ")]
+    bits = lambda i, j: (simhash.fingerprint(rows[i][1]) ^ simhash.fingerprint(rows[j][1])).bit_count()
+    assert bits(0, 1) <= 2 and jaccard(rows[0][1], rows[1][1]) < 0.8
+    assert bits(2, 3) > 2 and jaccard(rows[2][1], rows[3][1]) >= 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()} == {1, 3, 5, 6, 7}
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs, half=None).collect()} == {1, 2, 3, 5, 6, 7}
