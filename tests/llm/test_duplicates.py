@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from cases import SCHEMA, documents, empty, words
@@ -339,3 +340,19 @@ def test_fingerprints_decide_in_the_pipeline_step(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()} == {1, 3, 5, 6, 7}
     assert {r.doc_id for r in simhash.drop_near_duplicates(docs, half=None).collect()} == {1, 2, 3, 5, 6, 7}
+
+
+def test_packed_rows_and_sorted_suffixes():
+    """Packed numbers come back whatever their order and take few bytes; equal suffixes are in the order of their places."""
+    rng = np.random.default_rng(5)
+    arrays = [rng.integers(0, 1 << 48, 5000), np.arange(5000) * 3, rng.integers(-(1 << 63), 1 << 63, 7), np.zeros(0, np.int64), rng.integers(0, 256, 5000)]
+    strings = [b"", b"some text", bytes(range(256))]
+    for a, s in ((arrays, strings), ([np.zeros(0, np.int64)], []), ([np.array([5])], [b"x"])):
+        blob = suffix._pack(a, s)
+        got, texts = suffix._unpack(pa.scalar(blob, pa.binary()))
+        assert texts == s and all(np.array_equal(x, y) for x, y in zip(got, a)) and len(got) == len(a)
+    assert len(suffix._pack(arrays, strings)) < 5000 * 7.3  # six bytes, next to none and one of each row
+    codes = np.array([*(list(rng.integers(1, 4, 40)) * 30), 0] * 3, np.uint16)
+    order = suffix.suffix_array(codes, codes.size)
+    key = lambda i: (codes[i : i + list(codes[i:]).index(0)].tolist(), i)
+    assert order.tolist() == sorted(range(codes.size), key=key)
