@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import give_back
+from flowspark.llm.common import give_back, kept_in_worker
 
 #: Bytes of words and their tokens that a Python worker remembers, in each of two generations, and pairs of tokens.
 REMEMBERED = 64 << 20
@@ -356,7 +356,7 @@ class WordBpe:
         return count, ids.hexdigest(), decoded.hexdigest()
 
 
-@functools.lru_cache(maxsize=2)
+@kept_in_worker
 def tokenizer(path: str) -> WordBpe:
     """One tokenizer per Python worker; its word memory lasts as long as the worker."""
     return WordBpe(path)

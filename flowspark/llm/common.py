@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import functools
+import gc
 import math
+from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
@@ -56,6 +59,26 @@ def give_back() -> None:
         pass
 
 
+#: What operators keep in a Python worker between tasks.
+_kept: list = []
+
+
+def kept_in_worker(function: Callable) -> Callable:
+    """Keep the last two results of ``function`` in each Python worker until ``forget``."""
+    kept = functools.lru_cache(maxsize=2)(function)
+    _kept.append(kept)
+    return kept
+
+
+def forget() -> None:
+    """Drop what other operators kept in this Python worker: workers go from one operator to the next, and all would add up."""
+    if any([kept.cache_info().currsize for kept in _kept]):
+        for kept in _kept:
+            kept.cache_clear()
+        gc.collect()
+    give_back()
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null has none."""
     words = F.array_remove(F.split(text, SPACE), "")

@@ -15,7 +15,6 @@ digits (u32) and CRC-32 of the ids (u32) of each block, digits (u16).
 
 from __future__ import annotations
 
-import functools
 import math
 import struct
 import zlib
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowspark.llm.bpe import Memory
-from flowspark.llm.common import give_back
+from flowspark.llm.common import give_back, kept_in_worker
 from flowspark.session import shared_path
 
 MAGIC = b"IDS1"
@@ -274,7 +273,7 @@ class ByteBpe:
         return np.frombuffer(b"".join(parts), "<u4")
 
 
-@functools.lru_cache(maxsize=2)
+@kept_in_worker
 def tokenizer(path: str) -> ByteBpe:
     return ByteBpe(path)
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from flowspark.llm.common import give_back, stage
+from flowspark.llm.common import forget, give_back, stage
 
 #: Labelled rows that the words' leanings are learned from, and examples in the index, half of either label.
 MOST_LABELLED = 20_000
@@ -188,6 +188,7 @@ def _document_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[np.ndar
     numbers = {w: i for i, w in enumerate(vocabulary)}
 
     def run(batches):
+        forget()
         count, rows = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             for text in batch.column(0):
@@ -223,10 +224,15 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
         chosen = part if chosen is None else chosen.unionByName(part)
 
     def words(batches):
+        forget()
         for batch in batches:
-            found = [sorted(Counter(terms(t.as_py())).items()) for t in batch.column(2)]
-            lists = [pa.array([[w for w, _ in f] for f in found], pa.list_(pa.string())), pa.array([[c for _, c in f] for f in found], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc_id", "label", "words", "counts"])
+            for lot in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(lot, TOGETHER)
+                found = [sorted(Counter(terms(t.as_py())).items()) for t in part.column(2)]
+                lists = [pa.array([[w for w, _ in f] for f in found], pa.list_(pa.string())), pa.array([[c for _, c in f] for f in found], pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], names=["doc_id", "label", "words", "counts"])
+            del found, lists
+            give_back()
 
     named = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     # MOST_LABELLED rows; rows that share an id teach once, whatever their number
@@ -288,6 +294,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     ids = pa.list_(to_arrow_type(df.schema["doc_id"].dataType))
 
     def run(batches):
+        forget()
         own = shared.value
         for batch in batches:
             found = _scores(own, batch.column(1))
@@ -317,6 +324,7 @@ def drop_toxic(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     place = docs.columns.index(text)
 
     def run(batches):
+        forget()
         own = shared.value
         for batch in batches:
             yield batch.filter(pa.array([f[0] < 0.5 for f in _scores(own, batch.column(place))], pa.bool_()))

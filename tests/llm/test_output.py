@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from flowspark.llm import bpe, mixing, sharding, simhash, suffix, token_file, toxicity
+from flowspark.llm import bpe, common, mixing, sharding, simhash, suffix, token_file, toxicity
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -291,3 +291,12 @@ def test_mix_by_row(spark):
         size = len(text.split())
         want[doc_id, text, source] += 1 if size == 0 else plan[doc_id, source, size]
     assert Counter(tuple(r) for r in mixing.mix(docs).collect()) == +want
+
+
+def test_other_operators_let_go_of_tokenizers():
+    """A worker that goes on with another operator keeps no tokenizer and none of its words."""
+    bpe.tokenizer(WORD).digests("some words")
+    token_file.tokenizer(BYTE).encode("some words")
+    assert common.kept_in_worker(len)("abc") == 3
+    common.forget()
+    assert bpe.tokenizer.cache_info().currsize == token_file.tokenizer.cache_info().currsize == 0
