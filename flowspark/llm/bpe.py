@@ -41,6 +41,23 @@ def byte_symbols() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class State(dict):
+    """What the longest end of the symbols read that can begin a token tells: tokens that end here, and the state after each next symbol."""
+
+    __slots__ = ("merges", "read", "inner", "final")
+
+    def __init__(self, merges: Merges, read: str):
+        super().__init__()
+        self.merges, self.read = merges, read
+        ends = [read[i:] for i in range(len(read))]  # longest first
+        self.inner = tuple([merges.entry(merges.inner[e], len(e)) for e in ends if e in merges.inner])
+        self.final = tuple([merges.entry(merges.final[e], len(e)) for e in ends if e in merges.final]) if merges.suffix else self.inner
+
+    def __missing__(self, symbol: str) -> State:
+        self[symbol] = found = self.merges.state(self.read + symbol)
+        return found
+
+
 class Merges:
     """A merge list: which tokens may stand side by side, and how far to the right that depends."""
 
@@ -57,7 +74,9 @@ class Merges:
             self.parts[a + b] = (a, b)
         self.longest = max((len(t) - (len(suffix) if suffix and t.endswith(suffix) else 0) for t in vocab), default=1)
         self._spines: tuple[dict, dict] = ({}, {})
-        self._side: dict[tuple[str, str], bool] = {}
+        self._side: dict[str, dict[str, bool]] = {}  # for each right token its left ones
+        self._sides = 0
+        self._states: dict[str, State] = {}
         self._whole: dict[str, bool] = {}
 
     def spine(self, token: str, side: int) -> list[tuple[str, float, float]]:
@@ -80,7 +99,8 @@ class Merges:
         Of merges of one rank the leftmost goes first: a tie on the left side keeps the
         border, one on the right side breaks it.
         """
-        found = self._side.get((left, right))
+        known = self._side.setdefault(right, {})
+        found = known.get(left)
         if found is None:
             found = True
             for x, x_birth, x_end in self.spine(left, 1):
@@ -88,9 +108,12 @@ class Merges:
                     c = self.rank.get((x, y))
                     if c is not None and x_birth < c < x_end and y_birth < c <= y_end:
                         found = False
-            if len(self._side) >= PAIRS:
-                self._side.clear()
-            self._side[left, right] = found
+            if self._sides >= PAIRS:
+                for lefts in self._side.values():  # states hold these
+                    lefts.clear()
+                self._sides = 0
+            known[left] = found
+            self._sides += 1
         return found
 
     def whole(self, token: str) -> bool:
@@ -116,23 +139,39 @@ class Merges:
         return True
 
     @functools.cached_property
-    def inner(self) -> dict:
+    def inner(self) -> dict[str, str]:
         return self._table(False)
 
     @functools.cached_property
-    def final(self) -> dict:
+    def final(self) -> dict[str, str]:
         return self._table(True) if self.suffix else self.inner
 
-    def _table(self, ending: bool) -> dict:
-        """Usable tokens by (size, symbols), and for each last symbol the sizes to try, longest first."""
-        found: dict = {}
+    def _table(self, ending: bool) -> dict[str, str]:
+        """Usable tokens by their symbols."""
+        found = {}
         for token in self.vocab:
             if self.suffix and token.endswith(self.suffix) != ending or not self.whole(token):
                 continue
-            symbols = token[: -len(self.suffix)] if ending else token
-            found[len(symbols), symbols] = token
-            found.setdefault(symbols[-1], set()).add(len(symbols))
-        return {k: sorted(v, reverse=True) if isinstance(v, set) else v for k, v in found.items()}
+            found[token[: -len(self.suffix)] if ending else token] = token
+        return found
+
+    @functools.cached_property
+    def _begun(self) -> set[str]:
+        """What usable tokens begin with, from nothing to all of their symbols."""
+        return {symbols[:i] for table in (self.inner, self.final) for symbols in table for i in range(len(symbols) + 1)} | {""}
+
+    def entry(self, token: str, size: int) -> tuple[str, int, dict[str, bool]]:
+        """A token, its size and what is known of the tokens to its left."""
+        return token, size, self._side.setdefault(token, {})
+
+    def state(self, read: str) -> State:
+        """The state after some symbols, of which only the longest end counts that can begin a token; at most one for each such end."""
+        while read not in self._begun:
+            read = read[1:]
+        found = self._states.get(read)
+        if found is None:
+            found = self._states[read] = State(self, read)
+        return found
 
     @functools.cached_property
     def lookahead(self) -> int:
@@ -159,6 +198,7 @@ class Encoder:
 
     def __init__(self, merges: Merges):
         self.merges = merges
+        self.state = merges.state("")
         self.text = ""  # symbols that are not part of a stable token
         self.last: list[tuple[str, int]] = []  # for each prefix of text: its last token and what is before it
         self.before = ""  # the last stable token
@@ -166,23 +206,24 @@ class Encoder:
 
     def _advance(self, symbols: str, ending: bool) -> None:
         """Find the last token of every prefix that ends in ``symbols``."""
-        merges, last, before = self.merges, self.last, self.before
-        beside, side = merges.beside, merges._side
-        self.text = text = self.text + symbols
-        for end in range(len(last) + 1, len(text) + 1):
-            usable = merges.final if ending and end == len(text) else merges.inner
-            for size in usable.get(text[end - 1], ()):
-                if size > end:
-                    continue
-                token = usable.get((size, text[end - size : end]))
-                if token is None:
+        beside, last, before, state = self.merges.beside, self.last, self.before, self.state
+        self.text += symbols
+        end, whole = len(last), len(self.text) if ending else 0
+        for symbol in symbols:
+            end += 1
+            state = state[symbol]
+            for token, size, lefts in state.final if end == whole else state.inner:
+                if size < end:
+                    left = last[end - size - 1][0]
+                    if left is None:
+                        continue
+                elif size > end:
                     continue
-                left = last[end - size - 1][0] if end > size else before
-                if left is None:
-                    continue
-                if not left:
-                    break
-                fits = side.get((left, token))
+                else:
+                    left = before
+                    if not left:
+                        break
+                fits = lefts.get(left)
                 if fits is None:
                     fits = beside(left, token)
                 if fits:
@@ -190,6 +231,7 @@ class Encoder:
             else:
                 token, size = None, 1
             last.append((token, end - size))
+        self.state = state
 
     def _path(self, end: int) -> list[int]:
         ends = []
@@ -229,31 +271,44 @@ class Encoder:
         self.last = [(t if start >= 0 else None, start) for t, start in self.last]
         return out
 
-    def finish(self, symbol: str) -> list[str]:
-        """Take the last symbol of the word and return the remaining tokens."""
-        self._advance(symbol, True)
-        return [self.last[end - 1][0] for end in self._path(len(self.text))]
+    def finish(self, symbols: str) -> list[str]:
+        """Take the last symbols of the word, one or more, and return the remaining tokens."""
+        self._advance(symbols, True)
+        out, end = [], len(self.text)
+        while end > 0:
+            token, end = self.last[end - 1]
+            out.append(token)
+        return out[::-1]
 
 
 class Decoder:
-    """Incremental decoder: feed ids, get text up to the last whole character."""
+    """Incremental decoder: feed ids, one or several, get text up to the last whole character."""
 
     def __init__(self, tokens: list[str], byte_level: bool):
         self.tokens, self.byte_level = tokens, byte_level
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
         self.bytes = {c: b for b, c in enumerate(byte_symbols())} if byte_level else {}
+        self.raw: dict[int, bytes] = {}
         self.first = True
 
-    def feed(self, token_id: int) -> str:
+    def _raw(self, token_id: int) -> bytes:
         token = self.tokens[token_id]
+        self.raw[token_id] = found = bytes(self.bytes[c] for c in token) if self.byte_level else token.encode()
+        return found
+
+    def feed(self, *ids: int) -> str:
+        known = self.raw
+        raw = [known[i] if i in known else self._raw(i) for i in ids]
         if self.byte_level:
-            raw = bytes(self.bytes[c] for c in token)
-        else:  # tokens as they are, parted by spaces
-            raw = ("" if self.first else " ").encode() + token.encode()
-            self.first = False
-        return self.machine.decode(raw)
+            return self.machine.decode(b"".join(raw))
+        if ids and not self.first:  # tokens as they are, parted by spaces
+            raw.insert(0, b"")
+        self.first = self.first and not ids
+        return self.machine.decode(b" ".join(raw))
 
     def finish(self) -> str:
+        """The rest; another sequence may follow."""
+        self.first = True
         return self.machine.decode(b"", True)
 
 
@@ -295,12 +350,14 @@ class WordBpe:
         for token, number in [*vocab.items(), *self.added.items()]:
             self.tokens[number] = token
         self.byte_level = spec["decoder"] is not None
+        self.decoder = Decoder(self.tokens, self.byte_level)
         self.memory = Memory(self._digest)
 
     def word_ids(self, word: str) -> list[int]:
         raw = "".join([self.symbols[b] for b in word.encode("utf-8", "surrogatepass")])
         encoder = Encoder(self.merges)
-        found = encoder.feed(raw[:-1]) + encoder.finish(raw[-1])
+        short = 2 * self.merges.longest
+        found = encoder.finish(raw) if len(raw) <= short else encoder.feed(raw[:-1]) + encoder.finish(raw[-1])
         return [self.vocab[t] for t in found]
 
     def _digest(self, word: str) -> tuple[int, bytes, bytes]:
@@ -336,8 +393,7 @@ class WordBpe:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        machine = Decoder(self.tokens, self.byte_level)
-        return "".join([machine.feed(i) for i in ids]) + machine.finish()
+        return self.decoder.feed(*ids) + self.decoder.finish()
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids as text and SHA-256 of the decoded text, run by run."""
