@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -23,6 +24,10 @@ LEAST_HELD = 4
 MOST_COMMON = 1 << 18
 #: Texts of a bucket that are compared with the others of the bucket in one block.
 CROWD = 512
+#: Lots in which shingles are dealt over the executors: their disks hold the shuffle of one.
+LOTS = 4
+#: A sketch has 2 to one of these powers counts, one for 4 to 8 shingles.
+SKETCH_BITS = (4, 16)
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -122,6 +127,18 @@ def prefix_size(size: int, similarity: float) -> int:
     return size - math.ceil(similarity * size - 1e-9) + 1
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """How many of distinct hashes have each leading digit; the more hashes, the more digits."""
+    bits = min(max(int(hashes.size).bit_length() - 3, SKETCH_BITS[0]), SKETCH_BITS[1])
+    return np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+
+
+def most_common(x: np.ndarray, y: np.ndarray) -> int:
+    """No two sets with these sketches have more elements in common."""
+    few = min(x.size, y.size)
+    return int(np.minimum(x.reshape(few, -1).sum(axis=1), y.reshape(few, -1).sum(axis=1)).sum())
+
+
 class Order:
     """An order of shingles: those that many texts hold come last, the others by their hash."""
 
@@ -173,7 +190,8 @@ def similar_groups(
     Exact: in an order common to all texts, the first shingle that two so similar sets share is among the first
     ``prefix_size`` of both, so texts meet in the buckets of these shingles. In each bucket all are first
     compared with the least one; then those of a bucket that are not yet in one group are compared all with all, in blocks, but for
-    pairs that their sizes and places in the order rule out. A pair counts when its whole shingle sets (64-bit hashes) are that similar. Equal
+    pairs that their sizes and places in the order rule out. A pair counts when its whole shingle sets (64-bit hashes) are that similar; only pairs
+    whose sketches, counts of hashes by leading digits, leave that possible have their sets sent (``most_common`` is never too low). Equal
     texts are one node from the start. Texts without words are linked to equal texts only, and so are texts of which no row has
     an id. An id names one text; texts with one id are one node.
     """
@@ -200,10 +218,15 @@ def similar_groups(
     heads = stage(heads.groupBy("tid").agg(F.first(F.struct("size", "head", "fp")).alias("x")).select("tid", "x.size", "x.head", "x.fp"))
     near = None if half is None else stage(components(_print_links(heads.select("tid", "fp"), half)))
     met = heads.select("tid", "size", F.posexplode("head").alias("pos", "shingle"))
-    tally = met.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("tid", "size", "pos")).alias("least"))
-    often = stage(tally.filter("n > 1"))
-    met = stage(met.join(often, "shingle"))
-    release(heads, often)
+    lots = []
+    for lot in range(LOTS):
+        part = met.filter(F.pmod("shingle", F.lit(LOTS)) == lot)
+        tally = part.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("tid", "size", "pos")).alias("least"))
+        often = stage(tally.filter("n > 1"))
+        lots.append(stage(part.join(often, "shingle")))
+        release(often)
+    met = functools.reduce(DataFrame.union, lots)
+    release(heads)
 
     def possible(x: str, y: str) -> Column:
         """Whether sets of these sizes whose first common shingle has these places can be similar."""
@@ -211,20 +234,35 @@ def similar_groups(
         most = 1 + F.least(*[size(s) - F.col(f"{s}.pos") - 1 for s in (x, y)])
         return (F.least(size(x), size(y)) + 1e-6 >= F.greatest(size(x), size(y)) * similarity) & (most + 1e-6 >= (size(x) + size(y)) * (similarity / (1 + similarity)))
 
-    def shingles(batches):
-        for batch in batches:
-            found = [shingle_hashes(t.as_py(), words).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["tid", "shingles"])
-            give_back()
+    def described(describe):
+        """Bytes that describe the shingles of each text."""
 
-    def alike(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(common + 1e-9 >= similarity * (x.size + y.size - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        def run(batches):
+            for batch in batches:
+                found = [describe(shingle_hashes(t.as_py(), words)).tobytes() for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["tid", "about"])
+                give_back()
+
+        return run
+
+    def agreeing(kind, sizes):
+        """Pairs that are similar as ``sizes`` (of both and what they share) says of what describes them."""
+
+        def run(batches):
+            for batch in batches:
+                keep = []
+                for x, y in zip(batch.column(2), batch.column(3)):
+                    in_x, in_y, common = sizes(np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind))
+                    keep.append(common + 1e-9 >= similarity * (in_x + in_y - common))
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        return run
+
+    def whole(x, y):
+        return x.size, y.size, np.intersect1d(x, y, assume_unique=True).size
+
+    def at_most(x, y):
+        return int(x.sum()), int(y.sum()), most_common(x, y)
 
     def apart(pairs: DataFrame) -> DataFrame:
         """The pairs that fingerprints have not put into one group."""
@@ -233,26 +271,29 @@ def similar_groups(
             pairs = pairs.join(part, side, "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
         return pairs.filter("_a != _b").select("a", "b")
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        """The pairs ``a``, ``b`` of texts whose whole sets are similar."""
-        pairs = stage(pairs.distinct())
+    def filtered(pairs: DataFrame, describe, kind, sizes) -> DataFrame:
+        """The stored ``pairs`` that ``sizes`` leaves of what ``describe`` says of their texts."""
         wanted = nodes.join(pairs.select(F.col("a").alias("tid")).union(pairs.select("b")).distinct(), "tid", "left_semi")
         wanted = wanted.select(F.col("tid").alias("_tid"), "node")
         texts = named.join(wanted, (F.col("tid") == F.col("_tid")) & (F.col("doc_id") == F.col("node")), "left_semi")
-        sets = stage(texts.select("tid", "text").mapInArrow(shingles, "tid long, shingles binary").dropDuplicates(["tid"]))
-        both = pairs.join(sets.select(F.col("tid").alias("a"), F.col("shingles").alias("x")), "a")
-        both = both.join(sets.select(F.col("tid").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        found = stage(both.mapInArrow(alike, "a long, b long"))
-        release(pairs, sets)
+        about = stage(texts.select("tid", "text").mapInArrow(described(describe), "tid long, about binary").dropDuplicates(["tid"]))
+        both = pairs.join(about.select(F.col("tid").alias("a"), F.col("about").alias("x")), "a")
+        both = both.join(about.select(F.col("tid").alias("b"), F.col("about").alias("y")), "b").select("a", "b", "x", "y")
+        found = stage(both.mapInArrow(agreeing(kind, sizes), "a long, b long"))
+        release(pairs, about)
         return found
 
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The pairs ``a``, ``b`` of texts whose whole sets are similar."""
+        return filtered(filtered(stage(pairs.distinct()), sketch, np.uint32, at_most), lambda hashes: hashes, np.uint64, whole)
+
     one = met.select("least", F.struct("tid", "size", "pos").alias("other")).filter("least.tid != other.tid").filter(possible("least", "other"))
     one = one.select(F.col("least.tid").alias("a"), F.col("other.tid").alias("b"))
     links = similar(one) if near is None else similar(apart(one.distinct())).union(near.select(F.col("node").alias("a"), F.col("component").alias("b")))
     grouped = components(links).withColumnsRenamed({"node": "tid", "component": "part"})
     rest = met.filter("n > 2 and least.tid != tid").join(grouped, "tid", "left").withColumn("part", F.coalesce("part", "tid"))
     unlinked = stage(rest.select("shingle", "tid", "size", "pos", "part"))
-    release(met)
+    release(*lots)
     mixed = unlinked.groupBy("shingle").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high")
     rest = stage(unlinked.join(mixed.select("shingle", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks")), "shingle"))
     release(unlinked)
