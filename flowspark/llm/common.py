@@ -32,22 +32,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from the written table.
+def stage(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder, ``by`` a column if need be, and go on from the written table.
 
     Spark deletes the finished job's shuffle files when the driver's collector finds them unreferenced; it is asked to look
     now, so that the rounds of an operator do not add up on the executors' disks.
     """
-    written = materialize(df)
+    written = materialize(df, by)
     written.stage_path = staged()[-1]
     df.sparkSession.sparkContext._jvm.System.gc()
     return written
 
 
-def release(*tables: DataFrame) -> None:
-    """Delete stored tables of ``stage`` that nothing will read any more."""
+def release(*tables: DataFrame, part: str | None = None) -> None:
+    """Delete stored tables of ``stage``, or of each the rows of ``part`` (``column=value``), that nothing will read any more."""
     for df in tables:
-        release_stages(df.sparkSession, [df.stage_path])
+        release_stages(df.sparkSession, [df.stage_path], part)
 
 
 def give_back() -> None:

@@ -25,7 +25,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import give_back, release, stage
@@ -517,18 +517,15 @@ def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["tid", "n_removed", "n_spans", "kept"])
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """What of each document repeats earlier ones.
-
-    Returns ``doc_id`` (long), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept_sha256`` of
-    every row, and with ``with_text`` ``kept``, the remaining bytes (null where nothing goes), and ``tid``, the text's hash. Earlier means a smaller id; null ids come
-    last; rows of one id never remove from each other. Null texts are empty. A later copy of a whole text goes entirely if it
-    has ``LENGTH`` bytes. Texts and pieces are told apart by 64-bit hashes, strings by their bytes.
-    """
+def _rows(docs: DataFrame, doc_id: str, text: str) -> dict[str, Column]:
+    """The id (null: the last), the bytes, their hash and their number, of each row of ``docs``."""
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), raw.alias("raw"))
-    base = base.withColumn("tid", F.xxhash64("raw")).withColumn("n_bytes", F.octet_length("raw").cast("long"))
-    ids = base.select("doc_id", "tid", "n_bytes", F.sha2("raw", 256).alias("sha"), F.coalesce("doc_id", F.lit(int(NO_ID))).alias("id"))
+    return {"id": F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))), "raw": raw, "tid": F.xxhash64(raw), "n_bytes": F.octet_length(raw).cast("long")}
+
+
+def _cuts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """The smallest id of each text (``tid``, ``first_id``), what is left of texts of which something goes (``tid``, ``n_removed``, ``n_spans``, ``kept``), and the stored tables that these are read from."""
+    base = docs.select(*[c.alias(name) for name, c in _rows(docs, doc_id, text).items()])
     long_ = base.filter(F.col("n_bytes") >= LENGTH).select("tid", "raw")
     size = base.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, math.ceil(size / TEXT_SHARD))
@@ -543,53 +540,65 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_te
     )
     # stored, so that the shuffle of all pieces is gone before texts are dealt
     shared = stage(shared)
-    least = stage(ids.groupBy("tid").agg(F.min("id").alias("first_id")))
+    least = stage(base.groupBy("tid").agg(F.min("id").alias("first_id")))
     firsts = least.select(shard, "tid", F.col("first_id").alias("id"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("boolean").alias("common"))
     texts = _packed_texts(long_, shards)
     buckets = shards
     parts = texts.groupBy("shard").cogroup(shared.unionByName(firsts).groupBy("shard")).applyInArrow(_contexts(buckets), _PARTS)
-    parts = stage(parts)
+    parts = stage(parts, "kind")
     release(shared)
-    # stored as well: the contexts' shuffle is gone before the texts are dealt again
+    # stored as well: the contexts and their shuffle are gone before the texts are dealt again
     masks = stage(parts.filter("kind = 0").select("bucket", "shard", "blob").groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long"))
+    release(parts, part="kind=0")
     held = parts.filter("kind = 1").select("shard", "blob")
     cut = held.groupBy("shard").cogroup(masks.groupBy("shard")).applyInArrow(_cut, "tid long, n_removed long, n_spans long, kept binary")
-    if with_text:
-        cut = stage(cut)
-    cut = cut.select("tid", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha"), *(["kept"] if with_text else []))
+    return least, cut, [parts, masks]
+
+
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What of each document repeats earlier ones.
+
+    Returns ``doc_id`` (long), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept_sha256`` of
+    every row. Earlier means a smaller id; null ids come
+    last; rows of one id never remove from each other. Null texts are empty. A later copy of a whole text goes entirely if it
+    has ``LENGTH`` bytes. Texts and pieces are told apart by 64-bit hashes, strings by their bytes.
+    """
+    row = _rows(docs, doc_id, text)
+    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *[row[c].alias(c) for c in ("tid", "n_bytes", "id")], F.sha2(row["raw"], 256).alias("sha"))
+    least, cut, _ = _cuts(docs, doc_id, text)
+    cut = cut.select("tid", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha"))
     copy = (F.col("id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
     joined = ids.join(least.join(cut, "tid", "left"), "tid")
-    out = joined.select(
+    return joined.select(
         "doc_id",
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
-        *([F.when(copy, F.unhex(F.lit(""))).otherwise(F.col("kept")).alias("kept"), "tid"] if with_text else []),
     )
-    return out
 
 
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``; rows of which nothing is left go, ``n_chars`` follows.
 
     Characters cut in half go with the passage. Every row is cut by its own id and text: rows that share an id, and rows whose id is null,
-    keep what is theirs.
+    keep what is theirs. What is left of a text is one for all rows that hold it, so it meets them by the text's hash: rows and cut texts travel once.
     """
-    found = repeats(docs, doc_id, text, with_text=True).where("n_removed > 0")
-    changed = found.groupBy(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid")).agg(
-        F.first("kept").alias("_kept"), F.max(F.col("n_bytes") == F.col("n_removed")).alias("_gone")
-    )
+    least, cut, read = _cuts(docs, doc_id, text)
 
     def decode(batches):
         for batch in batches:
-            texts = [k.as_py().decode("utf-8", "ignore") if k.is_valid else None for k in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), batch.column(3)], names=["_id", "_tid", "_text", "_gone"])
-
-    changed = changed.mapInArrow(decode, "_id long, _tid long, _text string, _gone boolean")
-    own = F.xxhash64(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))
-    same_row = F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (own == F.col("_tid"))
-    out = docs.join(changed, same_row, "left").filter(~F.coalesce("_gone", F.lit(False)))
+            texts = [k.as_py().decode("utf-8", "ignore") for k in batch.column(1)]
+            gone = [not len(k.as_buffer()) for k in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(gone, pa.bool_())], names=["_tid", "_text", "_gone"])
+
+    # stored, so that the packed texts and their shuffle are gone before the rows travel
+    cut = stage(cut.select("tid", "kept").mapInArrow(decode, "_tid long, _text string, _gone boolean"))
+    release(*read)
+    row = _rows(docs, doc_id, text)
+    found = least.select(F.col("tid").alias("_own"), F.col("first_id").alias("_first")).join(cut, F.col("_own") == F.col("_tid"), "left").drop("_tid")
+    copy = (row["id"] > F.col("_first")) & (row["n_bytes"] >= LENGTH)
+    out = docs.join(found, row["tid"] == F.col("_own"), "left").filter(~F.coalesce(copy | F.col("_gone"), F.lit(False)))
     columns = {text: F.coalesce("_text", F.col(text))}
     if n_chars in docs.columns:
         columns[n_chars] = F.when(F.col("_text").isNotNull(), F.length("_text").cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars))

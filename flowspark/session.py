@@ -31,15 +31,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the shared checkpoint folder and continue from there.
+def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write ``df`` once as a table in the shared checkpoint folder, ``by`` a column if need be, and continue from there.
 
     Used where several outputs read one expensive result. The table outlives a
     lost executor, so nothing upstream is computed again, and its known size
     lets later joins choose a broadcast.
     """
     path = shared_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     _STAGES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -52,13 +52,17 @@ def staged() -> list[str]:
     return list(_STAGES)
 
 
-def release_stages(spark: SparkSession, paths: list[str] | None = None) -> int:
-    """Delete tables of ``materialize``, all or those in ``paths``; call it when no result that reads them is needed any more."""
+def release_stages(spark: SparkSession, paths: list[str] | None = None, part: str | None = None) -> int:
+    """Delete tables of ``materialize``, all or those in ``paths``; call it when no result that reads them is needed any more.
+
+    Of tables stored by a column, ``part`` (``column=value``) deletes these rows alone.
+    """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     released = 0
     for name in staged() if paths is None else paths:
         if name in _STAGES:
-            _STAGES.remove(name)
-            path = jvm.org.apache.hadoop.fs.Path(name)
+            if part is None:
+                _STAGES.remove(name)
+            path = jvm.org.apache.hadoop.fs.Path(name if part is None else f"{name}/{part}")
             released += path.getFileSystem(conf).delete(path, True)
     return released

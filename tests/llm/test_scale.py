@@ -1,12 +1,15 @@
 """What is sent and remembered for large inputs."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 from cases import words
+from pyspark.sql import functions as F
 
-from flowspark.llm import bpe, simhash
+from flowspark.llm import bpe, simhash, suffix
+from flowspark.session import staged
 
 
 def test_sketches_never_rule_out_too_much():
@@ -46,3 +49,39 @@ def test_automaton_reads_each_symbol_once():
         for found, table in ((state.inner, own.merges.inner), (state.final, own.merges.final)):
             want = [(table[read[i:]], len(read) - i) for i in range(len(read)) if read[i:] in table]
             assert [(token, size) for token, size, _ in found] == want
+
+
+def passages(spark):
+    rng = random.Random(12)
+    passage = words(rng, 20)
+    rows = [(i, words(rng, 20) + (" " + passage if i % 3 else "")) for i in range(30)]
+    return spark.createDataFrame([*rows, (40, rows[0][1]), (41, rows[0][1])], "doc_id long, text string"), passage
+
+
+def stored_since(spark, before):
+    """Columns of the stored tables that are new and hold rows, and the values of their stored parts."""
+    paths = [Path(p.split(":")[-1]) for p in staged() if p not in before]
+    files = [f for p in paths for f in p.rglob("*.parquet")]
+    found = {tuple(spark.read.parquet(str(f)).columns) for f in files if spark.read.parquet(str(f)).count()}
+    return found, {f.parent.name for f in files if "=" in f.parent.name}
+
+
+def test_contexts_go_before_the_texts_are_cut(spark):
+    docs, _ = passages(spark)
+    before = staged()
+    found = suffix.repeats(docs)
+    columns, parts = stored_since(spark, before)
+    assert ("shard", "number", "mask") in columns and parts == {"kind=1"}
+    assert found.filter("n_removed > 0").count() == 19 + 2
+
+
+def test_only_the_cut_texts_are_stored_when_rows_travel(spark):
+    docs, passage = passages(spark)
+    before = staged()
+    out = suffix.drop_repeats(docs)
+    assert stored_since(spark, before) == ({("tid", "first_id"), ("_tid", "_text", "_gone")}, set())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "Aggregate" not in plan and "MapInArrow" not in plan  # texts meet rows, nothing is dealt again
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert set(got) == set(range(30)) and passage in got[1]
+    assert out.filter(F.col("text").contains(passage)).count() == 1
