@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -517,14 +518,23 @@ def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["tid", "n_removed", "n_spans", "kept"])
 
 
+def _cut_texts(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The same as text, without characters cut in half, and whether nothing is left."""
+    cut = _cut(left, right)
+    kept = cut.column("kept").to_pylist()
+    columns = [cut.column("tid"), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), pa.array([not k for k in kept], pa.bool_())]
+    give_back()
+    return pa.table(columns, names=["_tid", "_text", "_gone"])
+
+
 def _rows(docs: DataFrame, doc_id: str, text: str) -> dict[str, Column]:
     """The id (null: the last), the bytes, their hash and their number, of each row of ``docs``."""
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     return {"id": F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))), "raw": raw, "tid": F.xxhash64(raw), "n_bytes": F.octet_length(raw).cast("long")}
 
 
-def _cuts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """The smallest id of each text (``tid``, ``first_id``), what is left of texts of which something goes (``tid``, ``n_removed``, ``n_spans``, ``kept``), and the stored tables that these are read from."""
+def _cuts(docs: DataFrame, doc_id: str, text: str, cut: Callable, kinds: str) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """The smallest id of each text (``tid``, ``first_id``), what ``cut`` leaves of texts of which something goes, and the stored tables that the latter is read from."""
     base = docs.select(*[c.alias(name) for name, c in _rows(docs, doc_id, text).items()])
     long_ = base.filter(F.col("n_bytes") >= LENGTH).select("tid", "raw")
     size = base.agg(F.sum("n_bytes")).first()[0] or 0
@@ -551,8 +561,7 @@ def _cuts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame
     masks = stage(parts.filter("kind = 0").select("bucket", "shard", "blob").groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long"))
     release(parts, part="kind=0")
     held = parts.filter("kind = 1").select("shard", "blob")
-    cut = held.groupBy("shard").cogroup(masks.groupBy("shard")).applyInArrow(_cut, "tid long, n_removed long, n_spans long, kept binary")
-    return least, cut, [parts, masks]
+    return least, held.groupBy("shard").cogroup(masks.groupBy("shard")).applyInArrow(cut, kinds), [parts, masks]
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -565,7 +574,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """
     row = _rows(docs, doc_id, text)
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *[row[c].alias(c) for c in ("tid", "n_bytes", "id")], F.sha2(row["raw"], 256).alias("sha"))
-    least, cut, _ = _cuts(docs, doc_id, text)
+    least, cut, _ = _cuts(docs, doc_id, text, _cut, "tid long, n_removed long, n_spans long, kept binary")
     cut = cut.select("tid", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha"))
     copy = (F.col("id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
     joined = ids.join(least.join(cut, "tid", "left"), "tid")
@@ -584,16 +593,9 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
     Characters cut in half go with the passage. Every row is cut by its own id and text: rows that share an id, and rows whose id is null,
     keep what is theirs. What is left of a text is one for all rows that hold it, so it meets them by the text's hash: rows and cut texts travel once.
     """
-    least, cut, read = _cuts(docs, doc_id, text)
-
-    def decode(batches):
-        for batch in batches:
-            texts = [k.as_py().decode("utf-8", "ignore") for k in batch.column(1)]
-            gone = [not len(k.as_buffer()) for k in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(gone, pa.bool_())], names=["_tid", "_text", "_gone"])
-
+    least, cut, read = _cuts(docs, doc_id, text, _cut_texts, "_tid long, _text string, _gone boolean")
     # stored, so that the packed texts and their shuffle are gone before the rows travel
-    cut = stage(cut.select("tid", "kept").mapInArrow(decode, "_tid long, _text string, _gone boolean"))
+    cut = stage(cut)
     release(*read)
     row = _rows(docs, doc_id, text)
     found = least.select(F.col("tid").alias("_own"), F.col("first_id").alias("_first")).join(cut, F.col("_own") == F.col("_tid"), "left").drop("_tid")

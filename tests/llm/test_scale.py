@@ -85,3 +85,11 @@ def test_only_the_cut_texts_are_stored_when_rows_travel(spark):
     got = {r.doc_id: r.text for r in out.collect()}
     assert set(got) == set(range(30)) and passage in got[1]
     assert out.filter(F.col("text").contains(passage)).count() == 1
+
+
+def test_a_task_of_the_cut_keeps_one_python_worker(spark, monkeypatch):
+    docs, _ = passages(spark)
+    plans, stage = [], suffix.stage
+    monkeypatch.setattr(suffix, "stage", lambda df, *by: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stage(df, *by))
+    suffix.drop_repeats(docs).count()
+    assert [plan.count("InArrow") for plan in plans[-1:]] == [1]
