@@ -7,7 +7,8 @@ a smaller id. The work on all documents is in three rounds:
    hash, leftmost first). Equal strings own equal pieces, so a piece that occurs in one text only rules
    out all the strings it owns. This says where to look and decides nothing.
 2. *Contexts.* For each shared piece a text gives the bytes of the strings the piece owns (16
-   strings on average, 65 bytes), once per shard of texts.
+   strings on average, 65 bytes), once per shard of texts. Pieces that the same few shards hold are decided
+   together, so that contexts which overlap in a text are packed side by side.
 3. *Suffix shards.* Contexts meet by piece. Different contexts of a piece are joined in shards of
    bounded size; each shard gets its suffix array and common prefixes, which group equal
    strings and find the smallest id of each. Where the contexts of one piece fill several shards, their sorted
@@ -19,6 +20,7 @@ so that no key gathers an unbounded number of different contexts.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Callable
@@ -26,7 +28,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import give_back, release, stage
@@ -34,16 +36,25 @@ from flowspark.llm.common import give_back, release, stage
 LENGTH = 50
 SEED = 20
 WINDOW = LENGTH - SEED + 1
-#: Bytes hashed at once, bytes of text in a shard of texts, bytes in a suffix shard.
+#: Bytes hashed at once, bytes in a suffix shard.
 CHUNK = 1 << 18
-TEXT_SHARD = 4 << 20
 SUFFIX_SHARD = 1 << 19
-#: Texts from which a piece counts as very common.
-COMMON = 512
+#: Bytes of text at most in a shard of texts and for a bucket of contexts. Every shard sends to every bucket, so from ``ENOUGH`` on
+#: they grow before their number does, from ``LEAST_SHARD`` on.
+TEXT_SHARD = 6 << 20
+CONTEXT_SHARD = 16 << 20
+LEAST_SHARD = 4 << 20
+ENOUGH = 64
+#: Bytes of text whose pieces are compared by one task, half a million pieces or so; lots in which contexts are decided.
+SEED_SHARD = 8 << 20
+LOTS = 2
+#: Shards that are few holders of a piece.
+FEW = 8
+#: Texts from which a piece counts as very common: contexts of fewer texts fit a suffix shard.
+COMMON = 1 << 13
 NO_ID = np.iinfo(np.int64).max
-#: Bytes of text that a task gathers before it sends them, packed by shard; texts hashed at once.
+#: Bytes of text that a task gathers before it sends them or their pieces, packed by shard or bucket.
 GATHERED = 16 << 20
-LOT = 1000
 LANES = 4096
 _HASH = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _MIX = [np.uint64(x | 1) for x in np.random.default_rng(11).integers(1, 1 << 63, 8, dtype=np.int64).tolist()]
@@ -259,10 +270,13 @@ def repeated_masks(keys: np.ndarray, contexts: list[bytes], ids: np.ndarray, roo
             masks[at] = shard.masks(least[at], smallest)
         series.clear()
 
-    sizes = np.array([len(distinct[i][1]) + 1 for i in several], np.int64)
+    total = np.cumsum([len(distinct[i][1]) + 1 for i in several], dtype=np.int64)
+    ends = np.append(np.flatnonzero(own[several[1:]] != own[several[:-1]]) + 1, several.size)
     at = 0
     while at < several.size:
-        upto = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), room, side="right")) + at)
+        upto = max(at + 1, int(np.searchsorted(total, room + (total[at - 1] if at else 0), side="right")))
+        end = int(ends[np.searchsorted(ends, upto, side="right") - 1]) if upto >= ends[0] else 0
+        upto = end if end > at else upto  # only a key that fills a shard is cut
         part = several[at:upto]
         series.append((part, SuffixShard([distinct[i][1] for i in part], least[part])))
         if upto >= several.size or own[several[upto]] != own[several[upto - 1]]:
@@ -369,29 +383,76 @@ def _string_key(string: bytes) -> int:
     return -1 - (int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "big") >> 1)
 
 
-def _pieces(texts: DataFrame) -> DataFrame:
-    """(key, tid) of every piece that owns a string; a text is taken once per task."""
+def _pieces(shards: DataFrame, buckets: int) -> DataFrame:
+    """Keys of all pieces that own a string, by bucket of keys: for each shard of texts the keys and how many of its texts hold each."""
 
     def run(batches):
-        seen = set()
+        held, size = [], 0
+
+        def flush():
+            keys, numbers, shard = (np.concatenate(x) for x in zip(*held))
+            by = np.argsort(keys)
+            keys, numbers, shard = keys[by], numbers[by], shard[by]
+            edges = np.searchsorted((keys >> 16) * buckets >> 32, np.arange(buckets + 1))  # by the leading digits
+            full = np.flatnonzero(edges[1:] > edges[:-1])
+            blobs = [_pack([x[edges[i] : edges[i + 1]] for x in (keys, numbers, shard)], []) for i in full.tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
         for batch in batches:
-            for lot in range(0, batch.num_rows, LOT):
-                part = batch.slice(lot, LOT)
-                tids, found = [], []
-                for tid, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    if tid not in seen:
-                        seen.add(tid)
-                        tids.append(tid)
-                        found.append(text.as_buffer().to_pybytes())
-                which, _, _, hashes = owned_runs(found)
+            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                texts = _unpack(blob)[1]
+                which, _, _, hashes = owned_runs(texts)
                 keys = _piece_key(hashes)
-                by = np.lexsort((keys, which))  # a piece that a text repeats is one row
+                by = np.lexsort((which, keys))  # a piece that a text repeats counts once
                 keys, which = keys[by], which[by]
-                new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (which[1:] != which[:-1])))[: keys.size]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[new]), pa.array(np.array(tids, np.int64)[which[new]])], names=["key", "tid"])
-            give_back()
+                first = np.concatenate(([True], keys[1:] != keys[:-1]))[: keys.size]
+                new = np.flatnonzero(first | np.concatenate(([True], which[1:] != which[:-1]))[: keys.size])
+                heads = np.flatnonzero(first[new])
+                if heads.size:
+                    held.append((keys[new][heads], np.diff(np.append(heads, new.size)), np.full(heads.size, shard)))
+                    size += sum(map(len, texts))
+                if size >= GATHERED:
+                    yield flush()
+                    held, size = [], 0
+                    give_back()
+        if held:
+            yield flush()
+        give_back()
+
+    return shards.select("shard", "blob").mapInArrow(run, "bucket int, blob binary")
+
+
+def _shared(buckets: int, very: int):
+    """Of a bucket's keys, to each shard those of its own that two texts or more hold, where their contexts meet, and whether ``very`` many do.
+
+    Keys that the same few shards hold meet in one bucket of ``buckets``: contexts that overlap in a text travel together and compress to little
+    more than the text. Where many shards hold a key, and for strings, it is dealt by itself.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        found = [(k, n.astype(np.int32), s.astype(np.int32)) for k, n, s in (_unpack(blob)[0] for blob in table.column("blob"))]
+        keys, numbers, shards = (np.concatenate(x) for x in zip(*found))
+        del found
+        by = np.argsort(keys)
+        keys, numbers, shards = keys[by], numbers[by], shards[by]
+        heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        holders = np.diff(np.append(heads, keys.size))
+        mixed = (shards.astype(np.uint64) + np.uint64(1)) * _MIX[6]
+        mixed = (mixed ^ mixed >> np.uint64(31)) * _MIX[7]
+        together = np.add.reduceat(mixed, heads) >> np.uint64(16)
+        place = (np.where(holders <= FEW, together.astype(np.int64), keys[heads]) % buckets).astype(np.int32)
+        texts = np.add.reduceat(numbers, heads)
+        hit, common, place = (np.repeat(x, holders) for x in (texts > 1, texts >= very, place))
+        keys, shards, place, common = keys[hit], shards[hit], place[hit], common[hit]
+        del by, numbers, mixed, together, holders, texts, hit
+        by = np.argsort(shards, kind="stable")
+        keys, shards, place, common = keys[by], shards[by], place[by], common[by]
+        heads = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1]))[: shards.size])
+        blobs = [_pack([keys[i:j], place[i:j], common[i:j]], []) for i, j in zip(heads.tolist(), [*heads[1:].tolist(), keys.size])]
+        give_back()
+        return pa.table([pa.array(shards[heads], pa.int32()), pa.array(blobs, pa.binary())], names=["shard", "keys"])
 
-    return texts.select("tid", "raw").mapInArrow(run, "key long, tid long")
+    return run
 
 
 def _packed_texts(texts: DataFrame, shards: int) -> DataFrame:
@@ -420,53 +481,73 @@ def _packed_texts(texts: DataFrame, shards: int) -> DataFrame:
     return texts.select("tid", "raw").mapInArrow(run, "shard int, blob binary")
 
 
+def _shard(table: pa.Table) -> pa.Table:
+    """The texts of a shard in one value, each once."""
+    texts: dict[int, bytes] = {}
+    for blob in table.column("blob"):
+        (tids,), found = _unpack(blob)
+        texts.update(zip(tids.tolist(), found))
+    blob = _pack([np.array(list(texts), np.int64)], list(texts.values()))
+    give_back()
+    return pa.table([pa.array(table.column("shard")[:1].to_pylist(), pa.int32()), pa.array([blob], pa.binary())], names=["shard", "blob"])
+
+
 _PARTS = "kind int, shard int, bucket int, blob binary"
 
 
-def _contexts(buckets: int):
-    """A shard's texts and shared pieces to its distinct contexts by bucket (kind 0) and its texts that have any, with their runs (kind 1)."""
+def _contexts(buckets: int, lots: int):
+    """A shard's texts and shared pieces to its distinct contexts by bucket (kind 2 and more, by lot) and the runs of its texts that have any (kind 1)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         firsts = right.column("tid").is_valid().to_numpy(zero_copy_only=False)
         known = right.filter(pa.array(firsts))
         least = dict(zip(known.column("tid").to_pylist(), known.column("id").to_pylist()))
-        shared = right.filter(pa.array(~firsts))
-        keys = shared.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
-        by = np.argsort(keys)
-        keys, common = keys[by], shared.column("common").to_numpy(zero_copy_only=False).astype(bool)[by]
+        shared = [_unpack(blob)[0] for blob in right.filter(pa.array(~firsts)).column("keys")]
         texts: dict[int, bytes] = {}
         for blob in left.column("blob"):
             (tids,), found = _unpack(blob)
             texts.update(zip(tids.tolist(), found))
-        if keys.size and texts:
+        if shared and texts:
+            keys, place, common = (np.concatenate(x) for x in zip(*shared))
+            by = np.argsort(keys)
+            keys, place, common = keys[by], place[by], common[by] > 0
             shard = left.column("shard")[0].as_py()
             tids = sorted(texts, key=lambda t: (least[t], t))  # the first holder of a context has the smallest id
-            bodies = [texts[t] for t in tids]
+            bodies, owns = [texts[t] for t in tids], [least[t] for t in tids]
             which, first, last, hashes = owned_runs(bodies)
             piece = _piece_key(hashes)
             at = np.minimum(np.searchsorted(keys, piece), keys.size - 1)
             hit = keys[at] == piece
             which, first, last, piece, hot = which[hit], first[hit], last[hit], piece[hit], common[at[hit]]
             by = np.argsort(which, kind="stable")
-            numbers: dict[tuple[int, bytes], tuple[int, int]] = {}
+            # by piece and context; strings of very common pieces by themselves, once their context is new
+            numbers: dict[tuple[int, bytes] | bytes, tuple[int, int]] = {}
+            held: dict[tuple[int, bytes], int] = {}
             runs: list[tuple[int, int, int, int]] = []
             for w, a, b, k, h in zip(which[by].tolist(), first[by].tolist(), last[by].tolist(), piece[by].tolist(), hot[by].tolist()):
-                body, own = bodies[w], least[tids[w]]
-                for start, stop in [(s, s) for s in range(a, b + 1)] if h else [(a, b)]:
-                    context = body[start : stop + LENGTH]
-                    number, holder = numbers.setdefault((_string_key(context) if h else k, context), (len(numbers), own))
-                    runs.append((w, start, stop - start + 1, number if holder == own else -1))
-            own_keys = np.array([k for k, _ in numbers], np.int64)
+                body, own = bodies[w], owns[w]
+                context = body[a : b + LENGTH]
+                if not h:
+                    number, holder = numbers.setdefault((k, context), (len(numbers), own))
+                    runs.append((w, a, b - a + 1, number if holder == own else -1))
+                elif held.setdefault((k, context), own) != own:
+                    runs.append((w, a, b - a + 1, -1))
+                else:
+                    for start in range(a, b + 1):
+                        number, holder = numbers.setdefault(body[start : start + LENGTH], (len(numbers), own))
+                        runs.append((w, start, 1, number if holder == own else -1))
+            own_keys = np.array([_string_key(x) if isinstance(x, bytes) else x[0] for x in numbers], np.int64)
             ids = np.array([i for _, i in numbers.values()], np.int64)
-            contexts = [c for _, c in numbers]
-            bucket = own_keys % buckets
+            contexts = [x if isinstance(x, bytes) else x[1] for x in numbers]
+            bucket = np.where(own_keys < 0, own_keys % buckets, place[np.minimum(np.searchsorted(keys, own_keys), keys.size - 1)])
             order = np.argsort(bucket, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                rows.append((0, shard, int(bucket[part[0]]), _pack([own_keys[part], part, ids[part]], [contexts[i] for i in part])))
+                at = int(bucket[part[0]])
+                rows.append((2 + at % lots, shard, at, _pack([own_keys[part], part, ids[part]], [contexts[i] for i in part])))
             table = np.array(runs, np.int64).reshape(-1, 4)
             used, table[:, 0] = np.unique(table[:, 0], return_inverse=True)
-            rows.append((1, shard, None, _pack([np.array([tids[w] for w in used], np.int64), *table.T], [bodies[w] for w in used])))
+            rows.append((1, shard, None, _pack([np.array([tids[w] for w in used], np.int64), *table.T], [])))
         kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         columns = list(zip(*rows)) if rows else [[]] * 4
         give_back()
@@ -492,11 +573,17 @@ def _decide(table: pa.Table) -> pa.Table:
 
 
 def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Texts of a shard without their repeated bytes."""
-    masks = dict(zip(right.column("number").to_pylist(), right.column("mask").to_pylist()))
-    out: list[tuple] = []
+    """Texts of a shard without their repeated bytes; ``right`` has their runs and the masks of contexts."""
+    found = right.filter(right.column("number").is_valid())
+    masks = dict(zip(found.column("number").to_pylist(), found.column("mask").to_pylist()))
+    texts: dict[int, bytes] = {}
     for blob in left.column("blob"):
-        (tids, which, starts, counts, numbers), bodies = _unpack(blob)
+        (tids,), bodies = _unpack(blob)
+        texts.update(zip(tids.tolist(), bodies))
+    out: list[tuple] = []
+    for blob in right.column("runs").drop_null():
+        tids, which, starts, counts, numbers = _unpack(blob)[0]
+        bodies = [texts[t] for t in tids.tolist()]
         edges = [None] * len(bodies)
         for w, start, count, number in zip(which.tolist(), starts.tolist(), counts.tolist(), numbers.tolist()):
             mask = (1 << count) - 1 if number < 0 else masks.get(number, 0)
@@ -533,35 +620,40 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> dict[str, Column]:
     return {"id": F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))), "raw": raw, "tid": F.xxhash64(raw), "n_bytes": F.octet_length(raw).cast("long")}
 
 
+def _shards(size: int) -> tuple[int, int]:
+    """Shards of texts and buckets of contexts for so many bytes of text."""
+    wanted = max(size / ENOUGH, LEAST_SHARD)
+    return tuple(max(1, math.ceil(size / min(wanted, most))) for most in (TEXT_SHARD, CONTEXT_SHARD))
+
+
 def _cuts(docs: DataFrame, doc_id: str, text: str, cut: Callable, kinds: str) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """The smallest id of each text (``tid``, ``first_id``), what ``cut`` leaves of texts of which something goes, and the stored tables that the latter is read from."""
     base = docs.select(*[c.alias(name) for name, c in _rows(docs, doc_id, text).items()])
     long_ = base.filter(F.col("n_bytes") >= LENGTH).select("tid", "raw")
     size = base.agg(F.sum("n_bytes")).first()[0] or 0
-    shards = max(1, math.ceil(size / TEXT_SHARD))
+    shards, buckets = _shards(size)
     shard = F.pmod(F.col("tid"), F.lit(shards)).cast("int").alias("shard")
 
-    over = Window.partitionBy("key")
-    shared = (
-        _pieces(long_)
-        .withColumns({"low": F.min("tid").over(over), "high": F.max("tid").over(over), "n": F.count("*").over(over)})
-        .filter("low < high")
-        .select(shard, F.lit(None).cast("long").alias("tid"), F.lit(None).cast("long").alias("id"), "key", (F.col("n") >= COMMON).alias("common"))
-    )
-    # stored, so that the shuffle of all pieces is gone before texts are dealt
-    shared = stage(shared)
+    # stored, so that each text is there once and the shuffle of all is gone before pieces are dealt; likewise below
+    texts = stage(_packed_texts(long_, shards).groupBy("shard").applyInArrow(_shard, "shard int, blob binary"))
+    pieces = _pieces(texts, max(1, math.ceil(size / SEED_SHARD)))
+    shared = stage(pieces.groupBy("bucket").applyInArrow(_shared(buckets, COMMON), "shard int, keys binary"))
     least = stage(base.groupBy("tid").agg(F.min("id").alias("first_id")))
-    firsts = least.select(shard, "tid", F.col("first_id").alias("id"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("boolean").alias("common"))
-    texts = _packed_texts(long_, shards)
-    buckets = shards
-    parts = texts.groupBy("shard").cogroup(shared.unionByName(firsts).groupBy("shard")).applyInArrow(_contexts(buckets), _PARTS)
+    firsts = least.select(shard, "tid", F.col("first_id").alias("id"), F.lit(None).cast("binary").alias("keys"))
+    about = shared.select("shard", F.lit(None).cast("long").alias("tid"), F.lit(None).cast("long").alias("id"), "keys").unionByName(firsts)
+    lots = min(LOTS, buckets)
+    parts = texts.groupBy("shard").cogroup(about.groupBy("shard")).applyInArrow(_contexts(buckets, lots), _PARTS)
     parts = stage(parts, "kind")
     release(shared)
-    # stored as well: the contexts and their shuffle are gone before the texts are dealt again
-    masks = stage(parts.filter("kind = 0").select("bucket", "shard", "blob").groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long"))
-    release(parts, part="kind=0")
-    held = parts.filter("kind = 1").select("shard", "blob")
-    return least, held.groupBy("shard").cogroup(masks.groupBy("shard")).applyInArrow(cut, kinds), [parts, masks]
+    # the disks hold the shuffle of one lot of contexts, and no lot once it is decided
+    masks = []
+    for kind in range(2, 2 + lots):
+        lot = parts.filter(F.col("kind") == kind).select("bucket", "shard", "blob")
+        masks.append(stage(lot.groupBy("bucket").applyInArrow(_decide, "shard int, number int, mask long")))
+        release(parts, part=f"kind={kind}")
+    runs = parts.filter("kind = 1").select("shard", F.lit(None).cast("int").alias("number"), F.lit(None).cast("long").alias("mask"), F.col("blob").alias("runs"))
+    found = functools.reduce(DataFrame.union, masks).withColumn("runs", F.lit(None).cast("binary")).union(runs)
+    return least, texts.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(cut, kinds), [texts, parts, *masks]
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,8 +5,11 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
-from cases import words
+import pyarrow as pa
+import pytest
+from cases import documents, words
 from pyspark.sql import functions as F
+from test_duplicates import plain_repeats
 
 from flowspark.llm import bpe, simhash, suffix
 from flowspark.session import staged
@@ -75,6 +78,49 @@ def test_contexts_go_before_the_texts_are_cut(spark):
     assert found.filter("n_removed > 0").count() == 19 + 2
 
 
+def test_shards_grow_before_their_number_does():
+    for size in (1 << 20, 1 << 30, 10 << 30, 50 << 30):
+        shards, buckets = suffix._shards(size)
+        assert size / shards <= 6 << 20 and size / buckets <= 16 << 20
+        assert size / (shards * buckets) > (1500 if size > 1 << 20 else 0)  # text behind what a shard sends to a bucket
+
+
+def test_only_keys_that_fill_a_shard_are_merged(monkeypatch):
+    rng = np.random.default_rng(4)
+    keys, contexts = np.repeat(np.arange(60), 5), [bytes(rng.integers(97, 99, 60).astype(np.uint8)) for _ in range(300)]
+    ids, merged, merge = rng.integers(0, 9, 300), [], suffix.merge_shards
+    monkeypatch.setattr(suffix, "merge_shards", lambda shards: merged.append(len(shards)) or merge(shards))
+    whole = suffix.repeated_masks(keys, contexts, ids)
+    assert np.array_equal(suffix.repeated_masks(keys, contexts, ids, 1000), whole) and not merged
+    assert np.array_equal(suffix.repeated_masks(keys, contexts, ids, 200), whole) and set(merged) == {2}
+
+
+def test_pieces_of_the_same_few_shards_meet_in_one_bucket():
+    held = {0: (0, 1), 1: (2, 3), 2: tuple(range(20))}  # shards that hold a piece
+    rows = [(1000 * group + i, 1, s) for group, shards in held.items() for i in range(100) for s in shards] + [(9999, 1, 5)]
+    blob = suffix._pack(list(np.array(rows).T), [])
+    got = suffix._shared(50, 15)(pa.table({"bucket": pa.array([0], pa.int32()), "blob": pa.array([blob], pa.binary())}))
+    found = {s: dict(zip(k.tolist(), zip(p.tolist(), c.tolist()))) for s, (k, p, c) in zip(got["shard"].to_pylist(), (suffix._unpack(b)[0] for b in got["keys"]))}
+    assert {(k, s) for s in found for k in found[s]} == {(k, s) for k, _, s in rows if k != 9999}
+    place = [[{found[s][1000 * group + i] for s in shards} for i in range(100)] for group, shards in held.items()]
+    assert all(len(x) == 1 for group in place for x in group)  # all shards send a piece to one bucket
+    place = [{at for x in group for at, _ in x} for group in place]
+    assert len(place[0]) == len(place[1]) == 1 and len(place[2]) > 30
+    assert {c for s in found for k, (_, c) in found[s].items() if k < 2000} == {0} and {c for k, (_, c) in found[19].items()} == {1}
+
+
+@pytest.mark.parametrize("common", [3, 1 << 13])
+def test_repeats_over_many_small_shards(spark, monkeypatch, common):
+    docs = documents(spark, seed=8, n=120)
+    for name, value in {"COMMON": common, "LEAST_SHARD": 1000, "TEXT_SHARD": 1500, "CONTEXT_SHARD": 3000, "SEED_SHARD": 10_000}.items():
+        monkeypatch.setattr(suffix, name, value)
+    lots, release = set(), suffix.release
+    monkeypatch.setattr(suffix, "release", lambda *tables, part=None: lots.add(part) or release(*tables, part=part))
+    got = sorted([tuple(r) for r in suffix.repeats(docs).collect()], key=str)
+    assert got == plain_repeats([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert {"kind=2", "kind=3"} <= lots  # each lot of contexts goes as soon as it is decided
+
+
 def test_only_the_cut_texts_are_stored_when_rows_travel(spark):
     docs, passage = passages(spark)
     before = staged()
