@@ -14,7 +14,7 @@ a smaller id. The work on all documents is in three rounds:
    strings and find the smallest id of each. Where the contexts of one piece fill several shards, their sorted
    strings are merged by binary search.
 
-Pieces in very many texts (a common line) are not sent as contexts but string by string,
+Pieces that occur very often (a common line) are not sent as contexts but string by string,
 so that no key gathers an unbounded number of different contexts.
 """
 
@@ -50,7 +50,7 @@ SEED_SHARD = 8 << 20
 LOTS = 2
 #: Shards that are few holders of a piece.
 FEW = 8
-#: Texts from which a piece counts as very common: contexts of fewer texts fit a suffix shard.
+#: Occurrences from which a piece counts as very common: contexts of fewer fit a suffix shard.
 COMMON = 1 << 13
 NO_ID = np.iinfo(np.int64).max
 #: Bytes of text that a task gathers before it sends them or their pieces, packed by shard or bucket.
@@ -190,7 +190,7 @@ class SuffixShard:
 
     def sorted_strings(self) -> np.ndarray:
         """The different strings in order, for merging with other shards."""
-        return _comparable(self.raw[self.heads[:, None] + np.arange(LENGTH)])
+        return _comparable(np.lib.stride_tricks.sliding_window_view(self.raw, LENGTH)[self.heads])
 
     def masks(self, ids: np.ndarray, least: np.ndarray) -> np.ndarray:
         """For each context a bit per string that is in a smaller document."""
@@ -374,8 +374,8 @@ def _unpack(value) -> tuple[list[np.ndarray], list[bytes]]:
 
 
 def _piece_key(hashes: np.ndarray) -> np.ndarray:
-    """48 bits of a piece's hash; that two pieces share a key costs a look and changes nothing."""
-    return (hashes >> np.uint64(16)).astype(np.int64)
+    """48 bits of a piece's hash; that two pieces share a key costs a look and changes nothing. Owners have low hashes, their keys any."""
+    return (((hashes >> np.uint64(16)) * _MIX[6]) & np.uint64((1 << 48) - 1)).astype(np.int64)
 
 
 def _string_key(string: bytes) -> int:
@@ -384,18 +384,18 @@ def _string_key(string: bytes) -> int:
 
 
 def _pieces(shards: DataFrame, buckets: int) -> DataFrame:
-    """Keys of all pieces that own a string, by bucket of keys: for each shard of texts the keys and how many of its texts hold each."""
+    """Keys of all pieces that own a string, by bucket of keys: for each shard of texts the keys, how many of its texts hold each, and how often."""
 
     def run(batches):
         held, size = [], 0
 
         def flush():
-            keys, numbers, shard = (np.concatenate(x) for x in zip(*held))
-            by = np.argsort(keys)
-            keys, numbers, shard = keys[by], numbers[by], shard[by]
+            columns = [np.concatenate(x) for x in zip(*held)]
+            by = np.argsort(columns[0])
+            keys, *_ = columns = [x[by] for x in columns]
             edges = np.searchsorted((keys >> 16) * buckets >> 32, np.arange(buckets + 1))  # by the leading digits
             full = np.flatnonzero(edges[1:] > edges[:-1])
-            blobs = [_pack([x[edges[i] : edges[i + 1]] for x in (keys, numbers, shard)], []) for i in full.tolist()]
+            blobs = [_pack([x[edges[i] : edges[i + 1]] for x in columns], []) for i in full.tolist()]
             return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
@@ -403,13 +403,13 @@ def _pieces(shards: DataFrame, buckets: int) -> DataFrame:
                 texts = _unpack(blob)[1]
                 which, _, _, hashes = owned_runs(texts)
                 keys = _piece_key(hashes)
-                by = np.lexsort((which, keys))  # a piece that a text repeats counts once
+                by = np.lexsort((which, keys))  # a piece that a text repeats is in one text
                 keys, which = keys[by], which[by]
                 first = np.concatenate(([True], keys[1:] != keys[:-1]))[: keys.size]
                 new = np.flatnonzero(first | np.concatenate(([True], which[1:] != which[:-1]))[: keys.size])
-                heads = np.flatnonzero(first[new])
+                heads, at = np.flatnonzero(first[new]), np.flatnonzero(first)
                 if heads.size:
-                    held.append((keys[new][heads], np.diff(np.append(heads, new.size)), np.full(heads.size, shard)))
+                    held.append((keys[at], np.diff(np.append(heads, new.size)), np.diff(np.append(at, keys.size)), np.full(at.size, shard)))
                     size += sum(map(len, texts))
                 if size >= GATHERED:
                     yield flush()
@@ -423,28 +423,28 @@ def _pieces(shards: DataFrame, buckets: int) -> DataFrame:
 
 
 def _shared(buckets: int, very: int):
-    """Of a bucket's keys, to each shard those of its own that two texts or more hold, where their contexts meet, and whether ``very`` many do.
+    """Of a bucket's keys, to each shard those of its own that two texts or more hold, where their contexts meet, and whether they do ``very`` often.
 
     Keys that the same few shards hold meet in one bucket of ``buckets``: contexts that overlap in a text travel together and compress to little
     more than the text. Where many shards hold a key, and for strings, it is dealt by itself.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        found = [(k, n.astype(np.int32), s.astype(np.int32)) for k, n, s in (_unpack(blob)[0] for blob in table.column("blob"))]
-        keys, numbers, shards = (np.concatenate(x) for x in zip(*found))
+        found = [(k, *[x.astype(np.int32) for x in rest]) for k, *rest in (_unpack(blob)[0] for blob in table.column("blob"))]
+        keys, texts, times, shards = (np.concatenate(x) for x in zip(*found))
         del found
         by = np.argsort(keys)
-        keys, numbers, shards = keys[by], numbers[by], shards[by]
+        keys, texts, times, shards = keys[by], texts[by], times[by], shards[by]
         heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         holders = np.diff(np.append(heads, keys.size))
         mixed = (shards.astype(np.uint64) + np.uint64(1)) * _MIX[6]
         mixed = (mixed ^ mixed >> np.uint64(31)) * _MIX[7]
         together = np.add.reduceat(mixed, heads) >> np.uint64(16)
         place = (np.where(holders <= FEW, together.astype(np.int64), keys[heads]) % buckets).astype(np.int32)
-        texts = np.add.reduceat(numbers, heads)
-        hit, common, place = (np.repeat(x, holders) for x in (texts > 1, texts >= very, place))
+        hit, common = np.add.reduceat(texts, heads) > 1, np.add.reduceat(times, heads, dtype=np.int64) >= very
+        hit, common, place = (np.repeat(x, holders) for x in (hit, common, place))
         keys, shards, place, common = keys[hit], shards[hit], place[hit], common[hit]
-        del by, numbers, mixed, together, holders, texts, hit
+        del by, texts, times, mixed, together, holders, hit
         by = np.argsort(shards, kind="stable")
         keys, shards, place, common = keys[by], shards[by], place[by], common[by]
         heads = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1]))[: shards.size])
